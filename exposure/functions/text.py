@@ -7,25 +7,24 @@ from pyspark.sql import functions as F
 
 from exposure.schemas import ANSI_PATTERN
 
-ESCAPE = "\x1b"
-
 # Every character that counts as white space in Unicode text; F.trim would strip blanks only.
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
+# Each of these uses its input once, so that stacking them does not multiply work.
+
 def stripped(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
 def not_blank(text: Column) -> Column:
-    return F.length(stripped(text)) > 0
+    """Settled by the first character that is no white space."""
+    return text.rlike(f"[^{WHITESPACE}]")
 
 
 def without_ansi(text: Column) -> Column:
-    """Drop terminal escape sequences; lines without ESC skip the regex."""
-    return F.when(
-        text.contains(ESCAPE), F.regexp_replace(text, ANSI_PATTERN, "")
-    ).otherwise(text)
+    """Drop terminal escape sequences."""
+    return F.regexp_replace(text, ANSI_PATTERN, "")
 
 
 def authority(text: Column) -> Column:

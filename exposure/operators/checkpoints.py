@@ -49,11 +49,11 @@ def _position(record: Column) -> Column:
 def load_checkpoints(documents: DataFrame) -> DataFrame:
     """Typed view of each document with ``load_status``: loaded, corrupt or no_scan_id.
 
-    A broken document gives a row with nulls, never a failure.
+    A broken document gives a row with nulls, never a failure. Other columns are kept.
     """
     body = body_of(F.col("doc"))
     parsed = documents.select(
-        "scan_id", "doc",
+        *documents.columns,
         F.when(body.isNull(), "corrupt")
         .when(~has_key(body, "scan_id"), "no_scan_id")
         .otherwise("loaded").alias("load_status"),
@@ -69,9 +69,9 @@ def load_checkpoints(documents: DataFrame) -> DataFrame:
         ),
     )
     return parsed.select(
-        "scan_id", "load_status", F.col("_d.scan_id").alias("checkpoint_id"),
+        *documents.columns, "load_status", F.col("_d.scan_id").alias("checkpoint_id"),
         "_d.domain", "_d.start_time", "_d.last_update", "_d.status",
-        phases.alias("phases"), "_d.statistics", "_d.environment", "doc",
+        phases.alias("phases"), "_d.statistics", "_d.environment",
     )
 
 
@@ -120,72 +120,91 @@ def phase_record(loaded: DataFrame, phase: str) -> DataFrame:
     ])
 
 
-def pending_phases(loaded: DataFrame, resuming: bool = True) -> DataFrame:
-    """Phases still to run, in running order; a fresh run has all of them to do."""
+def pending_list(phases: Column, resuming: bool = True) -> Column:
+    """Phases still to run, in running order, as an array of (position, phase, status)."""
     listed = F.array(*[
         F.struct(
             F.lit(position).cast("int").alias("position"), F.lit(phase).alias("phase"),
-            F.try_element_at("phases", F.lit(phase))["status"].alias("status"),
+            F.try_element_at(phases, F.lit(phase))["status"].alias("status"),
         )
         for position, phase in enumerate(PHASES, start=1)
     ])
-    rows = loaded.select("scan_id", F.inline(listed))
     if not resuming:
-        return rows
-    return rows.filter(~F.col("status").eqNullSafe("completed"))
+        return listed
+    return F.filter(listed, lambda entry: ~entry["status"].eqNullSafe("completed"))
+
+
+def pending_phases(loaded: DataFrame, resuming: bool = True) -> DataFrame:
+    """One row per phase still to run; a fresh run has all of them to do."""
+    return loaded.select("scan_id", F.inline(pending_list(F.col("phases"), resuming)))
 
 
 # --- integrity and repair --------------------------------------------------------------------
 
-def _note(absent: Column, message: str | Column) -> Column:
-    return F.when(absent, F.lit(message) if isinstance(message, str) else message)
+def _names(names: tuple[str, ...]) -> Column:
+    return F.array(*[F.lit(name) for name in names])
+
+
+def _absent(body: Column, names: tuple[str, ...]) -> Column:
+    """The required names a JSON object does not hold, in the order they are required."""
+    held = F.coalesce(F.map_keys(body), F.array().cast("array<string>"))
+    return F.array_except(_names(names), held)
+
+
+def _phase_issues(phase: str) -> Column:
+    """A missing phase, or the fields missing in it."""
+    messages = F.create_map(*[
+        F.lit(part) for pair in MISSING_PHASE_FIELD.items() for part in pair
+    ])
+    return F.when(
+        ~has_key(F.col("_phases"), phase), F.array(F.lit(MISSING_PHASE + phase))
+    ).otherwise(
+        F.transform(
+            _absent(F.col(f"_{phase}"), REQUIRED_PHASE_FIELDS),
+            lambda name: F.concat(F.element_at(messages, name), F.lit(phase)),
+        )
+    )
 
 
-def checkpoint_issues(documents: DataFrame) -> DataFrame:
+def checkpoint_issues(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Everything wrong with each document, as a list, and whether it is valid.
 
-    ``documents`` also has ``expected_domain``. Nested parts are looked at only once all top-level
-    fields are there.
+    ``documents`` also has ``expected_domain``; columns named in ``keep`` are kept. Nested parts
+    are looked at only once all top-level fields are there.
     """
     opened = documents.withColumn("_body", body_of(F.col("doc"))).withColumns({
         f"_{part}": object_at(F.col("_body"), part)
         for part in ("phases", "statistics", "environment")
     }).withColumns({
         f"_{phase}": object_at(F.col("_phases"), phase) for phase in PHASES
-    })
-    top = F.array_compact(F.array(*[
-        _note(~has_key(F.col("_body"), name), MISSING_FIELD + name) for name in REQUIRED_FIELDS
-    ]))
+    }).withColumn("_top", _absent(F.col("_body"), REQUIRED_FIELDS))
+
+    def listed(absent: Column, message: str) -> Column:
+        return F.transform(absent, lambda name: F.concat(F.lit(message), name))
+
+    def only_if(condition: Column, message: Column) -> Column:
+        return F.when(condition, F.array(message)).otherwise(F.array().cast("array<string>"))
 
     found_domain = F.coalesce(text_at(F.col("_body"), "domain"), F.lit("None"))
     before, between, after = (F.lit(part) for part in DOMAIN_MISMATCH)
-    nested = [
-        _note(
+    nested = F.concat(
+        only_if(
             found_domain != F.col("expected_domain"),
             F.concat(before, found_domain, between, F.col("expected_domain"), after),
-        )
-    ]
-    for phase in PHASES:
-        present = has_key(F.col("_phases"), phase)
-        nested.append(_note(~present, MISSING_PHASE + phase))
-        nested += [
-            _note(present & ~has_key(F.col(f"_{phase}"), name), MISSING_PHASE_FIELD[name] + phase)
-            for name in REQUIRED_PHASE_FIELDS
-        ]
-    nested += [
-        _note(~has_key(F.col("_statistics"), name), MISSING_STATISTIC + name)
-        for name in STATISTICS
-    ]
-    nested.append(_note(~has_key(F.col("_environment"), "tool_versions"), MISSING_TOOL_VERSIONS))
-
+        ),
+        *[_phase_issues(phase) for phase in PHASES],
+        listed(_absent(F.col("_statistics"), STATISTICS), MISSING_STATISTIC),
+        only_if(
+            ~has_key(F.col("_environment"), "tool_versions"), F.lit(MISSING_TOOL_VERSIONS)
+        ),
+    )
     issues = (
         F.when(F.col("_body").isNull(), F.array(F.lit(NOT_READABLE)))
-        .when(F.size("_top") > 0, F.col("_top"))
-        .otherwise(F.array_compact(F.array(*nested)))
+        .when(F.size("_top") > 0, listed(F.col("_top"), MISSING_FIELD))
+        .otherwise(nested)
     )
     return (
-        opened.withColumn("_top", top)
-        .select("scan_id", issues.alias("issues"))
+        opened.select("scan_id", *keep, issues.alias("issues"))
         .withColumn("is_valid", F.size("issues") == 0)
     )
 
@@ -220,9 +239,7 @@ def repair_checkpoints(documents: DataFrame, as_of: Column) -> DataFrame:
     ``is_repaired = false``.
     """
     opened = documents.withColumn("_body", body_of(F.col("doc"))).withColumn(
-        "_missing", F.array_compact(F.array(*[
-            _note(~has_key(F.col("_body"), name), name) for name in REQUIRED_FIELDS
-        ]))
+        "_missing", _absent(F.col("_body"), REQUIRED_FIELDS)
     )
     filled = opened.withColumn(
         "_filled",
@@ -239,15 +256,12 @@ def repair_checkpoints(documents: DataFrame, as_of: Column) -> DataFrame:
         lambda _, default, present: F.coalesce(present, default),
     )
     repairable = F.col("_phases").isNotNull()
-    missing_phases = F.array_compact(F.array(*[
-        _note(~has_key(F.col("_phases"), phase), phase) for phase in PHASES
-    ]))
     return filled.select(
         "scan_id", "expected_domain",
         F.when(repairable, F.to_json(_with_phases(F.col("_filled"), merged)))
         .otherwise(F.col("doc")).alias("doc"),
         repairable.alias("is_repaired"),
-        F.when(repairable, F.concat("_missing", missing_phases))
+        F.when(repairable, F.concat("_missing", _absent(F.col("_phases"), PHASES)))
         .otherwise(F.array().cast("array<string>")).alias("added"),
     )
 

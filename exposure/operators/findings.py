@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from exposure.functions import severity as sev
 from exposure.functions import text
+from exposure.operators import hygiene
 from exposure.schemas import PREVIEW_ROWS
 
 
@@ -18,9 +19,11 @@ def tag_severity(lines: DataFrame) -> DataFrame:
 
 def severity_counts(tagged: DataFrame) -> DataFrame:
     """Findings per scan and severity; untagged lines and empty levels have no row."""
+    # Counting the severity leaves untagged lines at 0; testing it before the aggregation would
+    # make Spark derive it from the line twice.
     return (
-        tagged.filter(F.col("severity").isNotNull())
-        .groupBy("scan_id", "severity").agg(F.count(F.lit(1)).alias("findings"))
+        tagged.groupBy("scan_id", "severity").agg(F.count("severity").alias("findings"))
+        .filter(F.col("findings") > 0)
         .withColumns({
             "severity_rank": sev.severity_rank(F.col("severity")),
             "label": F.initcap("severity"),
@@ -89,10 +92,7 @@ def consolidate_findings(
     ``records`` (scan_id, batch_id, path, error), ``inventory`` (path, length),
     ``file_lines`` (path, seq, line).
     """
-    clean = file_lines.withColumn("line", text.stripped(F.col("line"))).filter(
-        F.length("line") > 0
-    )
-    return clean.join(_kept_files(records, inventory), "path").select(
+    return hygiene.load_findings(file_lines).join(_kept_files(records, inventory), "path").select(
         "scan_id", "batch_id", "path", "seq", "line"
     )
 
@@ -122,10 +122,9 @@ def consolidation_totals(
 
 
 def reconcile_findings(state: DataFrame, results: DataFrame) -> DataFrame:
-    """Compare each scan's reported number of findings with its result lines."""
-    counted = results.filter(text.not_blank(F.col("line"))).groupBy("scan_id").agg(
-        F.count(F.lit(1)).alias("counted"),
-        F.count(sev.severity_of(F.col("line"))).alias("classified"),
+    """Compare each scan's reported number of findings with its loaded result lines."""
+    counted = tag_severity(results).groupBy("scan_id").agg(
+        F.count(F.lit(1)).alias("counted"), F.count("severity").alias("classified"),
     )
     return (
         state.select("scan_id", F.coalesce("vulnerabilities", F.lit(0)).alias("reported"))
@@ -147,15 +146,11 @@ def rebuild_empty_results(
     the scans filled and returns nothing for them.
     """
     flagged = reconcile_findings(state, results).filter("needs_rebuild").select("scan_id")
-    return (
-        batch_lines.withColumn("line", text.stripped(F.col("line")))
-        .filter(F.length("line") > 0)
-        .join(flagged, "scan_id", "left_semi")
-    )
+    return hygiene.load_findings(batch_lines).join(flagged, "scan_id", "left_semi")
 
 
 def scan_funnel(hosts: DataFrame, probe_lines: DataFrame, findings: DataFrame) -> DataFrame:
-    """Per scan: unique hosts, probe lines, finding lines.
+    """Per scan: unique hosts, probe lines and finding lines, as they were loaded.
 
     One aggregation over the stacked inputs, so that no join can multiply rows.
     """
@@ -167,9 +162,7 @@ def scan_funnel(hosts: DataFrame, probe_lines: DataFrame, findings: DataFrame) -
     stacked = reduce(
         DataFrame.unionByName,
         [
-            marked(hosts, "hosts"),
-            marked(probe_lines.filter(text.not_blank(F.col("line"))), "alive"),
-            marked(findings.filter(text.not_blank(F.col("line"))), "findings"),
+            marked(hosts, "hosts"), marked(probe_lines, "alive"), marked(findings, "findings"),
         ],
     )
     return stacked.groupBy("scan_id").agg(*[F.sum(s).alias(s) for s in steps])

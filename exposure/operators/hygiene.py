@@ -11,22 +11,23 @@ from exposure.functions import text
 def load_hosts(lines: DataFrame) -> DataFrame:
     """(scan_id, line) -> unique (scan_id, host): trimmed, no blanks."""
     return (
-        lines.select("scan_id", text.stripped(F.col("line")).alias("host"))
-        .filter(F.length("host") > 0)
+        lines.filter(text.not_blank(F.col("line")))
+        .select("scan_id", text.stripped(F.col("line")).alias("host"))
         .dropDuplicates(["scan_id", "host"])
     )
 
 
 def load_probe_lines(lines: DataFrame) -> DataFrame:
     """Remove terminal colours, trim, drop blanks; duplicates stay."""
-    return lines.withColumn(
-        "line", text.stripped(text.without_ansi(F.col("line")))
-    ).filter(F.length("line") > 0)
+    plain = text.without_ansi(F.col("line"))
+    return lines.filter(text.not_blank(plain)).withColumn("line", text.stripped(plain))
 
 
 def load_findings(lines: DataFrame) -> DataFrame:
     """Trim and drop blanks; duplicates stay."""
-    return lines.withColumn("line", text.stripped(F.col("line"))).filter(F.length("line") > 0)
+    return lines.filter(text.not_blank(F.col("line"))).withColumn(
+        "line", text.stripped(F.col("line"))
+    )
 
 
 def validate_hosts(hosts: DataFrame) -> DataFrame:

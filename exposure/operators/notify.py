@@ -119,13 +119,18 @@ def result_messages(
         .agg(F.sort_array(F.collect_list(F.struct("_row", "line"))).alias("_lines"))
         .select("scan_id", "part", F.array_join("_lines.line", "\n").alias("_text"))
     )
-    empty_text, empty_title = EVENT_TEXTS["no_findings"]
-    empty = F.col("_text").isNull()
-    content = F.when(empty, F.format_string(empty_text, F.col("domain"))).otherwise(
-        F.format_string(template, F.col("domain"), F.col("_text"))
+    # Scans are matched from the side that may hold many parts of one scan, which can be split.
+    filled = parts.join(domains, "scan_id").select(
+        "scan_id", "part", F.lit(title).alias("title"),
+        F.format_string(template, F.col("domain"), F.col("_text")).alias("content"),
     )
-    heading = F.when(empty, F.lit(empty_title)).otherwise(F.lit(title))
-    return domains.join(parts, "scan_id", "left").select(
-        "scan_id", F.coalesce("part", F.lit(0)).alias("part"), heading.alias("title"),
-        content.alias("content"), payload(content, heading).alias("payload"),
+    empty_template, empty_title = EVENT_TEXTS["no_findings"]
+    empty = domains.join(
+        findings.select("scan_id").dropDuplicates(), "scan_id", "left_anti"
+    ).select(
+        "scan_id", F.lit(0).cast("bigint").alias("part"), F.lit(empty_title).alias("title"),
+        F.format_string(empty_template, F.col("domain")).alias("content"),
+    )
+    return filled.unionByName(empty).withColumn(
+        "payload", payload(F.col("content"), F.col("title"))
     )

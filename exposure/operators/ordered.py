@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from exposure.session import materialize
 
 MAX_GROUP_ROWS = 5_000_000
+MAX_SLICES = 20_000
 
 # kinds of running value
 ROW_NUMBER, SUM, PEAK, PEAK_BEFORE, PREVIOUS = "row_number", "sum", "peak", "peak_before", "previous"
@@ -52,7 +53,7 @@ def running(
     if largest <= max_group_rows:
         result = prepared.withColumns(_local_values(kinds, keys, order))
     else:
-        slices = 2 * math.ceil(total / max_group_rows)
+        slices = min(2 * math.ceil(total / max_group_rows), MAX_SLICES)
         result = _across_slices(prepared, keys, order, kinds, slices)
     return result.select(*df.columns, *values)
 

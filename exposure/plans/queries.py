@@ -29,7 +29,7 @@ ORACLES: dict[str, str] = {}
 BATCH_SIZE = 10
 
 # Limits small enough to send the skewed relations through the sliced plan on the test tables.
-HOT_HOSTS = 200
+HOT_HOSTS = 400
 HOT_LOG_ROWS = 1_000
 
 
@@ -707,20 +707,20 @@ select scan_id, j is not null as is_repaired,
 from ({PARSED_DOCS_SQL})
 """)
 def repair_checkpoints(spark, sf_dir):
-    repaired = checkpoints.repair_checkpoints(documents(spark, sf_dir), as_of())
-    left = checkpoints.checkpoint_issues(repaired).select(
-        "scan_id", F.array_join("issues", "; ").alias("issues_left")
+    repaired = checkpoints.repair_checkpoints(documents(spark, sf_dir), as_of()).withColumn(
+        "typed_phases", F.when(
+            F.col("is_repaired"), F.from_json("doc", CHECKPOINT_DOCUMENT)["phases"]
+        ),
+    ).withColumn("domain", F.when(F.col("is_repaired"), F.get_json_object("doc", "$.domain")))
+    checked = checkpoints.checkpoint_issues(
+        repaired, keep=("is_repaired", "added", "domain", "typed_phases")
     )
-    view = F.from_json("doc", CHECKPOINT_DOCUMENT)
-    status = lambda name: F.try_element_at("_d.phases", F.lit(name))["status"]
-    return (
-        repaired.withColumn("_d", view).select(
-            "scan_id", "is_repaired", F.array_join("added", ",").alias("added"),
-            F.when(F.col("is_repaired"), F.col("_d.domain")).alias("domain"),
-            F.when(F.col("is_repaired"), status("alive_check")).alias("alive_status"),
-            F.when(F.col("is_repaired"), status("subdomain_enumeration"))
-            .alias("enumeration_status"),
-        ).join(left, "scan_id")
+    status = lambda name: F.try_element_at("typed_phases", F.lit(name))["status"]
+    return checked.select(
+        "scan_id", "is_repaired", F.array_join("added", ",").alias("added"), "domain",
+        status("alive_check").alias("alive_status"),
+        status("subdomain_enumeration").alias("enumeration_status"),
+        F.array_join("issues", "; ").alias("issues_left"),
     )
 
 
@@ -1201,7 +1201,7 @@ def fleet_report(spark, sf_dir):
 @query(["checkpoint_docs", "hosts_raw", "probe_raw"], f"""
 , parsed as ({PARSED_DOCS_SQL}), phase_rows as ({_PHASE_ROWS_SQL})
 select scan_id, case when j is null then 'corrupt' else 'loaded' end as load_status,
-  n_issues as issues, coalesce(pending_phases, 0) as pending_phases, next_phase,
+  n_issues as issues, cast(coalesce(pending_phases, 0) as integer) as pending_phases, next_phase,
   coalesce(targets_left, 0) as targets_left
 from parsed join ({_ISSUES_SQL}) using (scan_id)
 left join (select scan_id, count(*) as pending_phases, arg_min(phase, position) as next_phase

@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from exposure.functions import severity as sev
-from exposure.functions import text
 from exposure.operators import checkpoints, findings, hygiene, inventory
 from exposure.schemas import SEVERITIES
 
@@ -46,20 +44,20 @@ def fleet_report(host_lines: DataFrame, probe_lines: DataFrame, finding_lines: D
 
 def resume_plan(documents: DataFrame, targets: DataFrame, processed: DataFrame) -> DataFrame:
     """For every scan document: can it be read, what is wrong, what is left to do."""
-    loaded = checkpoints.load_checkpoints(documents)
-    issues = checkpoints.checkpoint_issues(documents).select(
-        "scan_id", F.size("issues").alias("issues")
-    )
-    pending = checkpoints.pending_phases(loaded).groupBy("scan_id").agg(
-        F.count(F.lit(1)).alias("pending_phases"), F.min_by("phase", "position").alias("next_phase")
+    loaded = checkpoints.load_checkpoints(documents).withColumn(
+        "_pending", checkpoints.pending_list(F.col("phases"))
     )
+    checked = checkpoints.checkpoint_issues(loaded, keep=("load_status", "_pending"))
     left = inventory.resume_worklist(targets, processed).groupBy("scan_id").agg(
         F.count(F.lit(1)).alias("targets_left")
     )
     return (
-        loaded.select("scan_id", "load_status").join(issues, "scan_id")
-        .join(pending, "scan_id", "left").join(left, "scan_id", "left")
-        .na.fill(0, ["pending_phases", "targets_left"])
+        checked.select(
+            "scan_id", "load_status", F.size("issues").alias("issues"),
+            F.size("_pending").alias("pending_phases"),
+            F.try_element_at("_pending", F.lit(1))["phase"].alias("next_phase"),
+        )
+        .join(left, "scan_id", "left").na.fill(0, ["targets_left"])
     )
 
 
@@ -69,11 +67,10 @@ def results_report(state: DataFrame, results: DataFrame, batch_lines: DataFrame)
     lines = results.select("scan_id", "line").unionByName(
         rebuilt.select("scan_id", "line").withColumn("_rebuilt", F.lit(1)), allowMissingColumns=True
     )
-    level = sev.severity_of(F.col("line"))
-    found = lines.filter(text.not_blank(F.col("line"))).groupBy("scan_id").agg(
+    found = findings.tag_severity(lines).groupBy("scan_id").agg(
         F.count(F.lit(1)).alias("found"),
         F.coalesce(F.max("_rebuilt"), F.lit(0)).alias("is_rebuilt"),
-        *[F.count_if(level == name).alias(name) for name in SEVERITIES],
+        *[F.count_if(F.col("severity") == name).alias(name) for name in SEVERITIES],
     )
     return (
         state.select("scan_id", F.col("vulnerabilities").alias("reported"))

@@ -37,7 +37,7 @@ STATUS_ALIASES = {
 
 # Schemas ----------------------------------------------------------------
 
-HOSTS = "scan_id bigint, host string"
+HOST_STORE = "scan_id bigint, host string, scan_bucket int, load string"
 
 PHASE_STATE = (
     "scan_id bigint, phase string, status string, progress int, "

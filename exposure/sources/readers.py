@@ -31,9 +31,9 @@ def load_findings_glob(
     reader = spark.read.option("pathGlobFilter", pattern)
     return (
         reader.text(path).filter("_metadata.file_size > 0")
+        .filter(text.not_blank(F.col("value")))
         .select("*", F.col("_metadata.file_path").alias("path"))
-        .withColumn("line", text.stripped(F.col("value")))
-        .filter(F.length("line") > 0).drop("value")
+        .withColumn("line", text.stripped(F.col("value"))).drop("value")
     )
 
 

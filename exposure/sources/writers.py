@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exposure.operators.inventory import bulk_load_hosts
-from exposure.schemas import HOSTS
+from exposure.schemas import HOST_STORE
 
 HOST_BUCKETS = 512
+SCAN_BUCKETS = 256
 COPIES_PER_ROW = 10_000
 
 
@@ -38,8 +39,9 @@ def sorted_lines(
         F.lit(copies_per_row), F.col("_copies") - (F.col("_chunk") - 1) * copies_per_row
     ).cast("int")
     return (
-        chunked.repartitionByRange(*order).sortWithinPartitions(*order)
+        chunked.repartitionByRange(*order)
         .select("scan_id", F.explode(F.array_repeat("line", here)).alias("line"))
+        .sortWithinPartitions("scan_id", "line")
     )
 
 
@@ -57,6 +59,16 @@ def write_findings(findings: DataFrame, path: str) -> None:
     )
 
 
+def write_tagged_findings(tagged: DataFrame, path: str) -> None:
+    """Findings with their severity as a partition, so that a severity filter skips files.
+
+    The rebalance hint splits a level that dominates over several tasks and files.
+    """
+    tagged.hint("rebalance", "severity").write.partitionBy("severity").mode("overwrite").parquet(
+        path
+    )
+
+
 def write_json(df: DataFrame, path: str, *partition_columns: str) -> None:
     """JSON rows: scan state, memory documents, payloads."""
     writer = df.write.mode("overwrite")
@@ -92,22 +104,55 @@ def append_host_table(fresh: DataFrame, table: str, buckets: int = HOST_BUCKETS)
     )
 
 
+def _in_bucket(hosts: DataFrame) -> DataFrame:
+    return hosts.select(
+        "scan_id", "host",
+        F.pmod(F.xxhash64("scan_id"), F.lit(SCAN_BUCKETS)).cast("int").alias("scan_bucket"),
+    )
+
+
 def ensure_host_folder(spark: SparkSession, path: str) -> None:
     """An empty host store at ``path`` unless there is one."""
-    spark.createDataFrame([], HOSTS).write.mode("ignore").parquet(f"{path}/load=empty")
+    spark.createDataFrame([], HOST_STORE).write.partitionBy("scan_bucket", "load").mode(
+        "ignore"
+    ).parquet(path)
 
 
 def read_host_folder(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(f"{HOSTS}, load string").parquet(path)
+    return spark.read.schema(HOST_STORE).parquet(path)
+
+
+def stored_hosts_like(incoming: DataFrame, path: str) -> DataFrame:
+    """The part of the store that may hold the incoming scans.
+
+    The buckets touched (at most SCAN_BUCKETS numbers) are collected, so that the others are
+    pruned as partitions and never read.
+    """
+    touched = [
+        row["scan_bucket"]
+        for row in _in_bucket(incoming).select("scan_bucket").distinct().collect()
+    ]
+    return read_host_folder(incoming.sparkSession, path).filter(
+        F.col("scan_bucket").isin(touched)
+    )
 
 
 def write_host_load(fresh: DataFrame, path: str, load: str) -> None:
     """One load of new hosts; writing the same load again replaces it."""
-    fresh.select("scan_id", "host").write.mode("overwrite").parquet(f"{path}/load={load}")
+    (
+        _in_bucket(fresh).withColumn("load", F.lit(load)).hint("rebalance", "scan_bucket")
+        .write.partitionBy("scan_bucket", "load")
+        .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    )
+
+
+def export_hosts(stored: DataFrame, path: str) -> None:
+    """A plain copy of the store, one folder of text parts per scan."""
+    stored.select("scan_id", "host").write.partitionBy("scan_id").mode("overwrite").text(path)
 
 
 def clear_host_folder(spark: SparkSession, path: str) -> None:
     (
-        spark.createDataFrame([], f"{HOSTS}, load string").write.partitionBy("load")
+        spark.createDataFrame([], HOST_STORE).write.partitionBy("scan_bucket", "load")
         .option("partitionOverwriteMode", "static").mode("overwrite").parquet(path)
     )

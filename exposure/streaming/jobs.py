@@ -17,7 +17,7 @@ from exposure.operators.inventory import append_new_hosts
 from exposure.operators.ordered import MAX_GROUP_ROWS
 from exposure.operators.progress import latest_phase_status, status_transitions
 from exposure.schemas import PHASE_STATE, PHASES, TRANSITIONS
-from exposure.sources.writers import ensure_host_folder, read_host_folder, write_host_load
+from exposure.sources.writers import ensure_host_folder, stored_hosts_like, write_host_load
 
 LAST_STATUS = "scan_id bigint, seq bigint, ts timestamp_ntz, status string"
 
@@ -53,8 +53,10 @@ def stream_new_hosts(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         load = _load_name(name, batch_id)
-        stored = read_host_folder(batch.sparkSession, store).filter(F.col("load") != load)
+        batch = batch.persist()
+        stored = stored_hosts_like(batch, store).filter(F.col("load") != load)
         write_host_load(append_new_hosts(stored, batch), store, load)
+        batch.unpersist()
 
     return _start(hosts, handle, checkpoint, trigger)
 
@@ -83,6 +85,11 @@ def current_phase_state(spark: SparkSession, state: str) -> DataFrame:
     return latest_phase_status(_read(spark, state, PHASE_STATE))
 
 
+def compact_phase_state(spark: SparkSession, state: str, target: str) -> None:
+    """Write the current state as the first load of a new folder."""
+    current_phase_state(spark, state).write.mode("overwrite").parquet(f"{target}/load=compacted")
+
+
 def stream_status_transitions(
     log: DataFrame, out: str, checkpoint: str, name: str = "status",
     trigger: dict | None = None, max_group_rows: int = MAX_GROUP_ROWS,
@@ -100,7 +107,9 @@ def stream_status_transitions(
         load = _load_name(name, batch_id)
         session = batch.sparkSession
         record = F.struct("seq", "ts", "status")
-        polled = batch.filter(F.length("status") > 0).select("scan_id", record.alias("_r"))
+        polled = (
+            batch.filter(F.length("status") > 0).select("scan_id", record.alias("_r")).persist()
+        )
         before = (
             _read(session, carried, LAST_STATUS).filter(F.col("load") < load)
             .join(polled.select("scan_id").dropDuplicates(), "scan_id", "left_semi")
@@ -123,6 +132,7 @@ def stream_status_transitions(
             .select("scan_id", "_r.*")
             .write.mode("overwrite").parquet(f"{carried}/load={load}")
         )
+        polled.unpersist()
 
     return _start(log, handle, checkpoint, trigger)
 

@@ -14,6 +14,7 @@ from exposure.functions.documents import (
     DEFAULT_ENVIRONMENT, DEFAULT_PHASES, DEFAULT_STATISTICS, OBJECT, body_of, has_key,
     iso_time, json_literal, json_object, object_at, scan_identity, text_at, text_variant,
 )
+from exposure.operators.joins import MAX_KEY_ROWS, SAMPLE, lookup_join
 from exposure.schemas import (
     CHECKPOINT_DOCUMENT, PHASES, REQUIRED_FIELDS, REQUIRED_PHASE_FIELDS, SNAPSHOTS_KEPT,
     STATISTICS,
@@ -328,7 +329,10 @@ def snapshot_checkpoints(documents: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def expired_snapshots(files: DataFrame, keep: int = SNAPSHOTS_KEPT) -> DataFrame:
+def expired_snapshots(
+    files: DataFrame, keep: int = SNAPSHOTS_KEPT,
+    max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE,
+) -> DataFrame:
     """Every file older than the newest ``keep`` of its scan.
 
     Only the cut-off of each scan is ranked (Spark limits every task's groups before the
@@ -344,7 +348,9 @@ def expired_snapshots(files: DataFrame, keep: int = SNAPSHOTS_KEPT) -> DataFrame
     older = (F.col("mtime_s") < F.col("_mtime")) | (
         (F.col("mtime_s") == F.col("_mtime")) & (F.col("path") > F.col("_path"))
     )
-    return files.join(cutoffs, "scan_id").filter(older).select(*files.columns)
+    return lookup_join(files, cutoffs, ["scan_id"], "inner", max_key_rows, sample).filter(
+        older
+    ).select(*files.columns)
 
 
 # --- updates ---------------------------------------------------------------------------------

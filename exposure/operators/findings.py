@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from exposure.functions import severity as sev
 from exposure.functions import text
 from exposure.operators import hygiene
+from exposure.operators.joins import MAX_KEY_ROWS, SAMPLE, lookup_join
 from exposure.schemas import PREVIEW_ROWS
 
 
@@ -36,15 +37,17 @@ def filter_severity(tagged: DataFrame, requested: list[str]) -> DataFrame:
     return tagged.filter(F.col("severity").isin(*requested)) if requested else tagged
 
 
-def filter_severity_requests(tagged: DataFrame, requests: DataFrame) -> DataFrame:
+def filter_severity_requests(
+    tagged: DataFrame, requests: DataFrame,
+    max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE,
+) -> DataFrame:
     """Keep what each scan asked for: ``requests`` has one row (scan_id, severities) per scan.
 
     A scan without a request, or with an empty one, keeps every row.
     """
+    wanted = requests.select("scan_id", F.col("severities").alias("_wanted"))
     return (
-        tagged.join(
-            requests.select("scan_id", F.col("severities").alias("_wanted")), "scan_id", "left"
-        )
+        lookup_join(tagged, wanted, ["scan_id"], "left", max_key_rows, sample)
         .filter(sev.severity_wanted(F.col("severity"), F.col("_wanted")))
         .select(*tagged.columns)
     )
@@ -85,16 +88,18 @@ def _kept_files(records: DataFrame, inventory: DataFrame) -> DataFrame:
 
 
 def consolidate_findings(
-    records: DataFrame, inventory: DataFrame, file_lines: DataFrame
+    records: DataFrame, inventory: DataFrame, file_lines: DataFrame,
+    max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE,
 ) -> DataFrame:
     """Non-blank lines of every batch output file that exists with content, each file once.
 
     ``records`` (scan_id, batch_id, path, error), ``inventory`` (path, length),
     ``file_lines`` (path, seq, line).
     """
-    return hygiene.load_findings(file_lines).join(_kept_files(records, inventory), "path").select(
-        "scan_id", "batch_id", "path", "seq", "line"
-    )
+    return lookup_join(
+        hygiene.load_findings(file_lines), _kept_files(records, inventory), ["path"], "inner",
+        max_key_rows, sample,
+    ).select("scan_id", "batch_id", "path", "seq", "line")
 
 
 def consolidation_totals(
@@ -138,7 +143,8 @@ def reconcile_findings(state: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def rebuild_empty_results(
-    state: DataFrame, results: DataFrame, batch_lines: DataFrame
+    state: DataFrame, results: DataFrame, batch_lines: DataFrame,
+    max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE,
 ) -> DataFrame:
     """Batch lines of the scans whose results are empty although findings were reported.
 
@@ -146,7 +152,10 @@ def rebuild_empty_results(
     the scans filled and returns nothing for them.
     """
     flagged = reconcile_findings(state, results).filter("needs_rebuild").select("scan_id")
-    return hygiene.load_findings(batch_lines).join(flagged, "scan_id", "left_semi")
+    return lookup_join(
+        hygiene.load_findings(batch_lines), flagged, ["scan_id"], "left_semi",
+        max_key_rows, sample,
+    )
 
 
 def scan_funnel(hosts: DataFrame, probe_lines: DataFrame, findings: DataFrame) -> DataFrame:

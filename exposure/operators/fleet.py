@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from exposure.functions import versions
+from exposure.operators.joins import lookup_join
 from exposure.schemas import FINGERPRINT_SAMPLE
 
 # Message texts.
@@ -36,7 +37,7 @@ def environment_drift(recorded: DataFrame, current: DataFrame) -> DataFrame:
     """Tools known on both sides whose versions differ."""
     now = current.select("tool", F.col("version").alias("current_version"))
     return (
-        recorded.join(now, "tool").filter(F.col("version") != F.col("current_version"))
+        lookup_join(recorded, now, ["tool"]).filter(F.col("version") != F.col("current_version"))
         .select(
             "scan_id", "tool", "version", "current_version",
             F.format_string(
@@ -52,7 +53,7 @@ def environment_validity(recorded: DataFrame, current: DataFrame) -> DataFrame:
     """Per scan: tools compared, mismatches, and whether the environment still matches."""
     now = current.select("tool", F.col("version").alias("current_version"))
     return (
-        recorded.join(now, "tool", "left").groupBy("scan_id").agg(
+        lookup_join(recorded, now, ["tool"], "left").groupBy("scan_id").agg(
             F.count("current_version").alias("compared"),
             F.count_if(F.col("version") != F.col("current_version")).alias("mismatches"),
         )
@@ -69,7 +70,7 @@ def outdated_tools(installed: DataFrame, latest: DataFrame, force: bool = False)
         "tool", versions.version_of_tag(F.col("tag")).alias("latest_version")
     )
     contained = F.coalesce(F.contains("version", "latest_version"), F.lit(False))
-    return installed.join(released, "tool").select(
+    return lookup_join(installed, released, ["tool"]).select(
         "scan_id", "tool", "version", "latest_version",
         (F.lit(force) | ~contained).alias("needs_update"),
         F.col("version").eqNullSafe(F.col("latest_version")).alias("exact_match"),
@@ -126,7 +127,7 @@ def corpus_staleness(markers: DataFrame, latest: DataFrame) -> DataFrame:
         versions.short_commit(F.col(c)) for c in ("local_commit", "latest_commit")
     )
     current = F.col("local_commit").eqNullSafe(F.col("latest_commit"))
-    return markers.join(newest, "repo", "left").select(
+    return lookup_join(markers, newest, ["repo"], "left").select(
         "scan_id", "repo", (~current).alias("needs_update"),
         F.when(current, F.format_string(CORPUS_CURRENT, local))
         .when(F.col("local_commit").isNotNull(), F.format_string(CORPUS_OUTDATED, local, last))

@@ -1,7 +1,7 @@
 """Membership questions about hosts, and the result cache.
 
-Left sides are de-duplicated or carried through a semi/anti/left join, which adaptive execution
-can split when one key is hot; right sides hold each key once.
+Hosts are unique per scan, so joins on (scan, host) have no hot key. Where a key may repeat on the
+left (many URLs of one host, many requests of one command), ``lookup_join`` takes hot keys out.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from exposure.functions import text
+from exposure.operators.joins import MAX_KEY_ROWS, SAMPLE, lookup_join
 from exposure.schemas import CACHE_TTL_SECONDS
 
 HOST_KEY = ["scan_id", "host"]
@@ -48,19 +49,29 @@ def _answered(probe_lines: DataFrame) -> DataFrame:
     ).dropDuplicates()
 
 
-def _by_answer(hosts: DataFrame, probe_lines: DataFrame, how: str) -> DataFrame:
+def _by_answer(
+    hosts: DataFrame, probe_lines: DataFrame, how: str, max_key_rows: int, sample: float
+) -> DataFrame:
     keyed = hosts.withColumn("_host_key", text.host_key(F.col("host")))
-    return keyed.join(_answered(probe_lines), ["scan_id", "_host_key"], how).select(*hosts.columns)
+    return lookup_join(
+        keyed, _answered(probe_lines), ["scan_id", "_host_key"], how, max_key_rows, sample
+    ).select(*hosts.columns)
 
 
-def alive_hosts(hosts: DataFrame, probe_lines: DataFrame) -> DataFrame:
+def alive_hosts(
+    hosts: DataFrame, probe_lines: DataFrame,
+    max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE,
+) -> DataFrame:
     """Hosts with at least one probe line."""
-    return _by_answer(hosts, probe_lines, "left_semi")
+    return _by_answer(hosts, probe_lines, "left_semi", max_key_rows, sample)
 
 
-def dead_hosts(hosts: DataFrame, probe_lines: DataFrame) -> DataFrame:
+def dead_hosts(
+    hosts: DataFrame, probe_lines: DataFrame,
+    max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE,
+) -> DataFrame:
     """Hosts without any probe line."""
-    return _by_answer(hosts, probe_lines, "left_anti")
+    return _by_answer(hosts, probe_lines, "left_anti", max_key_rows, sample)
 
 
 def cache_key(argv: Column) -> Column:
@@ -81,13 +92,10 @@ def cache_lookup(
     hit = F.coalesce(
         F.lit(use_cache) & fresh & (F.length("_last.result") > 0), F.lit(False)
     )
-    return (
-        requests.withColumn("cache_key", cache_key(F.col("argv")))
-        .join(latest, "cache_key", "left")
-        .select(
-            *requests.columns, "cache_key", hit.alias("is_hit"),
-            F.when(hit, F.col("_last.result")).alias("result"),
-        )
+    keyed = requests.withColumn("cache_key", cache_key(F.col("argv")))
+    return lookup_join(keyed, latest, ["cache_key"], "left").select(
+        *requests.columns, "cache_key", hit.alias("is_hit"),
+        F.when(hit, F.col("_last.result")).alias("result"),
     )
 
 

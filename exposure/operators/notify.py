@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from exposure.operators.findings import top_rows
+from exposure.operators.joins import lookup_join
 from exposure.operators.ordered import MAX_GROUP_ROWS, ROW_NUMBER, running
 from exposure.schemas import EMBED_COLOR, MESSAGE_ITEMS
 
@@ -119,8 +120,7 @@ def result_messages(
         .agg(F.sort_array(F.collect_list(F.struct("_row", "line"))).alias("_lines"))
         .select("scan_id", "part", F.array_join("_lines.line", "\n").alias("_text"))
     )
-    # Scans are matched from the side that may hold many parts of one scan, which can be split.
-    filled = parts.join(domains, "scan_id").select(
+    filled = lookup_join(parts, domains, ["scan_id"]).select(
         "scan_id", "part", F.lit(title).alias("title"),
         F.format_string(template, F.col("domain"), F.col("_text")).alias("content"),
     )

@@ -9,6 +9,7 @@ from exposure.functions import text
 from exposure.operators.ordered import (
     MAX_GROUP_ROWS, PEAK, PEAK_BEFORE, PREVIOUS, ROW_NUMBER, SUM, running,
 )
+from exposure.operators.joins import lookup_join
 from exposure.schemas import MEMORY_THRESHOLD_MB, MEMORY_WARNING_RATIO
 
 LOG_ORDER = ["ts", "seq"]
@@ -48,7 +49,7 @@ def batch_progress(
     def percent(finished: Column) -> Column:
         return (finished / F.col("total_batches") * 100).cast("int")
 
-    return done.join(totals, "scan_id").withColumns({
+    return lookup_join(done, totals, ["scan_id"]).withColumns({
         "progress_before": percent(F.col("batch_id")),
         "progress_after": percent(F.col("batch_id") + 1),
     })

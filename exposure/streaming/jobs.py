@@ -1,8 +1,10 @@
 """Streams that keep host stores, phase state and status transitions up to date.
 
-Each micro-batch writes its own ``load=<name>-<batch>`` folder in overwrite mode and reads only
+Each micro-batch writes its own ``load=<query>-<batch>`` folder in overwrite mode and reads only
 the others. A batch that is repeated after a failure therefore replaces what its first attempt
-wrote, and a stopped query continues from its checkpoint without repeating finished batches.
+wrote, and a stopped query continues from its checkpoint without repeating finished batches. The
+query part of the name is the identity Spark keeps in the checkpoint, so that a query with a new
+checkpoint can never replace the loads of an older one.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ from exposure.sources.writers import ensure_host_folder, stored_hosts_like, writ
 LAST_STATUS = "scan_id bigint, seq bigint, ts timestamp_ntz, status string"
 
 
-def _load_name(name: str, batch_id: int) -> str:
-    return f"{name}-{batch_id:012d}"
+def _load_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    metadata = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()
+    return f"{metadata['id']}-{batch_id:012d}"
 
 
 def _start(
@@ -45,14 +48,13 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def stream_new_hosts(
-    hosts: DataFrame, store: str, checkpoint: str, name: str = "hosts",
-    trigger: dict | None = None,
+    hosts: DataFrame, store: str, checkpoint: str, trigger: dict | None = None,
 ) -> StreamingQuery:
     """Add hosts (scan_id, host) that the store at ``store`` does not hold yet."""
     ensure_host_folder(hosts.sparkSession, store)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        load = _load_name(name, batch_id)
+        load = _load_name(batch.sparkSession, checkpoint, batch_id)
         batch = batch.persist()
         stored = stored_hosts_like(batch, store).filter(F.col("load") != load)
         write_host_load(append_new_hosts(stored, batch), store, load)
@@ -67,15 +69,15 @@ def new_hosts_within(hosts: DataFrame, ts: str, delay: str) -> DataFrame:
 
 
 def stream_phase_state(
-    events: DataFrame, state: str, checkpoint: str, name: str = "phases",
-    trigger: dict | None = None,
+    events: DataFrame, state: str, checkpoint: str, trigger: dict | None = None,
 ) -> StreamingQuery:
     """Keep the latest record per scan and phase; read it with ``current_phase_state``."""
     _ensure(events.sparkSession, state, PHASE_STATE)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         latest = latest_phase_status(batch.filter(F.col("phase").isin(*PHASES)))
-        latest.write.mode("overwrite").parquet(f"{state}/load={_load_name(name, batch_id)}")
+        load = _load_name(batch.sparkSession, checkpoint, batch_id)
+        latest.write.mode("overwrite").parquet(f"{state}/load={load}")
 
     return _start(events, handle, checkpoint, trigger)
 
@@ -91,12 +93,12 @@ def compact_phase_state(spark: SparkSession, state: str, target: str) -> None:
 
 
 def stream_status_transitions(
-    log: DataFrame, out: str, checkpoint: str, name: str = "status",
-    trigger: dict | None = None, max_group_rows: int = MAX_GROUP_ROWS,
+    log: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> StreamingQuery:
     """Record status changes; the last status of every scan carries over to later batches.
 
-    Between micro-batches, arrival order counts; within one, (ts, seq).
+    A batch's rows follow all earlier batches; within the batch, (ts, seq) counts.
     """
     spark = log.sparkSession
     transitions, carried = f"{out}/transitions", f"{out}/last_status"
@@ -104,16 +106,16 @@ def stream_status_transitions(
     _ensure(spark, carried, LAST_STATUS)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        load = _load_name(name, batch_id)
         session = batch.sparkSession
+        load = _load_name(session, checkpoint, batch_id)
         record = F.struct("seq", "ts", "status")
         polled = (
             batch.filter(F.length("status") > 0).select("scan_id", record.alias("_r")).persist()
         )
         before = (
-            _read(session, carried, LAST_STATUS).filter(F.col("load") < load)
+            _read(session, carried, LAST_STATUS).filter(F.col("load") != load)
             .join(polled.select("scan_id").dropDuplicates(), "scan_id", "left_semi")
-            .groupBy("scan_id").agg(F.max_by(record, "load").alias("_r"))
+            .groupBy("scan_id").agg(F.max_by(record, F.struct("ts", "seq")).alias("_r"))
         )
         rows = (
             before.withColumn("_arrived", F.lit(0))

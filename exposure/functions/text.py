@@ -73,5 +73,10 @@ def one_decimal(value: Column) -> Column:
     return F.round(value.cast("decimal(18,6)"), 1).cast("decimal(18,1)").cast("string")
 
 
+def megabytes(size: Column) -> Column:
+    """Bytes as MB of 1,048,576 bytes."""
+    return size / 1024 / 1024
+
+
 def comma_list(text: Column) -> Column:
     return F.transform(F.split(text, ","), stripped)

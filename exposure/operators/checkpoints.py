@@ -48,14 +48,15 @@ def _position(record: Column) -> Column:
 
 
 def load_checkpoints(documents: DataFrame) -> DataFrame:
-    """Typed view of each document with ``load_status``: loaded, corrupt or no_scan_id.
+    """Typed view of each document with ``load_status``: loaded, missing, corrupt or no_scan_id.
 
-    A broken document gives a row with nulls, never a failure. Other columns are kept.
+    A null or broken document gives a row with nulls, never a failure. Other columns are kept.
     """
     body = body_of(F.col("doc"))
     parsed = documents.select(
         *documents.columns,
-        F.when(body.isNull(), "corrupt")
+        F.when(F.col("doc").isNull(), "missing")
+        .when(body.isNull(), "corrupt")
         .when(~has_key(body, "scan_id"), "no_scan_id")
         .otherwise("loaded").alias("load_status"),
         F.from_json("doc", CHECKPOINT_DOCUMENT).alias("_d"),
@@ -313,8 +314,12 @@ def init_checkpoints(scans: DataFrame) -> DataFrame:
 
 def upsert_checkpoints(current: DataFrame, updates: DataFrame) -> DataFrame:
     """The last written document per scan; rows are (scan_id, ts, seq, doc)."""
+    return latest_documents(current.unionByName(updates))
+
+
+def latest_documents(written: DataFrame) -> DataFrame:
     return (
-        current.unionByName(updates).groupBy("scan_id")
+        written.groupBy("scan_id")
         .agg(F.max_by(F.struct("ts", "seq", "doc"), F.struct("ts", "seq")).alias("_last"))
         .select("scan_id", "_last.*")
     )

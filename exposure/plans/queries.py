@@ -266,6 +266,23 @@ def cache_misses(spark, sf_dir):
     ).select("cache_key")
 
 
+@query(["cache_requests", "result_cache"], f"""
+select scan_id, true as is_hit, case when is_hit then result else 'run ' || cache_key end as result
+from ({_CACHE_SQL})
+""")
+def cache_refresh(spark, sf_dir):
+    """Store a new result for every miss, then look everything up again."""
+    requests, cache = _requests(spark, sf_dir), frame(spark, sf_dir, "result_cache")
+    run_again = inventory.cache_misses(requests, cache, as_of()).select(
+        "argv", F.lit(0).cast("bigint").alias("seq"),
+        F.concat(F.lit("run "), "cache_key").alias("result"),
+    )
+    refreshed = cache.unionByName(inventory.cache_entries(run_again, as_of()))
+    return inventory.cache_lookup(requests, refreshed, as_of()).select(
+        "scan_id", "is_hit", "result"
+    )
+
+
 # --- findings --------------------------------------------------------------------------------
 
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,6 +316,20 @@ def filter_severity(spark, sf_dir):
     )
 
 
+@query(["findings"], f"""
+select scan_id, seq, severity from (select scan_id, seq, {SEVERITY_SQL} as severity from findings)
+where severity in ('critical', 'high', 'medium')
+""")
+def filter_severity_stored(spark, sf_dir):
+    """The same request on findings that were stored by severity: other levels are not read."""
+    path = shared_dir(spark, "tagged")
+    writers.write_tagged_findings(tagged(spark, sf_dir), path)
+    stored = spark.read.parquet(path)
+    return findings.filter_severity(stored, list(DEFAULT_SEVERITIES)).select(
+        "scan_id", "seq", "severity"
+    )
+
+
 def _severity_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame(spark, sf_dir, "severity_requests").select(
         "scan_id", text.comma_list(F.col("wanted")).alias("severities")
@@ -436,6 +467,17 @@ def rebuild_empty_results(spark, sf_dir):
     ).drop("ts")
 
 
+@query(["findings"], "select scan_id, line from findings")
+def write_findings(spark, sf_dir):
+    """Write the readable results, then add the rebuilt ones to the scans that had none."""
+    path = shared_dir(spark, "findings")
+    written, reported = _written(spark, sf_dir), _reported(spark, sf_dir)
+    writers.write_findings(written, path)
+    writers.write_findings(findings.rebuild_empty_results(
+        reported, written, frame(spark, sf_dir, "findings")), path)
+    return readers.read_lines(spark, path).select(F.col("scan_id").cast("bigint"), "line")
+
+
 @query(["hosts_raw", "probe_raw", "findings"], f"""
 select scan_id, cast(sum(hosts) as bigint) as hosts, cast(sum(alive) as bigint) as alive,
   cast(sum(findings) as bigint) as findings
@@ -521,6 +563,16 @@ def status_transitions_hot(spark, sf_dir):
     ).drop("ts")
 
 
+@query(["status_log"], f"""
+select scan_id, count(*) as transitions from ({_status_transitions_sql("status_log")})
+group by scan_id
+""")
+def transition_counts(spark, sf_dir):
+    return jobs.transition_counts(
+        progress.status_transitions(frame(spark, sf_dir, "status_log"))
+    )
+
+
 def _progress_increments_sql(relation: str) -> str:
     return f"""
 select scan_id, seq, results_count, greatest(results_count - greatest(coalesce(
@@ -802,6 +854,17 @@ def pending_phases(spark, sf_dir):
     return checkpoints.pending_phases(loaded(spark, sf_dir))
 
 
+@query(["checkpoint_docs"], f"""
+, parsed as ({PARSED_DOCS_SQL}), phase_rows as ({_PHASE_ROWS_SQL})
+select scan_id, phase, r->>'$.status' as status,
+  cast(r->>'$.progress_percentage' as integer) as progress_percentage,
+  cast(r->>'$.results_count' as bigint) as results_count
+from phase_rows where phase = 'alive_check'
+""")
+def phase_record(spark, sf_dir):
+    return checkpoints.phase_record(loaded(spark, sf_dir), "alive_check").drop("checkpoint")
+
+
 @query(["new_scans"], """
 select scan_id, '{"scan_id":"' || domain || '-1706659200-'
   || substr(md5(domain || '-1706659200'), 1, 8) || '","domain":"' || domain
@@ -1144,6 +1207,16 @@ def stream_phase_state(spark, sf_dir):
     return jobs.current_phase_state(spark, state)
 
 
+@query(["document_updates"], """
+select scan_id, max(seq) as seq, arg_max(doc, seq) as doc from document_updates group by scan_id
+""")
+def stream_checkpoints(spark, sf_dir):
+    stream = _as_stream(spark, frame(spark, sf_dir, "document_updates"), "ts", _days(11, 21))
+    state = shared_dir(spark, "documents")
+    jobs.stream_checkpoints(stream, state, shared_dir(spark, "progress")).awaitTermination()
+    return jobs.current_checkpoints(spark, state).drop("ts")
+
+
 @query(["status_log"], _status_transitions_sql("status_log"))
 def stream_status_transitions(spark, sf_dir):
     stream = _as_stream(spark, frame(spark, sf_dir, "status_log"), "ts", _days(11, 21))

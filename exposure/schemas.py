@@ -44,6 +44,10 @@ PHASE_STATE = (
     "results_count bigint, ts timestamp_ntz, seq bigint"
 )
 
+DOCUMENT_STATE = "scan_id bigint, ts timestamp_ntz, seq bigint, doc string"
+
+LAST_STATUS = "scan_id bigint, seq bigint, ts timestamp_ntz, status string"
+
 TRANSITIONS = (
     "scan_id bigint, seq bigint, ts timestamp_ntz, previous_status string, status string"
 )

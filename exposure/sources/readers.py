@@ -69,6 +69,23 @@ def load_scan_state(documents: DataFrame) -> DataFrame:
     )
 
 
+def read_cache(spark: SparkSession, path: str) -> DataFrame:
+    """Cached results, one JSON file per key: (cache_key, ts, seq, result).
+
+    An entry without a time counts as written in 1970, so it is stale.
+    """
+    return (
+        spark.read.schema("timestamp double, result string")
+        .option("pathGlobFilter", "*.json").json(path)
+        .select(
+            F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1).alias("cache_key"),
+            F.timestamp_seconds(F.coalesce("timestamp", F.lit(0.0))).cast("timestamp_ntz")
+            .alias("ts"),
+            F.lit(0).cast("bigint").alias("seq"), "result",
+        )
+    )
+
+
 def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Path, length and modification time; file contents are not read."""
     return (

@@ -146,6 +146,11 @@ def write_host_load(fresh: DataFrame, path: str, load: str) -> None:
     )
 
 
+def compact_host_folder(spark: SparkSession, path: str, target: str) -> None:
+    """The whole store as one load of a new folder."""
+    write_host_load(read_host_folder(spark, path), target, "compacted")
+
+
 def export_hosts(stored: DataFrame, path: str) -> None:
     """A plain copy of the store, one folder of text parts per scan."""
     stored.select("scan_id", "host").write.partitionBy("scan_id").mode("overwrite").text(path)

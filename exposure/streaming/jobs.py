@@ -5,6 +5,9 @@ the others. A batch that is repeated after a failure therefore replaces what its
 wrote, and a stopped query continues from its checkpoint without repeating finished batches. The
 query part of the name is the identity Spark keeps in the checkpoint, so that a query with a new
 checkpoint can never replace the loads of an older one.
+
+Loads pile up. A ``compact_*`` job, run while the stream is stopped, writes the current state into
+a new folder, with which the stream then continues from the same checkpoint.
 """
 
 from __future__ import annotations
@@ -15,15 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from exposure.operators.checkpoints import latest_documents
 from exposure.operators.inventory import append_new_hosts
 from exposure.operators.ordered import MAX_GROUP_ROWS
 from exposure.operators.progress import latest_phase_status, status_transitions
-from exposure.schemas import PHASE_STATE, PHASES, TRANSITIONS
+from exposure.schemas import DOCUMENT_STATE, LAST_STATUS, PHASE_STATE, PHASES, TRANSITIONS
 from exposure.sources.writers import ensure_host_folder, stored_hosts_like, write_host_load
 
-LAST_STATUS = "scan_id bigint, seq bigint, ts timestamp_ntz, status string"
-
-
 def _load_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
     metadata = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()
     return f"{metadata['id']}-{batch_id:012d}"
@@ -87,8 +88,28 @@ def current_phase_state(spark: SparkSession, state: str) -> DataFrame:
     return latest_phase_status(_read(spark, state, PHASE_STATE))
 
 
+def stream_checkpoints(
+    updates: DataFrame, state: str, checkpoint: str, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep the last written document per scan; updates are (scan_id, ts, seq, doc)."""
+    _ensure(updates.sparkSession, state, DOCUMENT_STATE)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        load = _load_name(batch.sparkSession, checkpoint, batch_id)
+        latest_documents(batch).write.mode("overwrite").parquet(f"{state}/load={load}")
+
+    return _start(updates, handle, checkpoint, trigger)
+
+
+def current_checkpoints(spark: SparkSession, state: str) -> DataFrame:
+    return latest_documents(_read(spark, state, DOCUMENT_STATE))
+
+
+def compact_checkpoints(spark: SparkSession, state: str, target: str) -> None:
+    current_checkpoints(spark, state).write.mode("overwrite").parquet(f"{target}/load=compacted")
+
+
 def compact_phase_state(spark: SparkSession, state: str, target: str) -> None:
-    """Write the current state as the first load of a new folder."""
     current_phase_state(spark, state).write.mode("overwrite").parquet(f"{target}/load=compacted")
 
 
@@ -139,6 +160,19 @@ def stream_status_transitions(
     return _start(log, handle, checkpoint, trigger)
 
 
+def compact_transitions(spark: SparkSession, out: str, target: str) -> None:
+    """All recorded transitions, and one last status per scan."""
+    recorded_transitions(spark, out).write.mode("overwrite").parquet(
+        f"{target}/transitions/load=compacted"
+    )
+    record = F.struct("seq", "ts", "status")
+    (
+        _read(spark, f"{out}/last_status", LAST_STATUS).groupBy("scan_id")
+        .agg(F.max_by(record, F.struct("ts", "seq")).alias("_r")).select("scan_id", "_r.*")
+        .write.mode("overwrite").parquet(f"{target}/last_status/load=compacted")
+    )
+
+
 def recorded_transitions(spark: SparkSession, out: str) -> DataFrame:
     return _read(spark, f"{out}/transitions", TRANSITIONS).drop("load")
 

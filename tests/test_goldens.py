@@ -75,6 +75,11 @@ def test_labels(spark):
     assert values(spark, ["in_progress", "failed"], text.title_status) == ["In_Progress", "Failed"]
 
 
+def test_sizes_in_megabytes(spark):
+    sizes = values(spark, ["1572864"], lambda c: text.megabytes(c.cast("bigint")))
+    assert sizes == [1.5]
+
+
 def test_scan_identity(spark):
     import hashlib
     expected = "d.com-1706659200-" + hashlib.md5(b"d.com-1706659200").hexdigest()[:8]
@@ -301,9 +306,11 @@ def test_position_is_read_at_both_depths(spark):
 def test_load_status(spark):
     loaded = checkpoints.load_checkpoints(
         docs(spark, FULL, '{"scan_id": "broken', without(FULL, "scan_id"), "[1]")
+        .unionByName(spark.createDataFrame(
+            [(9, None, "d.com")], "scan_id bigint, doc string, expected_domain string"))
     )
     assert [r["load_status"] for r in loaded.orderBy("scan_id").collect()] == [
-        "loaded", "corrupt", "no_scan_id", "corrupt",
+        "loaded", "corrupt", "no_scan_id", "corrupt", "missing",
     ]
 
 

@@ -84,6 +84,15 @@ def test_documents_are_read_whole_and_broken_ones_survive(spark, tmp_path):
     assert rows == {1: ("loaded", "paused"), 2: ("corrupt", None)}
 
 
+def test_cache_files(spark, tmp_path):
+    put(str(tmp_path / "abc.json"), '{"timestamp": 1706659100.5, "result": "x\\ny"}')
+    put(str(tmp_path / "old.json"), '{"result": "z"}')
+    rows = {r["cache_key"]: r for r in readers.read_cache(spark, str(tmp_path)).collect()}
+    assert rows["abc"]["result"] == "x\ny"
+    assert str(rows["abc"]["ts"]) == "2024-01-30 23:58:20.500000"
+    assert rows["old"]["ts"].year == 1970
+
+
 def test_corpus_and_inventory(spark, tmp_path):
     put(str(tmp_path / "a" / "one.yaml"), "x" * 5_000)
     put(str(tmp_path / "b" / "c" / "two.yaml"), "y")
@@ -145,6 +154,8 @@ def test_host_folder_loads(spark, tmp_path):
     assert writers.read_host_folder(spark, store).count() == 3
     writers.export_hosts(writers.read_host_folder(spark, store), str(tmp_path / "copy"))
     assert sorted(parts(tmp_path / "copy", 1)) == ["a", "c"]
+    writers.compact_host_folder(spark, store, str(tmp_path / "compact"))
+    assert writers.read_host_folder(spark, str(tmp_path / "compact")).count() == 3
     writers.clear_host_folder(spark, store)
     assert writers.read_host_folder(spark, store).count() == 0
 

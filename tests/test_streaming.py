@@ -126,6 +126,30 @@ def test_transitions_carry_the_last_status_over_batches(spark, tmp_path):
     counts = jobs.transition_counts(found).collect()
     assert {r["scan_id"]: r["transitions"] for r in counts} == {1: 4, 2: 4}
 
+    # after compaction the stream goes on in the new folder, from the same checkpoint
+    compact = str(tmp_path / "compact")
+    jobs.compact_transitions(spark, out, compact)
+    feed(spark, str(tmp_path / "in"), [
+        (1, 90, T0 + datetime.timedelta(hours=1), "c"), (2, 91, T0 + datetime.timedelta(hours=1), "d"),
+    ], LOG)
+    finish(jobs.stream_status_transitions(stream, compact, str(tmp_path / "p")))
+    added = jobs.recorded_transitions(spark, compact).filter("seq >= 90").select(columns).collect()
+    assert [tuple(r) for r in added] == [(2, 91, "c", "d")]
+    assert jobs.recorded_transitions(spark, compact).count() == 9
+
+
+def test_documents_keep_the_last_write(spark, tmp_path):
+    schema = "scan_id bigint, ts timestamp_ntz, seq bigint, doc string"
+    for seq, doc in ((1, "a"), (3, "c"), (2, "b")):
+        feed(spark, str(tmp_path / "in"), [(1, T0, seq, doc), (seq, T0, seq, doc)], schema)
+    state = str(tmp_path / "state")
+    finish(jobs.stream_checkpoints(source(spark, str(tmp_path / "in"), schema), state, str(tmp_path / "p")))
+    expected = [(1, "c"), (2, "b"), (3, "c")]
+    jobs.compact_checkpoints(spark, state, str(tmp_path / "compact"))
+    for folder in (state, str(tmp_path / "compact")):
+        rows = jobs.current_checkpoints(spark, folder).select("scan_id", "doc").collect()
+        assert sorted(map(tuple, rows)) == expected
+
 
 def test_hot_scan_in_a_stream(spark, tmp_path):
     rows = [

@@ -13,9 +13,11 @@ from exposure.schemas import SEVERITIES
 def severity_of(line: Column) -> Column:
     """The highest severity whose ``[tag]`` occurs anywhere in the line, in any letter case."""
     lowered = F.lower(line)
-    return F.coalesce(
-        *[F.when(lowered.contains(f"[{name}]"), F.lit(name)) for name in SEVERITIES]
-    )
+    first, *others = SEVERITIES
+    tag = F.when(lowered.contains(f"[{first}]"), first)
+    for name in others:
+        tag = tag.when(lowered.contains(f"[{name}]"), name)
+    return tag
 
 
 def severity_rank(severity: Column) -> Column:

@@ -11,17 +11,25 @@ from exposure.schemas import ANSI_PATTERN
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
-# Each of these uses its input once, so that stacking them does not multiply work.
-
 def stripped(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def not_blank(text: Column) -> Column:
-    """Settled by the first character that is no white space."""
+def has_text(text: Column) -> Column:
+    """Any character that is no white space."""
     return text.rlike(f"[^{WHITESPACE}]")
 
 
+def not_blank(text: Column) -> Column:
+    """``has_text`` for columns read from files: a comparison of bytes settles almost every line.
+
+    Blanks aside, a line that starts with a printable ASCII character is not blank. The input is
+    used more than once, so do not stack this on an expensive expression.
+    """
+    start = F.ltrim(text)
+    return ((start >= "!") & (start < "\x7f")) | has_text(text)
+
+
 def without_ansi(text: Column) -> Column:
     """Drop terminal escape sequences."""
     return F.regexp_replace(text, ANSI_PATTERN, "")

@@ -366,71 +366,72 @@ def split_phase_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     return events.filter(known), events.filter(~F.coalesce(known, F.lit(False)))
 
 
-def apply_phase_events(base: DataFrame, events: DataFrame) -> DataFrame:
-    """Fold phase updates into ``base`` (scan_id, phases, last_update).
+def _last_per_phase(events: DataFrame, record: Column) -> DataFrame:
+    """Per scan: the last accepted record of every phase (``_new``) and the last time (``_ts``).
 
-    Only the last update of each scan and phase counts. Other phases, and a phase's saved
-    position, stay.
+    One aggregation by scan, combined before its only shuffle.
     """
     accepted, _ = split_phase_events(events)
-    latest = (
-        accepted.groupBy("scan_id", "phase").agg(
-            F.max_by(
-                F.struct(
-                    F.col("status"), F.col("progress").alias("progress_percentage"),
-                    F.col("results_count"),
-                ),
-                F.struct("ts", "seq"),
-            ).alias("record"),
-            F.max("ts").alias("ts"),
-        )
-        .groupBy("scan_id").agg(
-            F.map_from_entries(F.collect_list(F.struct("phase", "record"))).alias("_new"),
+    written = F.struct("ts", "seq")
+    return (
+        accepted.groupBy("scan_id").agg(
+            *[
+                F.max_by(record, F.when(F.col("phase") == phase, written)).alias(f"_{phase}")
+                for phase in PHASES
+            ],
             F.max("ts").alias("_ts"),
         )
+        .select(
+            "scan_id", "_ts",
+            F.create_map(*[
+                part for phase in PHASES for part in (F.lit(phase), F.col(f"_{phase}"))
+            ]).alias("_new"),
+        )
     )
-    # A phase the document does not hold is not added by an update.
-    merged = F.transform_values(
-        "phases",
-        lambda phase, old: F.coalesce(
-            F.when(
-                F.map_contains_key("_new", phase),
-                F.struct(*[
-                    F.element_at("_new", phase)[name].alias(name)
-                    for name in REQUIRED_PHASE_FIELDS
-                ], old["checkpoint"].alias("checkpoint")),
-            ),
-            old,
-        ),
-    )
-    return base.join(latest, "scan_id", "left").withColumns({
-        "phases": F.when(F.col("_new").isNull(), F.col("phases")).otherwise(merged),
+
+
+def _stamped(base: DataFrame, phases: Column) -> DataFrame:
+    """Changed phases and time where there was an update; everything else stays."""
+    return base.withColumns({
+        "phases": F.when(F.col("_new").isNull(), F.col("phases")).otherwise(phases),
         "last_update": F.coalesce(F.greatest("last_update", "_ts"), "last_update"),
     }).drop("_new", "_ts")
 
 
+def apply_phase_events(base: DataFrame, events: DataFrame) -> DataFrame:
+    """Fold phase updates into ``base`` (scan_id, phases, last_update).
+
+    Only the last update of each scan and phase counts. A phase's saved position stays, and a
+    phase the document does not hold is not added.
+    """
+    record = F.struct(
+        F.col("status"), F.col("progress").alias("progress_percentage"), F.col("results_count")
+    )
+
+    def updated(phase: Column, old: Column) -> Column:
+        new = F.try_element_at("_new", phase)
+        return F.when(
+            new.isNotNull(),
+            F.struct(
+                *[new[name].alias(name) for name in REQUIRED_PHASE_FIELDS],
+                old["checkpoint"].alias("checkpoint"),
+            ),
+        ).otherwise(old)
+
+    joined = base.join(_last_per_phase(events, record), "scan_id", "left")
+    return _stamped(joined, F.transform_values("phases", updated))
+
+
 def apply_position_events(base: DataFrame, events: DataFrame) -> DataFrame:
     """Fold saved positions (scan_id, seq, ts, phase, batch_index, batch_size, progress)."""
-    accepted, _ = split_phase_events(events)
     position = F.struct("batch_index", "batch_size", "progress")
-    latest = (
-        accepted.groupBy("scan_id", "phase")
-        .agg(F.max_by(position, F.struct("ts", "seq")).alias("position"), F.max("ts").alias("ts"))
-        .groupBy("scan_id").agg(
-            F.map_from_entries(F.collect_list(F.struct("phase", "position"))).alias("_new"),
-            F.max("ts").alias("_ts"),
-        )
-    )
-    merged = F.transform_values(
+    joined = base.join(_last_per_phase(events, position), "scan_id", "left")
+    return _stamped(joined, F.transform_values(
         "phases",
         lambda phase, old: old.withField(
             "checkpoint", F.coalesce(F.try_element_at("_new", phase), old["checkpoint"])
         ),
-    )
-    return base.join(latest, "scan_id", "left").withColumns({
-        "phases": F.when(F.col("_new").isNull(), F.col("phases")).otherwise(merged),
-        "last_update": F.coalesce(F.greatest("last_update", "_ts"), "last_update"),
-    }).drop("_new", "_ts")
+    ))
 
 
 def apply_statistic_events(base: DataFrame, events: DataFrame) -> DataFrame:

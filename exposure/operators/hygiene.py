@@ -20,7 +20,7 @@ def load_hosts(lines: DataFrame) -> DataFrame:
 def load_probe_lines(lines: DataFrame) -> DataFrame:
     """Remove terminal colours, trim, drop blanks; duplicates stay."""
     plain = text.without_ansi(F.col("line"))
-    return lines.filter(text.not_blank(plain)).withColumn("line", text.stripped(plain))
+    return lines.filter(text.has_text(plain)).withColumn("line", text.stripped(plain))
 
 
 def load_findings(lines: DataFrame) -> DataFrame:

@@ -233,6 +233,17 @@ def dead_hosts(spark, sf_dir):
     return inventory.dead_hosts(hosts(spark, sf_dir), probe_lines(spark, sf_dir))
 
 
+@query(["hosts_raw", "probe_raw"], f"""
+select scan_id, host from (select *, {host_key_sql('host')} as k from {skewed_sql(f"({HOSTS_SQL})")})
+anti join (select * from {skewed_sql(f"({_ANSWERED_SQL})")}) using (scan_id, k)
+""")
+def dead_hosts_hot(spark, sf_dir):
+    return inventory.dead_hosts(
+        skewed(hosts(spark, sf_dir)), skewed(probe_lines(spark, sf_dir)),
+        max_key_rows=1, sample=1.0,
+    )
+
+
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame(spark, sf_dir, "cache_requests").select(
         "scan_id", F.array(F.lit("enumerate"), F.lit("-d"), F.col("host")).alias("argv")
@@ -351,6 +362,18 @@ def filter_severity_requests(spark, sf_dir):
     ).select("scan_id", "seq", "severity")
 
 
+@query(["findings", "severity_requests"], f"""
+select scan_id, seq, severity
+from (select scan_id, seq, {SEVERITY_SQL} as severity from {skewed_sql("findings")})
+left join severity_requests using (scan_id)
+where wanted is null or list_contains({_WANTED_SQL}, severity)
+""")
+def filter_severity_requests_hot(spark, sf_dir):
+    return findings.filter_severity_requests(
+        skewed(tagged(spark, sf_dir)), _severity_requests(spark, sf_dir), HOT_LOG_ROWS, 1.0
+    ).select("scan_id", "seq", "severity")
+
+
 @query(["severity_requests"], f"""
 select scan_id, case when wanted is null then null else len(list_filter({_WANTED_SQL},
   lambda x: x not in ('critical', 'high', 'medium', 'low', 'info'))) = 0 end as is_valid
@@ -916,6 +939,15 @@ def expired_snapshots(spark, sf_dir):
     )
 
 
+@query(["files"], f"""
+select scan_id, path, mtime_s from (select *, row_number() over (partition by scan_id
+  order by mtime_s desc, path) as n from {skewed_sql("files")}) where n > 5
+""")
+def expired_snapshots_hot(spark, sf_dir):
+    files = skewed(frame(spark, sf_dir, "files").select("scan_id", "path", "mtime_s"))
+    return checkpoints.expired_snapshots(files, max_key_rows=HOT_HOSTS // 2, sample=1.0)
+
+
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded(spark, sf_dir).select(
         "scan_id", "phases", "statistics", "status",

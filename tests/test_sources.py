@@ -182,7 +182,7 @@ def test_text_against_python(spark):
     import random
     import re
     rng = random.Random(3)
-    alphabet = list("aZ09-._/:@?#[]\x1b m;\t \x1c\n")
+    alphabet = list("aZ09-._/:@?#[]!~é\x1b\x7f\x01 m;\t \x1c\n\xa0\u2003")
     made = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(12))) for _ in range(3_000)]
     made += [f"http{s}://{a}" for s in ("", "s") for a in made[:300]]
     ansi = re.compile(r"\x1B(?:[@-Z\\-_]|\[[0-?]*[ -/]*[@-~])")
@@ -191,13 +191,13 @@ def test_text_against_python(spark):
     rows = spark.createDataFrame(list(enumerate(made)), "i int, t string").select(
         "i", text.stripped(F.col("t")).alias("s"), text.without_ansi(F.col("t")).alias("a"),
         text.authority(F.col("t")).alias("h"), text.valid_host(F.col("t")).alias("v"),
-        text.not_blank(F.col("t")).alias("b"),
+        text.not_blank(F.col("t")).alias("b"), text.has_text(F.col("t")).alias("b2"),
     ).orderBy("i").collect()
     for line, row in zip(made, rows):
         found = re.match(r"https?://([^/?#]*)", line)
         host = found.group(1) if found else line
         assert row["s"] == line.strip()
-        assert row["b"] == bool(line.strip())
+        assert row["b"] == row["b2"] == bool(line.strip())
         assert row["a"] == ansi.sub("", line)
         assert row["h"] == host
         assert row["v"] == bool(label.fullmatch(host))

@@ -98,7 +98,7 @@ def consolidate_findings(
     """
     return lookup_join(
         hygiene.load_findings(file_lines), _kept_files(records, inventory), ["path"], "inner",
-        max_key_rows, sample,
+        max_key_rows, sample, measured=file_lines,
     ).select("scan_id", "batch_id", "path", "seq", "line")
 
 
@@ -154,7 +154,7 @@ def rebuild_empty_results(
     flagged = reconcile_findings(state, results).filter("needs_rebuild").select("scan_id")
     return lookup_join(
         hygiene.load_findings(batch_lines), flagged, ["scan_id"], "left_semi",
-        max_key_rows, sample,
+        max_key_rows, sample, measured=batch_lines,
     )
 
 

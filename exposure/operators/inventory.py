@@ -50,28 +50,35 @@ def _answered(probe_lines: DataFrame) -> DataFrame:
 
 
 def _by_answer(
-    hosts: DataFrame, probe_lines: DataFrame, how: str, max_key_rows: int, sample: float
+    hosts: DataFrame, probe_lines: DataFrame, how: str, measured: DataFrame | None,
+    max_key_rows: int, sample: float,
 ) -> DataFrame:
-    keyed = hosts.withColumn("_host_key", text.host_key(F.col("host")))
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_host_key", text.host_key(F.col("host")))
+
     return lookup_join(
-        keyed, _answered(probe_lines), ["scan_id", "_host_key"], how, max_key_rows, sample
+        keyed(hosts), _answered(probe_lines), ["scan_id", "_host_key"], how, max_key_rows, sample,
+        None if measured is None else keyed(measured),
     ).select(*hosts.columns)
 
 
 def alive_hosts(
-    hosts: DataFrame, probe_lines: DataFrame,
+    hosts: DataFrame, probe_lines: DataFrame, measured: DataFrame | None = None,
     max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE,
 ) -> DataFrame:
-    """Hosts with at least one probe line."""
-    return _by_answer(hosts, probe_lines, "left_semi", max_key_rows, sample)
+    """Hosts with at least one probe line.
+
+    ``measured`` may be the hosts before they were de-duplicated, if that is not stored yet.
+    """
+    return _by_answer(hosts, probe_lines, "left_semi", measured, max_key_rows, sample)
 
 
 def dead_hosts(
-    hosts: DataFrame, probe_lines: DataFrame,
+    hosts: DataFrame, probe_lines: DataFrame, measured: DataFrame | None = None,
     max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE,
 ) -> DataFrame:
     """Hosts without any probe line."""
-    return _by_answer(hosts, probe_lines, "left_anti", max_key_rows, sample)
+    return _by_answer(hosts, probe_lines, "left_anti", measured, max_key_rows, sample)
 
 
 def cache_key(argv: Column) -> Column:

@@ -35,13 +35,14 @@ def hot_keys(
 
 def lookup_join(
     rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner",
-    max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE,
+    max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE, measured: DataFrame | None = None,
 ) -> DataFrame:
     """``rows.join(lookup, keys, how)`` for inner, left, left_semi and left_anti joins.
 
-    ``lookup`` holds each key at most once.
+    ``lookup`` holds each key at most once. Give ``measured`` when ``rows`` is expensive to
+    compute: hot keys are then looked for in that relation, from which ``rows`` is derived.
     """
-    found = hot_keys(rows, keys, max_key_rows, sample)
+    found = hot_keys(rows if measured is None else measured, keys, max_key_rows, sample)
     if found.isEmpty():
         return rows.join(lookup, keys, how)
     # Written once: the two routes must agree on the keys, and a new sample might differ.

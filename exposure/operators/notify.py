@@ -120,7 +120,7 @@ def result_messages(
         .agg(F.sort_array(F.collect_list(F.struct("_row", "line"))).alias("_lines"))
         .select("scan_id", "part", F.array_join("_lines.line", "\n").alias("_text"))
     )
-    filled = lookup_join(parts, domains, ["scan_id"]).select(
+    filled = lookup_join(parts, domains, ["scan_id"], measured=findings).select(
         "scan_id", "part", F.lit(title).alias("title"),
         F.format_string(template, F.col("domain"), F.col("_text")).alias("content"),
     )

@@ -49,7 +49,7 @@ def batch_progress(
     def percent(finished: Column) -> Column:
         return (finished / F.col("total_batches") * 100).cast("int")
 
-    return lookup_join(done, totals, ["scan_id"]).withColumns({
+    return lookup_join(done, totals, ["scan_id"], measured=batches).withColumns({
         "progress_before": percent(F.col("batch_id")),
         "progress_after": percent(F.col("batch_id") + 1),
     })

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from exposure.functions import text
 from exposure.operators import checkpoints, findings, hygiene, inventory
 from exposure.schemas import SEVERITIES
 
@@ -29,7 +30,10 @@ def _stack(parts: list[tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
 def fleet_report(host_lines: DataFrame, probe_lines: DataFrame, finding_lines: DataFrame) -> DataFrame:
     """Hosts, valid hosts, hosts that answered and findings by severity, one row per scan."""
     hosts = hygiene.validate_hosts(hygiene.load_hosts(host_lines))
-    alive = inventory.alive_hosts(hosts, hygiene.load_probe_lines(probe_lines))
+    alive = inventory.alive_hosts(
+        hosts, hygiene.load_probe_lines(probe_lines),
+        measured=host_lines.select("scan_id", text.stripped(F.col("line")).alias("host")),
+    )
     tagged = findings.tag_severity(hygiene.load_findings(finding_lines))
     one = F.count(F.lit(1))
     return _stack([

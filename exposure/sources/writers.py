@@ -52,9 +52,13 @@ def write_sorted_hosts(hosts: DataFrame, path: str, dedupe: bool = True,
 
 
 def write_findings(findings: DataFrame, path: str) -> None:
-    """Consolidated finding lines, one folder per scan; only the given scans are replaced."""
+    """Consolidated finding lines, one folder per scan; only the given scans are replaced.
+
+    The rebalance hint brings each scan's lines into few files and splits large scans.
+    """
     (
-        findings.select("scan_id", "line").write.partitionBy("scan_id")
+        findings.select("scan_id", "line").hint("rebalance", "scan_id")
+        .write.partitionBy("scan_id")
         .option("partitionOverwriteMode", "dynamic").mode("overwrite").text(path)
     )
 
@@ -153,7 +157,10 @@ def compact_host_folder(spark: SparkSession, path: str, target: str) -> None:
 
 def export_hosts(stored: DataFrame, path: str) -> None:
     """A plain copy of the store, one folder of text parts per scan."""
-    stored.select("scan_id", "host").write.partitionBy("scan_id").mode("overwrite").text(path)
+    (
+        stored.select("scan_id", "host").hint("rebalance", "scan_id")
+        .write.partitionBy("scan_id").mode("overwrite").text(path)
+    )
 
 
 def clear_host_folder(spark: SparkSession, path: str) -> None:

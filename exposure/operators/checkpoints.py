@@ -52,14 +52,14 @@ def load_checkpoints(documents: DataFrame) -> DataFrame:
 
     A null or broken document gives a row with nulls, never a failure. Other columns are kept.
     """
-    body = body_of(F.col("doc"))
-    parsed = documents.select(
+    keys = F.col("_keys")  # null unless the text is a JSON object
+    parsed = documents.withColumn("_keys", F.json_object_keys("doc")).select(
         *documents.columns,
         F.when(F.col("doc").isNull(), "missing")
-        .when(body.isNull(), "corrupt")
-        .when(~has_key(body, "scan_id"), "no_scan_id")
+        .when(keys.isNull(), "corrupt")
+        .when(~F.array_contains(keys, "scan_id"), "no_scan_id")
         .otherwise("loaded").alias("load_status"),
-        F.from_json("doc", CHECKPOINT_DOCUMENT).alias("_d"),
+        F.when(keys.isNotNull(), F.from_json("doc", CHECKPOINT_DOCUMENT)).alias("_d"),
     )
     phases = F.transform_values(
         "_d.phases",
@@ -236,9 +236,9 @@ def _with_phases(body: Column, phases: Column) -> Column:
 def repair_checkpoints(documents: DataFrame, as_of: Column) -> DataFrame:
     """Fill missing top-level fields and missing phases; leave everything else untouched.
 
-    ``documents`` also has ``expected_domain``. ``added`` lists what was filled in. A document
-    that is no JSON object, or whose phases are no object, stays as it is with
-    ``is_repaired = false``.
+    ``documents`` also has ``expected_domain``. ``added`` lists what was filled in; where that is
+    nothing, the text is not rewritten. A document that is no JSON object, or whose phases are no
+    object, stays as it is with ``is_repaired = false``.
     """
     opened = documents.withColumn("_body", body_of(F.col("doc"))).withColumn(
         "_missing", _absent(F.col("_body"), REQUIRED_FIELDS)
@@ -258,24 +258,34 @@ def repair_checkpoints(documents: DataFrame, as_of: Column) -> DataFrame:
         lambda _, default, present: F.coalesce(present, default),
     )
     repairable = F.col("_phases").isNotNull()
-    return filled.select(
+    listed = filled.withColumn(
+        "added",
+        F.when(repairable, F.concat("_missing", _absent(F.col("_phases"), PHASES)))
+        .otherwise(F.array().cast("array<string>")),
+    )
+    return listed.select(
         "scan_id", "expected_domain",
-        F.when(repairable, F.to_json(_with_phases(F.col("_filled"), merged)))
+        F.when(F.size("added") > 0, F.to_json(_with_phases(F.col("_filled"), merged)))
         .otherwise(F.col("doc")).alias("doc"),
-        repairable.alias("is_repaired"),
-        F.when(repairable, F.concat("_missing", _absent(F.col("_phases"), PHASES)))
-        .otherwise(F.array().cast("array<string>")).alias("added"),
+        repairable.alias("is_repaired"), "added",
     )
 
 
 def compact_checkpoints(documents: DataFrame) -> DataFrame:
-    """Drop the saved position of completed phases; ``size_kb`` is the size afterwards."""
+    """Drop the saved position of completed phases; ``size_kb`` is the size afterwards.
+
+    Documents without such a position are not rewritten.
+    """
+    def droppable(record: Column) -> Column:
+        return (F.try_variant_get(record, "$.status", "string") == "completed") & (
+            F.try_variant_get(record, "$.checkpoint", "variant").isNotNull()
+        )
+
     def compacted(_, record: Column) -> Column:
-        fields = F.try_variant_get(record, "$", OBJECT)
-        return F.when(
-            text_at(fields, "status") == "completed",
-            F.to_variant_object(F.map_filter(fields, lambda key, _: key != "checkpoint")),
-        ).otherwise(record)
+        others = F.map_filter(
+            F.try_variant_get(record, "$", OBJECT), lambda key, _: key != "checkpoint"
+        )
+        return F.when(droppable(record), F.to_variant_object(others)).otherwise(record)
 
     opened = documents.withColumn("_body", body_of(F.col("doc"))).withColumn(
         "_phases", object_at(F.col("_body"), "phases")
@@ -283,8 +293,9 @@ def compact_checkpoints(documents: DataFrame) -> DataFrame:
     smaller = F.to_json(
         _with_phases(F.col("_body"), F.transform_values("_phases", compacted))
     )
+    needed = F.exists(F.map_values("_phases"), droppable)
     return opened.withColumn(
-        "doc", F.when(F.col("_phases").isNotNull(), smaller).otherwise(F.col("doc"))
+        "doc", F.when(needed, smaller).otherwise(F.col("doc"))
     ).drop("_body", "_phases").withColumn(
         "size_kb", text.one_decimal(F.octet_length("doc") / 1024)
     )

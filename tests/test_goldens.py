@@ -394,6 +394,22 @@ def test_compaction_drops_positions_of_completed_phases_only(spark):
     assert row["size_kb"] == f"{len(row['doc']) / 1024:.1f}"
 
 
+def test_untouched_documents_keep_their_text(spark):
+    texts = [json.dumps(FULL, indent=2), "{", json.dumps({**FULL, "phases": {"x": 1}}, indent=1)]
+    rows = docs(spark, *texts)
+    compacted = checkpoints.compact_checkpoints(rows).orderBy("scan_id").collect()
+    assert [r["doc"] for r in compacted] == texts
+    fixed = checkpoints.repair_checkpoints(rows, now()).orderBy("scan_id").collect()
+    assert [r["doc"] == t for r, t in zip(fixed, texts)] == [True, True, False]
+    assert [r["is_repaired"] for r in fixed] == [True, False, True]
+
+
+def test_null_position_of_a_completed_phase_is_dropped(spark):
+    document = {**FULL, "phases": {"alive_check": {**PHASE, "status": "completed", "checkpoint": None}}}
+    row = checkpoints.compact_checkpoints(docs(spark, document)).first()
+    assert json.loads(row["doc"])["phases"] == {"alive_check": {**PHASE, "status": "completed"}}
+
+
 def test_pending_phases(spark):
     document = {**FULL, "phases": {"subdomain_enumeration": {**PHASE, "status": "completed"}}}
     loaded = checkpoints.load_checkpoints(docs(spark, document))

@@ -60,24 +60,46 @@ def test_severity_partition_is_pruned(spark, sf_dir, tmp_path):
     assert stored.count() == tagged.count()
 
 
-def test_bucketed_store_is_not_shuffled(spark, sf_dir):
+def final_plan(df):
+    df._jdf.queryExecution().toRdd().count()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def test_small_delta_does_not_shuffle_the_store(spark, tmp_path):
+    stored = spark.range(100_000).select(
+        (F.col("id") % 9).alias("scan_id"), F.md5(F.col("id").cast("string")).alias("host")
+    )
+    stored.write.parquet(str(tmp_path / "stored"))
+    store = spark.read.parquet(str(tmp_path / "stored"))
+    delta = store.limit(50).unionByName(
+        spark.createDataFrame([(1, "new"), (1, "new")], "scan_id bigint, host string")
+    )
+    delta.write.parquet(str(tmp_path / "delta"))
+    fresh = inventory.append_new_hosts(store, spark.read.parquet(str(tmp_path / "delta")))
+    text = plan(fresh)
+    semi = text[text.index("LeftSemi"):]
+    assert "BroadcastHashJoin" in text
+    assert "Exchange" not in semi[:semi.index("FileScan")]
+    assert [tuple(r) for r in fresh.collect()] == [(1, "new")]
+
+
+def test_bucketed_store_is_not_shuffled(spark, sf_dir, no_automatic_broadcast):
     hosts = entry_module.queries()["load_hosts"](spark, sf_dir)
     spark.sql("drop table if exists host_store")
     writers.create_host_table(hosts.filter("scan_id < 3"), "host_store", buckets=8)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         fresh = inventory.append_new_hosts(spark.table("host_store"), hosts)
-        text = plan(fresh)
-        assert "LeftAnti" in text
-        stored_side = text[text.index("LeftAnti"):].split("FileScan parquet")[-1]
-        assert "Bucketed: true" in stored_side
-        assert text.count("Exchange hashpartitioning") == 1
+        text = final_plan(fresh)
+        assert "Bucketed: true" in text
+        # one shuffle per use of the delta, none for the store
+        assert text.count(" Exchange hashpartitioning") == 2
+        stored_side = text[text.index("LeftSemi"):text.index("Bucketed: true")]
+        assert "Exchange" not in stored_side
         assert fresh.count() == hosts.filter("scan_id >= 3").count()
         writers.append_host_table(fresh, "host_store", buckets=8)
         assert spark.table("host_store").count() == hosts.count()
         assert inventory.append_new_hosts(spark.table("host_store"), hosts).count() == 0
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("drop table if exists host_store")
 
 

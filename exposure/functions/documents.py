@@ -59,7 +59,21 @@ def scan_identity(domain: Column, moment: Column) -> Column:
     return F.concat_ws("-", stem, F.substring(F.md5(stem), 1, 8))
 
 
+# Zone-less timestamps are read as UTC, whatever the session's time zone is.
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def epoch_seconds(moment: Column) -> Column:
-    """Whole seconds since 1970, reading a zone-less timestamp as UTC in any session zone."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", epoch, moment.cast("timestamp_ntz"))
+    """Whole seconds since 1970."""
+    return F.timestamp_diff("SECOND", _epoch(), moment.cast("timestamp_ntz"))
+
+
+def epoch_micros(moment: Column) -> Column:
+    return F.timestamp_diff("MICROSECOND", _epoch(), moment.cast("timestamp_ntz"))
+
+
+def from_epoch(seconds: Column) -> Column:
+    """Seconds since 1970, with fractions, as a timestamp."""
+    return F.timestamp_add("MICROSECOND", (seconds * 1e6).cast("bigint"), _epoch())

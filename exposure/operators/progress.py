@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from exposure.functions import text
+from exposure.functions.documents import epoch_micros
 from exposure.operators.ordered import (
     MAX_GROUP_ROWS, PEAK, PEAK_BEFORE, PREVIOUS, ROW_NUMBER, SUM, running,
 )
@@ -111,8 +112,7 @@ def memory_documents(
         samples, ["scan_id"], LOG_ORDER, {"_row": (ROW_NUMBER, None)}, max_group_rows
     )
     sample = F.struct(
-        F.col("_row"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("timestamp"),
-        "label", "memory_mb",
+        F.col("_row"), (epoch_micros(F.col("ts")) / 1e6).alias("timestamp"), "label", "memory_mb",
     )
     return (
         numbered.groupBy("scan_id", F.floor((F.col("_row") - 1) / per_document).alias("part"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exposure.functions import text
+from exposure.functions.documents import epoch_micros
 from exposure.operators import (
     checkpoints, findings, fleet, hygiene, inventory, notify, progress,
 )
@@ -82,7 +83,7 @@ PARSED_DOCS_SQL = (
 )
 LATEST_PHASES_SQL = (
     "select scan_id, phase, arg_max(status, seq) as status, arg_max(progress, seq) as progress, "
-    "arg_max(results_count, seq) as results_count, max(ts) as ts, max(seq) as seq "
+    "arg_max(results_count, seq) as results_count, max(seq) as seq "
     "from phase_events group by scan_id, phase"
 )
 
@@ -667,7 +668,7 @@ def memory_documents(spark, sf_dir):
 
 @query(["phase_events"], LATEST_PHASES_SQL)
 def latest_phase_status(spark, sf_dir):
-    return progress.latest_phase_status(frame(spark, sf_dir, "phase_events"))
+    return progress.latest_phase_status(frame(spark, sf_dir, "phase_events")).drop("ts")
 
 
 @query(["scan_starts"], f"""
@@ -680,8 +681,7 @@ from (select *, {AS_OF_EPOCH} - start_time as duration
 """)
 def scan_durations(spark, sf_dir):
     starts = frame(spark, sf_dir, "scan_starts").groupBy("scan_id").agg(F.max("ts").alias("ts"))
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
-    state = starts.select("scan_id", (micros / 1e6).alias("start_time"))
+    state = starts.select("scan_id", (epoch_micros(F.col("ts")) / 1e6).alias("start_time"))
     return progress.scan_durations(state, float(AS_OF_EPOCH))
 
 
@@ -963,7 +963,11 @@ base as (select scan_id, j, cast(j->>'$.last_update' as timestamp) as last_updat
 _SHORT = dict(zip(PHASES, ("enumeration", "alive", "vulnerability")))
 
 
-def _flat_phases(df: DataFrame, field: str) -> list:
+def _last_update_us():
+    return epoch_micros(F.col("last_update")).alias("last_update_us")
+
+
+def _flat_phases(field: str) -> list:
     return [
         F.try_element_at("phases", F.lit(phase))[field].alias(short)
         for phase, short in _SHORT.items()
@@ -972,19 +976,21 @@ def _flat_phases(df: DataFrame, field: str) -> list:
 
 @query(["checkpoint_docs", "phase_events"], f"""
 , {_BASE_SQL},
-known as (select * from ({LATEST_PHASES_SQL}) where phase <> 'unknown_phase')
+known as (select * from ({LATEST_PHASES_SQL})
+  join (select scan_id, phase, max(ts) as ts from phase_events group by scan_id, phase)
+  using (scan_id, phase) where phase <> 'unknown_phase')
 select base.scan_id,
   {", ".join(
       f"case when json_exists(j, '$.phases.{p}') then coalesce(max(case when phase = '{p}' then known.status end), any_value(j->>'$.phases.{p}.status')) end as {s}"
       for p, s in _SHORT.items())},
-  greatest(last_update, case when j is not null then max(ts) else max(ts) end) as last_update
+  epoch_us(greatest(last_update, max(ts))) as last_update_us
 from base left join known using (scan_id) group by base.scan_id, j, last_update
 """)
 def apply_phase_events(spark, sf_dir):
     applied = checkpoints.apply_phase_events(
         _base(spark, sf_dir), frame(spark, sf_dir, "phase_events")
     )
-    return applied.select("scan_id", *_flat_phases(applied, "status"), "last_update")
+    return applied.select("scan_id", *_flat_phases("status"), _last_update_us())
 
 
 @query(["phase_events"], """
@@ -1000,7 +1006,7 @@ def rejected_phase_events(spark, sf_dir):
 , {_BASE_SQL}
 select scan_id, {", ".join(
     f"coalesce(e.{s}, cast(j->>'$.statistics.{s}' as bigint)) as {s}" for s in STATISTICS)},
-  greatest(last_update, ts) as last_update
+  epoch_us(greatest(last_update, ts)) as last_update_us
 from base left join (select scan_id, max(ts) as ts, {", ".join(
     f"arg_max(value, seq) filter (name = '{s}') as {s}" for s in STATISTICS)}
   from statistic_events group by scan_id) e using (scan_id)
@@ -1008,14 +1014,14 @@ from base left join (select scan_id, max(ts) as ts, {", ".join(
 def apply_statistic_events(spark, sf_dir):
     return checkpoints.apply_statistic_events(
         _base(spark, sf_dir), frame(spark, sf_dir, "statistic_events")
-    ).select("scan_id", *[F.col("statistics")[s].alias(s) for s in STATISTICS], "last_update")
+    ).select("scan_id", *[F.col("statistics")[s].alias(s) for s in STATISTICS], _last_update_us())
 
 
 @query(["checkpoint_docs", "field_events"], f"""
 , {_BASE_SQL}
 select scan_id, coalesce(e.status, j->>'$.status') as status,
   coalesce(e.templates_hash, j->>'$.environment.templates_hash') as templates_hash,
-  greatest(last_update, ts) as last_update
+  epoch_us(greatest(last_update, ts)) as last_update_us
 from base left join (select scan_id, max(ts) as ts,
     arg_max(value, seq) filter (name = 'status') as status,
     arg_max(value, seq) filter (name = 'templates_hash') as templates_hash
@@ -1024,7 +1030,7 @@ from base left join (select scan_id, max(ts) as ts,
 def apply_field_events(spark, sf_dir):
     return checkpoints.apply_field_events(
         _base(spark, sf_dir), frame(spark, sf_dir, "field_events")
-    ).select("scan_id", "status", "templates_hash", "last_update")
+    ).select("scan_id", "status", "templates_hash", _last_update_us())
 
 
 @query(["checkpoint_docs", "position_events"], f"""
@@ -1236,7 +1242,7 @@ def stream_phase_state(spark, sf_dir):
     stream = _as_stream(spark, frame(spark, sf_dir, "phase_events"), "ts", _days(11, 21))
     state = shared_dir(spark, "phase-state")
     jobs.stream_phase_state(stream, state, shared_dir(spark, "progress")).awaitTermination()
-    return jobs.current_phase_state(spark, state)
+    return jobs.current_phase_state(spark, state).drop("ts")
 
 
 @query(["document_updates"], """

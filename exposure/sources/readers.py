@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exposure.functions import text
-from exposure.functions.documents import body_of
+from exposure.functions.documents import body_of, from_epoch
 from exposure.schemas import SCAN_STATE, STATUS_ALIASES
 
 RESULT_FILES = "*results_*"
@@ -79,8 +79,7 @@ def read_cache(spark: SparkSession, path: str) -> DataFrame:
         .option("pathGlobFilter", "*.json").json(path)
         .select(
             F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1).alias("cache_key"),
-            F.timestamp_seconds(F.coalesce("timestamp", F.lit(0.0))).cast("timestamp_ntz")
-            .alias("ts"),
+            from_epoch(F.coalesce("timestamp", F.lit(0.0))).alias("ts"),
             F.lit(0).cast("bigint").alias("seq"), "result",
         )
     )

@@ -26,9 +26,14 @@ def severity_rank(severity: Column) -> Column:
 
 
 def known_severities(requested: Column) -> Column:
-    """True when every requested level is known; letter case matters, an empty list is fine."""
+    """True when every requested level is known; letter case matters.
+
+    An empty or missing request names no unknown level.
+    """
     known = F.array(*[F.lit(s) for s in SEVERITIES])
-    return F.forall(requested, lambda level: F.array_contains(known, level))
+    return F.coalesce(
+        F.forall(requested, lambda level: F.array_contains(known, level)), F.lit(True)
+    )
 
 
 def severity_wanted(severity: Column, requested: Column) -> Column:

@@ -376,8 +376,8 @@ def filter_severity_requests_hot(spark, sf_dir):
 
 
 @query(["severity_requests"], f"""
-select scan_id, case when wanted is null then null else len(list_filter({_WANTED_SQL},
-  lambda x: x not in ('critical', 'high', 'medium', 'low', 'info'))) = 0 end as is_valid
+select scan_id, wanted is null or len(list_filter({_WANTED_SQL},
+  lambda x: x not in ('critical', 'high', 'medium', 'low', 'info'))) = 0 as is_valid
 from severity_requests
 """)
 def check_severity_requests(spark, sf_dir):
@@ -698,9 +698,11 @@ def loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(["checkpoint_docs"], f"""
 select scan_id, case when j is null then 'corrupt' else 'loaded' end as load_status,
   j->>'$.scan_id' as checkpoint_id, j->>'$.domain' as domain, j->>'$.status' as status,
-  cast(j->>'$.phases.subdomain_enumeration.checkpoint.batch_index' as integer) as batch_index,
-  cast(j->>'$.phases.alive_check.progress_percentage' as integer) as alive_progress,
-  cast(j->>'$.statistics.subdomains_found' as bigint) as subdomains_found
+  coalesce(cast(j->>'$.phases.subdomain_enumeration.checkpoint.batch_index' as integer), -1)
+    as batch_index,
+  coalesce(cast(j->>'$.phases.alive_check.progress_percentage' as integer), -1)
+    as alive_progress,
+  coalesce(cast(j->>'$.statistics.subdomains_found' as bigint), -1) as subdomains_found
 from ({PARSED_DOCS_SQL})
 """)
 def load_checkpoints(spark, sf_dir):
@@ -710,7 +712,7 @@ def load_checkpoints(spark, sf_dir):
         phase("subdomain_enumeration")["checkpoint"]["batch_index"].alias("batch_index"),
         phase("alive_check")["progress_percentage"].alias("alive_progress"),
         F.col("statistics.subdomains_found").alias("subdomains_found"),
-    )
+    ).na.fill(-1)
 
 
 @query(["state_docs"], """
@@ -880,12 +882,14 @@ def pending_phases(spark, sf_dir):
 @query(["checkpoint_docs"], f"""
 , parsed as ({PARSED_DOCS_SQL}), phase_rows as ({_PHASE_ROWS_SQL})
 select scan_id, phase, r->>'$.status' as status,
-  cast(r->>'$.progress_percentage' as integer) as progress_percentage,
-  cast(r->>'$.results_count' as bigint) as results_count
+  coalesce(cast(r->>'$.progress_percentage' as integer), -1) as progress_percentage,
+  coalesce(cast(r->>'$.results_count' as bigint), -1) as results_count
 from phase_rows where phase = 'alive_check'
 """)
 def phase_record(spark, sf_dir):
-    return checkpoints.phase_record(loaded(spark, sf_dir), "alive_check").drop("checkpoint")
+    return checkpoints.phase_record(loaded(spark, sf_dir), "alive_check").drop(
+        "checkpoint"
+    ).na.fill(-1)
 
 
 @query(["new_scans"], """
@@ -964,7 +968,7 @@ _SHORT = dict(zip(PHASES, ("enumeration", "alive", "vulnerability")))
 
 
 def _last_update_us():
-    return epoch_micros(F.col("last_update")).alias("last_update_us")
+    return F.coalesce(epoch_micros(F.col("last_update")), F.lit(-1)).alias("last_update_us")
 
 
 def _flat_phases(field: str) -> list:
@@ -983,7 +987,7 @@ select base.scan_id,
   {", ".join(
       f"case when json_exists(j, '$.phases.{p}') then coalesce(max(case when phase = '{p}' then known.status end), any_value(j->>'$.phases.{p}.status')) end as {s}"
       for p, s in _SHORT.items())},
-  epoch_us(greatest(last_update, max(ts))) as last_update_us
+  coalesce(epoch_us(greatest(last_update, max(ts))), -1) as last_update_us
 from base left join known using (scan_id) group by base.scan_id, j, last_update
 """)
 def apply_phase_events(spark, sf_dir):
@@ -1005,8 +1009,8 @@ def rejected_phase_events(spark, sf_dir):
 @query(["checkpoint_docs", "statistic_events"], f"""
 , {_BASE_SQL}
 select scan_id, {", ".join(
-    f"coalesce(e.{s}, cast(j->>'$.statistics.{s}' as bigint)) as {s}" for s in STATISTICS)},
-  epoch_us(greatest(last_update, ts)) as last_update_us
+    f"coalesce(e.{s}, cast(j->>'$.statistics.{s}' as bigint), -1) as {s}" for s in STATISTICS)},
+  coalesce(epoch_us(greatest(last_update, ts)), -1) as last_update_us
 from base left join (select scan_id, max(ts) as ts, {", ".join(
     f"arg_max(value, seq) filter (name = '{s}') as {s}" for s in STATISTICS)}
   from statistic_events group by scan_id) e using (scan_id)
@@ -1014,14 +1018,14 @@ from base left join (select scan_id, max(ts) as ts, {", ".join(
 def apply_statistic_events(spark, sf_dir):
     return checkpoints.apply_statistic_events(
         _base(spark, sf_dir), frame(spark, sf_dir, "statistic_events")
-    ).select("scan_id", *[F.col("statistics")[s].alias(s) for s in STATISTICS], _last_update_us())
+    ).select("scan_id", *[F.col("statistics")[s].alias(s) for s in STATISTICS], _last_update_us()).na.fill(-1)
 
 
 @query(["checkpoint_docs", "field_events"], f"""
 , {_BASE_SQL}
 select scan_id, coalesce(e.status, j->>'$.status') as status,
   coalesce(e.templates_hash, j->>'$.environment.templates_hash') as templates_hash,
-  epoch_us(greatest(last_update, ts)) as last_update_us
+  coalesce(epoch_us(greatest(last_update, ts)), -1) as last_update_us
 from base left join (select scan_id, max(ts) as ts,
     arg_max(value, seq) filter (name = 'status') as status,
     arg_max(value, seq) filter (name = 'templates_hash') as templates_hash
@@ -1036,7 +1040,7 @@ def apply_field_events(spark, sf_dir):
 @query(["checkpoint_docs", "position_events"], f"""
 , {_BASE_SQL}
 select scan_id, {", ".join(
-    f"case when json_exists(j, '$.phases.{p}') then coalesce(e.{s}, cast(j->>'$.phases.{p}.checkpoint.batch_index' as integer)) end as {s}"
+    f"coalesce(case when json_exists(j, '$.phases.{p}') then coalesce(e.{s}, cast(j->>'$.phases.{p}.checkpoint.batch_index' as integer)) end, -1) as {s}"
     for p, s in _SHORT.items())}
 from base left join (select scan_id, {", ".join(
     f"arg_max(batch_index, seq) filter (phase = '{p}') as {s}" for p, s in _SHORT.items())}
@@ -1049,7 +1053,7 @@ def apply_position_events(spark, sf_dir):
     return applied.select("scan_id", *[
         F.try_element_at("phases", F.lit(phase))["checkpoint"]["batch_index"].alias(short)
         for phase, short in _SHORT.items()
-    ])
+    ]).na.fill(-1)
 
 
 # --- tools and templates ---------------------------------------------------------------------

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ def keep_documents(docs: DataFrame, ids: DataFrame, once: bool = False) -> DataF
 
 def text_slices(batch: pa.RecordBatch, column: str = "text"):
     """Parts of a batch with about SLICE_CHARS bytes of text each (at least one row)."""
-    lengths = pa.compute.binary_length(batch[column]).to_numpy(zero_copy_only=False)
+    lengths = pc.binary_length(batch[column]).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, n in enumerate(lengths):
         if held and held + n > SLICE_CHARS:

@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -184,7 +185,7 @@ def _fill_rest(tier: int, capacity: int, last: bool):
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 ids, bounds = part["ids"].flatten().to_numpy(), np.concatenate(
-                    [[0], np.cumsum(pa.compute.list_value_length(part["ids"]).to_numpy())])
+                    [[0], np.cumsum(pc.list_value_length(part["ids"]).to_numpy())])
                 for i, (doc_id, start, total) in enumerate(zip(
                         *(part[c].to_pylist() for c in ("doc_id", "start", "doc_tokens")))):
                     filler.add(doc_id, start, ids[bounds[i]:bounds[i + 1]].copy(), total)

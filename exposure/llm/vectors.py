@@ -22,6 +22,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +53,7 @@ def blocks_of(dims: int) -> list[np.ndarray]:
 
 def _stacks(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(row numbers, matrix) for each length of vector in a list column."""
-    lengths = pa.compute.list_value_length(column).to_numpy()
+    lengths = pc.list_value_length(column).to_numpy()
     ends = np.cumsum(lengths)
     flat = column.flatten().to_numpy().astype(np.float64)
     for n in np.unique(lengths):

@@ -1,6 +1,6 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic documents are the positives; everything else, labelled or not, is unlabelled text
+Confirmed toxic documents are the positives; a sample of all documents is unlabelled text
 that holds toxic documents at the class prior's rate. With p the prior, the risk is
 
     p * E+[loss of 1] + max(0, E_unlabelled[loss of 0] - p * E+[loss of 0])
@@ -11,7 +11,7 @@ probability of label 1. Features are the presence of words: of all words of the
 counted on Spark, those that are most typical of the positives, and the numpy model has one weight
 for each.
 
-Training takes at most POSITIVES confirmed documents and UNLABELLED others outside the held-out
+Training takes at most POSITIVES confirmed documents and UNLABELLED of all outside the held-out
 fold, those with the smallest hash of their doc_id. Null and empty texts hold no words and get the
 score of the bias. Rows without a doc_id are left out. Without positives every score is 0.
 """
@@ -33,7 +33,7 @@ from exposure.session import materialize
 
 POSITIVES, UNLABELLED = 4_000, 12_000
 VOCABULARY = 400
-LEAST_SHARE = 0.01
+SURPRISE = 45.0
 PRIOR = 0.1
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
@@ -102,8 +102,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     # Ids only, and at most the two bounds of them.
     chosen = materialize(
         positives.withColumn("positive", F.lit(True)).union(
-            _first(texts.where(outside).select("doc_id").join(positives, "doc_id", "left_anti")
-                   .distinct(), UNLABELLED).withColumn("positive", F.lit(False))), "toxic-sample")
+            _first(texts.where(outside).select("doc_id").distinct(), UNLABELLED)
+            .withColumn("positive", F.lit(False))), "toxic-sample")
     found = materialize(
         texts.join(F.broadcast(chosen), "doc_id").mapInArrow(
             _words, "doc_id long, positive boolean, words array<string>"), "toxic-words")
@@ -118,13 +118,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     counted = found.select("positive", F.explode("words").alias("word")).groupBy("word").agg(
         (F.sum(F.col("positive").cast("long")) / n_pos).alias("p"),
         (F.sum((~F.col("positive")).cast("long")) / n_unl).alias("u"))
-    # How much more often in positives than in what the unlabelled text holds beyond its share of
-    # positives, against the spread of that difference.
-    rest = F.greatest((F.col("u") - prior * F.col("p")) / (1 - prior), F.lit(0.0))
-    lift = (F.col("p") - rest) / F.sqrt(rest + F.col("p") + 1.0 / n_pos)
-    least = max(LEAST_SHARE, 2 / n_pos)
-    words = [r["word"] for r in counted.where(F.col("p") >= least).where(F.col("p") > 2 * rest)
-             .orderBy(lift.desc(), "word").limit(VOCABULARY).collect()]
+    # The rate beyond the unlabelled text's share of positives, and how surprising the count in
+    # positives would be at that rate (twice the log of the likelihood ratio).
+    rest = F.greatest((F.col("u") - prior * F.col("p")) / (1 - prior), F.lit(0.5 / n_unl))
+    surprise = 2 * n_pos * F.col("p") * F.ln(F.col("p") / rest)
+    words = [r["word"] for r in counted.where(F.col("p") > 2 * rest).where(surprise > SURPRISE)
+             .orderBy(surprise.desc(), "word").limit(VOCABULARY).collect()]
     # A document's words of the vocabulary: at most VOCABULARY numbers for each sampled row.
     at = {w: i for i, w in enumerate(words)}
     marked = found.select("doc_id", "positive", F.array_intersect(

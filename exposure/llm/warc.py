@@ -39,6 +39,7 @@ WINDOW = 1 << 18
 # Fixed values of the WARC 1.1 format.
 VERSION = b"WARC/1.1\r\n"
 VERSION_LINE = re.compile(rb"WARC/\d\.\d\r\n")
+NOT_TEXT = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f]|\r(?!\n)|(?<!\r)\n")
 MEMBER = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
@@ -178,7 +179,7 @@ class Source:
 def parse(record: bytes) -> dict | None:
     """The fields of a whole uncompressed record; None where a check fails."""
     head_end = record.find(END)
-    if head_end < 0 or not VERSION_LINE.match(record):
+    if head_end < 0 or not VERSION_LINE.match(record) or NOT_TEXT.search(record, 0, head_end):
         return None
     fields = {}
     for line in record[:head_end].split(b"\r\n")[1:]:

@@ -19,6 +19,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,9 @@ CAPACITY = 2048
 END_ID = 1
 SMALLEST_CUT = 32
 MERGE = 64
-KNOWN_PIECES = 300_000
+KNOWN_PIECES = 500_000
 LONGEST_KNOWN = 64
+TOGETHER = 100
 
 PACKED = (
     "doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, "
@@ -64,27 +66,44 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known: dict[str, list[int]] = {}
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.known: dict[str, bytes] = {}  # ids as four bytes each
+        special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items()
+                   if not t.normalized and not t.single_word]
+        self.mark_id, self.mark = special[0] if special else (None, None)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.int32) for e in found]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Ask for many pieces in one text, with a special token between them.
+
+        The tokenizer takes special tokens out of a text before anything else, so each piece is
+        encoded on its own, and one call for each piece would cost far more than the piece.
+        """
+        alone = [p for p in pieces if self.mark is None or self.mark in p]
+        self.known.update(zip(alone, (ids.tobytes() for ids in self._encode(alone))))
+        left = pieces if not alone else [p for p in pieces if p not in self.known]
+        groups = [left[i:i + TOGETHER] for i in range(0, len(left), TOGETHER)]
+        for group, ids in zip(groups, self._encode([f" {self.mark} ".join(g) for g in groups])):
+            stops = [*(4 * np.flatnonzero(ids == self.mark_id)).tolist(), 4 * len(ids)]
+            held, start = ids.tobytes(), 0
+            for piece, stop in zip(group, stops, strict=True):
+                self.known[piece] = held[start:stop]
+                start = stop + 4
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         if len(self.known) > KNOWN_PIECES:
             self.known.clear()
         whole = [bool(self.SEPARATORS.search(t)) for t in texts]
         parts = [[t] if w else t.split() for t, w in zip(texts, whole)]
-        new = list({p for words in parts for p in words}.difference(self.known))
-        self.known.update(zip(new, self._encode(new)))
-        known = self.known
+        new = list(set(chain.from_iterable(parts)).difference(self.known))
+        self._learn(new)
         for words in parts:
-            ids: list[int] = []
-            for word in words:
-                ids += known[word]
-            yield np.array(ids, np.int32)
+            yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32)
         for piece in new:
             if len(piece) > LONGEST_KNOWN:
-                del known[piece]
+                del self.known[piece]
 
 
 @lru_cache(maxsize=1)

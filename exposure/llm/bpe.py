@@ -16,12 +16,14 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +32,7 @@ from exposure.llm.frames import documents, text_slices
 
 SHORT_WORD = 100
 KNOWN_PIECES = 300_000
+WORDS_AT_ONCE = 4096
 LONGEST_KNOWN = 64
 
 # What the vocabulary's pattern takes for white space, and that pattern.
@@ -61,78 +64,131 @@ class Vocabulary:
             self.tokens[at] = bytes(alphabet[c] for c in token)
             if len(token) == 1:
                 self.byte_ids[alphabet[token]] = at
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[tuple[int, int], int] = {}
+        self.merged: list[int] = []
         for rank, (left, right) in enumerate(saved["model"]["merges"]):
-            self.merges[vocab[left], vocab[right]] = rank, vocab[left + right]
+            self.ranks[vocab[left], vocab[right]] = rank
+            self.merged.append(vocab[left + right])
+        self.first_ids = np.array(self.byte_ids, np.int32)
+        self.merged_ids = np.array([*self.merged, -1], np.int32)
+        pairs = np.array([a * len(self.tokens) + b for a, b in self.ranks], np.int64)
+        order = np.argsort(pairs)
+        self.pairs, self.pair_ranks = pairs[order], order.astype(np.int32)
         self.added = added
         for token, at in added.items():
             self.tokens[at] = token.encode()
+        self.token_bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.token_lengths = np.array([len(t) for t in self.tokens], np.int64)
+        self.token_starts = np.cumsum(self.token_lengths) - self.token_lengths
         longest_first = sorted(added, key=len, reverse=True)
         self.split_added = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if added else None
         self.words, self.pieces = regex.compile(WORDS), re.compile(PIECES)
         self.forget()
 
     def forget(self) -> None:
+        self.known_words: dict[str, np.ndarray] = {
+            t: np.array([i], np.int32) for t, i in self.added.items()}
         self.slots: dict[str, int] = {}
-        self.starts, self.lengths, self.flat = array("q"), array("i"), array("i")
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int32)
 
-    # --- one word ------------------------------------------------------------------------
+    # --- words ---------------------------------------------------------------------------
 
-    def word_ids(self, word: bytes) -> list[int]:
-        return (self._scan if len(word) <= SHORT_WORD else self._heap)(word)
+    def word_ids(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each word; short words of about one length go together."""
+        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
+        by_length: dict[int, list[int]] = defaultdict(list)
+        for i, word in enumerate(words):
+            if len(word) > SHORT_WORD:
+                out[i] = np.array(self._heap(word), np.int32)
+            else:
+                by_length[(len(word) + 3) // 4].append(i)
+        for rows in by_length.values():
+            for at in range(0, len(rows), WORDS_AT_ONCE):
+                part = rows[at:at + WORDS_AT_ONCE]
+                for i, ids in zip(part, self._scan([words[i] for i in part])):
+                    out[i] = ids
+        return out
 
-    def _scan(self, word: bytes) -> list[int]:
-        """Parts and adjacent ranks in two contiguous arrays."""
-        merges, none = self.merges, (1 << 62, -1)
-        parts = [self.byte_ids[b] for b in word]
-        ranks = [merges.get(pair, none) for pair in zip(parts, parts[1:])]
-        while ranks:
-            best = min(ranks)
-            if best[1] < 0:
-                break
-            at = ranks.index(best)
-            parts[at] = best[1]
-            del parts[at + 1], ranks[at]
-            if at:
-                ranks[at - 1] = merges.get((parts[at - 1], parts[at]), none)
-            if at < len(ranks):
-                ranks[at] = merges.get((parts[at], parts[at + 1]), none)
-        return parts
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of adjacent parts; len(merged) where they don't merge or one is missing (-1)."""
+        pair = left.astype(np.int64) * len(self.tokens) + right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        found = (self.pairs[at] == pair) & (left >= 0) & (right >= 0)
+        return np.where(found, self.pair_ranks[at], len(self.merged)).astype(np.int32)
+
+    def _scan(self, words: list[bytes]) -> list[np.ndarray]:
+        """A row for each word: its parts (-1 behind the last) beside the ranks of neighbours."""
+        n, width = len(words), max(map(len, words), default=0) + 1
+        parts = np.full((n, width), -1, np.int32)
+        for row, word in zip(parts, words):
+            row[:len(word)] = self.first_ids[np.frombuffer(word, np.uint8)]
+        ranks = np.full((n, width), len(self.merged), np.int32)
+        ranks[:, :-1] = self._rank(parts[:, :-1], parts[:, 1:])
+        out: list[np.ndarray] = [parts[0, :0]] * n
+        index, columns = np.arange(n), np.arange(width)
+        while len(index):
+            at = ranks.argmin(1)
+            best = np.take_along_axis(ranks, at[:, None], 1)[:, 0]
+            done = best == len(self.merged)
+            if done.any():
+                for i, row, size in zip(index[done], parts[done], (parts[done] >= 0).sum(1)):
+                    out[i] = row[:size]
+                left = ~done
+                index, parts, ranks, at, best = (
+                    index[left], parts[left], ranks[left], at[left], best[left])
+            every, after = np.arange(len(index)), np.minimum(at + 1, width - 1)
+            parts[every, at] = self.merged_ids[best]
+            behind = np.minimum(columns + (columns > at[:, None]), width - 1)
+            parts = np.take_along_axis(parts, behind, 1)
+            ranks = np.take_along_axis(
+                ranks, np.minimum(columns + (columns >= at[:, None]), width - 1), 1)
+            ranks[every, at] = self._rank(parts[every, at], parts[every, after])
+            inner = np.flatnonzero(at > 0)
+            before = at[inner] - 1
+            ranks[inner, before] = self._rank(parts[inner, before], parts[inner, at[inner]])
+        return out
 
     def _heap(self, word: bytes) -> list[int]:
         """The same merges for a long word, in n log n."""
         parts = [self.byte_ids[b] for b in word]
         n = len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        found = [(*self.merges[pair], i, pair) for i, pair in enumerate(zip(parts, parts[1:]))
-                 if pair in self.merges]
-        heap = [(rank, i, pair) for rank, _, i, pair in found]
+        heap = [(self.ranks[pair], i, pair) for i, pair in enumerate(zip(parts, parts[1:]))
+                if pair in self.ranks]
         heapq.heapify(heap)
         while heap:
-            _, i, pair = heapq.heappop(heap)
+            rank, i, pair = heapq.heappop(heap)
             j = after[i]
             if j >= n or (parts[i], parts[j]) != pair:
                 continue
-            parts[i], parts[j], after[i] = self.merges[pair][1], -1, after[j]
+            parts[i], parts[j], after[i] = self.merged[rank], -1, after[j]
             if after[j] < n:
                 before[after[j]] = i
             for left in (before[i], i):
                 if left >= 0 and after[left] < n:
                     pair = parts[left], parts[after[left]]
-                    if pair in self.merges:
-                        heapq.heappush(heap, (self.merges[pair][0], left, pair))
+                    if pair in self.ranks:
+                        heapq.heappush(heap, (self.ranks[pair], left, pair))
         return [p for p in parts if p >= 0]
 
     # --- texts ---------------------------------------------------------------------------
 
-    def piece_ids(self, piece: str) -> list[int]:
-        return [i for word in self.words.findall(piece) for i in self.word_ids(word.encode())]
-
-    def _learn(self, piece: str, ids: list[int]) -> None:
-        self.slots[piece] = len(self.starts)
-        self.starts.append(len(self.flat))
-        self.lengths.append(len(ids))
-        self.flat.extend(ids)
+    def _learn(self, pieces: list[str]) -> None:
+        """Cut unseen pieces into words; ``word``, ``word.`` and ``word,`` share a word's ids."""
+        cut = [[p] if p in self.added else self.words.findall(p) for p in pieces]
+        new = list(set(chain.from_iterable(cut)).difference(self.known_words, self.added))
+        self.known_words.update(zip(new, self.word_ids([w.encode() for w in new])))
+        found = [self.known_words[w] for words in cut for w in words]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *map(len, cut)])]
+        self.slots.update(zip(pieces, range(len(self.starts), len(self.starts) + len(pieces))))
+        self.starts = np.concatenate([self.starts, len(self.flat) + ends[:-1]])
+        self.lengths = np.concatenate([self.lengths, np.diff(ends)])
+        self.flat = np.concatenate([self.flat, *found])
+        for word in new:
+            if len(word) > LONGEST_KNOWN:
+                del self.known_words[word]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text starts (and the last ends)."""
@@ -148,25 +204,29 @@ class Vocabulary:
             else:
                 pieces.extend(self.pieces.findall(text))
             counts.append(len(pieces) - held)
-        long_pieces = []
-        for piece in set(pieces).difference(self.slots):
-            self._learn(piece, [self.added[piece]] if piece in self.added else self.piece_ids(piece))
-            if len(piece) > LONGEST_KNOWN:
-                long_pieces.append(piece)
+        new = list(set(pieces).difference(self.slots))
+        self._learn(new)
         slots = np.fromiter(map(self.slots.__getitem__, pieces), np.int64, len(pieces))
-        starts = np.array(self.starts, np.int64)[slots]
-        lengths = np.array(self.lengths, np.int64)[slots]
+        starts, lengths = self.starts[slots], self.lengths[slots]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         at = np.repeat(starts - ends + lengths, lengths) + np.arange(total)
-        ids = np.array(self.flat, np.int32)[at]
+        ids = self.flat[at]
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-        for piece in long_pieces:
-            del self.slots[piece]
+        for piece in new:
+            if len(piece) > LONGEST_KNOWN:
+                del self.slots[piece]
         return ids, bounds.astype(np.int64)
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.tokens.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """Texts of ids that lie one after the other, text i from bounds[i] to bounds[i + 1]."""
+        lengths = self.token_lengths[ids]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.repeat(self.token_starts[ids] - ends + lengths, lengths) + np.arange(total)
+        held = self.token_bytes[at].tobytes()
+        cuts = np.concatenate([[0], ends])[bounds].tolist()
+        return [held[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -194,7 +254,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                texts = [words.decode(ids) for ids in part["ids"].to_pylist()]
+                bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(part["ids"]).to_numpy())])
+                texts = words.decode(part["ids"].flatten().to_numpy(), bounds)
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part["ids"], pa.array(texts, pa.string())],
                     ["doc_id", "ids", "decoded"])

@@ -11,6 +11,7 @@ from exposure.schemas import PHASES, STATISTICS
 
 OBJECT = "map<string, variant>"
 
+# What a new or repaired document holds.
 PENDING_PHASE = {"status": "pending", "progress_percentage": 0, "results_count": 0}
 DEFAULT_PHASES = {phase: PENDING_PHASE for phase in PHASES}
 DEFAULT_STATISTICS = {name: 0 for name in STATISTICS}
@@ -18,8 +19,15 @@ DEFAULT_ENVIRONMENT = {"tool_versions": {}, "templates_hash": ""}
 
 
 def body_of(doc: Column) -> Column:
-    """Top-level keys of a JSON object; null for broken JSON and for anything but an object."""
-    return F.try_variant_get(F.try_parse_json(doc), "$", OBJECT)
+    """Top-level keys of a JSON object; null for broken JSON and for anything but an object.
+
+    The parser stops after one value. Text behind it is found by parsing the document inside an
+    object and inside an array: no text but white space can continue both. A key that comes twice
+    makes a document broken.
+    """
+    inside = F.try_parse_json(F.concat(F.lit('{"d":'), doc, F.lit("}")))
+    alone = F.try_parse_json(F.concat(F.lit("["), doc, F.lit("]"))).isNotNull()
+    return F.when(alone, F.try_variant_get(inside, "$.d", OBJECT))
 
 
 def object_at(body: Column, key: str) -> Column:

@@ -14,9 +14,9 @@ from exposure.functions.documents import (
     DEFAULT_ENVIRONMENT, DEFAULT_PHASES, DEFAULT_STATISTICS, OBJECT, body_of, has_key,
     iso_time, json_literal, json_object, object_at, scan_identity, text_at, text_variant,
 )
-from exposure.operators.joins import MAX_KEY_ROWS, SAMPLE, lookup_join
+from exposure.operators.joins import WAYS, lookup_join
 from exposure.schemas import (
-    CHECKPOINT_DOCUMENT, PHASES, REQUIRED_FIELDS, REQUIRED_PHASE_FIELDS, SNAPSHOTS_KEPT,
+    PHASES, REQUIRED_FIELDS, REQUIRED_PHASE_FIELDS, SNAPSHOTS_KEPT,
     STATISTICS,
 )
 
@@ -31,18 +31,28 @@ MISSING_PHASE_FIELD = {
 }
 MISSING_STATISTIC = "Missing statistic: "
 MISSING_TOOL_VERSIONS = "Missing tool versions in environment"
-DOMAIN_MISMATCH = ("Domain mismatch: ", " (checkpoint) vs ", " (current)")
+DOMAIN_MISMATCH = "Domain mismatch: %s (checkpoint) vs %s (current)"
 
 
 # --- reading ---------------------------------------------------------------------------------
 
+POSITION = ("batch_index", "batch_size", "progress")
+
+
+def _at(record: Column, path: str, kind: str) -> Column:
+    return F.try_variant_get(record, f"$.{path}", kind)
+
+
 def _position(record: Column) -> Column:
-    saved = record["checkpoint"]
+    """A phase's saved position; it may sit one level too deep."""
     return F.when(
-        saved.isNotNull(),
+        _at(record, "checkpoint", "variant").isNotNull(),
         F.struct(*[
-            F.coalesce(saved["checkpoint"][name], saved[name]).alias(name)
-            for name in ("batch_index", "batch_size", "progress")
+            F.coalesce(
+                _at(record, f"checkpoint.checkpoint.{name}", "int"),
+                _at(record, f"checkpoint.{name}", "int"),
+            ).alias(name)
+            for name in POSITION
         ]),
     )
 
@@ -50,30 +60,48 @@ def _position(record: Column) -> Column:
 def load_checkpoints(documents: DataFrame) -> DataFrame:
     """Typed view of each document with ``load_status``: loaded, missing, corrupt or no_scan_id.
 
-    A null or broken document gives a row with nulls, never a failure. Other columns are kept.
+    A null or broken document gives a row with nulls, never a failure, and one odd value leaves the
+    values beside it alone. ``held_phases`` and ``held_statistics`` are the names an update may
+    change, ``has_environment`` says whether there is one to change. Other columns are kept.
     """
-    keys = F.col("_keys")  # null unless the text is a JSON object
-    parsed = documents.withColumn("_keys", F.json_object_keys("doc")).select(
+    opened = documents.withColumn("_body", body_of(F.col("doc"))).withColumns({
+        f"_{part}": object_at(F.col("_body"), part)
+        for part in ("phases", "statistics", "environment")
+    })
+    phases = F.transform_values("_phases", lambda _, record: F.struct(
+        _at(record, "status", "string").alias("status"),
+        _at(record, "progress_percentage", "int").alias("progress_percentage"),
+        _at(record, "results_count", "bigint").alias("results_count"),
+        _position(record).alias("checkpoint"),
+    ))
+    objects = F.map_filter(
+        "_phases", lambda _, record: F.try_variant_get(record, "$", OBJECT).isNotNull()
+    )
+    statistics = F.struct(*[
+        F.try_variant_get(F.try_element_at("_statistics", F.lit(name)), "$", "bigint").alias(name)
+        for name in STATISTICS
+    ])
+    environment = F.struct(
+        F.try_variant_get(
+            F.try_element_at("_environment", F.lit("tool_versions")), "$", "map<string,string>"
+        ).alias("tool_versions"),
+        text_at(F.col("_environment"), "templates_hash").alias("templates_hash"),
+    )
+    return opened.select(
         *documents.columns,
         F.when(F.col("doc").isNull(), "missing")
-        .when(keys.isNull(), "corrupt")
-        .when(~F.array_contains(keys, "scan_id"), "no_scan_id")
+        .when(F.col("_body").isNull(), "corrupt")
+        .when(~has_key(F.col("_body"), "scan_id"), "no_scan_id")
         .otherwise("loaded").alias("load_status"),
-        F.when(keys.isNotNull(), F.from_json("doc", CHECKPOINT_DOCUMENT)).alias("_d"),
-    )
-    phases = F.transform_values(
-        "_d.phases",
-        lambda _, record: F.struct(
-            record["status"].alias("status"),
-            record["progress_percentage"].alias("progress_percentage"),
-            record["results_count"].alias("results_count"),
-            _position(record).alias("checkpoint"),
-        ),
-    )
-    return parsed.select(
-        *documents.columns, "load_status", F.col("_d.scan_id").alias("checkpoint_id"),
-        "_d.domain", "_d.start_time", "_d.last_update", "_d.status",
-        phases.alias("phases"), "_d.statistics", "_d.environment",
+        text_at(F.col("_body"), "scan_id").alias("checkpoint_id"),
+        *[text_at(F.col("_body"), name).alias(name)
+          for name in ("domain", "start_time", "last_update", "status")],
+        phases.alias("phases"),
+        F.when(F.col("_statistics").isNotNull(), statistics).alias("statistics"),
+        F.when(F.col("_environment").isNotNull(), environment).alias("environment"),
+        F.map_keys(objects).alias("held_phases"),
+        F.map_keys("_statistics").alias("held_statistics"),
+        F.col("_environment").isNotNull().alias("has_environment"),
     )
 
 
@@ -188,11 +216,10 @@ def checkpoint_issues(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataF
         return F.when(condition, F.array(message)).otherwise(F.array().cast("array<string>"))
 
     found_domain = F.coalesce(text_at(F.col("_body"), "domain"), F.lit("None"))
-    before, between, after = (F.lit(part) for part in DOMAIN_MISMATCH)
     nested = F.concat(
         only_if(
             found_domain != F.col("expected_domain"),
-            F.concat(before, found_domain, between, F.col("expected_domain"), after),
+            F.format_string(DOMAIN_MISMATCH, found_domain, F.col("expected_domain")),
         ),
         *[_phase_issues(phase) for phase in PHASES],
         listed(_absent(F.col("_statistics"), STATISTICS), MISSING_STATISTIC),
@@ -201,7 +228,7 @@ def checkpoint_issues(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataF
         ),
     )
     issues = (
-        F.when(F.col("_body").isNull(), F.array(F.lit(NOT_READABLE)))
+        F.when(F.coalesce(F.size("_body"), F.lit(0)) <= 0, F.array(F.lit(NOT_READABLE)))
         .when(F.size("_top") > 0, listed(F.col("_top"), MISSING_FIELD))
         .otherwise(nested)
     )
@@ -237,8 +264,8 @@ def repair_checkpoints(documents: DataFrame, as_of: Column) -> DataFrame:
     """Fill missing top-level fields and missing phases; leave everything else untouched.
 
     ``documents`` also has ``expected_domain``. ``added`` lists what was filled in; where that is
-    nothing, the text is not rewritten. A document that is no JSON object, or whose phases are no
-    object, stays as it is with ``is_repaired = false``.
+    nothing, the text is not rewritten. A document that is no JSON object or an empty one, or whose
+    phases are no object, stays as it is with ``is_repaired = false``.
     """
     opened = documents.withColumn("_body", body_of(F.col("doc"))).withColumn(
         "_missing", _absent(F.col("_body"), REQUIRED_FIELDS)
@@ -257,7 +284,7 @@ def repair_checkpoints(documents: DataFrame, as_of: Column) -> DataFrame:
         json_object(DEFAULT_PHASES), "_phases",
         lambda _, default, present: F.coalesce(present, default),
     )
-    repairable = F.col("_phases").isNotNull()
+    repairable = F.col("_phases").isNotNull() & (F.size("_body") > 0)
     listed = filled.withColumn(
         "added",
         F.when(repairable, F.concat("_missing", _absent(F.col("_phases"), PHASES)))
@@ -346,8 +373,7 @@ def snapshot_checkpoints(documents: DataFrame, as_of: Column) -> DataFrame:
 
 
 def expired_snapshots(
-    files: DataFrame, keep: int = SNAPSHOTS_KEPT,
-    max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE,
+    files: DataFrame, keep: int = SNAPSHOTS_KEPT, ways: int = WAYS,
 ) -> DataFrame:
     """Every file older than the newest ``keep`` of its scan.
 
@@ -364,123 +390,166 @@ def expired_snapshots(
     older = (F.col("mtime_s") < F.col("_mtime")) | (
         (F.col("mtime_s") == F.col("_mtime")) & (F.col("path") > F.col("_path"))
     )
-    return lookup_join(files, cutoffs, ["scan_id"], "inner", max_key_rows, sample).filter(
+    return lookup_join(files, cutoffs, ["scan_id"], "inner", ways).filter(
         older
     ).select(*files.columns)
 
 
 # --- updates ---------------------------------------------------------------------------------
 
-def split_phase_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected): updates of unknown phases are kept aside."""
-    known = F.col("phase").isin(*PHASES)
-    return events.filter(known), events.filter(~F.coalesce(known, F.lit(False)))
+def _targets(base: DataFrame, held: str) -> DataFrame:
+    """(scan_id, name) for everything of that kind that a loaded document holds."""
+    return base.filter("load_status = 'loaded'").select(
+        "scan_id", F.explode(held).alias("name")
+    ).dropDuplicates()
 
 
-def _last_per_phase(events: DataFrame, record: Column) -> DataFrame:
-    """Per scan: the last accepted record of every phase (``_new``) and the last time (``_ts``).
+def _split(events: DataFrame, base: DataFrame, held: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected): whether the scan's loaded document holds what the event names."""
+    targets = _targets(base, held).select("scan_id", F.col("name").alias(name))
+    return (
+        lookup_join(events, targets, ["scan_id", name], "left_semi"),
+        lookup_join(events, targets, ["scan_id", name], "left_anti"),
+    )
+
+
+def split_phase_events(events: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) of events with a phase.
 
-    One aggregation by scan, combined before its only shuffle.
+    Rejected are updates of scans without a loaded document, and of phases their document does not
+    hold. ``base`` comes from ``load_checkpoints``.
+    """
+    return _split(events, base, "held_phases", "phase")
+
+
+def split_statistic_events(events: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) of events with the name of a statistic."""
+    return _split(events, base, "held_statistics", "name")
+
+
+def split_field_events(events: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) of whole-scan settings: templates_hash needs an environment."""
+    fields = base.withColumn("_fields", F.when(
+        F.col("has_environment"), F.array(F.lit("status"), F.lit("templates_hash"))
+    ).otherwise(F.array(F.lit("status"))))
+    return _split(events, fields, "_fields", "name")
+
+
+def _with_last(base: DataFrame, last: DataFrame) -> DataFrame:
+    """``base`` with the folded updates of its loaded documents (scan_id, _new, _ts)."""
+    loaded = last.withColumn("load_status", F.lit("loaded"))
+    return base.join(loaded, ["scan_id", "load_status"], "left").select(
+        *base.columns, *[c for c in last.columns if c != "scan_id"]
+    )
+
+
+def _last_per_phase(events: DataFrame, fields: dict[str, Column], held: DataFrame) -> DataFrame:
+    """Per scan: the last non-null value of every field of each phase (``_new``), and ``_ts``.
+
+    Events are folded by scan and phase first, then those of phases the document holds are put
+    together, so a scan has as many records as its document has phases.
     """
-    accepted, _ = split_phase_events(events)
     written = F.struct("ts", "seq")
+    per_phase = events.groupBy("scan_id", "phase").agg(
+        F.max("ts").alias("_phase_ts"),
+        *[F.max_by(value, F.when(value.isNotNull(), written)).alias(name)
+          for name, value in fields.items()],
+    )
     return (
-        accepted.groupBy("scan_id").agg(
-            *[
-                F.max_by(record, F.when(F.col("phase") == phase, written)).alias(f"_{phase}")
-                for phase in PHASES
-            ],
-            F.max("ts").alias("_ts"),
-        )
-        .select(
-            "scan_id", "_ts",
-            F.create_map(*[
-                part for phase in PHASES for part in (F.lit(phase), F.col(f"_{phase}"))
-            ]).alias("_new"),
+        per_phase.join(held, ["scan_id", "phase"], "left_semi").groupBy("scan_id").agg(
+            F.map_from_entries(F.collect_list(F.struct("phase", F.struct(*fields)))).alias("_new"),
+            F.max("_phase_ts").alias("_ts"),
         )
     )
 
 
-def _stamped(base: DataFrame, phases: Column) -> DataFrame:
-    """Changed phases and time where there was an update; everything else stays."""
-    return base.withColumns({
-        "phases": F.when(F.col("_new").isNull(), F.col("phases")).otherwise(phases),
+def _apply_to_phases(base: DataFrame, events: DataFrame, fields: dict[str, Column], change) -> DataFrame:
+    held = _targets(base, "held_phases").withColumnRenamed("name", "phase")
+    joined = _with_last(base, _last_per_phase(events, fields, held))
+    changed = F.transform_values("phases", lambda phase, old: F.when(
+        F.map_contains_key("_new", phase), change(F.try_element_at("_new", phase), old)
+    ).otherwise(old))
+    return joined.withColumns({
+        "phases": F.when(F.col("_new").isNull(), F.col("phases")).otherwise(changed),
         "last_update": F.coalesce(F.greatest("last_update", "_ts"), "last_update"),
     }).drop("_new", "_ts")
 
 
 def apply_phase_events(base: DataFrame, events: DataFrame) -> DataFrame:
-    """Fold phase updates into ``base`` (scan_id, phases, last_update).
+    """Fold phase updates into loaded documents (scan_id, load_status, phases, held_phases,
+    last_update).
 
     Only the last update of each scan and phase counts. A phase's saved position stays, and a
-    phase the document does not hold is not added.
+    phase the document does not hold neither is added nor moves the time.
     """
     record = F.struct(
         F.col("status"), F.col("progress").alias("progress_percentage"), F.col("results_count")
     )
-
-    def updated(phase: Column, old: Column) -> Column:
-        new = F.try_element_at("_new", phase)
-        return F.when(
-            new.isNotNull(),
-            F.struct(
-                *[new[name].alias(name) for name in REQUIRED_PHASE_FIELDS],
-                old["checkpoint"].alias("checkpoint"),
-            ),
-        ).otherwise(old)
-
-    joined = base.join(_last_per_phase(events, record), "scan_id", "left")
-    return _stamped(joined, F.transform_values("phases", updated))
+    return _apply_to_phases(base, events, {"record": record}, lambda new, old: F.struct(
+        *[new["record"][name].alias(name) for name in REQUIRED_PHASE_FIELDS],
+        old["checkpoint"].alias("checkpoint"),
+    ))
 
 
 def apply_position_events(base: DataFrame, events: DataFrame) -> DataFrame:
-    """Fold saved positions (scan_id, seq, ts, phase, batch_index, batch_size, progress)."""
-    position = F.struct("batch_index", "batch_size", "progress")
-    joined = base.join(_last_per_phase(events, position), "scan_id", "left")
-    return _stamped(joined, F.transform_values(
-        "phases",
-        lambda phase, old: old.withField(
-            "checkpoint", F.coalesce(F.try_element_at("_new", phase), old["checkpoint"])
-        ),
-    ))
+    """Fold saved positions (scan_id, seq, ts, phase, batch_index, batch_size, progress).
 
+    A null field is one the update does not name: it keeps its value.
+    """
+    return _apply_to_phases(
+        base, events, {name: F.col(name) for name in POSITION},
+        lambda new, old: old.withField("checkpoint", F.struct(*[
+            F.coalesce(new[name], old["checkpoint"][name]).alias(name) for name in POSITION
+        ])),
+    )
 
-def apply_statistic_events(base: DataFrame, events: DataFrame) -> DataFrame:
-    """Fold counter updates (scan_id, seq, ts, name, value); unknown names only move the time."""
-    latest = events.groupBy("scan_id").agg(
+
+def _last_named(events: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Per scan: the last value (``_name``) and time (``_name_ts``) of each name, and ``_ts``."""
+    named = {name: F.col("name") == name for name in names}
+    return events.groupBy("scan_id").agg(
         *[
-            F.max_by(
-                F.when(F.col("name") == name, F.col("value")),
-                F.when(F.col("name") == name, F.struct("ts", "seq")),
-            ).alias(f"_{name}")
-            for name in STATISTICS
+            F.max_by(F.when(is_it, F.col("value")), F.when(is_it, F.struct("ts", "seq")))
+            .alias(f"_{name}")
+            for name, is_it in named.items()
         ],
+        *[F.max(F.when(is_it, F.col("ts"))).alias(f"_{name}_ts") for name, is_it in named.items()],
         F.max("ts").alias("_ts"),
     )
+
+
+def apply_statistic_events(base: DataFrame, events: DataFrame) -> DataFrame:
+    """Fold counter updates (scan_id, seq, ts, name, value) into loaded documents.
+
+    A statistic the document does not hold is not added; the time moves all the same.
+    """
+    joined = _with_last(base, _last_named(events, STATISTICS))
     merged = F.struct(*[
-        F.coalesce(F.col(f"_{name}"), F.col("statistics")[name]).alias(name)
+        F.when(
+            F.array_contains("held_statistics", name) & F.col(f"_{name}_ts").isNotNull(),
+            F.col(f"_{name}"),
+        ).otherwise(F.col("statistics")[name]).alias(name)
         for name in STATISTICS
     ])
-    return base.join(latest, "scan_id", "left").withColumns({
-        "statistics": merged,
+    return joined.withColumns({
+        "statistics": F.when(F.col("statistics").isNotNull(), merged),
         "last_update": F.coalesce(F.greatest("last_update", "_ts"), "last_update"),
-    }).drop("_ts", *[f"_{name}" for name in STATISTICS])
+    }).select(*base.columns)
 
 
 def apply_field_events(base: DataFrame, events: DataFrame) -> DataFrame:
-    """Fold whole-scan settings (scan_id, seq, ts, name, value): status and templates_hash."""
-    names = ("status", "templates_hash")
-    latest = events.filter(F.col("name").isin(*names)).groupBy("scan_id").agg(
-        *[
-            F.max_by(
-                F.when(F.col("name") == name, F.col("value")),
-                F.when(F.col("name") == name, F.struct("ts", "seq")),
-            ).alias(f"_{name}")
-            for name in names
-        ],
-        F.max("ts").alias("_ts"),
-    )
-    return base.join(latest, "scan_id", "left").withColumns({
-        **{name: F.coalesce(F.col(f"_{name}"), F.col(name)) for name in names},
-        "last_update": F.coalesce(F.greatest("last_update", "_ts"), "last_update"),
-    }).drop("_ts", *[f"_{name}" for name in names])
+    """Fold whole-scan settings (scan_id, seq, ts, name, value): status and templates_hash.
+
+    A document without an environment takes no templates_hash, and its time does not move.
+    """
+    joined = _with_last(base, _last_named(events, ("status", "templates_hash")))
+    hash_ts = F.when(F.col("has_environment"), F.col("_templates_hash_ts"))
+    return joined.withColumns({
+        "status": F.when(F.col("_status_ts").isNotNull(), F.col("_status"))
+        .otherwise(F.col("status")),
+        "templates_hash": F.when(hash_ts.isNotNull(), F.col("_templates_hash"))
+        .otherwise(F.col("templates_hash")),
+        "last_update": F.coalesce(
+            F.greatest("last_update", "_status_ts", hash_ts), "last_update"
+        ),
+    }).select(*base.columns)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from exposure.functions import severity as sev
 from exposure.functions import text
 from exposure.operators import hygiene
-from exposure.operators.joins import MAX_KEY_ROWS, SAMPLE, lookup_join
+from exposure.operators.joins import WAYS, lookup_join
 from exposure.schemas import PREVIEW_ROWS
 
 
@@ -38,8 +38,7 @@ def filter_severity(tagged: DataFrame, requested: list[str]) -> DataFrame:
 
 
 def filter_severity_requests(
-    tagged: DataFrame, requests: DataFrame,
-    max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE,
+    tagged: DataFrame, requests: DataFrame, ways: int = WAYS,
 ) -> DataFrame:
     """Keep what each scan asked for: ``requests`` has one row (scan_id, severities) per scan.
 
@@ -47,7 +46,7 @@ def filter_severity_requests(
     """
     wanted = requests.select("scan_id", F.col("severities").alias("_wanted"))
     return (
-        lookup_join(tagged, wanted, ["scan_id"], "left", max_key_rows, sample)
+        lookup_join(tagged, wanted, ["scan_id"], "left", ways)
         .filter(sev.severity_wanted(F.col("severity"), F.col("_wanted")))
         .select(*tagged.columns)
     )
@@ -88,8 +87,7 @@ def _kept_files(records: DataFrame, inventory: DataFrame) -> DataFrame:
 
 
 def consolidate_findings(
-    records: DataFrame, inventory: DataFrame, file_lines: DataFrame,
-    max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE,
+    records: DataFrame, inventory: DataFrame, file_lines: DataFrame, ways: int = WAYS,
 ) -> DataFrame:
     """Non-blank lines of every batch output file that exists with content, each file once.
 
@@ -98,7 +96,7 @@ def consolidate_findings(
     """
     return lookup_join(
         hygiene.load_findings(file_lines), _kept_files(records, inventory), ["path"], "inner",
-        max_key_rows, sample, measured=file_lines,
+        ways,
     ).select("scan_id", "batch_id", "path", "seq", "line")
 
 
@@ -127,13 +125,20 @@ def consolidation_totals(
 
 
 def reconcile_findings(state: DataFrame, results: DataFrame) -> DataFrame:
-    """Compare each scan's reported number of findings with its loaded result lines."""
+    """Compare each scan's reported number of findings with its loaded result lines.
+
+    Scans with result lines but no state row are listed with ``has_state = false``.
+    """
     counted = tag_severity(results).groupBy("scan_id").agg(
         F.count(F.lit(1)).alias("counted"), F.count("severity").alias("classified"),
     )
     return (
-        state.select("scan_id", F.coalesce("vulnerabilities", F.lit(0)).alias("reported"))
-        .join(counted, "scan_id", "left").na.fill(0, ["counted", "classified"])
+        state.select(
+            "scan_id", F.coalesce("vulnerabilities", F.lit(0)).alias("reported"),
+            F.lit(True).alias("has_state"),
+        )
+        .join(counted, "scan_id", "full_outer")
+        .na.fill(0, ["reported", "counted", "classified"]).na.fill(False, ["has_state"])
         .withColumns({
             "unclassified": F.col("counted") - F.col("classified"),
             "is_mismatch": F.col("reported") != F.col("counted"),
@@ -143,8 +148,7 @@ def reconcile_findings(state: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def rebuild_empty_results(
-    state: DataFrame, results: DataFrame, batch_lines: DataFrame,
-    max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE,
+    state: DataFrame, results: DataFrame, batch_lines: DataFrame, ways: int = WAYS,
 ) -> DataFrame:
     """Batch lines of the scans whose results are empty although findings were reported.
 
@@ -153,8 +157,7 @@ def rebuild_empty_results(
     """
     flagged = reconcile_findings(state, results).filter("needs_rebuild").select("scan_id")
     return lookup_join(
-        hygiene.load_findings(batch_lines), flagged, ["scan_id"], "left_semi",
-        max_key_rows, sample, measured=batch_lines,
+        hygiene.load_findings(batch_lines), flagged, ["scan_id"], "left_semi", ways,
     )
 
 

@@ -61,19 +61,28 @@ def environment_validity(recorded: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
-def outdated_tools(installed: DataFrame, latest: DataFrame, force: bool = False) -> DataFrame:
-    """Which tools need an update: none installed, or the latest release not part of its text.
+def outdated_tools(
+    installed: DataFrame, latest: DataFrame, required: DataFrame | None = None, force: bool = False
+) -> DataFrame:
+    """Which tools need an update: none installed, or a release that is not part of the installed
+    version's text. A tool without a known release is listed and needs none.
 
+    ``required`` (scan_id, tool) lists what each scan needs; without it, what is installed counts.
     Containment is the rule (1.2.3 is "in" 1.2.30); ``exact_match`` tells the two apart.
     """
     released = latest.select(
         "tool", versions.version_of_tag(F.col("tag")).alias("latest_version")
     )
     contained = F.coalesce(F.contains("version", "latest_version"), F.lit(False))
-    return lookup_join(installed, released, ["tool"]).select(
+    known = installed
+    if required is not None:
+        # A scan lists a tool once, so neither side has more rows for a key than scans.
+        known = required.select("scan_id", "tool").dropDuplicates().join(
+            installed, ["scan_id", "tool"], "left")
+    return lookup_join(known, released, ["tool"], "left").select(
         "scan_id", "tool", "version", "latest_version",
-        (F.lit(force) | ~contained).alias("needs_update"),
-        F.col("version").eqNullSafe(F.col("latest_version")).alias("exact_match"),
+        (F.col("latest_version").isNotNull() & (F.lit(force) | ~contained)).alias("needs_update"),
+        F.coalesce(F.col("version") == F.col("latest_version"), F.lit(False)).alias("exact_match"),
     )
 
 
@@ -90,17 +99,14 @@ def corpus_sample(files: DataFrame, size: int = FINGERPRINT_SAMPLE) -> DataFrame
     )
 
 
-def corpus_fingerprint(files: DataFrame, head_bytes: int | None = None) -> DataFrame:
+def corpus_fingerprint(files: DataFrame) -> DataFrame:
     """One hash per scan over the contents of its template files.
 
     Every file's MD5 is split into four numbers, which are summed per scan. Sums do not depend on
     file order or partitioning and combine before the shuffle, so a corpus of any size travels as
-    one row per task. ``head_bytes`` limits what is hashed of each file.
+    one row per task.
     """
-    content = F.col("content").cast("binary")
-    if head_bytes is not None:
-        content = F.substring(content, 1, head_bytes)
-    digest = F.md5(content)
+    digest = F.md5(F.col("content").cast("binary"))
 
     def word(n: int) -> Column:
         return F.conv(F.substring(digest, 1 + 8 * n, 8), 16, 10).cast("bigint")

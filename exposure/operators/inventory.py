@@ -1,7 +1,7 @@
 """Membership questions about hosts, and the result cache.
 
 Hosts are unique per scan, so joins on (scan, host) have no hot key. Where a key may repeat on the
-left (many URLs of one host, many requests of one command), ``lookup_join`` takes hot keys out.
+left (many URLs of one host, many requests of one command), ``lookup_join`` deals them out.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from exposure.functions import text
-from exposure.operators.joins import MAX_KEY_ROWS, SAMPLE, lookup_join
+from exposure.operators.joins import WAYS, lookup_join
 from exposure.schemas import CACHE_TTL_SECONDS
 
 HOST_KEY = ["scan_id", "host"]
@@ -34,8 +34,15 @@ def bulk_load_hosts(hosts: DataFrame) -> DataFrame:
 
 
 def known_hosts(stored: DataFrame, asked: DataFrame) -> DataFrame:
-    """The asked rows whose host is in the store."""
-    return asked.join(stored.select(*HOST_KEY), HOST_KEY, "left_semi")
+    """The asked rows whose host is in the store.
+
+    The store is cut down to the asked hosts first: of a semi join only the right side can be
+    broadcast, so a small question does not shuffle the store.
+    """
+    found = stored.select(*HOST_KEY).join(
+        asked.select(*HOST_KEY).dropDuplicates(), HOST_KEY, "left_semi"
+    )
+    return asked.join(found, HOST_KEY, "left_semi")
 
 
 def store_sizes(stored: DataFrame) -> DataFrame:
@@ -53,36 +60,21 @@ def _answered(probe_lines: DataFrame) -> DataFrame:
     ).dropDuplicates()
 
 
-def _by_answer(
-    hosts: DataFrame, probe_lines: DataFrame, how: str, measured: DataFrame | None,
-    max_key_rows: int, sample: float,
-) -> DataFrame:
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumn("_host_key", text.host_key(F.col("host")))
-
+def _by_answer(hosts: DataFrame, probe_lines: DataFrame, how: str, ways: int) -> DataFrame:
+    keyed = hosts.withColumn("_host_key", text.host_key(F.col("host")))
     return lookup_join(
-        keyed(hosts), _answered(probe_lines), ["scan_id", "_host_key"], how, max_key_rows, sample,
-        None if measured is None else keyed(measured),
+        keyed, _answered(probe_lines), ["scan_id", "_host_key"], how, ways
     ).select(*hosts.columns)
 
 
-def alive_hosts(
-    hosts: DataFrame, probe_lines: DataFrame, measured: DataFrame | None = None,
-    max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE,
-) -> DataFrame:
-    """Hosts with at least one probe line.
-
-    ``measured`` may be the hosts before they were de-duplicated, if that is not stored yet.
-    """
-    return _by_answer(hosts, probe_lines, "left_semi", measured, max_key_rows, sample)
+def alive_hosts(hosts: DataFrame, probe_lines: DataFrame, ways: int = WAYS) -> DataFrame:
+    """Hosts with at least one probe line."""
+    return _by_answer(hosts, probe_lines, "left_semi", ways)
 
 
-def dead_hosts(
-    hosts: DataFrame, probe_lines: DataFrame, measured: DataFrame | None = None,
-    max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE,
-) -> DataFrame:
+def dead_hosts(hosts: DataFrame, probe_lines: DataFrame, ways: int = WAYS) -> DataFrame:
     """Hosts without any probe line."""
-    return _by_answer(hosts, probe_lines, "left_anti", measured, max_key_rows, sample)
+    return _by_answer(hosts, probe_lines, "left_anti", ways)
 
 
 def cache_key(argv: Column) -> Column:

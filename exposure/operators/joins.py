@@ -1,54 +1,40 @@
 """Equi-joins of many rows with one row per key, safe when a single key holds most rows.
 
 Adaptive execution splits a hot key only where both join inputs come straight from a shuffle. A
-side that was aggregated by the join key does not, so hot keys are taken out here. They are found
-on a sample of the key columns; which keys are found decides the route of a row, never the
-result. Rows of hot keys meet their few lookup rows by broadcast, all others are joined as usual.
+side that was aggregated by the join key does not, so the rows of every key are dealt over a fixed
+number of ways here. A lookup row is copied to the ways its key uses, which are found by a distinct
+that combines before its shuffle: a key with few rows costs few copies. Nothing is measured or
+broadcast by force, and no job runs while the query is built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from exposure.session import materialize
+WAYS = 64
 
-MAX_KEY_ROWS = 5_000_000
-SAMPLE = 0.001
+_WAY = "_way"
+_NOT_HASHABLE = (T.MapType, T.VariantType, T.StructType, T.ArrayType)
 
 
-def hot_keys(
-    rows: DataFrame, keys: list[str], max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE
-) -> DataFrame:
-    """Keys with (probably) more than ``max_key_rows`` rows.
-
-    There are about total rows / ``max_key_rows`` of them at most, which bounds what is broadcast.
-    """
-    keyed = rows.select(*keys)
-    if sample < 1:
-        keyed = keyed.sample(sample, seed=1)
-    return (
-        keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > max_key_rows * sample).drop("_n")
-    )
+def way(rows: DataFrame, ways: int = WAYS) -> Column:
+    """Where a row goes among the rows of its key: by its other plain columns, so that a repeated
+    task sends it there again."""
+    plain = [f.name for f in rows.schema.fields if not isinstance(f.dataType, _NOT_HASHABLE)]
+    return F.pmod(F.xxhash64(*plain), F.lit(ways)).cast("int")
 
 
 def lookup_join(
-    rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner",
-    max_key_rows: int = MAX_KEY_ROWS, sample: float = SAMPLE, measured: DataFrame | None = None,
+    rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner", ways: int = WAYS,
 ) -> DataFrame:
     """``rows.join(lookup, keys, how)`` for inner, left, left_semi and left_anti joins.
 
-    ``lookup`` holds each key at most once. Give ``measured`` when ``rows`` is expensive to
-    compute: hot keys are then looked for in that relation, from which ``rows`` is derived.
+    ``lookup`` holds each key at most once. At most 1 / ``ways`` of a key's rows meet in one task.
     """
-    found = hot_keys(rows if measured is None else measured, keys, max_key_rows, sample)
-    if found.isEmpty():
-        return rows.join(lookup, keys, how)
-    # Written once: the two routes must agree on the keys, and a new sample might differ.
-    hot = F.broadcast(materialize(found, "hot-keys"))
-    hot_lookup = F.broadcast(lookup.join(hot, keys, "left_semi"))
-    return (
-        rows.join(hot, keys, "left_semi").join(hot_lookup, keys, how)
-        .unionByName(rows.join(hot, keys, "left_anti").join(lookup, keys, how))
-    )
+    dealt = rows.withColumn(_WAY, way(rows, ways))
+    used = dealt.select(*keys, _WAY).distinct()
+    facts = [c for c in lookup.columns if c not in keys]
+    copies = used.join(lookup, keys).select(*keys, _WAY, *facts)
+    return dealt.join(copies, [*keys, _WAY], how).drop(_WAY)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from exposure.operators.findings import top_rows
 from exposure.operators.joins import lookup_join
 from exposure.operators.ordered import MAX_GROUP_ROWS, ROW_NUMBER, running
 from exposure.schemas import EMBED_COLOR, MESSAGE_ITEMS
@@ -28,6 +27,9 @@ DETAIL_TEXTS = {
 }
 DEFAULT_CANCEL_REASON = "User cancelled"
 
+# What stands for the domain of a scan without a domain row.
+UNKNOWN_DOMAIN = "unknown domain"
+
 
 def payload(content: Column, title: Column) -> Column:
     """The JSON body a webhook expects; no title means no embed."""
@@ -41,40 +43,52 @@ def payload(content: Column, title: Column) -> Column:
 def list_messages(
     items: DataFrame, domains: DataFrame, text_and_title: tuple[str, str],
     totals: DataFrame | None = None, shown: int = MESSAGE_ITEMS,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """One message per scan with its first ``shown`` items and the number left out.
+    """All items of each scan in messages of ``shown`` items.
 
-    ``items`` (scan_id, item); ``domains`` (scan_id, domain). ``totals`` (scan_id, total) is given
-    when ``items`` is only a sample of what was found.
+    Part 0 has the first items and says how many follow; the parts after it hold those, so that no
+    item is left out. ``items`` (scan_id, item); ``domains`` (scan_id, domain). ``totals``
+    (scan_id, total) is given when ``items`` is only a sample of what was found. Scans without
+    items get a message that says so, items of scans without a domain row get theirs all the same.
     """
     template, title = text_and_title
-    listed = top_rows(items, ["item"], shown).groupBy("scan_id").agg(
-        F.sort_array(F.collect_list("item")).alias("_shown")
+    numbered = running(
+        items.select("scan_id", "item"), ["scan_id"], ["item"], {"_row": (ROW_NUMBER, None)},
+        max_group_rows,
     )
+    parts = numbered.groupBy(
+        "scan_id", F.floor((F.col("_row") - 1) / shown).alias("part")
+    ).agg(F.sort_array(F.collect_list("item")).alias("_shown"))
     counts = items.groupBy("scan_id").agg(F.count(F.lit(1)).alias("_given"))
-    rows = (
-        domains.join(listed, "scan_id", "left").join(counts, "scan_id", "left")
-        .withColumn("_given", F.coalesce("_given", F.lit(0).cast("bigint")))
-    )
+    scans = domains.join(counts, "scan_id", "full_outer")
     if totals is not None:
-        rows = rows.join(totals.select("scan_id", F.col("total").alias("_total")), "scan_id", "left")
+        scans = scans.join(
+            totals.select("scan_id", F.col("total").alias("_total")), "scan_id", "left"
+        )
     else:
-        rows = rows.withColumn("_total", F.lit(None).cast("bigint"))
+        scans = scans.withColumn("_total", F.lit(None).cast("bigint"))
+    empty = scans.filter(F.col("_given").isNull()).withColumns({
+        "part": F.lit(0).cast("bigint"), "_shown": F.array().cast("array<string>"),
+    })
+    rows = lookup_join(parts, scans, ["scan_id"]).unionByName(empty).withColumns({
+        "_given": F.coalesce("_given", F.lit(0).cast("bigint")),
+        "domain": F.coalesce("domain", F.lit(UNKNOWN_DOMAIN)),
+    })
     note = F.when(
         F.col("_given") < F.col("_total"), F.format_string(SAMPLE_NOTE, F.col("_given"))
     ).otherwise("")
     header = F.format_string(
         template, F.coalesce("_total", "_given"), F.col("domain"), note
     )
-    bullets = F.coalesce(
-        F.array_join(F.transform("_shown", lambda i: F.concat(F.lit(BULLET), i)), "\n"), F.lit("")
-    )
+    bullets = F.array_join(F.transform("_shown", lambda i: F.concat(F.lit(BULLET), i)), "\n")
     more = F.when(
-        F.col("_given") > shown, F.format_string(MORE_ITEMS, F.col("_given") - shown)
+        (F.col("part") == 0) & (F.col("_given") > shown),
+        F.format_string(MORE_ITEMS, F.col("_given") - shown),
     ).otherwise("")
     content = F.concat(header, bullets, more)
     return rows.select(
-        "scan_id", F.lit(title).alias("title"), content.alias("content"),
+        "scan_id", "part", F.lit(title).alias("title"), content.alias("content"),
         payload(content, F.lit(title)).alias("payload"),
     )
 
@@ -106,7 +120,7 @@ def result_messages(
     """All result lines of each scan, in order, in parts of a bounded number of lines.
 
     A scan that fits in one part gets exactly one message. Scans in ``domains`` without findings
-    get the message that says so, as part 0.
+    get the message that says so, as part 0; findings of scans without a domain row get theirs.
     """
     template, title = SCAN_RESULTS
     numbered = running(
@@ -120,9 +134,11 @@ def result_messages(
         .agg(F.sort_array(F.collect_list(F.struct("_row", "line"))).alias("_lines"))
         .select("scan_id", "part", F.array_join("_lines.line", "\n").alias("_text"))
     )
-    filled = lookup_join(parts, domains, ["scan_id"], measured=findings).select(
+    filled = lookup_join(parts, domains, ["scan_id"], "left").select(
         "scan_id", "part", F.lit(title).alias("title"),
-        F.format_string(template, F.col("domain"), F.col("_text")).alias("content"),
+        F.format_string(
+            template, F.coalesce("domain", F.lit(UNKNOWN_DOMAIN)), F.col("_text")
+        ).alias("content"),
     )
     empty_template, empty_title = EVENT_TEXTS["no_findings"]
     empty = domains.join(

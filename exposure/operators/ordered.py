@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from exposure.session import materialize
 
 MAX_GROUP_ROWS = 5_000_000
-MAX_SLICES = 20_000
 
 # kinds of running value
 ROW_NUMBER, SUM, PEAK, PEAK_BEFORE, PREVIOUS = "row_number", "sum", "peak", "peak_before", "previous"
@@ -44,8 +43,13 @@ def running(
 ) -> DataFrame:
     """Add one column per entry of ``values``: name -> (kind, input column).
 
-    ``order`` must be unique within a key. Sums are meant for whole numbers.
+    ``order`` must be unique within a key. Sums are of whole numbers or decimals: a sum of floating
+    numbers would depend on the route.
     """
+    for name, (kind, col) in values.items():
+        if kind == SUM and df.select(col.alias("v")).schema["v"].dataType.typeName() in (
+                "float", "double"):
+            raise ValueError(f"{name}: running sums need whole numbers or decimals")
     total, largest = group_sizes(df, keys)
     inputs = {f"_in_{name}": col for name, (_, col) in values.items() if col is not None}
     kinds = {name: kind for name, (kind, _) in values.items()}
@@ -53,7 +57,7 @@ def running(
     if largest <= max_group_rows:
         result = prepared.withColumns(_local_values(kinds, keys, order))
     else:
-        slices = min(2 * math.ceil(total / max_group_rows), MAX_SLICES)
+        slices = 2 * math.ceil(total / max_group_rows)
         result = _across_slices(prepared, keys, order, kinds, slices)
     return result.select(*df.columns, *values)
 

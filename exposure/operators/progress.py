@@ -50,7 +50,7 @@ def batch_progress(
     def percent(finished: Column) -> Column:
         return (finished / F.col("total_batches") * 100).cast("int")
 
-    return lookup_join(done, totals, ["scan_id"], measured=batches).withColumns({
+    return lookup_join(done, totals, ["scan_id"]).withColumns({
         "progress_before": percent(F.col("batch_id")),
         "progress_after": percent(F.col("batch_id") + 1),
     })
@@ -107,7 +107,11 @@ def memory_peaks(samples: DataFrame, threshold_mb: float = MEMORY_THRESHOLD_MB)
 def memory_documents(
     samples: DataFrame, per_document: int = 1_000, max_group_rows: int = MAX_GROUP_ROWS
 ) -> DataFrame:
-    """Measurement arrays for JSON output, in time order, a bounded number per document."""
+    """Measurement arrays for JSON output, in time order, a bounded number per document.
+
+    Every part names the peak of the whole scan.
+    """
+    peaks = samples.groupBy("scan_id").agg(F.max("memory_mb").alias("peak_usage"))
     numbered = running(
         samples, ["scan_id"], LOG_ORDER, {"_row": (ROW_NUMBER, None)}, max_group_rows
     )
@@ -116,8 +120,8 @@ def memory_documents(
     )
     return (
         numbered.groupBy("scan_id", F.floor((F.col("_row") - 1) / per_document).alias("part"))
-        .agg(F.max("memory_mb").alias("peak_usage"),
-             F.sort_array(F.collect_list(sample)).alias("_samples"))
+        .agg(F.sort_array(F.collect_list(sample)).alias("_samples"))
+        .join(peaks, "scan_id", "left")
         .select(
             "scan_id", "part", "peak_usage",
             F.transform("_samples", lambda s: s.dropFields("_row")).alias("measurements"),

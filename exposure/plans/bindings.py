@@ -50,14 +50,16 @@ _PHASE_NAME = (
     "case event_id % 4 when 0 then 'subdomain_enumeration' when 1 then 'alive_check' "
     "when 2 then 'vulnerability_scan' else 'unknown_phase' end"
 )
-_DOCUMENT = """case when c_custkey % 19 = 0 then '{"scan_id": "broken' else concat(
+_DOCUMENT = """case when c_custkey % 19 = 0 then '{"scan_id": "broken'
+    when c_custkey % 29 = 0 then '{}' else concat(
     '{"scan_id":"s', cast(c_custkey as string), '"',
     case when c_custkey % 7 = 0 then '' else ',"domain":"d.example.com"' end,
     ',"start_time":"2024-01-01T00:00:00","last_update":"2024-01-01T00:00:00","status":"in_progress","phases":{"subdomain_enumeration":{"status":"completed","progress_percentage":100,"results_count":',
     cast(c_nationkey as string), ',"checkpoint":{"batch_index":3}}',
-    case when c_custkey % 5 = 0 then '' else ',"alive_check":{"status":"in_progress","progress_percentage":45,"results_count":2},"vulnerability_scan":{"status":"pending","progress_percentage":0,"results_count":0}' end,
+    case when c_custkey % 5 = 0 then '' when c_custkey % 17 = 0 then ',"alive_check":5,"vulnerability_scan":{"status":"pending","progress_percentage":"7","results_count":0}' else ',"alive_check":{"status":"in_progress","progress_percentage":45,"results_count":2},"vulnerability_scan":{"status":"pending","progress_percentage":0,"results_count":0}' end,
     '},"statistics":{"subdomains_found":', cast(c_nationkey as string), '}',
-    case when c_custkey % 11 = 0 then '' else ',"environment":{"tool_versions":{},"templates_hash":""}' end, '}') end"""
+    case when c_custkey % 11 = 0 then '' else ',"environment":{"tool_versions":{},"templates_hash":""}' end, '}',
+    case when c_custkey % 23 = 0 then ' trailing' when c_custkey % 31 = 0 then ' }' when c_custkey % 37 = 0 then ']' else '' end) end"""
 _STATE_DOCUMENT = """case when c_custkey % 19 = 0 then '{"status": ' else concat(
     '{', case when c_custkey % 3 = 0 then '' else '"status":"failed",' end,
     '"start_time":', cast(1700000000 + c_custkey as string),
@@ -74,13 +76,15 @@ BINDINGS = {
                 "case when page_id % 11 = 0 then '' else url end, "
                 "case when page_id % 6 = 0 then ' ' else '' end)",
     }),
-    # coloured "url [status] [title]" lines: only pages served over https answered
+    # coloured "url [status] [title]" lines of all pages; those served over http answered from
+    # another host, so the host that was asked counts as dead
     "probe_raw": Binding("pages", {
         "scan_id": "page_id % 5",
         "batch_id": "cast(page_id as int) % 8",
-        "line": "concat(url, ' [', chr(27), '[32m200', chr(27), '[0m] [', chr(27), "
-                "'[36mtitle ', cast(page_id % 10 as string), chr(27), '[0m]')",
-    }, where="url like 'https://%'"),
+        "line": "concat(replace(url, 'http://', 'https://moved.'), ' [', chr(27), '[32m200', "
+                "chr(27), '[0m] [', chr(27), '[36mtitle ', cast(page_id % 10 as string), "
+                "chr(27), '[0m]')",
+    }),
     # bare host names, a part of them not valid
     "host_names": Binding("customer", {
         "scan_id": "c_custkey % 20",
@@ -143,7 +147,8 @@ BINDINGS = {
     }),
     "position_events": Binding("events", {
         "scan_id": "user_id", "seq": "event_id", "ts": "ts", "phase": _PHASE_NAME,
-        "batch_index": "cast(event_id % 37 as int)", "batch_size": "cast(10 as int)",
+        "batch_index": "cast(event_id % 37 as int)",
+        "batch_size": "case when event_id % 3 = 0 then cast(10 as int) end",
         "progress": "cast(event_id % 101 as int)",
     }),
     "measurements": Binding("events", {
@@ -211,6 +216,15 @@ BINDINGS = {
     "domains": Binding("customer", {
         "scan_id": "c_custkey", "domain": "concat('c', cast(c_custkey as string), '.example.com')",
     }),
+    # scans 3, 10, 17, ... have no domain row: their scan_id is that of another table
+    "some_domains": Binding("customer", {
+        "scan_id": "case when c_custkey % 7 = 3 then -c_custkey else c_custkey end",
+        "domain": "concat('c', cast(c_custkey as string), '.example.com')",
+    }),
+    "required_tools": Binding("customer", {
+        "scan_id": "c_custkey",
+        "tool": "concat('tool', cast(c_custkey % 130 + c_custkey % 2 * 50 as string))",
+    }),
     "message_events": Binding("events", {
         "scan_id": "user_id", "seq": "event_id",
         "kind": "case event_type when 'view' then 'start' when 'click' then 'complete' "

@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exposure.functions import text
-from exposure.functions.documents import epoch_micros
+from exposure.functions.documents import body_of, epoch_micros
 from exposure.operators import (
     checkpoints, findings, fleet, hygiene, inventory, notify, progress,
 )
+from exposure.operators.joins import lookup_join
 from exposure.plans import reports
 from exposure.plans.bindings import AS_OF, AS_OF_EPOCH, frame, with_bindings
 from exposure.schemas import (
-    CHECKPOINT_DOCUMENT, DEFAULT_SEVERITIES, FINGERPRINT_SAMPLE, PHASES, REQUIRED_FIELDS,
-    STATISTICS,
+    DEFAULT_SEVERITIES, FINGERPRINT_SAMPLE, PHASES, REQUIRED_FIELDS, REQUIRED_PHASE_FIELDS,
+    SEVERITIES, STATISTICS,
 )
 from exposure.session import shared_dir
 from exposure.sources import readers, writers
@@ -241,7 +242,6 @@ anti join (select * from {skewed_sql(f"({_ANSWERED_SQL})")}) using (scan_id, k)
 def dead_hosts_hot(spark, sf_dir):
     return inventory.dead_hosts(
         skewed(hosts(spark, sf_dir)), skewed(probe_lines(spark, sf_dir)),
-        max_key_rows=1, sample=1.0,
     )
 
 
@@ -371,7 +371,7 @@ where wanted is null or list_contains({_WANTED_SQL}, severity)
 """)
 def filter_severity_requests_hot(spark, sf_dir):
     return findings.filter_severity_requests(
-        skewed(tagged(spark, sf_dir)), _severity_requests(spark, sf_dir), HOT_LOG_ROWS, 1.0
+        skewed(tagged(spark, sf_dir)), _severity_requests(spark, sf_dir)
     ).select("scan_id", "seq", "severity")
 
 
@@ -438,11 +438,13 @@ def consolidation_totals(spark, sf_dir):
 
 
 def _reported(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scan state whose summary is one finding too high for every tenth scan."""
+    """Scan state whose summary is one finding too high for every tenth scan; the state of some
+    scans stands under another scan_id, so that these have lines and no state."""
+    scan = F.col("scan_id")
     return frame(spark, sf_dir, "findings").groupBy("scan_id").agg(
         F.count(F.lit(1)).alias("_n")
     ).select(
-        "scan_id",
+        F.when(scan % 25 == 7, -scan).otherwise(scan).alias("scan_id"),
         (F.col("_n") + F.when(F.col("scan_id") % 10 == 0, 1).otherwise(0)).alias("vulnerabilities"),
     )
 
@@ -453,14 +455,16 @@ def _written(spark: SparkSession, sf_dir: str) -> DataFrame:
         frame(spark, sf_dir, "event_kinds").groupBy("scan_id")
         .agg(F.max_by("kind", "seq").alias("_last")).filter(F.col("_last") == "error")
     )
-    return hygiene.load_findings(frame(spark, sf_dir, "findings")).join(
-        failed, "scan_id", "left_anti"
+    return lookup_join(
+        hygiene.load_findings(frame(spark, sf_dir, "findings")), failed.select("scan_id"),
+        ["scan_id"], "left_anti",
     )
 
 
 _STATE_SQL = """
-state as (select scan_id, count(*) + case when scan_id % 10 = 0 then 1 else 0 end as reported
-  from findings group by scan_id),
+state as (select case when scan_id % 25 = 7 then -scan_id else scan_id end as scan_id,
+    count(*) + case when scan_id % 10 = 0 then 1 else 0 end as reported
+  from findings group by findings.scan_id),
 failed as (select scan_id from event_kinds group by scan_id having arg_max(kind, seq) = 'error')
 """
 
@@ -469,9 +473,9 @@ failed as (select scan_id from event_kinds group by scan_id having arg_max(kind,
 , {_STATE_SQL}
 select *, counted - classified as unclassified, reported <> counted as is_mismatch,
   reported > 0 and counted = 0 as needs_rebuild
-from (select scan_id, reported, coalesce(counted, 0) as counted,
-        coalesce(classified, 0) as classified
-      from state left join (select scan_id, count(*) as counted,
+from (select scan_id, coalesce(reported, 0) as reported, reported is not null as has_state,
+        coalesce(counted, 0) as counted, coalesce(classified, 0) as classified
+      from state full join (select scan_id, count(*) as counted,
           count({SEVERITY_SQL}) as classified
         from findings where scan_id not in (select scan_id from failed) group by scan_id)
       using (scan_id))
@@ -483,7 +487,7 @@ def reconcile_findings(spark, sf_dir):
 @query(["findings", "event_kinds"], f"""
 , {_STATE_SQL}
 select scan_id, batch_id, seq, line from findings
-where scan_id in (select scan_id from failed)
+where scan_id in (select scan_id from failed) and scan_id in (select scan_id from state)
 """)
 def rebuild_empty_results(spark, sf_dir):
     return findings.rebuild_empty_results(
@@ -491,7 +495,11 @@ def rebuild_empty_results(spark, sf_dir):
     ).drop("ts")
 
 
-@query(["findings"], "select scan_id, line from findings")
+@query(["findings", "event_kinds"], f"""
+, {_STATE_SQL}
+select scan_id, line from findings
+where scan_id not in (select scan_id from failed) or scan_id in (select scan_id from state)
+""")
 def write_findings(spark, sf_dir):
     """Write the readable results, then add the rebuilt ones to the scans that had none."""
     path = shared_dir(spark, "findings")
@@ -652,9 +660,10 @@ def memory_peaks(spark, sf_dir):
 
 
 @query(["measurements"], """
-select scan_id, part, max(memory_mb) as peak_usage, count(*) as samples,
+select scan_id, part, any_value(peak) as peak_usage, count(*) as samples,
   arg_min(label, seq) as first_label, arg_max(label, seq) as last_label
-from (select *, (row_number() over (partition by scan_id order by ts, seq) - 1) // 20 as part
+from (select *, (row_number() over (partition by scan_id order by ts, seq) - 1) // 20 as part,
+        max(memory_mb) over (partition by scan_id) as peak
       from measurements) group by scan_id, part
 """)
 def memory_documents(spark, sf_dir):
@@ -696,7 +705,8 @@ def loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(["checkpoint_docs"], f"""
-select scan_id, case when j is null then 'corrupt' else 'loaded' end as load_status,
+select scan_id, case when j is null then 'corrupt' when not json_exists(j, '$.scan_id')
+    then 'no_scan_id' else 'loaded' end as load_status,
   j->>'$.scan_id' as checkpoint_id, j->>'$.domain' as domain, j->>'$.status' as status,
   coalesce(cast(j->>'$.phases.subdomain_enumeration.checkpoint.batch_index' as integer), -1)
     as batch_index,
@@ -737,17 +747,27 @@ def _missing_sql(names: tuple[str, ...], message: str, path: str) -> str:
     )
 
 
+_PHASE_FIELDS = dict(zip(
+    REQUIRED_PHASE_FIELDS, ("status", "progress percentage", "results count")
+))
+_PHASE_ISSUES_SQL = ", ".join(
+    f"case when not json_exists(j, '$.phases.{p}') then 'Missing phase: {p}' end, " + ", ".join(
+        f"case when json_exists(j, '$.phases.{p}') and not json_exists(j, '$.phases.{p}.{field}') "
+        f"then 'Missing {label} in phase: {p}' end" for field, label in _PHASE_FIELDS.items())
+    for p in PHASES
+)
+
 _ISSUES_SQL = f"""
 select scan_id, cast(len(issues) as integer) as n_issues, len(issues) = 0 as is_valid,
   array_to_string(issues, '; ') as issues
-from (select scan_id, case when j is null then ['Checkpoint not initialized']
+from (select scan_id, case when j is null or j = '{{}}' then ['Checkpoint not initialized']
         when len(top) > 0 then top else nested end as issues
       from (select *,
         list_filter([{_missing_sql(REQUIRED_FIELDS, 'Missing required field: ', '$')}],
           lambda x: x is not null) as top,
         list_filter([case when (j->>'$.domain') <> expected_domain then 'Domain mismatch: '
             || (j->>'$.domain') || ' (checkpoint) vs ' || expected_domain || ' (current)' end,
-          {_missing_sql(PHASES, 'Missing phase: ', '$.phases')},
+          {_PHASE_ISSUES_SQL},
           {_missing_sql(STATISTICS, 'Missing statistic: ', '$.statistics')}],
           lambda x: x is not null) as nested
         from ({PARSED_DOCS_SQL})))
@@ -773,28 +793,32 @@ select scan_id, j is not null as is_repaired,
     lambda x: x is not null), ',') end as added,
   case when j is null then null else coalesce(j->>'$.domain', expected_domain) end as domain,
   case when j is null then null
-    else coalesce(j->>'$.phases.alive_check.status', 'pending') end as alive_status,
+    when json_exists(j, '$.phases.alive_check') then j->>'$.phases.alive_check.status'
+    else 'pending' end as alive_status,
   j->>'$.phases.subdomain_enumeration.status' as enumeration_status,
   case when j is null then 'Checkpoint not initialized'
     else array_to_string(list_filter([
       case when (j->>'$.domain') <> expected_domain then 'Domain mismatch: '
         || (j->>'$.domain') || ' (checkpoint) vs ' || expected_domain || ' (current)' end,
+      case when json_exists(j, '$.phases.alive_check') and json_type(j, '$.phases.alive_check')
+        <> 'OBJECT' then 'Missing status in phase: alive_check; Missing progress percentage in '
+        || 'phase: alive_check; Missing results count in phase: alive_check' end,
       {_missing_sql(STATISTICS, 'Missing statistic: ', '$.statistics')}],
       lambda x: x is not null), '; ') end as issues_left
-from ({PARSED_DOCS_SQL})
+from (select * replace (case when j <> '{{}}' then j end as j) from ({PARSED_DOCS_SQL}))
 """)
 def repair_checkpoints(spark, sf_dir):
-    repaired = checkpoints.repair_checkpoints(documents(spark, sf_dir), as_of()).withColumn(
-        "typed_phases", F.when(
-            F.col("is_repaired"), F.from_json("doc", CHECKPOINT_DOCUMENT)["phases"]
-        ),
-    ).withColumn("domain", F.when(F.col("is_repaired"), F.get_json_object("doc", "$.domain")))
+    repaired = checkpoints.repair_checkpoints(documents(spark, sf_dir), as_of())
     checked = checkpoints.checkpoint_issues(
-        repaired, keep=("is_repaired", "added", "domain", "typed_phases")
+        checkpoints.load_checkpoints(repaired),
+        keep=("is_repaired", "added", "domain", "phases"),
+    )
+    status = lambda name: F.when(
+        F.col("is_repaired"), F.try_element_at("phases", F.lit(name))["status"]
     )
-    status = lambda name: F.try_element_at("typed_phases", F.lit(name))["status"]
     return checked.select(
-        "scan_id", "is_repaired", F.array_join("added", ",").alias("added"), "domain",
+        "scan_id", "is_repaired", F.array_join("added", ",").alias("added"),
+        F.when(F.col("is_repaired"), F.col("domain")).alias("domain"),
         status("alive_check").alias("alive_status"),
         status("subdomain_enumeration").alias("enumeration_status"),
         F.array_join("issues", "; ").alias("issues_left"),
@@ -808,10 +832,11 @@ select scan_id, j is not null as is_readable, cast(null as varchar) as position,
 from ({PARSED_DOCS_SQL})
 """)
 def compact_checkpoints(spark, sf_dir):
-    value = lambda path: F.get_json_object("doc", path)
+    readable = body_of(F.col("doc")).isNotNull()
+    value = lambda path: F.when(readable, F.get_json_object("doc", path))
     compacted = checkpoints.compact_checkpoints(documents(spark, sf_dir))
     return compacted.select(
-        "scan_id", F.try_parse_json("doc").isNotNull().alias("is_readable"),
+        "scan_id", readable.alias("is_readable"),
         value("$.phases.subdomain_enumeration.checkpoint").alias("position"),
         value("$.phases.subdomain_enumeration.results_count").alias("results_count"),
         value("$.phases.alive_check.progress_percentage").alias("alive_progress"),
@@ -825,7 +850,7 @@ select scan_id, j->>'$.scan_id' as checkpoint_id, j->>'$.domain' as domain,
     {", ".join(f"'{p}=' || (j->>'$.phases.{p}.status')" for p in sorted(PHASES))}],
     lambda x: x is not null), ',') as phase_status,
   cast(j->>'$.statistics.subdomains_found' as bigint) as subdomains_found
-from ({PARSED_DOCS_SQL}) where j is not null
+from ({PARSED_DOCS_SQL}) where json_exists(j, '$.scan_id')
 """)
 def scan_summary(spark, sf_dir):
     entries = F.transform(
@@ -864,7 +889,7 @@ def phase_table(spark, sf_dir):
 @query(["checkpoint_docs"], f"""
 select scan_id, 'Subdomains Found' as metric,
   cast(j->>'$.statistics.subdomains_found' as bigint) as value
-from ({PARSED_DOCS_SQL}) where j is not null
+from ({PARSED_DOCS_SQL}) where json_exists(j, '$.statistics')
 """)
 def statistics_table(spark, sf_dir):
     return checkpoints.statistics_table(loaded(spark, sf_dir))
@@ -949,21 +974,34 @@ select scan_id, path, mtime_s from (select *, row_number() over (partition by sc
 """)
 def expired_snapshots_hot(spark, sf_dir):
     files = skewed(frame(spark, sf_dir, "files").select("scan_id", "path", "mtime_s"))
-    return checkpoints.expired_snapshots(files, max_key_rows=HOT_HOSTS // 2, sample=1.0)
+    return checkpoints.expired_snapshots(files)
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded(spark, sf_dir).select(
-        "scan_id", "phases", "statistics", "status",
+        "scan_id", "load_status", "phases", "statistics", "status",
         F.col("environment.templates_hash").alias("templates_hash"),
         F.col("last_update").cast("timestamp_ntz").alias("last_update"),
+        "held_phases", "held_statistics", "has_environment",
     )
 
 
 _BASE_SQL = f"""
-base as (select scan_id, j, cast(j->>'$.last_update' as timestamp) as last_update
+base as (select scan_id, j, j is not null and json_exists(j, '$.scan_id') as is_loaded,
+    cast(j->>'$.last_update' as timestamp) as last_update
   from ({PARSED_DOCS_SQL}))
 """
+_HELD_PHASES_SQL = "held as (" + " union all ".join(
+    f"select scan_id, '{p}' as phase from base "
+    f"where is_loaded and json_type(j, '$.phases.{p}') = 'OBJECT'" for p in PHASES) + ")"
+_HELD_STATISTICS_SQL = "held as (" + " union all ".join(
+    f"select scan_id, '{s}' as name from base "
+    f"where is_loaded and json_exists(j, '$.statistics.{s}')" for s in STATISTICS) + ")"
+_HELD_FIELDS_SQL = (
+    "held as (select scan_id, 'status' as name from base where is_loaded union all "
+    "select scan_id, 'templates_hash' from base "
+    "where is_loaded and json_type(j, '$.environment') = 'OBJECT')"
+)
 _SHORT = dict(zip(PHASES, ("enumeration", "alive", "vulnerability")))
 
 
@@ -979,13 +1017,13 @@ def _flat_phases(field: str) -> list:
 
 
 @query(["checkpoint_docs", "phase_events"], f"""
-, {_BASE_SQL},
+, {_BASE_SQL}, {_HELD_PHASES_SQL},
 known as (select * from ({LATEST_PHASES_SQL})
   join (select scan_id, phase, max(ts) as ts from phase_events group by scan_id, phase)
-  using (scan_id, phase) where phase <> 'unknown_phase')
+  using (scan_id, phase) semi join held using (scan_id, phase))
 select base.scan_id,
   {", ".join(
-      f"case when json_exists(j, '$.phases.{p}') then coalesce(max(case when phase = '{p}' then known.status end), any_value(j->>'$.phases.{p}.status')) end as {s}"
+      f"coalesce(max(case when phase = '{p}' then known.status end), any_value(j->>'$.phases.{p}.status')) as {s}"
       for p, s in _SHORT.items())},
   coalesce(epoch_us(greatest(last_update, max(ts))), -1) as last_update_us
 from base left join known using (scan_id) group by base.scan_id, j, last_update
@@ -997,23 +1035,45 @@ def apply_phase_events(spark, sf_dir):
     return applied.select("scan_id", *_flat_phases("status"), _last_update_us())
 
 
-@query(["phase_events"], """
-select scan_id, seq, phase from phase_events where phase not in
-('subdomain_enumeration', 'alive_check', 'vulnerability_scan')
+@query(["checkpoint_docs", "phase_events"], f"""
+, {_BASE_SQL}, {_HELD_PHASES_SQL}
+select scan_id, seq, phase from phase_events anti join held using (scan_id, phase)
 """)
 def rejected_phase_events(spark, sf_dir):
-    _, rejected = checkpoints.split_phase_events(frame(spark, sf_dir, "phase_events"))
+    _, rejected = checkpoints.split_phase_events(
+        frame(spark, sf_dir, "phase_events"), _base(spark, sf_dir)
+    )
     return rejected.select("scan_id", "seq", "phase")
 
 
+@query(["checkpoint_docs", "statistic_events", "field_events"], f"""
+, {_BASE_SQL}, statistics as (with {_HELD_STATISTICS_SQL} select * from held),
+fields as (with {_HELD_FIELDS_SQL} select * from held)
+select 'statistic' as kind, scan_id, seq, name
+from statistic_events anti join statistics using (scan_id, name)
+union all select 'field', scan_id, seq, name from field_events anti join fields using (scan_id, name)
+""")
+def rejected_updates(spark, sf_dir):
+    base = _base(spark, sf_dir)
+    _, statistics = checkpoints.split_statistic_events(
+        frame(spark, sf_dir, "statistic_events"), base
+    )
+    _, fields = checkpoints.split_field_events(frame(spark, sf_dir, "field_events"), base)
+    return statistics.select(F.lit("statistic").alias("kind"), "scan_id", "seq", "name").union(
+        fields.select(F.lit("field").alias("kind"), "scan_id", "seq", "name")
+    )
+
+
 @query(["checkpoint_docs", "statistic_events"], f"""
-, {_BASE_SQL}
+, {_BASE_SQL}, {_HELD_STATISTICS_SQL}
 select scan_id, {", ".join(
     f"coalesce(e.{s}, cast(j->>'$.statistics.{s}' as bigint), -1) as {s}" for s in STATISTICS)},
   coalesce(epoch_us(greatest(last_update, ts)), -1) as last_update_us
-from base left join (select scan_id, max(ts) as ts, {", ".join(
+from base left join (select scan_id, max(ts) as ts from statistic_events
+    semi join (from base where is_loaded) using (scan_id) group by scan_id) using (scan_id)
+  left join (select scan_id, {", ".join(
     f"arg_max(value, seq) filter (name = '{s}') as {s}" for s in STATISTICS)}
-  from statistic_events group by scan_id) e using (scan_id)
+  from statistic_events semi join held using (scan_id, name) group by scan_id) e using (scan_id)
 """)
 def apply_statistic_events(spark, sf_dir):
     return checkpoints.apply_statistic_events(
@@ -1022,14 +1082,14 @@ def apply_statistic_events(spark, sf_dir):
 
 
 @query(["checkpoint_docs", "field_events"], f"""
-, {_BASE_SQL}
+, {_BASE_SQL}, {_HELD_FIELDS_SQL}
 select scan_id, coalesce(e.status, j->>'$.status') as status,
   coalesce(e.templates_hash, j->>'$.environment.templates_hash') as templates_hash,
   coalesce(epoch_us(greatest(last_update, ts)), -1) as last_update_us
 from base left join (select scan_id, max(ts) as ts,
     arg_max(value, seq) filter (name = 'status') as status,
     arg_max(value, seq) filter (name = 'templates_hash') as templates_hash
-  from field_events where name <> 'other' group by scan_id) e using (scan_id)
+  from field_events semi join held using (scan_id, name) group by scan_id) e using (scan_id)
 """)
 def apply_field_events(spark, sf_dir):
     return checkpoints.apply_field_events(
@@ -1038,22 +1098,24 @@ def apply_field_events(spark, sf_dir):
 
 
 @query(["checkpoint_docs", "position_events"], f"""
-, {_BASE_SQL}
+, {_BASE_SQL}, {_HELD_PHASES_SQL}
 select scan_id, {", ".join(
-    f"coalesce(case when json_exists(j, '$.phases.{p}') then coalesce(e.{s}, cast(j->>'$.phases.{p}.checkpoint.batch_index' as integer)) end, -1) as {s}"
-    for p, s in _SHORT.items())}
-from base left join (select scan_id, {", ".join(
-    f"arg_max(batch_index, seq) filter (phase = '{p}') as {s}" for p, s in _SHORT.items())}
-  from position_events group by scan_id) e using (scan_id)
+    f"coalesce(e.{f}_{s}, cast(j->>'$.phases.{p}.checkpoint.{f}' as integer), -1) as {f}_{s}"
+    for p, s in _SHORT.items() for f in checkpoints.POSITION)},
+  coalesce(epoch_us(greatest(last_update, ts)), -1) as last_update_us
+from base left join (select scan_id, max(ts) as ts, {", ".join(
+    f"arg_max({f}, seq) filter (phase = '{p}' and {f} is not null) as {f}_{s}"
+    for p, s in _SHORT.items() for f in checkpoints.POSITION)}
+  from position_events semi join held using (scan_id, phase) group by scan_id) e using (scan_id)
 """)
 def apply_position_events(spark, sf_dir):
     applied = checkpoints.apply_position_events(
         _base(spark, sf_dir), frame(spark, sf_dir, "position_events")
     )
     return applied.select("scan_id", *[
-        F.try_element_at("phases", F.lit(phase))["checkpoint"]["batch_index"].alias(short)
-        for phase, short in _SHORT.items()
-    ]).na.fill(-1)
+        F.try_element_at("phases", F.lit(phase))["checkpoint"][field].alias(f"{field}_{short}")
+        for phase, short in _SHORT.items() for field in checkpoints.POSITION
+    ], _last_update_us()).na.fill(-1)
 
 
 # --- tools and templates ---------------------------------------------------------------------
@@ -1087,15 +1149,17 @@ def environment_validity(spark, sf_dir):
     )
 
 
-@query(["installed_tools", "release_tags"], """
+@query(["installed_tools", "release_tags", "required_tools"], """
 select scan_id, tool, version, ltrim(tag, 'v') as latest_version,
-  not coalesce(contains(version, ltrim(tag, 'v')), false) as needs_update,
-  version is not distinct from ltrim(tag, 'v') as exact_match
-from installed_tools join release_tags using (tool)
+  tag is not null and not coalesce(contains(version, ltrim(tag, 'v')), false) as needs_update,
+  coalesce(version = ltrim(tag, 'v'), false) as exact_match
+from (select distinct scan_id, tool from required_tools)
+left join installed_tools using (scan_id, tool) left join release_tags using (tool)
 """)
 def outdated_tools(spark, sf_dir):
     return fleet.outdated_tools(
-        frame(spark, sf_dir, "installed_tools"), frame(spark, sf_dir, "release_tags")
+        frame(spark, sf_dir, "installed_tools"), frame(spark, sf_dir, "release_tags"),
+        frame(spark, sf_dir, "required_tools"),
     )
 
 
@@ -1162,49 +1226,55 @@ def notification_payloads(spark, sf_dir):
 
 def _list_message_sql(items: str, icon: str, noun: str, title: str) -> str:
     return f"""
-select scan_id, '{title}' as title, content, {payload_sql('content', f"'{title}'")} as payload
-from (select d.scan_id, '{icon} Found ' || coalesce(n, 0) || ' {noun} for ' || domain || ':'
-    || chr(10) || coalesce(shown, '')
-    || case when n > 100 then chr(10) || '... and ' || (n - 100) || ' more' else '' end as content
-  from (select distinct scan_id, domain from domains) d left join (
-    select scan_id, max(n) as n, string_agg('• ' || item, chr(10) order by item) as shown
-    from (select *, row_number() over (partition by scan_id order by item) as position,
+select scan_id, part, '{title}' as title, content,
+  {payload_sql('content', f"'{title}'")} as payload
+from (select scan_id, coalesce(part, 0) as part, '{icon} Found ' || coalesce(n, 0)
+    || ' {noun} for ' || coalesce(domain, 'unknown domain') || ':' || chr(10) || coalesce(shown, '')
+    || case when part = 0 and n > 100 then chr(10) || '... and ' || (n - 100) || ' more'
+       else '' end as content
+  from some_domains full join (
+    select scan_id, part, any_value(n) as n, string_agg('• ' || item, chr(10) order by item) as shown
+    from (select *, (row_number() over (partition by scan_id order by item) - 1) // 100 as part,
             count(*) over (partition by scan_id) as n from ({items}))
-    where position <= 100 group by scan_id) using (scan_id))
+    group by scan_id, part) using (scan_id))
 """
 
 
-@query(["host_names", "domains"], _list_message_sql(
+@query(["host_names", "some_domains"], _list_message_sql(
     NAMES_SQL.replace("as host", "as item"), "🔍", "subdomains", "Subdomains Found"))
 def notification_hosts_found(spark, sf_dir):
     items = _targets(spark, sf_dir).withColumnRenamed("host", "item")
-    return notify.list_messages(items, frame(spark, sf_dir, "domains"), notify.SUBDOMAINS_FOUND)
+    return notify.list_messages(
+        items, frame(spark, sf_dir, "some_domains"), notify.SUBDOMAINS_FOUND
+    )
 
 
-@query(["probe_raw", "domains"], _list_message_sql(
+@query(["probe_raw", "some_domains"], _list_message_sql(
     f"select scan_id, line as item from ({PROBE_SQL})", "🌐", "alive subdomains",
     "Alive Subdomains"))
 def notification_hosts_alive(spark, sf_dir):
     items = probe_lines(spark, sf_dir).select("scan_id", F.col("line").alias("item"))
-    return notify.list_messages(items, frame(spark, sf_dir, "domains"), notify.ALIVE_SUBDOMAINS)
+    return notify.list_messages(
+        items, frame(spark, sf_dir, "some_domains"), notify.ALIVE_SUBDOMAINS
+    )
 
 
-@query(["findings", "domains"], f"""
+@query(["findings", "some_domains"], f"""
 select scan_id, part, title, content, {payload_sql('content', 'title')} as payload from (
-  select d.scan_id, coalesce(part, 0) as part,
+  select scan_id, coalesce(part, 0) as part,
     case when part is null then 'Scan Completed' else 'Scan Results' end as title,
     case when part is null then '✅ No vulnerabilities found for ' || domain
-      else '📊 Scan results for ' || domain || ':' || chr(10) || '```' || chr(10) || body
+      else '📊 Scan results for ' || coalesce(domain, 'unknown domain') || ':' || chr(10) || '```' || chr(10) || body
         || chr(10) || '```' end as content
-  from domains d left join (
+  from some_domains full join (
     select scan_id, part, string_agg(line, chr(10) order by seq) as body
     from (select *, (row_number() over (partition by scan_id order by seq) - 1) // 25 as part
           from findings) group by scan_id, part) using (scan_id))
 """)
 def notification_results(spark, sf_dir):
     return notify.result_messages(
-        hygiene.load_findings(frame(spark, sf_dir, "findings")), frame(spark, sf_dir, "domains"),
-        ["seq"], lines_per_part=25,
+        hygiene.load_findings(frame(spark, sf_dir, "findings")),
+        frame(spark, sf_dir, "some_domains"), ["seq"], lines_per_part=25,
     )
 
 
@@ -1217,7 +1287,9 @@ def _as_stream(spark: SparkSession, df: DataFrame, order: str, cuts: list) -> Da
     for low, high in zip(bounds, bounds[1:]):
         part = df
         if low is not None:
-            part = part.filter(F.col(order) >= low)
+            # The last load also takes the rows that have no time.
+            later = F.col(order) >= low
+            part = part.filter(later if high is not None else later | F.col(order).isNull())
         if high is not None:
             part = part.filter(F.col(order) < high)
         part.write.mode("append").parquet(path)
@@ -1315,14 +1387,17 @@ def fleet_report(spark, sf_dir):
 
 @query(["checkpoint_docs", "hosts_raw", "probe_raw"], f"""
 , parsed as ({PARSED_DOCS_SQL}), phase_rows as ({_PHASE_ROWS_SQL})
-select scan_id, case when j is null then 'corrupt' else 'loaded' end as load_status,
-  n_issues as issues, cast(coalesce(pending_phases, 0) as integer) as pending_phases, next_phase,
+select scan_id, case when is_document is null then 'missing' when j is null then 'corrupt'
+    when not json_exists(j, '$.scan_id') then 'no_scan_id' else 'loaded' end as load_status,
+  coalesce(n_issues, 1) as issues, cast(case when is_document is null then 3
+    else coalesce(pending_phases, 0) end as integer) as pending_phases,
+  case when is_document is null then 'subdomain_enumeration' else next_phase end as next_phase,
   coalesce(targets_left, 0) as targets_left
-from parsed join ({_ISSUES_SQL}) using (scan_id)
+from (select *, true as is_document from parsed) join ({_ISSUES_SQL}) using (scan_id)
 left join (select scan_id, count(*) as pending_phases, arg_min(phase, position) as next_phase
   from phase_rows where (r->>'$.status') is distinct from 'completed' group by scan_id)
   using (scan_id)
-left join (select scan_id, count(*) as targets_left from ({HOSTS_SQL}) anti join
+full join (select scan_id, count(*) as targets_left from ({HOSTS_SQL}) anti join
   (select scan_id, split_part(line, ' ', 1) as host from ({PROBE_SQL})) using (scan_id, host)
   group by scan_id) using (scan_id)
 """)
@@ -1334,11 +1409,14 @@ def resume_plan(spark, sf_dir):
 
 @query(["findings", "event_kinds"], f"""
 , {_STATE_SQL}
-select scan_id, reported, found, cast(scan_id in (select scan_id from failed) as integer)
-    as is_rebuilt, critical, high, medium, low, info
-from state join (select scan_id, count(*) as found, {_LEVELS_SQL}
-  from (select scan_id, {SEVERITY_SQL} as severity from findings) group by scan_id)
-  using (scan_id)
+select scan_id, coalesce(reported, 0) as reported, reported is not null as has_state,
+  coalesce(found, 0) as found,
+  cast(found > 0 and scan_id in (select scan_id from failed) as integer) as is_rebuilt,
+  {", ".join(f"coalesce({level}, 0) as {level}" for level in SEVERITIES)}
+from state full join (select scan_id, count(*) as found, {_LEVELS_SQL}
+  from (select scan_id, {SEVERITY_SQL} as severity from findings
+    where scan_id not in (select scan_id from failed) or scan_id in (select scan_id from state))
+  group by scan_id) using (scan_id)
 """)
 def results_report(spark, sf_dir):
     return reports.results_report(

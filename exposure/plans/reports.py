@@ -7,9 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from exposure.functions import text
 from exposure.operators import checkpoints, findings, hygiene, inventory
-from exposure.schemas import SEVERITIES
+from exposure.schemas import PHASES, SEVERITIES
 
 
 def _stack(parts: list[tuple[DataFrame, dict[str, Column]]]) -> DataFrame:
@@ -31,8 +30,7 @@ def fleet_report(host_lines: DataFrame, probe_lines: DataFrame, finding_lines: D
     """Hosts, valid hosts, hosts that answered and findings by severity, one row per scan."""
     hosts = hygiene.validate_hosts(hygiene.load_hosts(host_lines))
     alive = inventory.alive_hosts(
-        hosts, hygiene.load_probe_lines(probe_lines),
-        measured=host_lines.select("scan_id", text.stripped(F.col("line")).alias("host")),
+        hosts, hygiene.load_probe_lines(probe_lines)
     )
     tagged = findings.tag_severity(hygiene.load_findings(finding_lines))
     one = F.count(F.lit(1))
@@ -47,7 +45,10 @@ def fleet_report(host_lines: DataFrame, probe_lines: DataFrame, finding_lines: D
 
 
 def resume_plan(documents: DataFrame, targets: DataFrame, processed: DataFrame) -> DataFrame:
-    """For every scan document: can it be read, what is wrong, what is left to do."""
+    """For every scan: can its document be read, what is wrong, what is left to do.
+
+    Scans with targets but no document are listed as missing, with everything to do.
+    """
     loaded = checkpoints.load_checkpoints(documents).withColumn(
         "_pending", checkpoints.pending_list(F.col("phases"))
     )
@@ -61,12 +62,22 @@ def resume_plan(documents: DataFrame, targets: DataFrame, processed: DataFrame)
             F.size("_pending").alias("pending_phases"),
             F.try_element_at("_pending", F.lit(1))["phase"].alias("next_phase"),
         )
-        .join(left, "scan_id", "left").na.fill(0, ["targets_left"])
+        .join(left, "scan_id", "full_outer")
+        .na.fill("missing", ["load_status"]).na.fill(1, ["issues"])
+        .na.fill(0, ["targets_left"])
+        .withColumns({
+            "next_phase": F.when(F.col("pending_phases").isNull(), PHASES[0])
+            .otherwise(F.col("next_phase")),
+            "pending_phases": F.coalesce("pending_phases", F.lit(len(PHASES))),
+        })
     )
 
 
 def results_report(state: DataFrame, results: DataFrame, batch_lines: DataFrame) -> DataFrame:
-    """Reported and found findings by severity; empty results are read from the batch files."""
+    """Reported and found findings by severity; empty results are read from the batch files.
+
+    Scans with lines but no state row are listed with nothing reported and ``has_state = false``.
+    """
     rebuilt = findings.rebuild_empty_results(state, results, batch_lines)
     lines = results.select("scan_id", "line").unionByName(
         rebuilt.select("scan_id", "line").withColumn("_rebuilt", F.lit(1)), allowMissingColumns=True
@@ -77,6 +88,9 @@ def results_report(state: DataFrame, results: DataFrame, batch_lines: DataFrame)
         *[F.count_if(F.col("severity") == name).alias(name) for name in SEVERITIES],
     )
     return (
-        state.select("scan_id", F.col("vulnerabilities").alias("reported"))
-        .join(found, "scan_id", "left").na.fill(0, ["found", "is_rebuilt", *SEVERITIES])
+        state.select(
+            "scan_id", F.col("vulnerabilities").alias("reported"), F.lit(True).alias("has_state")
+        )
+        .join(found, "scan_id", "full_outer")
+        .na.fill(0, ["reported", "found", "is_rebuilt", *SEVERITIES]).na.fill(False, ["has_state"])
     )

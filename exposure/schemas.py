@@ -23,7 +23,6 @@ SNAPSHOTS_KEPT = 5
 PREVIEW_ROWS = 10
 MESSAGE_ITEMS = 100
 FINGERPRINT_SAMPLE = 100
-FINGERPRINT_HEAD_BYTES = 4_096
 
 ANSI_PATTERN = r"\x1B(?:[@-Z\\-_]|\[[0-?]*[ -/]*[@-~])"
 EMBED_COLOR = 0x00FF00

@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_module
 from exposure.operators import checkpoints, findings, inventory, joins
 from exposure.plans.bindings import frame
+from exposure.plans.queries import QUERIES
 from exposure.sources import writers
 
 
@@ -13,12 +13,12 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-STREAMS = {n for n in entry_module.queries() if n.startswith("stream_")}
+STREAMS = {n for n in QUERIES if n.startswith("stream_")}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_module.queries()) - STREAMS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMS))
 def test_no_product_no_python_no_global_window(spark, sf_dir, name):
-    text = plan(entry_module.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     for word in (
         "CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython",
         "InPandas", "InArrow", "SinglePartition",
@@ -27,25 +27,24 @@ def test_no_product_no_python_no_global_window(spark, sf_dir, name):
 
 
 def test_scan_reads_only_the_columns_it_needs(spark, sf_dir):
-    text = plan(entry_module.queries()["severity_counts"](spark, sf_dir))
+    text = plan(QUERIES["severity_counts"](spark, sf_dir))
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string>" in text
-    text = plan(entry_module.queries()["expired_snapshots"](spark, sf_dir))
+    text = plan(QUERIES["expired_snapshots"](spark, sf_dir))
     assert "text:" not in text.split("ReadSchema")[1]
 
 
 def test_aggregates_combine_before_the_shuffle(spark, sf_dir):
-    text = plan(entry_module.queries()["severity_counts"](spark, sf_dir))
+    text = plan(QUERIES["severity_counts"](spark, sf_dir))
     assert text.index("partial_count") > text.index("Exchange hashpartitioning")
     assert text.count("Exchange") == 1
-    assert plan(entry_module.queries()["scan_funnel"](spark, sf_dir)).count("Join") == 0
+    assert plan(QUERIES["scan_funnel"](spark, sf_dir)).count("Join") == 0
 
 
 @pytest.mark.parametrize("name, rows", [
     ("finding_preview", 10), ("expired_snapshots", 5), ("corpus_sample", 100),
-    ("notification_hosts_found", 100),
 ])
 def test_groups_are_limited_before_the_shuffle(spark, sf_dir, name, rows):
-    text = plan(entry_module.queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     assert f"row_number(), {rows}, Partial" in text
 
 
@@ -84,7 +83,7 @@ def test_small_delta_does_not_shuffle_the_store(spark, tmp_path):
 
 
 def test_bucketed_store_is_not_shuffled(spark, sf_dir, no_automatic_broadcast):
-    hosts = entry_module.queries()["load_hosts"](spark, sf_dir)
+    hosts = QUERIES["load_hosts"](spark, sf_dir)
     spark.sql("drop table if exists host_store")
     writers.create_host_table(hosts.filter("scan_id < 3"), "host_store", buckets=8)
     try:
@@ -163,7 +162,7 @@ def test_hot_keys_do_not_meet_in_one_task(spark, no_automatic_broadcast, case):
     if case == "expired":
         per_scan = lines.groupBy("scan_id").count()
         expected = per_scan.agg(F.sum(F.greatest(F.col("count") - 5, F.lit(0)))).first()[0]
-    plain, split = result(), result(max_key_rows=5_000, sample=1.0)
+    plain, split = result(ways=1), result()
     assert plain.count() == split.count() == expected
     assert plain.exceptAll(split).count() == 0
     assert largest_task(plain) >= 20_000 - 5
@@ -171,12 +170,11 @@ def test_hot_keys_do_not_meet_in_one_task(spark, no_automatic_broadcast, case):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("sample", [1.0, 0.2])
-def test_lookup_join_equals_join(spark, how, sample):
+@pytest.mark.parametrize("ways", [1, 7])
+def test_lookup_join_equals_join(spark, how, ways):
     rows = hot_lines(spark, 3_000).select("scan_id", "path")
     lookup = spark.range(0, 1_000, 3).select(F.col("id").alias("scan_id"), (F.col("id") * 2).alias("x"))
     plain = rows.join(lookup, "scan_id", how)
-    split = joins.lookup_join(rows, lookup, ["scan_id"], how, max_key_rows=100, sample=sample)
-    assert "Union" in plan(split)
+    split = joins.lookup_join(rows, lookup, ["scan_id"], how, ways)
     assert plain.columns == split.columns
     assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))

@@ -14,7 +14,6 @@ empty result.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -53,12 +52,15 @@ _ARROW = pa.schema([
 class WordTokenizer:
     """The tokenizer's ids, asked for once for each of the strings between white space.
 
-    Its normaliser turns white space into one blank and its words never hold any, so a text's ids
-    are those of its parts in order. Python also splits at the four separators below, which the
-    tokenizer takes for ordinary characters; a text with one is encoded whole.
+    Its normaliser makes white space one blank and its words never hold any, so a text's ids are
+    those of its parts in order. It lower-cases, so texts may be lower-cased before (A-Z only, not
+    with a special token, and not with accents that are characters of their own: some join with
+    small letters only). Marks behind a letter at the end of a part are a word of their own. All
+    that makes more parts alike. ``known`` has the ids as four bytes each.
     """
 
-    SEPARATORS = re.compile("[\x1c-\x1f]")
+    MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+    ACCENTS = (b"\xcc", b"\xcd")  # how U+0300 to U+036F start
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -66,44 +68,65 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.known: dict[str, bytes] = {}  # ids as four bytes each
-        special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items()
-                   if not t.normalized and not t.single_word]
-        self.mark_id, self.mark = special[0] if special else (None, None)
+        self.known: dict[bytes, bytes] = {}
+        special = self.tokenizer.get_added_tokens_decoder()
+        self.mark_id = min(special, default=None)
+        self.mark = special[self.mark_id].content if special else None
+        self.specials = {t.content[:2].encode() for t in special.values()}
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.int32) for e in found]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _ask(self, pieces: list[bytes]) -> None:
         """Ask for many pieces in one text, with a special token between them.
 
         The tokenizer takes special tokens out of a text before anything else, so each piece is
         encoded on its own, and one call for each piece would cost far more than the piece.
         """
-        alone = [p for p in pieces if self.mark is None or self.mark in p]
-        self.known.update(zip(alone, (ids.tobytes() for ids in self._encode(alone))))
-        left = pieces if not alone else [p for p in pieces if p not in self.known]
-        groups = [left[i:i + TOGETHER] for i in range(0, len(left), TOGETHER)]
-        for group, ids in zip(groups, self._encode([f" {self.mark} ".join(g) for g in groups])):
+        groups = [pieces[i:i + TOGETHER] for i in range(0, len(pieces), TOGETHER)]
+        between = f" {self.mark} ".encode()
+        for group, ids in zip(groups, self._encode([between.join(g).decode() for g in groups])):
             stops = [*(4 * np.flatnonzero(ids == self.mark_id)).tolist(), 4 * len(ids)]
             held, start = ids.tobytes(), 0
             for piece, stop in zip(group, stops, strict=True):
                 self.known[piece] = held[start:stop]
                 start = stop + 4
 
+    def _learn(self, pieces: list[bytes], special: bool) -> None:
+        """``special``: a piece may hold a special token, or there is none to put between them."""
+        if special:
+            alone = [p for p in pieces if self.mark is None or any(t in p for t in self.specials)]
+            self.known.update(zip(alone, (
+                ids.tobytes() for ids in self._encode([p.decode() for p in alone]))))
+            pieces = [p for p in pieces if p not in self.known]
+        cut = [(p, len(stem)) for p in pieces
+               if len(stem := p.rstrip(self.MARKS)) < len(p) and stem[-1:].isalpha()]
+        wanted = set(pieces).difference(p for p, _ in cut)
+        wanted.update(p[:n] for p, n in cut)
+        wanted.update(p[n:] for p, n in cut)
+        self._ask(list(wanted.difference(self.known)))
+        for piece, n in cut:
+            self.known[piece] = self.known[piece[:n]] + self.known[piece[n:]]
+
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         if len(self.known) > KNOWN_PIECES:
             self.known.clear()
-        whole = [bool(self.SEPARATORS.search(t)) for t in texts]
-        parts = [[t] if w else t.split() for t, w in zip(texts, whole)]
+        parts, special = [], self.mark is None
+        for text in texts:
+            raw = text.encode()
+            held = any(t in raw for t in self.specials)
+            special |= held
+            # bytes know ASCII only: A-Z, and space, \t, \n, \v, \f, \r.
+            parts.append((raw if held or any(t in raw for t in self.ACCENTS) else raw.lower()).split())
         new = list(set(chain.from_iterable(parts)).difference(self.known))
-        self._learn(new)
+        self._learn(new, special)
         for words in parts:
             yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32)
         for piece in new:
             if len(piece) > LONGEST_KNOWN:
-                del self.known[piece]
+                self.known.pop(piece, None)
+                self.known.pop(piece.rstrip(self.MARKS), None)
 
 
 @lru_cache(maxsize=1)

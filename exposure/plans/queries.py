@@ -1278,6 +1278,62 @@ def notification_results(spark, sf_dir):
     )
 
 
+# --- sinks read back -------------------------------------------------------------------------
+
+@query(["checkpoint_docs"], """
+select scan_id, '20240131_000000' as snapshot, 'scan_state_20240131_000000.json' as file_name, doc
+from checkpoint_docs
+""")
+def stored_snapshots(spark, sf_dir):
+    """Snapshots written twice under one label: the second write replaces the first."""
+    path = shared_dir(spark, "snapshots")
+    taken = checkpoints.snapshot_checkpoints(documents(spark, sf_dir), as_of())
+    writers.write_snapshots(taken, path)
+    writers.write_snapshots(taken, path)
+    return spark.read.schema(taken.schema).parquet(path).select(taken.columns)
+
+
+@query([], None)
+def stored_scan_state(spark, sf_dir):
+    """Scan-state documents written as JSON text and loaded from there."""
+    path = shared_dir(spark, "scan-state")
+    writers.write_json(frame(spark, sf_dir, "state_docs"), path)
+    stored = spark.read.schema("scan_id bigint, doc string").json(path)
+    return readers.load_scan_state(stored).drop("error")
+
+
+@query([], None)
+def stored_memory_documents(spark, sf_dir):
+    path = shared_dir(spark, "memory")
+    made = progress.memory_documents(frame(spark, sf_dir, "measurements"), 20)
+    writers.write_json(made, path)
+    return spark.read.schema(made.schema).json(path).select(
+        "scan_id", "part", "peak_usage", F.size("measurements").cast("bigint").alias("samples"),
+        F.element_at("measurements", 1)["label"].alias("first_label"),
+        F.element_at("measurements", -1)["label"].alias("last_label"),
+    )
+
+
+@query(["hosts_raw"], HOSTS_SQL)
+def exported_hosts(spark, sf_dir):
+    """The host store as text, read back; the store itself is cleared and holds nothing then."""
+    store, path = shared_dir(spark, "host-store"), shared_dir(spark, "host-export")
+    writers.ensure_host_folder(spark, store)
+    writers.write_host_load(hosts(spark, sf_dir), store, "all")
+    writers.export_hosts(writers.read_host_folder(spark, store), path)
+    writers.clear_host_folder(spark, store)
+    left = writers.read_host_folder(spark, store).select("scan_id", "host")
+    exported = readers.read_lines(spark, path).select(
+        F.col("scan_id").cast("bigint").alias("scan_id"), F.col("line").alias("host")
+    )
+    return exported.unionByName(left)
+
+
+# What is read back is what was written.
+ORACLES["stored_scan_state"] = ORACLES["load_scan_state"]
+ORACLES["stored_memory_documents"] = ORACLES["memory_documents"]
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 def _as_stream(spark: SparkSession, df: DataFrame, order: str, cuts: list) -> DataFrame:

@@ -45,7 +45,7 @@ PHASE_STATE = (
 
 DOCUMENT_STATE = "scan_id bigint, ts timestamp_ntz, seq bigint, doc string"
 
-LAST_STATUS = "scan_id bigint, seq bigint, ts timestamp_ntz, status string"
+LAST_STATUS = "scan_id bigint, seq bigint, ts timestamp_ntz, status string, arrived bigint"
 
 TRANSITIONS = (
     "scan_id bigint, seq bigint, ts timestamp_ntz, previous_status string, status string"

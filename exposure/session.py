@@ -44,6 +44,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def discard_older(spark: SparkSession, folder: str, keep: set[str]) -> None:
+    """Delete the folders ``load=...`` inside ``folder`` except those in ``keep``."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(top):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("load=") and name[5:] not in keep:
+            files.delete(status.getPath(), True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back, cutting its lineage."""
     spark = df.sparkSession

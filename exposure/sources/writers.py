@@ -111,7 +111,7 @@ def append_host_table(fresh: DataFrame, table: str, buckets: int = HOST_BUCKETS)
 def _in_bucket(hosts: DataFrame) -> DataFrame:
     return hosts.select(
         "scan_id", "host",
-        F.pmod(F.xxhash64("scan_id"), F.lit(SCAN_BUCKETS)).cast("int").alias("scan_bucket"),
+        F.pmod(F.xxhash64("scan_id", "host"), F.lit(SCAN_BUCKETS)).cast("int").alias("scan_bucket"),
     )
 
 
@@ -127,7 +127,7 @@ def read_host_folder(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stored_hosts_like(incoming: DataFrame, path: str) -> DataFrame:
-    """The part of the store that may hold the incoming scans.
+    """The part of the store that may hold the incoming hosts.
 
     The buckets touched (at most SCAN_BUCKETS numbers) are collected, so that the others are
     pruned as partitions and never read.

@@ -6,8 +6,12 @@ wrote, and a stopped query continues from its checkpoint without repeating finis
 query part of the name is the identity Spark keeps in the checkpoint, so that a query with a new
 checkpoint can never replace the loads of an older one.
 
-Loads pile up. A ``compact_*`` job, run while the stream is stopped, writes the current state into
-a new folder, with which the stream then continues from the same checkpoint.
+State does not grow with the number of batches: every ``MERGE_EVERY`` batches a batch writes the
+whole state as its load, and once that batch is committed, the next one deletes the loads before it.
+A state folder holds at most about twice as many loads as that, so what a batch lists and reads is
+bounded by the state. Host stores and recorded transitions are results and only grow by new rows.
+A ``compact_*`` job, run while the stream is stopped, writes them into a new folder, with which the
+stream then continues from the same checkpoint.
 """
 
 from __future__ import annotations
@@ -23,8 +27,12 @@ from exposure.operators.inventory import append_new_hosts
 from exposure.operators.ordered import MAX_GROUP_ROWS
 from exposure.operators.progress import latest_phase_status, status_transitions
 from exposure.schemas import DOCUMENT_STATE, LAST_STATUS, PHASE_STATE, PHASES, TRANSITIONS
+from exposure.session import discard_older
 from exposure.sources.writers import ensure_host_folder, stored_hosts_like, write_host_load
 
+MERGE_EVERY = 16
+
+
 def _load_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
     metadata = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()
     return f"{metadata['id']}-{batch_id:012d}"
@@ -48,6 +56,22 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(f"{schema}, load string").parquet(path)
 
 
+def _write_state(
+    state: DataFrame, path: str, schema: str, checkpoint: str, batch_id: int, merge_every: int,
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+) -> None:
+    """Write a batch's state as its load; ``merge`` puts all earlier state below it when due."""
+    spark = state.sparkSession
+    load = _load_name(spark, checkpoint, batch_id)
+    if batch_id % merge_every == 0:
+        earlier = _read(spark, path, schema).filter(F.col("load") != load).drop("load")
+        state = merge(earlier, state)
+    state.write.mode("overwrite").parquet(f"{path}/load={load}")
+    if batch_id % merge_every == 1:
+        # This batch runs, so the merged one before it is committed.
+        discard_older(spark, path, {load, _load_name(spark, checkpoint, batch_id - 1)})
+
+
 def stream_new_hosts(
     hosts: DataFrame, store: str, checkpoint: str, trigger: dict | None = None,
 ) -> StreamingQuery:
@@ -71,14 +95,17 @@ def new_hosts_within(hosts: DataFrame, ts: str, delay: str) -> DataFrame:
 
 def stream_phase_state(
     events: DataFrame, state: str, checkpoint: str, trigger: dict | None = None,
+    merge_every: int = MERGE_EVERY,
 ) -> StreamingQuery:
     """Keep the latest record per scan and phase; read it with ``current_phase_state``."""
     _ensure(events.sparkSession, state, PHASE_STATE)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         latest = latest_phase_status(batch.filter(F.col("phase").isin(*PHASES)))
-        load = _load_name(batch.sparkSession, checkpoint, batch_id)
-        latest.write.mode("overwrite").parquet(f"{state}/load={load}")
+        _write_state(
+            latest, state, PHASE_STATE, checkpoint, batch_id, merge_every,
+            lambda earlier, new: latest_phase_status(earlier.unionByName(new)),
+        )
 
     return _start(events, handle, checkpoint, trigger)
 
@@ -90,13 +117,16 @@ def current_phase_state(spark: SparkSession, state: str) -> DataFrame:
 
 def stream_checkpoints(
     updates: DataFrame, state: str, checkpoint: str, trigger: dict | None = None,
+    merge_every: int = MERGE_EVERY,
 ) -> StreamingQuery:
     """Keep the last written document per scan; updates are (scan_id, ts, seq, doc)."""
     _ensure(updates.sparkSession, state, DOCUMENT_STATE)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        load = _load_name(batch.sparkSession, checkpoint, batch_id)
-        latest_documents(batch).write.mode("overwrite").parquet(f"{state}/load={load}")
+        _write_state(
+            latest_documents(batch), state, DOCUMENT_STATE, checkpoint, batch_id, merge_every,
+            lambda earlier, new: latest_documents(earlier.unionByName(new)),
+        )
 
     return _start(updates, handle, checkpoint, trigger)
 
@@ -115,11 +145,12 @@ def compact_phase_state(spark: SparkSession, state: str, target: str) -> None:
 
 def stream_status_transitions(
     log: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int = MAX_GROUP_ROWS, merge_every: int = MERGE_EVERY,
 ) -> StreamingQuery:
-    """Record status changes; the last status of every scan carries over to later batches.
+    """Record status changes in the order they arrive; the last status of a scan carries over.
 
-    A batch's rows follow all earlier batches; within the batch, (ts, seq) counts.
+    A batch's rows follow all earlier batches, also where their time is before; within the batch,
+    (ts, seq) counts.
     """
     spark = log.sparkSession
     transitions, carried = f"{out}/transitions", f"{out}/last_status"
@@ -136,7 +167,7 @@ def stream_status_transitions(
         before = (
             _read(session, carried, LAST_STATUS).filter(F.col("load") != load)
             .join(polled.select("scan_id").dropDuplicates(), "scan_id", "left_semi")
-            .groupBy("scan_id").agg(F.max_by(record, F.struct("ts", "seq")).alias("_r"))
+            .groupBy("scan_id").agg(F.max_by(record, "arrived").alias("_r"))
         )
         rows = (
             before.withColumn("_arrived", F.lit(0))
@@ -149,28 +180,40 @@ def stream_status_transitions(
             .select("scan_id", "seq", "ts", "previous_status", "status")
             .write.mode("overwrite").parquet(f"{transitions}/load={load}")
         )
-        (
+        last = (
             polled.groupBy("scan_id")
             .agg(F.max_by("_r", F.struct("_r.ts", "_r.seq")).alias("_r"))
-            .select("scan_id", "_r.*")
-            .write.mode("overwrite").parquet(f"{carried}/load={load}")
+            .select("scan_id", "_r.*", F.lit(batch_id).cast("bigint").alias("arrived"))
+        )
+        _write_state(
+            last, carried, LAST_STATUS, checkpoint, batch_id, merge_every,
+            lambda earlier, new: last_arrived(
+                # What an earlier query left has its own numbers: it comes before all of these.
+                (last_arrived(earlier).withColumn("arrived", F.lit(-1).cast("bigint"))
+                 if batch_id == 0 else earlier).unionByName(new)
+            ),
         )
         polled.unpersist()
 
     return _start(log, handle, checkpoint, trigger)
 
 
+def last_arrived(carried: DataFrame) -> DataFrame:
+    """One last status for each scan."""
+    row = F.struct("seq", "ts", "status", "arrived")
+    return carried.groupBy("scan_id").agg(F.max_by(row, "arrived").alias("_r")).select(
+        "scan_id", "_r.*"
+    )
+
+
 def compact_transitions(spark: SparkSession, out: str, target: str) -> None:
     """All recorded transitions, and one last status per scan."""
     recorded_transitions(spark, out).write.mode("overwrite").parquet(
         f"{target}/transitions/load=compacted"
     )
-    record = F.struct("seq", "ts", "status")
-    (
-        _read(spark, f"{out}/last_status", LAST_STATUS).groupBy("scan_id")
-        .agg(F.max_by(record, F.struct("ts", "seq")).alias("_r")).select("scan_id", "_r.*")
-        .write.mode("overwrite").parquet(f"{target}/last_status/load=compacted")
-    )
+    last_arrived(_read(spark, f"{out}/last_status", LAST_STATUS).drop("load")).write.mode(
+        "overwrite"
+    ).parquet(f"{target}/last_status/load=compacted")
 
 
 def recorded_transitions(spark: SparkSession, out: str) -> DataFrame:

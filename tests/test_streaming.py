@@ -176,3 +176,28 @@ def test_bounded_host_stream(spark, tmp_path):
     query.awaitTermination()
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted(r["host"] for r in rows) == ["a", "h1", "h2", "h3"]
+
+
+def test_late_rows_follow_what_arrived_before(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for seq, (minute, status) in enumerate([(10, "A"), (5, "B"), (11, "B"), (3, "B"), (12, "A")]):
+        feed(spark, path, [(1, seq, T0 + datetime.timedelta(minutes=minute), status)], LOG)
+    finish(jobs.stream_status_transitions(
+        source(spark, path, LOG), out, str(tmp_path / "p"), merge_every=2))
+    rows = jobs.recorded_transitions(spark, out).orderBy("seq").collect()
+    assert [(r["seq"], r["previous_status"], r["status"]) for r in rows] == [
+        (0, None, "A"), (1, "A", "B"), (4, "B", "A")]
+
+
+def test_state_folders_do_not_grow_with_batches(spark, tmp_path):
+    path, state = str(tmp_path / "in"), tmp_path / "state"
+    for seq in range(7):
+        feed(spark, path, [
+            (seq % 3, seq, T0 + datetime.timedelta(minutes=seq), "alive_check", f"s{seq}", seq, seq)
+        ], EVENTS)
+    batches = finish(jobs.stream_phase_state(
+        source(spark, path, EVENTS), str(state), str(tmp_path / "p"), merge_every=2))
+    assert len(batches) == 7
+    assert len([p for p in state.iterdir() if p.name.startswith("load=")]) <= 3
+    rows = jobs.current_phase_state(spark, str(state)).orderBy("scan_id").collect()
+    assert [(r["scan_id"], r["status"]) for r in rows] == [(0, "s6"), (1, "s4"), (2, "s5")]

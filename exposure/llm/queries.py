@@ -97,20 +97,20 @@ with given as (
   union all select -7, 0, 'user', '\### Assistant: </turn> ok'
   union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 t as (
-  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as at,
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as pos,
          count(*) over (partition by conv_id) as n_turns,
          length('<turn ' || replace(replace(replace(replace(replace(role, '\', '\b'),
            '<turn', '\lturn'), '</turn', '\l/turn'), '>', '\g'), chr(10), '\n') || '>' || chr(10)
            || replace(replace(replace(text, '\', '\b'), '<turn', '\lturn'), '</turn', '\l/turn')
            || '</turn>' || chr(10)) as chars
   from given),
-s as (select *, sum(chars) over (partition by conv_id order by at) as so_far from t)
+s as (select *, sum(chars) over (partition by conv_id order by pos) as so_far from t)
 select conv_id, any_value(n_turns) as n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' order by at)) as turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by pos)) as turns_sha256,
        cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
-       sha256(coalesce(string_agg(text, '' order by at) filter (role = 'assistant'), ''))
+       sha256(coalesce(string_agg(text, '' order by pos) filter (role = 'assistant'), ''))
          as loss_sha256,
-       cast(sum(so_far) filter (role = 'assistant' or at = n_turns) as bigint) as formatted_chars
+       cast(sum(so_far) filter (role = 'assistant' or pos = n_turns) as bigint) as formatted_chars
 from s group by conv_id""",
     "op8_warc": """
 with p as (

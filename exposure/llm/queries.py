@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from exposure.llm import (
     bpe, chat, exact_dedup, language, packing, quality, simhash, toxicity, vectors, warc,
@@ -32,9 +33,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    more = spark.createDataFrame(
-        [(-7, 0, "user", ESCAPED), (-7, 1, "assistant", ESCAPED)],
-        "conv_id long, turn long, role string, text string")
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(ESCAPED).alias("text"))
     return chat.read_back(chat.examples(given.unionByName(more)))
 
 

@@ -69,6 +69,7 @@ def host_key_sql(column: str) -> str:
     return rf"regexp_replace({authority_sql(column)}, '^[^@]*@|:\d+$', '', 'g')"
 
 
+# Fixed value: the pattern of a valid host.
 VALID_HOST_SQL = (
     r"regexp_matches(domain, '^([a-zA-Z0-9]([a-zA-Z0-9\-]{0,61}[a-zA-Z0-9])?\.)+[a-zA-Z]{2,}$')"
 )

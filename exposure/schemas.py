@@ -58,7 +58,7 @@ SCAN_STATE = (
 
 _POSITION = "batch_index: int, batch_size: int, progress: int"
 
-# The position may sit one level too deep (``checkpoint.checkpoint``); readers accept both.
+# Fixed value: the document's format. The position may sit one level too deep (``checkpoint.checkpoint``); readers accept both.
 CHECKPOINT_DOCUMENT = (
     "scan_id string, domain string, start_time string, last_update string, status string, "
     "phases map<string, struct<status: string, progress_percentage: int, results_count: bigint, "

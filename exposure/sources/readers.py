@@ -12,6 +12,7 @@ from exposure.functions import text
 from exposure.functions.documents import body_of, from_epoch
 from exposure.schemas import SCAN_STATE, STATUS_ALIASES
 
+# Names of result and template files.
 RESULT_FILES = "*results_*"
 TEMPLATE_FILES = "*.yaml"
 

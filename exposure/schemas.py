@@ -55,15 +55,3 @@ SCAN_STATE = (
     "status string, start_time double, duration double, subdomains bigint, "
     "alive_subdomains bigint, vulnerabilities bigint, error string"
 )
-
-_POSITION = "batch_index: int, batch_size: int, progress: int"
-
-# Fixed value: the document's format. The position may sit one level too deep (``checkpoint.checkpoint``); readers accept both.
-CHECKPOINT_DOCUMENT = (
-    "scan_id string, domain string, start_time string, last_update string, status string, "
-    "phases map<string, struct<status: string, progress_percentage: int, results_count: bigint, "
-    f"checkpoint: struct<{_POSITION}, checkpoint: struct<{_POSITION}>>>>, "
-    "statistics struct<subdomains_found: bigint, alive_subdomains: bigint, "
-    "vulnerabilities_found: bigint>, "
-    "environment struct<tool_versions: map<string, string>, templates_hash: string>"
-)

@@ -76,21 +76,34 @@ def resume_plan(documents: DataFrame, targets: DataFrame, processed: DataFrame)
 def results_report(state: DataFrame, results: DataFrame, batch_lines: DataFrame) -> DataFrame:
     """Reported and found findings by severity; empty results are read from the batch files.
 
-    Scans with lines but no state row are listed with nothing reported and ``has_state = false``.
+    Both inputs are counted once, and each scan takes the counts of one of them: no line is
+    shuffled. Scans with lines but no state row are listed with nothing reported and
+    ``has_state = false``.
     """
-    rebuilt = findings.rebuild_empty_results(state, results, batch_lines)
-    lines = results.select("scan_id", "line").unionByName(
-        rebuilt.select("scan_id", "line").withColumn("_rebuilt", F.lit(1)), allowMissingColumns=True
-    )
-    found = findings.tag_severity(lines).groupBy("scan_id").agg(
-        F.count(F.lit(1)).alias("found"),
-        F.coalesce(F.max("_rebuilt"), F.lit(0)).alias("is_rebuilt"),
-        *[F.count_if(F.col("severity") == name).alias(name) for name in SEVERITIES],
-    )
-    return (
+    names = ["found", *SEVERITIES]
+
+    def counts(prefix: str) -> dict[str, Column]:
+        return {
+            f"{prefix}found": F.count(F.lit(1)),
+            **{f"{prefix}{name}": F.count_if(F.col("severity") == name) for name in SEVERITIES},
+        }
+
+    counted = _stack([
+        (findings.tag_severity(results.select("scan_id", "line")), counts("_r_")),
+        (findings.tag_severity(hygiene.load_findings(batch_lines).select("scan_id", "line")),
+         counts("_b_")),
+    ])
+    joined = (
         state.select(
             "scan_id", F.col("vulnerabilities").alias("reported"), F.lit(True).alias("has_state")
         )
-        .join(found, "scan_id", "full_outer")
-        .na.fill(0, ["reported", "found", "is_rebuilt", *SEVERITIES]).na.fill(False, ["has_state"])
+        .join(counted, "scan_id", "full_outer")
+        .na.fill(0).na.fill(False, ["has_state"])
+        .filter(F.col("has_state") | (F.col("_r_found") > 0))
+    )
+    rebuild = (F.col("reported") > 0) & (F.col("_r_found") == 0)
+    return joined.select(
+        "scan_id", "reported", "has_state",
+        (rebuild & (F.col("_b_found") > 0)).cast("int").alias("is_rebuilt"),
+        *[F.when(rebuild, F.col(f"_b_{n}")).otherwise(F.col(f"_r_{n}")).alias(n) for n in names],
     )

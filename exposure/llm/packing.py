@@ -34,7 +34,7 @@ CAPACITY = 2048
 END_ID = 1
 SMALLEST_CUT = 32
 MERGE = 64
-KNOWN_PIECES = 500_000
+KNOWN_PIECES = 800_000
 LONGEST_KNOWN = 64
 TOGETHER = 100
 
@@ -163,7 +163,7 @@ class Filler:
         self.next_id += 1
 
     def _row(self, doc_id, start, ids, total, sequence, offset) -> None:
-        crc = zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())
+        crc = zlib.crc32(ids.astype("<i4", copy=False))
         self.rows.append((doc_id, start, len(ids), ids, crc, total, sequence, offset))
 
     def add(self, doc_id: int, start: int, ids: np.ndarray, total: int) -> None:
@@ -198,8 +198,13 @@ class Filler:
     def take(self) -> pa.RecordBatch:
         rows, self.rows = self.rows, []
         columns = list(zip(*rows)) or [()] * len(_ARROW)
+        held = columns[3]
+        bounds = np.cumsum([0, *columns[2]]).astype(np.int32)
+        flat = np.concatenate(held) if held else np.zeros(0, np.int32)
+        columns[3] = pa.ListArray.from_arrays(bounds, flat)
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
+            [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, _ARROW)],
+            schema=_ARROW)
 
 
 def _fill_documents(path: str, capacity: int, end_id: int):

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from exposure.llm.frames import keep_documents, lookup, text_slices
@@ -31,6 +31,7 @@ from exposure.session import materialize
 TRAIN_TEXTS = 1_500
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
+COUNTED_AT_ONCE = 64
 TEMPER = 100.0
 LEAST_LETTERS = 3
 SURE = 0.9
@@ -62,53 +63,65 @@ class TextModel:
         grams = trigrams(text)
         if not len(grams) or not self.languages:
             return np.zeros(len(self.languages))
-        mean = self.log_share[:, grams].mean(1)
+        # Each bucket once, so that a long text takes no more room than the model.
+        times = np.bincount(grams, minlength=BUCKETS)
+        at = np.flatnonzero(times)
+        mean = np.einsum("lb,b->l", self.log_share[:, at], times[at] / len(grams))
         weighed = mean * len(grams) / (1 + len(grams) / TEMPER)
         return weighed - weighed.max()
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: dict[str, np.ndarray] = {}
+    counts: dict[int, np.ndarray] = {}
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for at, held in counts.items():
+            buckets = np.flatnonzero(held)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(buckets), at, np.int32)),
+                 pa.array(buckets.astype(np.int32)), pa.array(held[buckets])], ["at", "bucket", "n"])
+        counts.clear()
+
     for batch in batches:
-        for language, text in zip(batch["language"].to_pylist(), batch["text"].to_pylist()):
-            held = counts.setdefault(language, np.zeros(BUCKETS, np.int64))
-            held += np.bincount(trigrams(text), minlength=BUCKETS)
-    for language, held in counts.items():
-        at = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([language] * len(at), pa.string()), pa.array(at), pa.array(held[at])],
-            ["language", "bucket", "n"])
+        for at, text in zip(batch["at"].to_pylist(), batch["text"].to_pylist()):
+            if at not in counts:
+                if len(counts) >= COUNTED_AT_ONCE:
+                    yield from flush()
+                counts[at] = np.zeros(BUCKETS, np.int64)
+            counts[at] += np.bincount(trigrams(text), minlength=BUCKETS)
+    yield from flush()
 
 
-def learn_texts(known: DataFrame, languages: int = 64, per_language: int = TRAIN_TEXTS) -> TextModel:
+def learn_texts(known: DataFrame, per_language: int = TRAIN_TEXTS) -> TextModel:
     """Trigram shares of each language; ``known`` has id, text and language.
 
-    Of each of at most ``languages`` languages (the most frequent), about ``per_language`` texts:
-    those whose hash is below the share that gives this many.
+    Every language with letters in its texts is learnt, of each about ``per_language`` texts: those
+    whose hash is below the share that gives this many. The names and BUCKETS shares of each are held
+    on the driver and by each worker.
     """
     given = known.where("text is not null and language is not null and id is not null")
-    sizes = {r["language"]: r["count"] for r in
-             given.groupBy("language").count().orderBy(F.desc("count"), "language")
-             .limit(languages).collect()}
+    sizes = {r["language"]: r["count"] for r in given.groupBy("language").count().collect()}
     if not sizes:
         return TextModel([], np.zeros((0, BUCKETS)))
-    parts = F.create_map(*[x for k, n in sizes.items()
-                           for x in (F.lit(k), F.lit(min(1.0, per_language / n)))])
-    chosen = given.where(F.col("language").isin(list(sizes))).where(
-        F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1_000_003.0 < parts[F.col("language")])
-    found = chosen.select("language", "text").mapInArrow(
-        _count, "language string, bucket long, n long").groupBy("language", "bucket").agg(
-        F.sum("n").alias("n")).collect()
-    order = sorted({r["language"] for r in found})
-    at = {k: i for i, k in enumerate(order)}
-    counts = np.full((len(order), BUCKETS), SMOOTHING)
-    for r in found:
-        counts[at[r["language"]], r["bucket"]] += r["n"]
-    return TextModel(order, np.log(counts / counts.sum(1, keepdims=True)))
+    names = sorted(sizes)
+    facts = F.create_map(*[x for i, k in enumerate(names) for x in (
+        F.lit(k), F.struct(F.lit(i).alias("at"), F.lit(min(1.0, per_language / sizes[k])).alias("part")))])
+    chosen = given.select("id", "text", facts[F.col("language")].alias("fact")).where(
+        F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1_000_003.0 < F.col("fact.part"))
+    found = chosen.select("fact.at", "text").mapInArrow(
+        _count, "at int, bucket int, n long").groupBy("at", "bucket").agg(
+        F.sum("n").alias("n")).toArrow()
+    at = found["at"].to_numpy()
+    learnt = np.unique(at)
+    counts = np.full((len(learnt), BUCKETS), SMOOTHING)
+    counts[np.searchsorted(learnt, at), found["bucket"].to_numpy()] += found["n"].to_numpy()
+    counts /= counts.sum(1, keepdims=True)
+    return TextModel([names[i] for i in learnt], np.log(counts, out=counts))
 
 
 def text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
-    """id, declared, suffix, domain, host and, from the text, letters and log_text."""
+    """id, declared, suffix, domain, host and, from the text, letters, log_text and best: the number
+    of the language, where the text alone makes it sure."""
     given = ["id", "declared", "suffix", "domain", "host"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,36 +130,82 @@ def text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
                 texts = part["text"].to_pylist()
                 letters = [sum(map(len, _NOT_LETTERS.split(t))) for t in texts]
                 found = [model.likelihoods(t) for t in texts]
+                best = [int(x.argmax()) if n >= LEAST_LETTERS and _normal(x).max() >= SURE else None
+                        for x, n in zip(found, letters)]
                 yield pa.RecordBatch.from_arrays(
                     [*(part[c] for c in given), pa.array(letters, pa.int64()),
-                     pa.array(found, pa.list_(pa.float64()))], [*given, "letters", "log_text"])
+                     pa.array(found, pa.list_(pa.float64())), pa.array(best, pa.int32())],
+                    [*given, "letters", "log_text", "best"])
     return rows.mapInArrow(
         run, "id long, declared string, suffix string, domain string, host string, letters long, "
-        "log_text array<double>")
+        "log_text array<double>, best int")
 
 
 # --- fusion ------------------------------------------------------------------------------------
 
-def _normal(logs: Column) -> Column:
+def _normal(logs: np.ndarray) -> np.ndarray:
     """Probabilities from log weights."""
-    powers = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-    total = F.aggregate(powers, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(powers, lambda x: x / total)
-
+    powers = np.exp(logs - logs.max())
+    return powers / powers.sum()
 
-def _add(a: Column, b: Column) -> Column:
-    return F.when(b.isNull(), a).otherwise(F.zip_with(a, b, lambda x, y: x + y))
 
+def _counts(seen: DataFrame, key: str, *more: str) -> DataFrame:
+    """Rows of each language for each key, as pairs; of ``more`` the smallest values."""
+    each = seen.where(F.col("best").isNotNull() & F.col(key).isNotNull()).groupBy(key, "best").agg(
+        F.count("*").alias("rows"), *[F.min(c).alias(c) for c in more])
+    return each.groupBy(key).agg(
+        F.collect_list(F.struct("best", "rows")).alias(f"{key}_counts"),
+        *[F.min(c).alias(c) for c in more])
 
-def _counts(sure: DataFrame, key: str, n: int) -> DataFrame:
-    """Rows of each language for each key, as an array."""
-    return sure.where(F.col(key).isNotNull()).groupBy(key).agg(F.array(*[
-        F.sum((F.col("best") == i).cast("long")) for i in range(n)]).alias("n"))
 
-
-def _smoothed(counts: Column, toward: Column) -> Column:
-    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
-    return F.zip_with(counts, toward, lambda c, t: (c + HOST_WEIGHT * t) / (total + HOST_WEIGHT))
+@dataclass
+class Fusion:
+    """What the counts over all rows say, for the languages of a model."""
+    languages: list[str]
+    counted: np.ndarray
+    accept: float
+
+    def __post_init__(self) -> None:
+        self.overall = (self.counted + 1) / (self.counted.sum() + len(self.counted))
+
+    def dense(self, pairs: list[dict]) -> np.ndarray:
+        out = np.zeros(len(self.languages))
+        for pair in pairs:
+            out[pair["best"]] = pair["rows"]
+        return out
+
+    def share(self, pairs: list[dict] | None, toward: np.ndarray) -> np.ndarray:
+        """Shares of the languages, smoothed; without counts those they are smoothed towards."""
+        if pairs is None:
+            return toward
+        n = self.dense(pairs)
+        return (n + HOST_WEIGHT * toward) / (n.sum() + HOST_WEIGHT)
+
+    def logs(self, row: dict) -> np.ndarray:
+        domain = row["home_counts"] if row["host_counts"] is not None else row["domain_counts"]
+        prior = self.share(row["host_counts"], self.share(domain, self.overall))
+        logs = np.array(row["log_text"]) + np.log(prior)
+        for pairs in (row["declared_counts"], row["suffix_counts"]):
+            if pairs is not None:
+                # P(evidence | language)
+                logs += np.log((self.dense(pairs) + 0.5) / (self.counted + 50.0))
+        return logs
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                p, letters = _normal(self.logs(row)), row["letters"]
+                top = float(p.max())
+                by_text = int(np.argmax(row["log_text"]))
+                out.append((
+                    row["id"], self.languages[int(p.argmax())], top,
+                    self.languages[by_text] if letters else None,
+                    letters >= LEAST_LETTERS and top >= self.accept))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, (
+                    pa.int64(), pa.string(), pa.float64(), pa.string(), pa.bool_()))],
+                ["id", "language", "probability", "text_language", "accepted"])
 
 
 def identify(rows: DataFrame, model: TextModel, accept: float = ACCEPT) -> DataFrame:
@@ -170,51 +229,32 @@ def identify(rows: DataFrame, model: TextModel, accept: float = ACCEPT) -> DataF
         return given.select(
             "id", F.lit(UNDETERMINED).alias("language"), F.lit(0.0).alias("probability"),
             F.lit(None).cast("string").alias("text_language"), F.lit(False).alias("accepted"))
-    names = F.array(*map(F.lit, model.languages))
-
-    def best(p: Column) -> Column:
-        return F.array_position(p, F.array_max(p)) - 1
 
     seen = materialize(text_evidence(given, model), "language-texts")
-    by_text = _normal(F.col("log_text"))
-    sure = seen.where(F.col("letters") >= LEAST_LETTERS).withColumn("p", by_text).where(
-        F.array_max("p") >= SURE).withColumn("best", best(F.col("p")))
-
-    whole = _counts(sure.withColumn("all", F.lit(1)), "all", n).select("n").first()
-    counted = np.array(whole["n"] if whole else [0] * n, float)
-    shares = (counted + 1) / (counted.sum() + n)
-    overall = F.array(*[F.lit(float(x)) for x in shares])
-
-    domains = _counts(sure, "domain", n).select(
-        "domain", _smoothed(F.col("n"), overall).alias("domain_share"))
-    hosts = sure.where("host is not null").groupBy("host").agg(
-        F.array(*[F.sum((F.col("best") == i).cast("long")) for i in range(n)]).alias("n"),
-        F.min("domain").alias("domain"))
+    counted = np.zeros(n)
+    for r in seen.where("best is not null").groupBy("best").count().collect():
+        counted[r["best"]] = r["count"]
+
+    domains = _counts(seen, "domain")
+    hosts = _counts(seen, "host", "domain")
     hosts = materialize(
-        hosts.join(domains, "domain", "left").select(
-            "host", _smoothed(F.col("n"), F.coalesce("domain_share", overall)).alias("host_share")),
-        "language-hosts")
+        hosts.join(domains.withColumnRenamed("domain_counts", "home_counts"), "domain", "left")
+        .select("host", "host_counts", "home_counts"), "language-hosts")
     out = lookup(seen, hosts, "host", "id")
     if "domain" in rows.columns:
         out = lookup(out, domains, "domain", "id")
     else:
-        out = out.withColumn("domain_share", F.lit(None).cast("array<double>"))
-    logs = _add(F.col("log_text"), F.transform(
-        F.coalesce("host_share", "domain_share", overall), F.ln))
+        out = out.withColumn("domain_counts", F.lit(None).cast(domains.schema["domain_counts"].dataType))
     for c in short:
-        # P(evidence | language), one row for each of at most 26^2 + 26^3 values.
-        table = _counts(sure, c, n).select(c, F.zip_with(
-            "n", F.array(*[F.lit(float(x)) for x in counted]),
-            lambda k, m: F.ln((k + 0.5) / (m + 50.0))).alias(f"{c}_log"))
-        out = out.join(F.broadcast(table), c, "left")
-        logs = _add(logs, F.col(f"{c}_log"))
-    fused = out.select("id", "letters", by_text.alias("t"), _normal(logs).alias("p"))
-    top = F.array_max("p")
-    return fused.select(
-        "id", F.get(names, best(F.col("p")).cast("int")).alias("language"),
-        F.round(top, 6).alias("probability"),
-        F.when(F.col("letters") > 0, F.get(names, best(F.col("t")).cast("int"))).alias("text_language"),
-        ((F.col("letters") >= LEAST_LETTERS) & (top >= accept)).alias("accepted"))
+        # One row for each of at most 26^2 + 26^3 values.
+        out = out.join(F.broadcast(_counts(seen, c)), c, "left")
+    return out.select(
+        "id", "letters", "log_text", "host_counts", "home_counts", "domain_counts",
+        "declared_counts", "suffix_counts",
+    ).mapInArrow(
+        Fusion(model.languages, counted, accept),
+        "id long, language string, probability double, text_language string, accepted boolean",
+    ).withColumn("probability", F.round("probability", 6))
 
 
 # --- tables ------------------------------------------------------------------------------------

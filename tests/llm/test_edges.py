@@ -335,6 +335,21 @@ def test_language_evidence(spark, sf_dir):
     assert out[103].language == "de"
 
 
+def test_every_language_is_learnt(spark):
+    """150 languages with words of their own, some with a single text."""
+    def text(i, k):
+        rng = np.random.default_rng([i, k % 3])
+        return " ".join("".join(map(chr, 0x4E00 + 40 * i + rng.integers(0, 40, 5))) for _ in range(60))
+
+    rows = [(i * 10 + k, text(i, k), f"l{i:03}", "s") for i in range(150) for k in range(1 + 2 * (i < 40))]
+    given = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = language.learn_texts(language.known_texts(given))
+    assert model.languages == [f"l{i:03}" for i in range(150)]
+    out = {r.doc_id: r for r in language.identify_documents(given).collect()}
+    assert all(out[i].language == out[i].text_language == name for i, _, name, _ in rows)
+    assert language.learn_texts(language.known_texts(given), per_language=1).languages
+
+
 def pages_of(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr(
         "*", "1 as digest", "2 as first_id", "3 as archive")

@@ -8,8 +8,13 @@ be trusted, and each host's prior, are counted over all rows from the texts' own
 counts are smoothed towards those of its domain, and these towards all rows, so a host with few rows
 says little.
 
-A row is accepted when its text has LEAST_LETTERS letters and the best language's probability
-reaches ACCEPT. Null and empty texts have no likelihood: their language comes from the other
+Texts in none of the languages have a hypothesis of their own: trigrams spread evenly over the
+buckets, with the prior UNKNOWN. It stands against the language that explains the text best, and by
+the text alone, so neither a declaration nor a host can make up for text that no language explains.
+
+A row is accepted when its text has LEAST_LETTERS letters and the best language's probability, times
+the probability that the text is in one of the languages, reaches ACCEPT. Only texts that are surely
+in one count towards the other evidence. Null and empty texts have no likelihood: their language comes from the other
 evidence, and they are not accepted. Missing evidence says nothing. Rows without an id are left out;
 repeated rows each get a result. Without any text to learn from, every row is undetermined.
 """
@@ -37,6 +42,7 @@ LEAST_LETTERS = 3
 SURE = 0.9
 HOST_WEIGHT = 20.0
 ACCEPT = 0.5
+UNKNOWN = 0.9
 UNDETERMINED = "und"
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -58,17 +64,20 @@ class TextModel:
     languages: list[str]
     log_share: np.ndarray
 
-    def likelihoods(self, text: str) -> np.ndarray:
-        """Tempered log-likelihoods, the best at 0."""
+    def likelihoods(self, text: str) -> tuple[np.ndarray, float]:
+        """Tempered log-likelihoods, the best at 0, and the probability that the text is in one of
+        the languages (1 without letters)."""
         grams = trigrams(text)
         if not len(grams) or not self.languages:
-            return np.zeros(len(self.languages))
+            return np.zeros(len(self.languages)), 1.0
         # Each bucket once, so that a long text takes no more room than the model.
         times = np.bincount(grams, minlength=BUCKETS)
         at = np.flatnonzero(times)
         mean = np.einsum("lb,b->l", self.log_share[:, at], times[at] / len(grams))
-        weighed = mean * len(grams) / (1 + len(grams) / TEMPER)
-        return weighed - weighed.max()
+        weight = len(grams) / (1 + len(grams) / TEMPER)
+        weighed = mean * weight
+        odds = np.log((1 - UNKNOWN) / UNKNOWN) + weighed.max() + np.log(BUCKETS) * weight
+        return weighed - weighed.max(), float(1 / (1 + np.exp(-np.clip(odds, -40, 40))))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,8 +129,9 @@ def learn_texts(known: DataFrame, per_language: int = TRAIN_TEXTS) -> TextModel:
 
 
 def text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
-    """id, declared, suffix, domain, host and, from the text, letters, log_text and best: the number
-    of the language, where the text alone makes it sure."""
+    """id, declared, suffix, domain, host and, from the text, letters, log_text, known (the
+    probability that it is in one of the languages) and best: the number of the language, where the
+    text alone makes it sure."""
     given = ["id", "declared", "suffix", "domain", "host"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,16 +139,17 @@ def text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
             for part in text_slices(batch):
                 texts = part["text"].to_pylist()
                 letters = [sum(map(len, _NOT_LETTERS.split(t))) for t in texts]
-                found = [model.likelihoods(t) for t in texts]
-                best = [int(x.argmax()) if n >= LEAST_LETTERS and _normal(x).max() >= SURE else None
-                        for x, n in zip(found, letters)]
+                found, known = zip(*[model.likelihoods(t) for t in texts])
+                best = [int(x.argmax()) if n >= LEAST_LETTERS and k * _normal(x).max() >= SURE else None
+                        for x, k, n in zip(found, known, letters)]
                 yield pa.RecordBatch.from_arrays(
                     [*(part[c] for c in given), pa.array(letters, pa.int64()),
-                     pa.array(found, pa.list_(pa.float64())), pa.array(best, pa.int32())],
-                    [*given, "letters", "log_text", "best"])
+                     pa.array(found, pa.list_(pa.float64())), pa.array(known, pa.float64()),
+                     pa.array(best, pa.int32())],
+                    [*given, "letters", "log_text", "known", "best"])
     return rows.mapInArrow(
         run, "id long, declared string, suffix string, domain string, host string, letters long, "
-        "log_text array<double>, best int")
+        "log_text array<double>, known double, best int")
 
 
 # --- fusion ------------------------------------------------------------------------------------
@@ -196,7 +207,7 @@ class Fusion:
             out = []
             for row in batch.to_pylist():
                 p, letters = _normal(self.logs(row)), row["letters"]
-                top = float(p.max())
+                top = float(p.max()) * row["known"]
                 by_text = int(np.argmax(row["log_text"]))
                 out.append((
                     row["id"], self.languages[int(p.argmax())], top,
@@ -249,7 +260,7 @@ def identify(rows: DataFrame, model: TextModel, accept: float = ACCEPT) -> DataF
         # One row for each of at most 26^2 + 26^3 values.
         out = out.join(F.broadcast(_counts(seen, c)), c, "left")
     return out.select(
-        "id", "letters", "log_text", "host_counts", "home_counts", "domain_counts",
+        "id", "letters", "log_text", "known", "host_counts", "home_counts", "domain_counts",
         "declared_counts", "suffix_counts",
     ).mapInArrow(
         Fusion(model.languages, counted, accept),

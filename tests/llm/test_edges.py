@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -350,6 +351,25 @@ def test_every_language_is_learnt(spark):
     assert language.learn_texts(language.known_texts(given), per_language=1).languages
 
 
+def test_language_rejects_what_no_language_explains(spark):
+    """Unlearnt scripts and random letters, also with a declaration; clean documents stay."""
+    docs = frames.table(spark, "/root/testdata/sf0.01", "documents")
+    rng = np.random.default_rng(3)
+    junk = ["".join(map(chr, 97 + rng.integers(0, 26, n))) for n in rng.integers(3, 10, 200)]
+    strange = [
+        "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。" * 5,
+        "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему.",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+        " ".join(junk), " ".join(junk[:30]), "qzxvkj " * 300]
+    given = docs.select("doc_id", "text", "lang", "source").union(spark.createDataFrame(
+        [(-1 - i, t, "es", "web") for i, t in enumerate(strange)], "doc_id long, text string, lang string, source string"))
+    out = {r.doc_id: r for r in language.identify_documents(given, docs).collect()}
+    assert not any(out[-1 - i].accepted for i in range(len(strange)))
+    for lang in ("en", "de", "fr", "es"):
+        ids = [r.doc_id for r in docs.where("length(text) > 200").where(F.col("lang") == lang).collect()]
+        assert np.mean([out[i].accepted and out[i].language == lang for i in ids]) > 0.99
+
+
 def pages_of(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr(
         "*", "1 as digest", "2 as first_id", "3 as archive")

@@ -8,16 +8,18 @@ that holds toxic documents at the class prior's rate. With p the prior, the risk
 and where the corrected part falls below zero the step goes back up it, so that the classifier
 cannot explain unlabelled toxic documents away. With the logistic loss the score estimates the
 probability of label 1. Features are the presence of words and of beginnings of several words (insults
-are inflected): of all in the training texts, counted on Spark, those that are most typical of the
-positives, and the numpy model has one weight for each.
+are inflected): every one that is typical of the positives by its count in all documents outside the
+held-out fold, made on Spark. The numpy model has one weight for each, so its size is bounded by the
+words of the positives.
 
-Training takes at most POSITIVES confirmed documents and UNLABELLED of all outside the held-out
-fold, those with the smallest hash of their doc_id. Null and empty texts hold no words and get the
+The weights are fitted on at most POSITIVES confirmed documents and UNLABELLED of all outside the
+held-out fold, those with the smallest hash of their doc_id. Null and empty texts hold no words and get the
 score of the bias. Rows without a doc_id are left out. Without positives every score is 0.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -25,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from exposure.llm.frames import documents, text_slices
@@ -33,7 +35,6 @@ from exposure.llm.quality import fold
 from exposure.session import materialize
 
 POSITIVES, UNLABELLED = 4_000, 12_000
-VOCABULARY = 400
 BEGINNINGS, TIMES = (4, 6), (1, 2, 4)
 SURPRISE = 45.0
 PRIOR = 0.1
@@ -55,6 +56,24 @@ def words_of(text: str) -> set[str]:
     return found
 
 
+class Present:
+    """A matrix of zeros and ones, held as the places of the ones."""
+
+    def __init__(self, rows: np.ndarray, columns: np.ndarray, shape: tuple[int, int]) -> None:
+        self.rows, self.columns, self.shape = rows, columns, shape
+
+    def __len__(self) -> int:
+        return self.shape[0]
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        """The product with a weight for each column and, last, a bias."""
+        return np.bincount(self.rows, w[self.columns], self.shape[0]) + w[-1]
+
+    def back(self, s: np.ndarray) -> np.ndarray:
+        """The transposed product: a sum for each column and, last, of all rows."""
+        return np.append(np.bincount(self.columns, s[self.rows], self.shape[1]), s.sum())
+
+
 @dataclass
 class Model:
     words: list[str]
@@ -66,20 +85,18 @@ class Model:
 
 
 def fit(
-    positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = ROUNDS,
+    positive: np.ndarray | Present, unlabelled: np.ndarray | Present, prior: float, rounds: int = ROUNDS,
     rate: float = RATE, ridge: float = RIDGE,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the non-negative risk (full batches, Adam)."""
-    def signed(x: np.ndarray) -> np.ndarray:
-        return np.hstack([x, np.ones((len(x), 1))])
-
-    p, u = signed(positive), signed(unlabelled)
-    w = np.zeros(p.shape[1])
+    p, u = (x if isinstance(x, Present) else Present(*np.nonzero(x), x.shape)
+            for x in (positive, unlabelled))
+    w = np.zeros(p.shape[1] + 1)
     mean, square = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, rounds + 1):
-        sp, su = 1 / (1 + np.exp(-p @ w)), 1 / (1 + np.exp(-u @ w))
-        toward = p.T @ (sp - 1) / len(p) * prior
-        as_negative = u.T @ su / len(u) - prior * (p.T @ sp) / len(p)
+        sp, su = 1 / (1 + np.exp(-p.times(w))), 1 / (1 + np.exp(-u.times(w)))
+        toward = p.back(sp - 1) / len(p) * prior
+        as_negative = u.back(su) / len(u) - prior * p.back(sp) / len(p)
         risk = -np.log1p(-su + 1e-12).mean() + prior * np.log1p(-sp + 1e-12).mean()
         gradient = toward + as_negative if risk >= 0 else -as_negative
         gradient[:-1] += ridge * w[:-1]
@@ -124,39 +141,83 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         return Model([], np.zeros(0), -40.0)
     prior = min(max(share if share is not None else PRIOR, 0.01), 0.5)
 
-    counted = found.select("positive", F.explode("words").alias("word")).groupBy("word").agg(
-        (F.sum(F.col("positive").cast("long")) / n_pos).alias("p"),
-        (F.sum((~F.col("positive")).cast("long")) / n_unl).alias("u"))
-    # The rate beyond the unlabelled text's share of positives, and how surprising the count in
-    # positives would be at that rate (twice the log of the likelihood ratio).
-    rest = F.greatest((F.col("u") - prior * F.col("p")) / (1 - prior), F.lit(0.5 / n_unl))
-    surprise = 2 * n_pos * F.col("p") * F.ln(F.col("p") / rest)
-    words = [r["word"] for r in counted.where(F.col("p") > 2 * rest).where(surprise > SURPRISE)
-             .orderBy(surprise.desc(), "word").limit(VOCABULARY).collect()]
-    # A document's words of the vocabulary: at most VOCABULARY numbers for each sampled row.
-    at = {w: i for i, w in enumerate(words)}
-    marked = found.select("doc_id", "positive", F.array_intersect(
-        "words", F.array(*map(F.lit, words)) if words else F.array().cast("array<string>"))
-        .alias("words")).orderBy("doc_id").collect()
-    x = np.zeros((len(marked), len(words)))
-    for i, row in enumerate(marked):
-        x[i, [at[w] for w in row["words"]]] = 1
-    is_pos = np.array([r["positive"] for r in marked])
-    weights, bias = fit(x[is_pos], x[~is_pos], prior)
+    words = _typical(texts.where(outside), found.where("positive"), n_pos, prior)
+    spread = found.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words)})
+    marked = found.select("doc_id", "positive", "words").mapInArrow(
+        _places(spread), "doc_id long, positive boolean, at array<int>").orderBy("doc_id").toArrow()
+    is_pos = marked["positive"].to_numpy()
+    places = [np.array(x, np.int64) for x in marked["at"].to_pylist()]
+
+    def present(chosen: np.ndarray) -> Present:
+        held = [places[i] for i in np.flatnonzero(chosen)]
+        return Present(np.repeat(np.arange(len(held)), [len(h) for h in held]),
+                       np.concatenate(held), (len(held), len(words)))
+
+    weights, bias = fit(present(is_pos), present(~is_pos), prior)
     return Model(words, weights, bias)
 
 
+def _surprise(p: Column, rest: Column, n_pos: int) -> Column:
+    """How surprising a share ``p`` of the positives is at the rate ``rest`` (twice the log of the
+    likelihood ratio)."""
+    return 2 * n_pos * p * F.ln(p / rest)
+
+
+def _typical(texts: DataFrame, positives: DataFrame, n_pos: int, prior: float) -> list[str]:
+    """All words typical of the positives, by their counts in all ``texts``."""
+    n = texts.count()
+    least = 0.5 / n
+    p = positives.select(F.explode("words").alias("word")).groupBy("word").agg(
+        (F.count("*") / n_pos).alias("p"))
+    # A word that would not pass even if no text had it need not be counted in them.
+    p = materialize(p.where(_surprise(F.col("p"), F.lit(least), n_pos) > SURPRISE), "toxic-candidates")
+    spread = texts.sparkSession.sparkContext.broadcast({r["word"] for r in p.select("word").collect()})
+    u = texts.select("text").mapInArrow(_count(spread), "word string, n long").groupBy("word").agg(
+        (F.sum("n") / n).alias("u"))
+    # The rate beyond the texts' share of positives.
+    rest = F.greatest((F.col("u") - prior * F.col("p")) / (1 - prior), F.lit(least))
+    return [r["word"] for r in p.join(u, "word").where(F.col("p") > 2 * rest)
+            .where(_surprise(F.col("p"), rest, n_pos) > SURPRISE).select("word").orderBy("word").collect()]
+
+
+def _count(spread):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, wanted = Counter(), spread.value
+        for batch in batches:
+            for text in batch["text"].to_pylist():
+                counts.update(words_of(text) & wanted)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+            ["word", "n"])
+    return run
+
+
+def _places(spread):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = spread.value
+        for batch in batches:
+            found = [[at[w] for w in words if w in at] for words in batch["words"].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], batch["positive"], pa.array(found, pa.list_(pa.int32()))],
+                ["doc_id", "positive", "at"])
+    return run
+
+
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted."""
+    bias = model.bias
+    spread = docs.sparkSession.sparkContext.broadcast(dict(zip(model.words, model.weights.tolist())))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = {w: i for i, w in enumerate(model.words)}
+        weights = spread.value
         for batch in batches:
             for part in text_slices(batch):
-                x = np.zeros((part.num_rows, len(at)))
-                for i, text in enumerate(part["text"].to_pylist()):
-                    x[i, [at[w] for w in words_of(text) & at.keys()]] = 1
+                logits = np.array([
+                    bias + math.fsum(weights[w] for w in words_of(t) & weights.keys())
+                    for t in part["text"].to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array(model.score(x))], ["doc_id", "score"])
+                    [part["doc_id"], pa.array(1 / (1 + np.exp(-np.clip(logits, -40, 40))))],
+                    ["doc_id", "score"])
     return documents(docs).mapInArrow(run, "doc_id long, score double").select(
         "doc_id", (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -311,6 +311,17 @@ def test_positive_unlabelled_risk():
     assert (score(rows(500, clean)) > 0.5).mean() < 0.1
 
 
+def test_toxicity_keeps_every_typical_word(spark):
+    """600 insults of different words, each in thirty confirmed documents: all of them are known."""
+    insults = ["".join(chr(97 + (i // 26**k + 7 * k) % 26) for k in range(3)) for i in range(600)]
+    rows = [(i, " ".join(["plain", *(insults[x % 600] for x in (i, i * 7 + 1, i * 11 + 5))]), 1)
+            for i in range(6000)]
+    rows += [(6000 + i, f"plain text words{i % 50}", 0) for i in range(12000)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(given.select("doc_id", "text"), given.select("doc_id", "toxic"))
+    assert len(set(insults)) == 600 and set(insults) <= set(model.words)
+
+
 def test_language(spark, docs, none):
     out = found(language.identify_documents(docs), "doc_id", "language", "accepted")
     assert len(out) == len(ROWS) - 1

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exposure.llm import (
-    bpe, chat, exact_dedup, language, packing, quality, simhash, toxicity, vectors, warc,
+    bpe, chat, exact_dedup, fingerprint, language, negatives, packing, quality, simhash, spelling,
+    toxicity, vectors, warc,
 )
 from exposure.llm.frames import table
 
@@ -72,10 +73,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"), drop_every=97)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (
         op1_exact_dedup, op2_bpe, op3_simhash, op4_chat, op5_packing, op6_vectors, op7_quality,
-        op8_warc, op9_language, op10_toxicity, pages_language)
+        op8_warc, op9_language, op10_toxicity, op11_fingerprint, op12_negatives, op13_spelling,
+        pages_language)
 }
 
 ORACLES: dict[str, str] = {
@@ -125,4 +141,74 @@ select page_id, payload_bytes, payload_digest,
          as record_type,
        case when payload_bytes >= 100 and page_id <> first_id then first_id end as refers_to
 from g""",
+    "op12_negatives": """
+with t as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, x.vec_id, a.label = x.label as same,
+         cast(list_inner_product(a.v, x.v) as bigint) as score
+  from t a join t x on a.vec_id % 50 = 0 and a.vec_id <> x.vec_id),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+n as (
+  select anchor_id, positive_id, positive_score, vec_id as negative_id, score as negative_score,
+         cast(row_number() over (
+           partition by anchor_id, positive_id order by score desc, vec_id) as integer) as rank
+  from p join s using (anchor_id)
+  where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score)
+select * from n where rank <= 3""",
+    "op13_spelling": """
+with recursive crc as (
+  select list(list_reduce(list_prepend(i, range(8)), lambda c, k:
+           case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) order by i) as t
+  from range(256) r(i)),
+runs as (
+  select doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[A-Za-zÀ-ÿ]+')) as run
+  from documents where doc_id is not null),
+counted as (
+  select doc_id, run, count(*) as times, cast(doc_id as varchar) || ':' || run as raw
+  from runs group by all),
+hashed as (
+  select run, times, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+      range(strlen(raw)),
+      lambda i: cast(('0x' || substr(hex(raw), cast(2 * i + 1 as integer), 2)) as bigint))),
+    lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]))) as h
+  from counted, crc),
+cut as (
+  select times, case when h % 97 = 0
+    then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word
+  from hashed),
+words as (
+  select word, cast(sum(times) as bigint) as n from cut where length(word) >= 5
+  group by word having sum(times) >= 3),
+skipped as (
+  select word, i, substr(word, 1, i) as before, substr(word, i + 2) as behind
+  from (select word, unnest(range(length(word))) as i from words)),
+pairs as (
+  select a.word as a, b.word as b from skipped a join skipped b using (i, before, behind)
+  where a.word <> b.word
+  union select s.word, w.word from skipped s join words w on s.before || s.behind = w.word
+  union select w.word, s.word from skipped s join words w on s.before || s.behind = w.word),
+near as (
+  select a as word, count(*) as n_near, max(w.n) as form_n,
+         first(b order by w.n desc, b) as form
+  from pairs join words w on w.word = b group by a),
+named as (
+  select word, case when form_n >= 2 * n then form end as form, n,
+         coalesce(n_near, 0) as n_near, case when form_n >= 2 * n then form_n end as form_n
+  from words left join near using (word)),
+ways as (
+  select word, form as up from named where form is not null
+  union all select ways.word, named.form from ways join named on named.word = ways.up
+  where named.form is not null),
+ends as (select ways.word, up from ways join named on named.word = up where named.form is null)
+select named.word, form, coalesce(up, named.word) as root, n, n_near, form_n
+from named left join ends using (word)""",
 }

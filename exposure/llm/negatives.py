@@ -86,6 +86,7 @@ class Block:
         self.windows = [[(-math.inf, math.inf)]] * n if windows is None else [
             [(LOW * p, HIGH * p) for p in w] for w in windows]
         self.best = [[[] for _ in w] for w in self.windows]
+        self.scored = 0
 
     def _lowest(self, a: int) -> float:
         """No score below it (times 100) can still count for anchor a."""
@@ -127,6 +128,7 @@ class Block:
             wanted &= (100 * high >= self._lowest(at)) & (100 * low <= most)
             hits = np.flatnonzero(wanted)
             if len(hits):
+                self.scored += len(hits)
                 scores = np.rint(
                     points[hits] @ self.points[at] if 2 * len(hits) < len(points)
                     else (points @ self.points[at])[hits])

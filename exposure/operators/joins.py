@@ -33,8 +33,11 @@ def lookup_join(
 
     ``lookup`` holds each key at most once. At most 1 / ``ways`` of a key's rows meet in one task.
     """
-    dealt = rows.withColumn(_WAY, way(rows, ways))
-    used = dealt.select(*keys, _WAY).distinct()
+    at = _WAY
+    while at in rows.columns or at in lookup.columns:
+        at = f"_{at}"
+    dealt = rows.withColumn(at, way(rows, ways))
+    used = dealt.select(*keys, at).distinct()
     facts = [c for c in lookup.columns if c not in keys]
-    copies = used.join(lookup, keys).select(*keys, _WAY, *facts)
-    return dealt.join(copies, [*keys, _WAY], how).drop(_WAY)
+    copies = used.join(lookup, keys).select(*keys, at, *facts)
+    return dealt.join(copies, [*keys, at], how).drop(at)

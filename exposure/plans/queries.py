@@ -21,7 +21,7 @@ from exposure.schemas import (
 )
 from exposure.session import shared_dir
 from exposure.sources import readers, writers
-from exposure.streaming import jobs
+from exposure.streaming import event_time, jobs, updates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -979,7 +979,11 @@ def expired_snapshots_hot(spark, sf_dir):
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loaded(spark, sf_dir).select(
+    return _typed(loaded(spark, sf_dir))
+
+
+def _typed(documents_read: DataFrame) -> DataFrame:
+    return documents_read.select(
         "scan_id", "load_status", "phases", "statistics", "status",
         F.col("environment.templates_hash").alias("templates_hash"),
         F.col("last_update").cast("timestamp_ntz").alias("last_update"),
@@ -1017,6 +1021,17 @@ def _flat_phases(field: str) -> list:
     ]
 
 
+def _flat_statistics() -> list:
+    return [F.col("statistics")[s].alias(s) for s in STATISTICS]
+
+
+def _flat_positions() -> list:
+    return [
+        F.try_element_at("phases", F.lit(phase))["checkpoint"][field].alias(f"{field}_{short}")
+        for phase, short in _SHORT.items() for field in checkpoints.POSITION
+    ]
+
+
 @query(["checkpoint_docs", "phase_events"], f"""
 , {_BASE_SQL}, {_HELD_PHASES_SQL},
 known as (select * from ({LATEST_PHASES_SQL})
@@ -1079,7 +1094,7 @@ from base left join (select scan_id, max(ts) as ts from statistic_events
 def apply_statistic_events(spark, sf_dir):
     return checkpoints.apply_statistic_events(
         _base(spark, sf_dir), frame(spark, sf_dir, "statistic_events")
-    ).select("scan_id", *[F.col("statistics")[s].alias(s) for s in STATISTICS], _last_update_us()).na.fill(-1)
+    ).select("scan_id", *_flat_statistics(), _last_update_us()).na.fill(-1)
 
 
 @query(["checkpoint_docs", "field_events"], f"""
@@ -1113,10 +1128,7 @@ def apply_position_events(spark, sf_dir):
     applied = checkpoints.apply_position_events(
         _base(spark, sf_dir), frame(spark, sf_dir, "position_events")
     )
-    return applied.select("scan_id", *[
-        F.try_element_at("phases", F.lit(phase))["checkpoint"][field].alias(f"{field}_{short}")
-        for phase, short in _SHORT.items() for field in checkpoints.POSITION
-    ], _last_update_us()).na.fill(-1)
+    return applied.select("scan_id", *_flat_positions(), _last_update_us()).na.fill(-1)
 
 
 # --- tools and templates ---------------------------------------------------------------------
@@ -1396,6 +1408,36 @@ def stream_status_transitions(spark, sf_dir):
     return jobs.recorded_transitions(spark, out).drop("ts")
 
 
+# Some rows of the first days come with the last load: later than the delay allows.
+_LATE_SQL = "(ts is null or seq % 97 = 0 and ts < timestamp '2024-01-06')"
+
+
+def _out_of_order(spark: SparkSession, sf_dir: str) -> str:
+    """The status log in four loads, each row up to ten days late, and a few later than that."""
+    log, path = frame(spark, sf_dir, "status_log"), shared_dir(spark, "stream")
+    out, progress_dir = shared_dir(spark, "in-order"), shared_dir(spark, "progress")
+    day = F.dayofmonth("ts") + F.pmod(F.xxhash64("seq"), F.lit(11))
+    late = (F.col("seq") % 97 == 0) & (F.col("ts") < _days(6)[0])
+    load = F.when(late, 3).otherwise(F.coalesce(F.least(F.floor(day / 10), F.lit(3)), F.lit(3)))
+    for number in range(4):
+        log.where(load == number).write.mode("append").parquet(path)
+        event_time.stream_transitions_in_order(
+            spark.readStream.schema(log.schema).parquet(path), out, progress_dir, "12 days",
+        ).awaitTermination()
+    event_time.release(spark, out)
+    return out
+
+
+@query(["status_log"], _status_transitions_sql(f"(from status_log where not {_LATE_SQL})"))
+def status_transitions_event_time(spark, sf_dir):
+    return event_time.transitions(spark, _out_of_order(spark, sf_dir)).drop("ts")
+
+
+@query(["status_log"], f"select scan_id, seq, status from status_log where {_LATE_SQL}")
+def late_status_rows(spark, sf_dir):
+    return event_time.late_rows(spark, _out_of_order(spark, sf_dir)).drop("ts", "watermark")
+
+
 @query(["findings"], "select distinct scan_id, 'h' || scan_id || '.example.com' as host "
                      "from findings")
 def stream_hosts_within_delay(spark, sf_dir):
@@ -1413,6 +1455,70 @@ def stream_hosts_within_delay(spark, sf_dir):
     return spark.read.schema("scan_id bigint, host string").parquet(out)
 
 
+def _update_loads(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The updates of all four kinds in four loads, in no order of time."""
+    every = (
+        updates.phase_updates(frame(spark, sf_dir, "phase_events"))
+        .unionByName(updates.statistic_updates(frame(spark, sf_dir, "statistic_events")))
+        .unionByName(updates.field_updates(frame(spark, sf_dir, "field_events")))
+        .unionByName(updates.position_updates(frame(spark, sf_dir, "position_events"))))
+    return [every.where(F.pmod(F.xxhash64("seq"), F.lit(4)) == i) for i in range(4)]
+
+
+def _restarted(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], object]) -> None:
+    """Run a stream over two loads, stop it, and go on with two more."""
+    path = shared_dir(spark, "stream")
+    for i, load in enumerate(_update_loads(spark, sf_dir)):
+        load.write.mode("append").parquet(path)
+        if i % 2:
+            start(spark.readStream.schema(updates.UPDATE).parquet(path)).awaitTermination()
+
+
+_UPDATED_SQL = f"""
+, phases as (with {{phase}}), counters as (with {{statistic}}), fields as (with {{field}}),
+positions as (with {{position}})
+select phases.* exclude (last_update_us), counters.* exclude (scan_id, last_update_us),
+  fields.* exclude (scan_id, last_update_us), positions.* exclude (scan_id, last_update_us),
+  greatest(phases.last_update_us, counters.last_update_us, fields.last_update_us,
+    positions.last_update_us) as last_update_us
+from phases join counters using (scan_id) join fields using (scan_id) join positions using (scan_id)
+"""
+_UPDATE_BINDINGS = [
+    "checkpoint_docs", "phase_events", "statistic_events", "field_events", "position_events"]
+
+
+def _inner(name: str) -> str:
+    """A registered check without its leading relations."""
+    return ORACLES[name].split("\n, ", 1)[1]
+
+
+@query(_UPDATE_BINDINGS, _UPDATED_SQL.format(**{
+    kind: _inner(f"apply_{kind}_events") for kind in ("phase", "statistic", "field", "position")}))
+def stream_document_updates(spark, sf_dir):
+    before = documents(spark, sf_dir)
+    out, progress_dir = shared_dir(spark, "updates"), shared_dir(spark, "progress")
+    _restarted(spark, sf_dir, lambda stream: updates.stream_document_updates(
+        stream, before, out, progress_dir))
+    now = checkpoints.load_checkpoints(updates.updated_documents(before, out))
+    return _typed(now).select(
+        "scan_id", *_flat_phases("status"), *_flat_statistics(), "status", "templates_hash",
+        *_flat_positions(), _last_update_us()).na.fill(-1)
+
+
+@query(_UPDATE_BINDINGS, f"""
+, p as (with {_inner("rejected_phase_events")}), u as (with {_inner("rejected_updates")})
+select 'phase' as kind, scan_id, seq, phase as name from p union all select * from u
+""")
+def stream_rejected_updates(spark, sf_dir):
+    out, progress_dir = shared_dir(spark, "rejected"), shared_dir(spark, "progress")
+    before = documents(spark, sf_dir)
+    _restarted(spark, sf_dir, lambda stream: updates.stream_rejected_updates(
+        stream, before, out, progress_dir))
+    refused = spark.read.schema(updates.UPDATE).parquet(out)
+    return refused.where(F.col("kind") != updates.POSITION_KIND).select(
+        "kind", "scan_id", "seq", "name")
+
+
 # --- reports ---------------------------------------------------------------------------------
 
 _LEVELS_SQL = ", ".join(

@@ -44,26 +44,61 @@ def test_slices_equal_one_window(spark, limit):
     df.unpersist()
 
 
-def test_slices_of_a_hot_key_stay_bounded(spark, monkeypatch):
-    df = data(spark)
-    written = {}
-    keep = ordered.materialize
-
-    def remember(frame, name):
-        written["slices"] = keep(frame, name)
-        return written["slices"]
-
-    monkeypatch.setattr(ordered, "materialize", remember)
-    ordered.running(df, ["scan_id"], ["ts", "seq"], values(), max_group_rows=100).count()
-    largest = written["slices"].groupBy("_slice").count().agg(F.max("count")).first()[0]
-    assert largest <= 150
-    assert written["slices"].count() == df.count()
-
-
-def test_group_sizes(spark):
-    df = spark.createDataFrame([(1,), (1,), (2,)], "k int")
-    assert ordered.group_sizes(df, ["k"]) == (3, 2)
-    assert ordered.group_sizes(df.filter("false"), ["k"]) == (0, 0)
+@pytest.mark.parametrize("order", [["ts", "seq"], ["name"], ["moment", "seq"]])
+def test_slices_of_a_hot_key_stay_bounded(spark, order):
+    df = data(spark).withColumns({
+        "name": F.concat(F.lit("host-"), F.md5(F.col("seq").cast("string"))),
+        "moment": (F.timestamp_seconds("ts") + F.expr("interval '1' microsecond")).cast(
+            "timestamp_ntz")})
+    cut = ordered.slice_number(df, ["scan_id"], order, 100)
+    sliced = df.select("scan_id", *order, cut.alias("cut"))
+    sizes = sliced.groupBy("scan_id", "cut").count().collect()
+    assert max(r["count"] for r in sizes) <= 150
+    assert sum(r["count"] for r in sizes) == 2_000
+    # in order, and small groups are whole
+    spans = sliced.groupBy("scan_id", "cut").agg(
+        F.min(F.struct(*order)).alias("low"), F.max(F.struct(*order)).alias("high")).collect()
+    for key in {r["scan_id"] for r in sizes}:
+        mine = sorted((r for r in spans if r["scan_id"] == key), key=lambda r: r["cut"])
+        assert key == 0 or len(mine) == 1
+        assert all(a["high"] < b["low"] for a, b in zip(mine, mine[1:]))
+
+
+def test_many_bounds_in_two_steps(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "MAX_SLICES", 100)
+    df = spark.range(3_000).selectExpr("0 as scan_id", "id as seq", "1 as n")
+    cut = ordered.slice_number(df, ["scan_id"], ["seq"], 10)
+    sizes = df.groupBy(cut.alias("cut")).count().orderBy("cut").collect()
+    assert 90 <= len(sizes) <= 100 and [r["cut"] for r in sizes] == list(range(len(sizes)))
+    assert max(r["count"] for r in sizes) <= 60
+
+
+def test_building_takes_one_job_and_writes_nothing(spark, monkeypatch):
+    """Of the hot plan as of the plain one: one action, over key and order only, and no table."""
+    df, actions = data(spark), []
+    collect = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: actions.append(self) or collect(self))
+    monkeypatch.setattr(type(df), "write", property(lambda self: pytest.fail("written")))
+    for limit in (100, 5_000):
+        actions.clear()
+        plan = ordered.running(df, ["scan_id"], ["ts", "seq"], values(), max_group_rows=limit)
+        assert len(actions) == 1
+    monkeypatch.undo()
+    hot = ordered.running(df, ["scan_id"], ["ts", "seq"], values(), max_group_rows=100)
+    assert "parquet" not in hot._jdf.queryExecution().toString()
+    assert hot.count() == plan.count() == 2_000
+
+
+def test_columns_of_the_caller_are_left_alone(spark):
+    extra = {name: F.col("seq") * -1 for name in (
+        "_slice", "_row", "_in_total", "_own_total", "_carry_total", "_key_scan_id", "_turn", "cut")}
+    df = data(spark).withColumns(extra)
+    for limit in (100, 5_000):
+        out = ordered.running(df, ["scan_id"], ["ts", "seq"], values(), max_group_rows=limit)
+        assert out.columns == [*df.columns, *KINDS]
+        assert out.where(F.expr(" or ".join(f"{n} <> -seq" for n in extra))).isEmpty()
+    assert ordered.running(
+        df.limit(0), ["scan_id"], ["ts", "seq"], values(), max_group_rows=1).isEmpty()
 
 
 def test_batches_are_full_but_for_the_last(spark):

@@ -52,12 +52,12 @@ def keep_documents(docs: DataFrame, ids: DataFrame, once: bool = False) -> DataF
     return (kept.dropDuplicates(["doc_id"]) if once else kept).select(*docs.columns)
 
 
-def text_slices(batch: pa.RecordBatch, column: str = "text"):
-    """Parts of a batch with about SLICE_CHARS bytes of text each (at least one row)."""
+def text_slices(batch: pa.RecordBatch, column: str = "text", chars: int = SLICE_CHARS):
+    """Parts of a batch with about ``chars`` bytes of text each (at least one row)."""
     lengths = pc.binary_length(batch[column]).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, n in enumerate(lengths):
-        if held and held + n > SLICE_CHARS:
+        if held and held + n > chars:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += int(n)

@@ -14,11 +14,12 @@ empty result.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import chain
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,8 @@ SMALLEST_CUT = 32
 MERGE = 64
 KNOWN_PIECES = 800_000
 LONGEST_KNOWN = 64
-TOGETHER = 100
+TOGETHER = 20
+TEXT_CHARS = 4_000_000
 
 PACKED = (
     "doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, "
@@ -56,16 +58,22 @@ class WordTokenizer:
     those of its parts in order. It lower-cases, so texts may be lower-cased before (A-Z only, not
     with a special token, and not with accents that are characters of their own: some join with
     small letters only). Marks behind a letter at the end of a part are a word of their own. All
-    that makes more parts alike. ``known`` has the ids as four bytes each.
+    that makes more parts alike. A part of small Latin letters is one word that no step changes, so
+    it goes straight to the library's model. ``known`` has the ids as four bytes each.
     """
 
+    PLAIN = re.compile("[a-zß-öø-ÿ]+")
     MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
     ACCENTS = (b"\xcc", b"\xcd")  # how U+0300 to U+036F start
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.in_bytes = {i: level.pre_tokenize_str(chr(i))[0][0] for i in range(0xDF, 0x100)}
+        self.model = self.tokenizer.model
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.known: dict[bytes, bytes] = {}
@@ -78,6 +86,19 @@ class WordTokenizer:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.int32) for e in found]
 
+    def _ask_model(self, pieces: list[bytes]) -> list[bytes]:
+        """Ask the model itself for the plain pieces; the others."""
+        others = []
+        for piece in pieces:
+            text = piece.decode()
+            if self.PLAIN.fullmatch(text):
+                if not piece.isascii():
+                    text = text.translate(self.in_bytes)
+                self.known[piece] = array("i", [t.id for t in self.model.tokenize(text)]).tobytes()
+            else:
+                others.append(piece)
+        return others
+
     def _ask(self, pieces: list[bytes]) -> None:
         """Ask for many pieces in one text, with a special token between them.
 
@@ -105,28 +126,42 @@ class WordTokenizer:
         wanted = set(pieces).difference(p for p, _ in cut)
         wanted.update(p[:n] for p, n in cut)
         wanted.update(p[n:] for p, n in cut)
-        self._ask(list(wanted.difference(self.known)))
+        self._ask(self._ask_model(list(wanted.difference(self.known))))
         for piece, n in cut:
             self.known[piece] = self.known[piece[:n]] + self.known[piece[n:]]
 
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text. Each different part is looked up once for all texts."""
         if len(self.known) > KNOWN_PIECES:
             self.known.clear()
-        parts, special = [], self.mark is None
-        for text in texts:
-            raw = text.encode()
-            held = any(t in raw for t in self.specials)
-            special |= held
-            # bytes know ASCII only: A-Z, and space, \t, \n, \v, \f, \r.
-            parts.append((raw if held or any(t in raw for t in self.ACCENTS) else raw.lower()).split())
-        new = list(set(chain.from_iterable(parts)).difference(self.known))
-        self._learn(new, special)
-        for words in parts:
-            yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32)
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        raw = column.cast(pa.binary())
+        held = [pc.match_substring(raw, t) for t in self.specials]
+        special = self.mark is None or any(pc.any(m).as_py() for m in held)
+        as_given = reduce(pc.or_, [*held, *(pc.match_substring(raw, t) for t in self.ACCENTS)])
+        # Both know ASCII only: A-Z, and space, \t, \n, \v, \f, \r.
+        words = pc.ascii_split_whitespace(pc.if_else(as_given, column, pc.ascii_lower(column)))
+        coded = words.flatten().dictionary_encode()
+        parts = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, parts))
+        new = [p for p, f in zip(parts, found) if f is None]
+        if new:
+            self._learn(new, special)
+            found = list(map(self.known.__getitem__, parts))
+        ids = np.frombuffer(b"".join(found), np.int32)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        at = coded.indices.to_numpy()
+        size = sizes[at] if len(at) else np.zeros(0, np.int64)
+        ends = np.cumsum(size)
+        begin = (np.cumsum(sizes) - sizes)[at] - (ends - size) if len(at) else size
+        flat = ids[np.repeat(begin, size) + np.arange(ends[-1] if len(ends) else 0)]
         for piece in new:
             if len(piece) > LONGEST_KNOWN:
                 self.known.pop(piece, None)
                 self.known.pop(piece.rstrip(self.MARKS), None)
+        stops = np.concatenate([[0], ends])[np.cumsum(pc.list_value_length(words).to_numpy())]
+        for start, stop in zip([0, *stops[:-1].tolist()], stops.tolist()):
+            yield flat[start:stop]
 
 
 @lru_cache(maxsize=1)
@@ -149,8 +184,8 @@ def rest_sizes(capacity: int = CAPACITY) -> list[list[int]]:
 class Filler:
     """One worker's open sequences, a list of pieces for each class."""
 
-    def __init__(self, tier: int, capacity: int = CAPACITY) -> None:
-        self.capacity = capacity
+    def __init__(self, tier: int, capacity: int = CAPACITY, keep_ids: bool = True) -> None:
+        self.capacity, self.keep_ids = capacity, keep_ids
         self.next_id = (tier << 56) + (TaskContext.get().partitionId() << 32)
         self.open: dict[int, list[tuple]] = defaultdict(list)
         self.rows: list[tuple] = []
@@ -164,7 +199,8 @@ class Filler:
 
     def _row(self, doc_id, start, ids, total, sequence, offset) -> None:
         crc = zlib.crc32(ids.astype("<i4", copy=False))
-        self.rows.append((doc_id, start, len(ids), ids, crc, total, sequence, offset))
+        held = ids if self.keep_ids or sequence is None else None
+        self.rows.append((doc_id, start, len(ids), held, crc, total, sequence, offset))
 
     def add(self, doc_id: int, start: int, ids: np.ndarray, total: int) -> None:
         pieces = self.open[len(ids)]
@@ -198,21 +234,24 @@ class Filler:
     def take(self) -> pa.RecordBatch:
         rows, self.rows = self.rows, []
         columns = list(zip(*rows)) or [()] * len(_ARROW)
-        held = columns[3]
-        bounds = np.cumsum([0, *columns[2]]).astype(np.int32)
-        flat = np.concatenate(held) if held else np.zeros(0, np.int32)
-        columns[3] = pa.ListArray.from_arrays(bounds, flat)
+        held = [ids for ids in columns[3] if ids is not None]
+        none = np.array([ids is None for ids in columns[3]], bool)
+        bounds = np.cumsum([0, *(0 if ids is None else len(ids) for ids in columns[3])])
+        columns[3] = pa.ListArray.from_arrays(
+            bounds.astype(np.int32), np.concatenate(held) if held else np.zeros(0, np.int32),
+            mask=pa.array(none))
         return pa.RecordBatch.from_arrays(
             [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, _ARROW)],
             schema=_ARROW)
 
 
-def _fill_documents(path: str, capacity: int, end_id: int):
+def _fill_documents(path: str, capacity: int, end_id: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filler, sizes, tokenizer = Filler(0, capacity), rest_sizes(capacity), word_tokenizer(path)
+        filler, sizes = Filler(0, capacity, keep_ids), rest_sizes(capacity)
+        tokenizer = word_tokenizer(path)
         for batch in batches:
-            for part in text_slices(batch):
-                ids_of = tokenizer.encode(part["text"].to_pylist())
+            for part in text_slices(batch, chars=TEXT_CHARS):
+                ids_of = tokenizer.encode(part["text"])
                 for doc_id, ids in zip(part["doc_id"].to_pylist(), ids_of):
                     ids = np.append(ids, np.int32(end_id))
                     total, start = len(ids), 0
@@ -225,9 +264,9 @@ def _fill_documents(path: str, capacity: int, end_id: int):
     return run
 
 
-def _fill_rest(tier: int, capacity: int, last: bool):
+def _fill_rest(tier: int, capacity: int, last: bool, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filler = Filler(tier, capacity)
+        filler = Filler(tier, capacity, keep_ids)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
@@ -247,10 +286,15 @@ def _fill_rest(tier: int, capacity: int, last: bool):
 
 def pack(
     docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID,
+    keep_ids: bool = True,
 ) -> DataFrame:
-    """One row for each piece: its document, place there, ids, sequence and place in the sequence."""
+    """One row for each piece: its document, place there, ids, sequence and place in the sequence.
+
+    Without ``keep_ids`` only pieces that still look for a sequence carry ids between the steps, and
+    the result's are null.
+    """
     texts = documents(docs)
-    filled = materialize(texts.mapInArrow(_fill_documents(path, capacity, end_id), PACKED), "pack")
+    filled = materialize(texts.mapInArrow(_fill_documents(path, capacity, end_id, keep_ids), PACKED), "pack")
     packed, tier = [filled.where("sequence_id is not null")], 0
     # A worker passes on a bounded number of pieces, so a merged worker's input is bounded too.
     workers = max(1, texts.rdd.getNumPartitions())
@@ -258,7 +302,7 @@ def pack(
         tier, workers = tier + 1, -(-workers // MERGE)
         rest = filled.where("sequence_id is null")
         filled = materialize(
-            rest.coalesce(workers).mapInArrow(_fill_rest(tier, capacity, workers == 1), PACKED), "pack")
+            rest.coalesce(workers).mapInArrow(_fill_rest(tier, capacity, workers == 1, keep_ids), PACKED), "pack")
         packed.append(filled.where("sequence_id is not null"))
         if workers == 1:
             break

@@ -42,7 +42,8 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.without_ids(packing.pack(table(spark, sf_dir, "documents"), WORD_VOCABULARY))
+    docs = table(spark, sf_dir, "documents")
+    return packing.without_ids(packing.pack(docs, WORD_VOCABULARY, keep_ids=False))
 
 
 def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,14 +4,17 @@ Unit vectors with cosine c are at squared distance 2 (1 - c). They are turned by
 rotation, so that no coordinate stands out, and split into blocks of about BLOCK_DIMS coordinates.
 Of two vectors within the whole distance, at least one block is within its share of it, in
 proportion to its coordinates. In each block a range join finds all such pairs: cells of a grid over
-the first GRID_DIMS coordinates, then the block's distance. The union of the blocks' candidates is
-verified with the cosine of the vectors as given, in double precision.
+the first GRID_DIMS coordinates, then the block's distance, then what the other coordinates add at
+least: they are put in RESTS groups, and the norms of a group differ by no more than its distance.
+The union of the blocks' candidates is verified with the cosine of the vectors as given, in double
+precision.
 
 Only vectors of one label and one length are compared. Equal vectors of a label are one node with a
 count, so copies make no pairs. Vectors that are null, zero, or hold a null or non-finite
 component, and vectors without a label, link with nothing and stand for themselves. Rows without a
-vec_id are left out; a repeated vec_id is another vector each time. An empty table gives an empty
-result.
+vec_id are left out; a repeated vec_id is another vector each time, and equal vectors of one label
+are equal whatever their ids. Other columns are not read, whatever their names. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -38,7 +41,10 @@ CELL_WIDTHS = 1.5
 SEED = 20240607
 ROUNDING = 1e-6
 
+RESTS = 7
+
 COORDS = [f"c{i}" for i in range(BLOCK_DIMS)]
+NORMS = [f"r{i}" for i in range(RESTS)]
 
 
 @lru_cache(maxsize=8)
@@ -84,13 +90,15 @@ def _place(min_cosine: float):
                     vectors /= np.linalg.norm(vectors, axis=1)[:, None]
                     turned = vectors @ rotation(dims)
                     for b, block in enumerate(blocks_of(dims)):
+                        rest = np.array_split(np.delete(turned, block, 1), RESTS, 1)
+                        norms = np.stack([np.linalg.norm(r, axis=1) for r in rest], 1)
                         yield from _cells(
                             turned[:, block], share(block, dims, min_cosine), ids[rows],
-                            groups[rows], dims * 65_537 + b)
+                            groups[rows], dims * 65_537 + b, norms.astype(np.float32))
     return run
 
 
-def _cells(points, budget, ids, groups, salt) -> Iterator[pa.RecordBatch]:
+def _cells(points, budget, ids, groups, salt, norms) -> Iterator[pa.RecordBatch]:
     """Each point in every cell that its box of half the radius touches: two points within the
     radius have boxes that overlap, and the cell of a common place holds both."""
     radius = np.sqrt(budget)
@@ -110,25 +118,31 @@ def _cells(points, budget, ids, groups, salt) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [pa.array(cell.view(np.int64)), pa.array(ids[inside]),
              pa.array(groups[inside]), pa.array(np.full(len(cell), budget)),
-             *(pa.array(np.ascontiguousarray(coords[inside, i])) for i in range(BLOCK_DIMS))],
-            ["cell", "id", "label_hash", "budget", *COORDS])
-
-
-def _in_range(payload: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    label, budget, coords = payload[0], payload[1], payload[2:]
-    near = label[i] == label[j]
-    at = np.flatnonzero(near)
-    apart = np.zeros(len(at))
-    # Rows of a cell are close in the first coordinates, so the others come first.
-    for axis in range(BLOCK_DIMS - 1, -1, -1):
-        c = coords[axis]
-        step = c[i[at]].astype(np.float64) - c[j[at]]
-        apart += step * step
-        keep = apart <= budget[i[at]]
-        at, apart = at[keep], apart[keep]
-    near[:] = False
-    near[at] = True
-    return near
+             *(pa.array(np.ascontiguousarray(coords[inside, i])) for i in range(BLOCK_DIMS)),
+             *(pa.array(np.ascontiguousarray(norms[inside, i])) for i in range(RESTS))],
+            ["cell", "id", "label_hash", "budget", *COORDS, *NORMS])
+
+
+def _in_range(min_cosine: float):
+    whole = 2 * (1 - min_cosine) * (1 + ROUNDING) + 4 * ROUNDING
+
+    def test(payload: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        label, budget = payload[0], payload[1]
+        coords, norms = payload[2:2 + BLOCK_DIMS], payload[2 + BLOCK_DIMS:]
+        near = label[i] == label[j]
+        at = np.flatnonzero(near)
+        apart = np.zeros(len(at))
+        # Rows of a cell are close in the first coordinates, so the others come first; then the
+        # norms of the other blocks, against the whole distance.
+        for turn, c in enumerate((*coords[::-1], *norms)):
+            step = c[i[at]].astype(np.float64) - c[j[at]]
+            apart += step * step
+            keep = apart <= (budget[i[at]] if turn < BLOCK_DIMS else whole)
+            at, apart = at[keep], apart[keep]
+        near[:] = False
+        near[at] = True
+        return near
+    return test
 
 
 def _verify(min_cosine: float):
@@ -155,27 +169,30 @@ def near_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataFram
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = (F.col("label").isNotNull() & F.coalesce(finite, F.lit(False))
               & F.exists("v", lambda x: x != 0))
-    # The class of equal vectors, by label and components in full.
-    key = F.sha2(F.concat_ws(",", F.col("v").cast("array<string>"), F.col("label")).cast("binary"), 256)
+    # The class of equal vectors: label and components in full, each in its own field.
+    key = F.sha2(F.to_json(F.struct("label", "v")).cast("binary"), 256)
     rows = materialize(given.select(
         "vec_id", "label", "v", F.when(F.coalesce(usable, F.lit(False)), key).alias("key")), "vectors")
+    # Nodes have numbers of their own: one vec_id may stand for different vectors.
     nodes = materialize(
         rows.where("key is not null").groupBy("key").agg(
-            F.min("vec_id").alias("id"), F.count("*").alias("copies"),
-            F.first("v").alias("v"), F.first(F.xxhash64("label")).alias("label_hash")), "vector-nodes")
+            F.min("vec_id").alias("first_id"), F.count("*").alias("copies"),
+            F.first("v").alias("v"), F.first("label").alias("label"))
+        .withColumns({"id": F.monotonically_increasing_id(), "label_hash": F.xxhash64("label")}),
+        "vector-nodes")
 
     placed = nodes.select("id", "label_hash", "v").mapInArrow(
         _place(min_cosine),
         "cell long, id long, label_hash long, budget double, "
-        + ", ".join(f"{c} float" for c in COORDS))
+        + ", ".join(f"{c} float" for c in (*COORDS, *NORMS)))
     candidates = pairs_in_cells(
-        placed, ["label_hash", "budget", *COORDS], _in_range, fold=distinct_pairs)
-    ends = nodes.select("id", "v")
+        placed, ["label_hash", "budget", *COORDS, *NORMS], _in_range(min_cosine),
+        fold=distinct_pairs)
+    ends = nodes.select("id", "v", "label")
     links = materialize(
         candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        .join(ends.select(F.col("id").alias("a"), F.col("v").alias("va")), "a")
-        .join(ends.select(F.col("id").alias("b"), F.col("v").alias("vb")), "b")
-        .where("size(va) = size(vb)")
+        .join(ends.toDF("a", "va", "la"), "a").join(ends.toDF("b", "vb", "lb"), "b")
+        .where("la = lb and size(va) = size(vb)")
         .select("a", "b", "va", "vb").mapInArrow(_verify(min_cosine), "a long, b long"), "vector-links")
 
     copies = nodes.select("id", "copies")
@@ -184,11 +201,13 @@ def near_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataFram
         lookup(both, copies.withColumnRenamed("id", "b"), "b", "a", how="inner")
         .groupBy("a").agg(F.sum("copies").alias("others")).withColumnRenamed("a", "id"))
     roots = connected_components(links).withColumnRenamed("node", "id")
-    named = nodes.join(linked, "id", "left").join(roots, "id", "left").select(
-        "key", F.coalesce("root", "id").alias("root"),
-        (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
+    named = materialize(nodes.join(linked, "id", "left").join(roots, "id", "left").select(
+        "key", "first_id", F.coalesce("root", "id").alias("root"),
+        (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links")), "vector-classes")
+    least = named.groupBy("root").agg(F.min("first_id").alias("component"))
+    named = lookup(named, least, "root", "key").select("key", "component", "links")
     found = lookup(rows.select("vec_id", "key"), named, "key", "vec_id")
-    component = F.coalesce("root", "vec_id")
+    component = F.coalesce("component", "vec_id")
     return found.select(
         "vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))

@@ -27,7 +27,7 @@ def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.without_ids(packing.pack(docs, WORD_VOCABULARY))
+    return packing.pack(docs, WORD_VOCABULARY)
 
 
 STAGES = [

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from exposure.llm.frames import documents, keep_documents
+from exposure.llm.frames import documents, keep_marked
 from exposure.session import materialize
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -141,5 +141,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
-    """The kept rows of ``docs`` with all their columns."""
-    return keep_documents(docs, exact_groups(docs).where("kept"), once=True)
+    """The kept rows of ``docs`` with all their columns: one for each different text."""
+    digest = F.sha2(F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), BLANKS, "")
+                    .cast("binary"), 256)
+    return keep_marked(docs, exact_groups(docs).where("kept"), "text_sha256", digest)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WAYS = 64
@@ -42,14 +42,39 @@ def lookup(
     return dealt.join(copies, [key, "_way"], how).drop("_way")
 
 
-def keep_documents(docs: DataFrame, ids: DataFrame, once: bool = False) -> DataFrame:
-    """The rows of ``docs`` with a doc_id in ``ids``, columns as they were.
+def keep_documents(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with a doc_id in ``ids``, columns as they were."""
+    return docs.join(ids.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
 
-    ``once``: one row for a doc_id. The semi join sorts by doc_id, so dropping repeated rows adds
-    neither shuffle nor sort.
+
+def keep_marked(docs: DataFrame, kept: DataFrame, mark: str, of: Column) -> DataFrame:
+    """One row of ``docs`` for each (doc_id, mark) in ``kept``: the longest text, columns as they were.
+
+    ``of`` computes a row's mark from its text, so where a doc_id stands for several texts, each is
+    kept or dropped by itself. The window needs no shuffle of its own.
+    """
+    at, turn = mark, "_turn"
+    while at in docs.columns:
+        at = f"_{at}"
+    while turn in docs.columns:
+        turn = f"_{turn}"
+    wanted = kept.select(F.col("doc_id"), F.col(mark).alias(at)).distinct()
+    longest = Window.partitionBy("doc_id", at).orderBy(F.char_length("text").desc(), "text")
+    return (
+        docs.withColumn(at, of).join(wanted, ["doc_id", at], "left_semi")
+        .withColumn(turn, F.row_number().over(longest)).where(F.col(turn) == 1)
+        .select(*docs.columns))
+
+
+def smallest_hashes(ids: DataFrame, rows: int) -> DataFrame:
+    """About the ``rows`` ids (doc_id) of smallest hash, a few more rather than fewer.
+
+    The share of hashes that holds them follows from one count, so tasks pass on what is chosen only.
     """
-    kept = docs.join(ids.select("doc_id"), "doc_id", "left_semi")
-    return (kept.dropDuplicates(["doc_id"]) if once else kept).select(*docs.columns)
+    many = ids.count()
+    share = min(1.0, (rows + 6 * rows ** 0.5 + 10) / max(many, 1))
+    limit = int(-2 ** 63 + share * 2 ** 64) - 1 if share < 1 else 2 ** 63 - 1
+    return ids.where(F.xxhash64("doc_id") <= F.lit(limit))
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text", chars: int = SLICE_CHARS):

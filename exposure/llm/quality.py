@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from exposure.llm.frames import documents, keep_documents, text_slices
+from exposure.llm.frames import documents, keep_documents, smallest_hashes, text_slices
 from exposure.session import materialize
 
 TRAIN_ROWS = 20_000
@@ -185,7 +185,8 @@ def train(made: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
     """Fit on at most ``rows`` labelled rows outside the held-out fold."""
     known = labels.where("quality is not null and doc_id is not null").where(
         fold("doc_id", FOLDS) != HELD_OUT).groupBy("doc_id").agg(F.max("quality").alias("y"))
-    sample = made.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()
+    sample = made.join(smallest_hashes(known, rows), "doc_id").orderBy(
+        F.xxhash64("doc_id"), "doc_id").limit(rows).collect()
     x = np.array([r["x"] for r in sample], np.float64).reshape(-1, len(STATISTICS))
     return fit(x, np.array([float(r["y"] > 0) for r in sample]))
 

@@ -16,6 +16,7 @@ other. Rows without a doc_id are left out. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from exposure.llm.cells import forest, pairs_in_cells
 from exposure.llm.components import connected_components
-from exposure.llm.frames import documents, keep_documents, lookup, text_slices
+from exposure.llm.frames import documents, keep_marked, lookup, text_slices
 from exposure.session import materialize
 
 SHINGLE_WORDS = 4
@@ -60,15 +61,22 @@ def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long."""
+def fingerprints(
+    docs: DataFrame, words: int = SHINGLE_WORDS, digests: bool = False,
+) -> DataFrame:
+    """doc_id and fp, the fingerprint as a signed long; with ``digests`` the text's SHA-256 too."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                made = np.array([fingerprint(t, words) for t in part["text"].to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array(made.view(np.int64))], ["doc_id", "fp"])
-    return documents(docs).mapInArrow(run, "doc_id long, fp long")
+                texts = part["text"].to_pylist()
+                made = np.array([fingerprint(t, words) for t in texts], np.uint64)
+                columns = {"doc_id": part["doc_id"], "fp": pa.array(made.view(np.int64))}
+                if digests:
+                    columns["digest"] = pa.array(
+                        [hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())
+                yield pa.RecordBatch.from_pydict(columns)
+    return documents(docs).mapInArrow(
+        run, "doc_id long, fp long" + ", digest string" * digests)
 
 
 def segment_counts(bits: np.ndarray) -> np.ndarray:
@@ -131,19 +139,33 @@ def within_bits(most: int = MAX_BITS):
     return test
 
 
+def _grouped(marked: DataFrame) -> DataFrame:
+    """``marked`` (doc_id, fp and more) with the root of its component and the smallest doc_id there.
+
+    Fingerprints are the nodes, so a doc_id that stands for two texts does not join their groups.
+    """
+    nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
+    placed = nodes.select(F.col("fp").alias("id"), "fp").mapInArrow(
+        _place, "cell long, id long, fp long")
+    links = pairs_in_cells(placed, ["fp"], within_bits(), fold=forest)
+    roots = connected_components(links).withColumnRenamed("node", "fp")
+    named = materialize(nodes.join(roots, "fp", "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted")
+    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return lookup(
+        marked, lookup(named.drop("first_id"), least, "root", "fp"), "fp", "doc_id")
+
+
 def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id of every row with a doc_id."""
-    marked = materialize(fingerprints(docs, words), "fingerprints")
-    nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
-    placed = nodes.mapInArrow(_place, "cell long, id long, fp long")
-    links = pairs_in_cells(placed, ["fp"], within_bits(), fold=forest)
-    roots = connected_components(links).withColumnRenamed("node", "id")
-    named = nodes.join(roots, "id", "left").select(
-        "fp", F.coalesce("root", "id").alias("component_id"))
-    return lookup(marked, named, "fp", "doc_id").select(
+    return _grouped(materialize(fingerprints(docs, words), "fingerprints")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
-    """One document of each group: the one with the smallest doc_id, with all its columns."""
-    return keep_documents(docs, near_groups(docs).where("doc_id = component_id"), once=True)
+def near_dedup(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
+    """One document of each group, that of the smallest doc_id, with all its columns."""
+    marked = materialize(fingerprints(docs, words, digests=True), "fingerprints")
+    kept = _grouped(marked).where("doc_id = component_id").groupBy("root").agg(
+        F.min("digest").alias("digest"), F.first("doc_id").alias("doc_id"))
+    whole = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
+    return keep_marked(docs, kept, "digest", whole)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from exposure.llm.frames import documents, text_slices
+from exposure.llm.frames import documents, smallest_hashes, text_slices
 from exposure.llm.quality import fold
 from exposure.session import materialize
 
@@ -107,7 +107,7 @@ def fit(
 
 def _first(ids: DataFrame, rows: int) -> DataFrame:
     """At most ``rows`` ids, those with the smallest hash."""
-    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return smallest_hashes(ids, rows).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,7 +20,7 @@ from exposure.schemas import (
     SEVERITIES, STATISTICS,
 )
 from exposure.session import shared_dir
-from exposure.sources import readers, writers
+from exposure.sources import hoststore, linestore, readers, writers
 from exposure.streaming import event_time, jobs, updates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,17 +171,15 @@ def quarantined_hosts(spark, sf_dir):
 @query(["hosts_raw"], HOSTS_SQL)
 def write_sorted_hosts(spark, sf_dir):
     path = shared_dir(spark, "sorted-hosts")
-    writers.write_sorted_hosts(hosts(spark, sf_dir), path)
-    return readers.read_lines(spark, path).select(
-        F.col("scan_id").cast("bigint"), F.col("line").alias("host")
-    )
+    linestore.write_stored_lines(hosts(spark, sf_dir), path, "host", dedupe=True)
+    return linestore.read_stored_lines(spark, path).withColumnRenamed("line", "host")
 
 
 @query(["probe_raw"], f"select scan_id, line from ({PROBE_SQL})")
 def write_sorted_probe_lines(spark, sf_dir):
     path = shared_dir(spark, "sorted-probes")
-    writers.write_sorted_hosts(probe_lines(spark, sf_dir), path, dedupe=False, column="line")
-    return readers.read_lines(spark, path).select(F.col("scan_id").cast("bigint"), "line")
+    linestore.write_stored_lines(probe_lines(spark, sf_dir), path)
+    return linestore.read_stored_lines(spark, path)
 
 
 @query(["hosts_raw", "probe_raw"], f"""
@@ -505,10 +503,10 @@ def write_findings(spark, sf_dir):
     """Write the readable results, then add the rebuilt ones to the scans that had none."""
     path = shared_dir(spark, "findings")
     written, reported = _written(spark, sf_dir), _reported(spark, sf_dir)
-    writers.write_findings(written, path)
-    writers.write_findings(findings.rebuild_empty_results(
+    linestore.write_stored_lines(written, path)
+    linestore.write_stored_lines(findings.rebuild_empty_results(
         reported, written, frame(spark, sf_dir, "findings")), path)
-    return readers.read_lines(spark, path).select(F.col("scan_id").cast("bigint"), "line")
+    return linestore.read_stored_lines(spark, path)
 
 
 @query(["hosts_raw", "probe_raw", "findings"], f"""
@@ -1329,17 +1327,13 @@ def stored_memory_documents(spark, sf_dir):
 
 @query(["hosts_raw"], HOSTS_SQL)
 def exported_hosts(spark, sf_dir):
-    """The host store as text, read back; the store itself is cleared and holds nothing then."""
+    """The host store as sorted lines, read back; the store is cleared and holds nothing then."""
     store, path = shared_dir(spark, "host-store"), shared_dir(spark, "host-export")
-    writers.ensure_host_folder(spark, store)
-    writers.write_host_load(hosts(spark, sf_dir), store, "all")
-    writers.export_hosts(writers.read_host_folder(spark, store), path)
-    writers.clear_host_folder(spark, store)
-    left = writers.read_host_folder(spark, store).select("scan_id", "host")
-    exported = readers.read_lines(spark, path).select(
-        F.col("scan_id").cast("bigint").alias("scan_id"), F.col("line").alias("host")
-    )
-    return exported.unionByName(left)
+    hoststore.bulk_host_load(hosts(spark, sf_dir), store, "all")
+    linestore.write_stored_lines(hoststore.read_host_store(spark, store), path, "host")
+    hoststore.clear_host_store(spark, store)
+    exported = linestore.read_stored_lines(spark, path).withColumnRenamed("line", "host")
+    return exported.unionByName(hoststore.read_host_store(spark, store))
 
 
 # What is read back is what was written.
@@ -1379,7 +1373,7 @@ def stream_new_hosts(spark, sf_dir):
     stream = spark.readStream.schema(cleaned.schema).option("maxFilesPerTrigger", 1).parquet(path)
     store = shared_dir(spark, "host-store")
     jobs.stream_new_hosts(stream, store, shared_dir(spark, "progress")).awaitTermination()
-    return writers.read_host_folder(spark, store).select("scan_id", "host")
+    return hoststore.read_host_store(spark, store)
 
 
 @query(["phase_events"], f"select * from ({LATEST_PHASES_SQL}) where phase <> 'unknown_phase'")

@@ -36,8 +36,6 @@ STATUS_ALIASES = {
 
 # Schemas ----------------------------------------------------------------
 
-HOST_STORE = "scan_id bigint, host string, scan_bucket int, load string"
-
 PHASE_STATE = (
     "scan_id bigint, phase string, status string, progress int, "
     "results_count bigint, ts timestamp_ntz, seq bigint"

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from exposure.operators.inventory import bulk_load_hosts
-from exposure.schemas import HOST_STORE
 
 HOST_BUCKETS = 512
-SCAN_BUCKETS = 256
 COPIES_PER_ROW = 10_000
 
 
@@ -45,24 +43,6 @@ def sorted_lines(
     )
 
 
-def write_sorted_hosts(hosts: DataFrame, path: str, dedupe: bool = True,
-                       column: str = "host") -> None:
-    """One folder of sorted text parts per scan."""
-    sorted_lines(hosts, column, dedupe).write.partitionBy("scan_id").mode("overwrite").text(path)
-
-
-def write_findings(findings: DataFrame, path: str) -> None:
-    """Consolidated finding lines, one folder per scan; only the given scans are replaced.
-
-    The rebalance hint brings each scan's lines into few files and splits large scans.
-    """
-    (
-        findings.select("scan_id", "line").hint("rebalance", "scan_id")
-        .write.partitionBy("scan_id")
-        .option("partitionOverwriteMode", "dynamic").mode("overwrite").text(path)
-    )
-
-
 def write_tagged_findings(tagged: DataFrame, path: str) -> None:
     """Findings with their severity as a partition, so that a severity filter skips files.
 
@@ -91,7 +71,7 @@ def write_snapshots(snapshots: DataFrame, path: str) -> None:
     )
 
 
-# --- host store ------------------------------------------------------------------------------
+# --- host table ------------------------------------------------------------------------------
 
 def create_host_table(hosts: DataFrame, table: str, buckets: int = HOST_BUCKETS) -> None:
     """A store bucketed by its key: later anti-joins read the stored side without a shuffle."""
@@ -106,65 +86,3 @@ def append_host_table(fresh: DataFrame, table: str, buckets: int = HOST_BUCKETS)
         fresh.select("scan_id", "host").repartition(buckets, "scan_id", "host")
         .write.bucketBy(buckets, "scan_id", "host").mode("append").saveAsTable(table)
     )
-
-
-def _in_bucket(hosts: DataFrame) -> DataFrame:
-    return hosts.select(
-        "scan_id", "host",
-        F.pmod(F.xxhash64("scan_id", "host"), F.lit(SCAN_BUCKETS)).cast("int").alias("scan_bucket"),
-    )
-
-
-def ensure_host_folder(spark: SparkSession, path: str) -> None:
-    """An empty host store at ``path`` unless there is one."""
-    spark.createDataFrame([], HOST_STORE).write.partitionBy("scan_bucket", "load").mode(
-        "ignore"
-    ).parquet(path)
-
-
-def read_host_folder(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(HOST_STORE).parquet(path)
-
-
-def stored_hosts_like(incoming: DataFrame, path: str) -> DataFrame:
-    """The part of the store that may hold the incoming hosts.
-
-    The buckets touched (at most SCAN_BUCKETS numbers) are collected, so that the others are
-    pruned as partitions and never read.
-    """
-    touched = [
-        row["scan_bucket"]
-        for row in _in_bucket(incoming).select("scan_bucket").distinct().collect()
-    ]
-    return read_host_folder(incoming.sparkSession, path).filter(
-        F.col("scan_bucket").isin(touched)
-    )
-
-
-def write_host_load(fresh: DataFrame, path: str, load: str) -> None:
-    """One load of new hosts; writing the same load again replaces it."""
-    (
-        _in_bucket(fresh).withColumn("load", F.lit(load)).hint("rebalance", "scan_bucket")
-        .write.partitionBy("scan_bucket", "load")
-        .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
-    )
-
-
-def compact_host_folder(spark: SparkSession, path: str, target: str) -> None:
-    """The whole store as one load of a new folder."""
-    write_host_load(read_host_folder(spark, path), target, "compacted")
-
-
-def export_hosts(stored: DataFrame, path: str) -> None:
-    """A plain copy of the store, one folder of text parts per scan."""
-    (
-        stored.select("scan_id", "host").hint("rebalance", "scan_id")
-        .write.partitionBy("scan_id").mode("overwrite").text(path)
-    )
-
-
-def clear_host_folder(spark: SparkSession, path: str) -> None:
-    (
-        spark.createDataFrame([], HOST_STORE).write.partitionBy("scan_bucket", "load")
-        .option("partitionOverwriteMode", "static").mode("overwrite").parquet(path)
-    )

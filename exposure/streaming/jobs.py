@@ -9,8 +9,8 @@ checkpoint can never replace the loads of an older one.
 State does not grow with the number of batches: every ``MERGE_EVERY`` batches a batch writes the
 whole state as its load, and once that batch is committed, the next one deletes the loads before it.
 A state folder holds at most about twice as many loads as that, so what a batch lists and reads is
-bounded by the state. Host stores and recorded transitions are results and only grow by new rows.
-A ``compact_*`` job, run while the stream is stopped, writes them into a new folder, with which the
+bounded by the state. A host store merges its loads by size (``sources.hoststore``). Recorded
+transitions are results and only grow by new rows. A ``compact_*`` job, run while the stream is stopped, writes them into a new folder, with which the
 stream then continues from the same checkpoint.
 """
 
@@ -28,14 +28,20 @@ from exposure.operators.ordered import MAX_GROUP_ROWS
 from exposure.operators.progress import latest_phase_status, status_transitions
 from exposure.schemas import DOCUMENT_STATE, LAST_STATUS, PHASE_STATE, PHASES, TRANSITIONS
 from exposure.session import discard_older
-from exposure.sources.writers import ensure_host_folder, stored_hosts_like, write_host_load
+from exposure.sources.hoststore import (
+    FAN, drop_dead_loads, earlier_loads, load_name, load_names, merged_loads, read_loads,
+    write_host_load,
+)
 
 MERGE_EVERY = 16
 
 
+def _query_name(spark: SparkSession, checkpoint: str) -> str:
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
 def _load_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
-    metadata = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()
-    return f"{metadata['id']}-{batch_id:012d}"
+    return f"{_query_name(spark, checkpoint)}-{batch_id:012d}"
 
 
 def _start(
@@ -73,17 +79,22 @@ def _write_state(
 
 
 def stream_new_hosts(
-    hosts: DataFrame, store: str, checkpoint: str, trigger: dict | None = None,
+    hosts: DataFrame, store: str, checkpoint: str, trigger: dict | None = None, fan: int = FAN,
 ) -> StreamingQuery:
-    """Add hosts (scan_id, host) that the store at ``store`` does not hold yet."""
-    ensure_host_folder(hosts.sparkSession, store)
+    """Add hosts (scan_id, host) that the store at ``store`` does not hold yet.
 
+    The store's loads merge by size, so a batch lists and reads few of them however many there were.
+    """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        load = _load_name(batch.sparkSession, checkpoint, batch_id)
-        batch = batch.persist()
-        stored = stored_hosts_like(batch, store).filter(F.col("load") != load)
-        write_host_load(append_new_hosts(stored, batch), store, load)
-        batch.unpersist()
+        spark = batch.sparkSession
+        query = _query_name(spark, checkpoint)
+        drop_dead_loads(spark, store, query, batch_id)
+        names = earlier_loads(load_names(spark, store), query, batch_id)
+        fresh = append_new_hosts(read_loads(spark, store, names), batch)
+        merged = merged_loads(names, query, batch_id, fan)
+        if merged:
+            fresh = fresh.unionByName(read_loads(spark, store, merged))
+        write_host_load(fresh, store, load_name(query, batch_id, fan))
 
     return _start(hosts, handle, checkpoint, trigger)
 

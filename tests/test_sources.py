@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from exposure.functions import text
 from exposure.operators import checkpoints, fleet, hygiene, inventory, progress
 from exposure.session import shared_dir
-from exposure.sources import readers, writers
+from exposure.sources import hoststore, linestore, readers, writers
 
 
-def parts(path, scan):
-    files = sorted(glob.glob(f"{path}/scan_id={scan}/part-*"))
-    return [line for f in files for line in open(f, encoding="utf-8").read().splitlines()]
+def parts(spark, path):
+    """What the store's files hold, file after file of the newest version, as they lie there."""
+    files = sorted({r["file"] for r in linestore.read_index(spark, path).collect()})
+    return [(r["scan_id"], r["line"]) for f in files
+            for r in spark.read.parquet(f"{path}/files/{f}").collect()]
 
 
 def put(path, content):
@@ -27,11 +29,13 @@ def test_sorted_unique_parts(spark, tmp_path):
     hosts = spark.range(3_000).select(
         (F.col("id") % 2).alias("scan_id"), F.md5((F.col("id") % 700).cast("string")).alias("host")
     )
-    writers.write_sorted_hosts(hosts, str(tmp_path / "out"))
-    for scan in (0, 1):
-        lines = parts(tmp_path / "out", scan)
-        expected = {r["host"] for r in hosts.filter(f"scan_id = {scan}").collect()}
-        assert lines == sorted(expected)
+    path = str(tmp_path / "out")
+    linestore.write_stored_lines(hosts, path, "host", dedupe=True)
+    assert parts(spark, path) == sorted({tuple(r) for r in hosts.collect()})
+    linestore.export_text(spark, path, str(tmp_path / "text"), hosts.where("scan_id = 1"))
+    files = sorted(glob.glob(f"{tmp_path}/text/scan_id=*/part-*"))
+    lines = [line for f in files for line in open(f, encoding="utf-8").read().splitlines()]
+    assert lines == sorted({r["host"] for r in hosts.where("scan_id = 1").collect()})
 
 
 def test_sorted_parts_with_copies(spark, tmp_path):
@@ -40,8 +44,54 @@ def test_sorted_parts_with_copies(spark, tmp_path):
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.md5((F.col("id") % 50).cast("string")))
         .alias("line"),
     )
-    writers.write_sorted_hosts(lines, str(tmp_path / "out"), dedupe=False, column="line")
-    assert parts(tmp_path / "out", 1) == sorted(r["line"] for r in lines.collect())
+    linestore.write_stored_lines(lines, str(tmp_path / "out"))
+    assert parts(spark, str(tmp_path / "out")) == sorted(tuple(r) for r in lines.collect())
+
+
+def test_files_follow_the_bytes_and_scans_are_replaced(spark, tmp_path):
+    path, schema = str(tmp_path / "store"), "scan_id bigint, line string"
+    lines = spark.range(5_000).selectExpr("id % 1000 as scan_id", "concat('line ', id) as line")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:  # several files though they are small
+        linestore.write_stored_lines(lines, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    index = linestore.read_index(spark, path)
+    first = {r["file"] for r in index.select("file").distinct().collect()}
+    assert 1 < len(first) <= 8 and index.agg(F.sum("lines")).first()[0] == 5_000
+    spans = index.groupBy("file").agg(
+        F.min(F.struct("scan_id", "first_line")).alias("low"),
+        F.max(F.struct("scan_id", "last_line")).alias("high")).orderBy("low").collect()
+    assert all(a["high"] < b["low"] for a, b in zip(spans, spans[1:]))
+
+    new = spark.createDataFrame([(7, "x"), (7, "x"), (2_000, "y"), (8, None)], schema)
+    linestore.write_stored_lines(new, path)
+    found = sorted(map(str, linestore.read_stored_lines(spark, path).collect()))
+    assert found == sorted(map(str, lines.where("scan_id not in (7, 8)").unionByName(new).collect()))
+    # only the files that held scans 7 and 8 were written anew
+    second = {r["file"] for r in linestore.read_index(spark, path).select("file").distinct().collect()}
+    assert 0 < len(first - second) < len(first) and len(second) <= len(first) + 8
+    wanted = spark.createDataFrame([(7,), (9,)], "scan_id bigint")
+    some = linestore.read_stored_lines(spark, path, wanted)
+    assert sorted(r["line"] for r in some.where("scan_id = 7").collect()) == ["x", "x"]
+    assert len(some.inputFiles()) < len(second) and some.count() == 7
+    linestore.vacuum(spark, path)
+    assert linestore.read_stored_lines(spark, path).count() == len(found)
+    linestore.write_stored_lines(new.limit(0), path)
+    assert linestore.read_stored_lines(spark, path).count() == len(found)
+    assert linestore.read_stored_lines(spark, str(tmp_path / "none")).isEmpty()
+
+
+def test_a_failed_write_changes_nothing(spark, tmp_path):
+    path, schema = str(tmp_path / "store"), "scan_id bigint, line string"
+    linestore.write_stored_lines(spark.createDataFrame([(1, "a"), (2, "b")], schema), path)
+    bad = spark.createDataFrame([(1, "c")], schema).withColumn("line", F.expr("raise_error('lost')"))
+    with pytest.raises(Exception, match="lost"):
+        linestore.write_stored_lines(bad.withColumn("line", F.col("line").cast("string")), path)
+    (tmp_path / "store" / "index" / "version=1").mkdir()  # a version without its mark
+    assert sorted(map(tuple, linestore.read_stored_lines(spark, path).collect())) == [
+        (1, "a"), (2, "b")]
 
 
 def test_copies_of_one_line_spread_over_tasks(spark):
@@ -105,15 +155,6 @@ def test_corpus_and_inventory(spark, tmp_path):
     assert "content" not in plan.split("ReadSchema")[1]
 
 
-def test_findings_replace_only_their_scans(spark, tmp_path):
-    path = str(tmp_path / "results")
-    schema = "scan_id bigint, line string"
-    writers.write_findings(spark.createDataFrame([(1, "a"), (2, "b")], schema), path)
-    writers.write_findings(spark.createDataFrame([(2, "c"), (3, "d")], schema), path)
-    rows = readers.read_lines(spark, path).select("scan_id", "line").collect()
-    assert sorted(map(tuple, rows)) == [(1, "a"), (2, "c"), (3, "d")]
-
-
 def test_snapshot_of_the_same_moment_replaces_itself(spark, tmp_path):
     path = str(tmp_path / "snapshots")
     docs = spark.createDataFrame([(1, "{}"), (2, "{}"), (3, None)], "scan_id bigint, doc string")
@@ -135,29 +176,44 @@ def test_memory_documents_as_json(spark, tmp_path):
     assert back.select(F.sum(F.size("measurements"))).first()[0] == 5
 
 
-def test_host_folder_loads(spark, tmp_path):
+def test_host_loads(spark, tmp_path):
     store, schema = str(tmp_path / "store"), "scan_id bigint, host string"
-    writers.ensure_host_folder(spark, store)
-    assert writers.read_host_folder(spark, store).count() == 0
-    first = spark.createDataFrame([(1, "a"), (2, "b")], schema)
+    assert hoststore.read_host_store(spark, store).isEmpty()
     for _ in range(2):
-        writers.write_host_load(first, store, "one")
+        hoststore.bulk_host_load(
+            spark.createDataFrame([(1, "a"), (2, "b"), (1, "a")], schema), store, "one")
+    stored = hoststore.read_host_store(spark, store)
     second = spark.createDataFrame([(1, "a"), (1, "c")], schema)
-    stored = writers.stored_hosts_like(second, store)
-    assert stored.count() == 1
-    plan = stored._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "scan_bucket" in plan.split("PartitionFilters")[1][:120]
-    writers.write_host_load(inventory.append_new_hosts(stored, second), store, "two")
-    rows = writers.read_host_folder(spark, store).select("scan_id", "host").collect()
+    hoststore.write_host_load(inventory.append_new_hosts(stored, second), store, "q.000-000")
+    rows = hoststore.read_host_store(spark, store).collect()
     assert sorted(map(tuple, rows)) == [(1, "a"), (1, "c"), (2, "b")]
-    writers.ensure_host_folder(spark, store)
-    assert writers.read_host_folder(spark, store).count() == 3
-    writers.export_hosts(writers.read_host_folder(spark, store), str(tmp_path / "copy"))
-    assert sorted(parts(tmp_path / "copy", 1)) == ["a", "c"]
-    writers.compact_host_folder(spark, store, str(tmp_path / "compact"))
-    assert writers.read_host_folder(spark, str(tmp_path / "compact")).count() == 3
-    writers.clear_host_folder(spark, store)
-    assert writers.read_host_folder(spark, store).count() == 0
+    assert {r["scan_id"]: r["hosts"] for r in hoststore.host_counts(spark, store).collect()} == {
+        1: 2, 2: 1}
+    hoststore.compact_host_store(spark, store, str(tmp_path / "compact"))
+    assert hoststore.read_host_store(spark, str(tmp_path / "compact")).count() == 3
+    hoststore.clear_host_store(spark, store)
+    assert hoststore.read_host_store(spark, store).isEmpty()
+
+
+def test_loads_stay_few_over_many_batches():
+    """What a batch lists, reads and holds, for two queries that write to one store."""
+    names, held = ["bulk"], {}
+    most = 0
+    for batch in range(400):
+        for query in ("a", "b"):
+            own = [n for n in names if n.startswith(f"{query}.")]
+            names = [n for n in names if n not in own or n in hoststore.live_loads(own)]
+            most = max(most, len(names))
+            for _ in range(2):  # the second time, the batch is repeated
+                stored = hoststore.earlier_loads(names, query, batch)
+                inside = {x for n in stored for x in held.get(n, ())}
+                assert inside >= {(query, b) for b in range(batch)}
+                assert sum(len(held.get(n, ())) for n in stored) == len(inside)
+                load = hoststore.load_name(query, batch)
+                held[load] = {(query, batch)}.union(
+                    *(held[n] for n in hoststore.merged_loads(stored, query, batch)))
+                names = sorted({*names, load})
+    assert most <= 2 * (3 * 5 + 5) + 1
 
 
 def test_shared_dir_follows_the_session(spark):

@@ -5,7 +5,7 @@ import datetime
 import pytest
 
 from exposure.operators import progress
-from exposure.sources import writers
+from exposure.sources import hoststore
 from exposure.streaming import jobs
 
 T0 = datetime.datetime(2024, 1, 1)
@@ -40,11 +40,11 @@ def test_hosts_three_batches_then_none(spark, tmp_path):
 
     assert len(run()) == 3
     assert len(run()) == 0
-    stored = writers.read_host_folder(spark, store).select("scan_id", "host")
+    stored = hoststore.read_host_store(spark, store)
     assert sorted(map(tuple, stored.collect())) == [(1, "a"), (1, "b"), (2, "a"), (2, "c")]
     feed(spark, path, [(1, "a"), (3, "z")], schema)
     assert len(run()) == 1
-    assert writers.read_host_folder(spark, store).count() == 5
+    assert hoststore.read_host_store(spark, store).count() == 5
 
 
 def test_repeated_batch_replaces_itself(spark, tmp_path, monkeypatch):
@@ -61,11 +61,11 @@ def test_repeated_batch_replaces_itself(spark, tmp_path, monkeypatch):
     with pytest.raises(Exception, match="lost after writing"):
         jobs.stream_new_hosts(
             source(spark, path, schema), store, str(tmp_path / "p")).awaitTermination()
-    assert writers.read_host_folder(spark, store).count() == 2
+    assert hoststore.read_host_store(spark, store).count() == 2
     monkeypatch.setattr(jobs, "write_host_load", write)
     assert len(finish(jobs.stream_new_hosts(
         source(spark, path, schema), store, str(tmp_path / "p")))) == 1
-    assert writers.read_host_folder(spark, store).count() == 2
+    assert hoststore.read_host_store(spark, store).count() == 2
 
 
 def test_new_checkpoint_keeps_older_loads(spark, tmp_path):
@@ -77,10 +77,22 @@ def test_new_checkpoint_keeps_older_loads(spark, tmp_path):
             source(spark, path, schema), store, str(tmp_path / f"p-{name}")))
     finish(jobs.stream_new_hosts(
         source(spark, str(tmp_path / "in-a"), schema), store, str(tmp_path / "p-again")))
-    stored = writers.read_host_folder(spark, store).select("scan_id", "host").collect()
+    stored = hoststore.read_host_store(spark, store).collect()
     assert sorted(map(tuple, stored)) == [(1, "a"), (1, "b")]
 
 
+def test_host_loads_merge_over_batches(spark, tmp_path):
+    schema, path, store = "scan_id bigint, host string", str(tmp_path / "in"), tmp_path / "store"
+    for i in range(9):
+        feed(spark, path, [(1, f"h{i}"), (1, f"h{i // 2}"), (2, "same")], schema)
+    batches = finish(jobs.stream_new_hosts(
+        source(spark, path, schema), str(store), str(tmp_path / "p"), fan=2))
+    assert len(batches) == 9
+    rows = [tuple(r) for r in hoststore.read_host_store(spark, str(store)).collect()]
+    assert sorted(rows) == sorted([(1, f"h{i}") for i in range(9)] + [(2, "same")])
+    assert len([p for p in store.iterdir() if p.name.startswith("load=")]) <= 2
+
+
 def test_phase_state_interrupted_equals_uninterrupted(spark, tmp_path):
     loads = [
         [(1, 1, T0, "alive_check", "pending", 0, 0), (1, 2, T0, "bad", "failed", 1, 1)],

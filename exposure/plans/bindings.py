@@ -68,6 +68,8 @@ _STATE_DOCUMENT = """case when c_custkey % 19 = 0 then '{"status": ' else concat
     case when c_custkey % 6 = 0 then '' else concat(',"vulnerabilities":', cast(c_nationkey as string)) end,
     '}') end"""
 
+_SIXTH = "cast(floor(doc_id / 6) as bigint)"
+
 BINDINGS = {
     # padding, blanks, duplicates after trimming
     "hosts_raw": Binding("pages", {
@@ -193,6 +195,13 @@ BINDINGS = {
         "repo": "concat('repo', cast(n_nationkey as string))",
         "commit": "md5(cast(n_nationkey as string))",
     }),
+    # three levels of folders, most files the same in the next scan
+    "corpus_trees": Binding("documents", {
+        "scan_id": "doc_id % 6 + 1",
+        "path": f"concat('d', cast({_SIXTH} % 7 as string), '/e', cast({_SIXTH} % 3 as string), "
+                f"case when doc_id % 17 = 0 then '/g' else '' end, '/f', cast({_SIXTH} as string))",
+        "content": f"case when doc_id % 13 = 0 then text else cast({_SIXTH} as string) end",
+    }),
     # inventory and content, some empty, two extensions
     "files": Binding("documents", {
         "scan_id": "doc_id % 9",
@@ -213,6 +222,11 @@ BINDINGS = {
         "started": "cast('2024-01-31 00:00:00' as timestamp)",
         "version": "concat('1.0.', cast(c_nationkey as string))",
     }),
+    # eight scans in a row are of one target, started in another order
+    "scan_runs": Binding("customer", {
+        "scan_id": "c_custkey", "target": "concat('t', cast(cast(floor(c_custkey / 8) as bigint) as string))",
+        "started": "c_custkey * 61 % 9973",
+    }),
     "domains": Binding("customer", {
         "scan_id": "c_custkey", "domain": "concat('c', cast(c_custkey as string), '.example.com')",
     }),

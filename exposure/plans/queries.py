@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exposure.functions import text
 from exposure.functions.documents import body_of, epoch_micros
 from exposure.operators import (
-    checkpoints, findings, fleet, hygiene, inventory, notify, progress,
+    checkpoints, compare, findings, fleet, hygiene, inventory, notify, progress,
 )
 from exposure.operators.joins import lookup_join
 from exposure.plans import reports
@@ -20,7 +21,7 @@ from exposure.schemas import (
     SEVERITIES, STATISTICS,
 )
 from exposure.session import shared_dir
-from exposure.sources import hoststore, linestore, readers, writers
+from exposure.sources import cachelog, hoststore, linestore, readers, writers
 from exposure.streaming import event_time, jobs, updates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 BATCH_SIZE = 10
+LOST = "lost before the commit"
 
 # Limits small enough to send the skewed relations through the sliced plan on the test tables.
 HOT_HOSTS = 400
@@ -294,6 +296,20 @@ def cache_refresh(spark, sf_dir):
     )
 
 
+@query(["cache_requests", "result_cache"], _CACHE_SQL)
+def stored_cache(spark, sf_dir):
+    """The same lookups in a log of cache files: five appends, one of them repeated."""
+    path, entries = shared_dir(spark, "cache"), frame(spark, sf_dir, "result_cache")
+    # entries without a time are older than all others
+    untimed = entries.where("seq % 50 = 0").withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    part = F.pmod(F.xxhash64("seq"), F.lit(5))
+    for number in (0, 1, 2, 3, 3, 4):
+        cachelog.append_cache(
+            entries.unionByName(untimed).where(part == number), path, number)
+    return inventory.cache_lookup(
+        _requests(spark, sf_dir), cachelog.read_cache_log(spark, path), as_of()).drop("argv")
+
+
 # --- findings --------------------------------------------------------------------------------
 
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1129,6 +1145,97 @@ def apply_position_events(spark, sf_dir):
     return applied.select("scan_id", *_flat_positions(), _last_update_us()).na.fill(-1)
 
 
+# --- what changed between scans ---------------------------------------------------------------
+
+_PAIRS_SQL = """
+pairs as (select * from (select scan_id, lag(scan_id) over (partition by target
+    order by started, scan_id) as previous_scan_id from scan_runs)
+  where previous_scan_id is not null)
+"""
+
+
+def _changes_sql(lines: str) -> str:
+    """Lines (scan_id, line) of each scan against its predecessor's."""
+    return f"""
+select scan_id, line, coalesce(b.n, 0) as before, coalesce(a.n, 0) as now,
+  case when b.n is null then 'added' when a.n is null then 'removed' when a.n = b.n then 'same'
+    when a.n > b.n then 'more' else 'fewer' end as change
+from (select scan_id, line, count(*) as n from {lines} semi join pairs using (scan_id)
+      group by scan_id, line) a
+full join (select pairs.scan_id, line, count(*) as n from {lines} x join pairs
+      on x.scan_id = previous_scan_id group by pairs.scan_id, line) b using (scan_id, line)
+"""
+
+
+def _comparison_sql(lines: str) -> str:
+    counts = ", ".join(
+        f"count(*) filter (change = '{c}') as {c}" for c in compare.CHANGES)
+    return f"""
+select scan_id, previous_scan_id, {", ".join(f"coalesce({c}, 0) as {c}" for c in compare.CHANGES)}
+from pairs left join (select scan_id, {counts} from ({_changes_sql(lines)}) group by scan_id)
+  using (scan_id)
+"""
+
+
+_FOUND_SQL = "(select scan_id, split_part(line, ' https', 1) as line from findings)"
+_LISTED_SQL = "(select scan_id, trim(line) as line from hosts_raw where trim(line) <> '')"
+
+
+def _found_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings without the address: which template found what severity."""
+    return frame(spark, sf_dir, "findings").select(
+        "scan_id", F.substring_index("line", " https", 1).alias("line"))
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.predecessors(frame(spark, sf_dir, "scan_runs"))
+
+
+@query(["findings", "scan_runs"], f", {_PAIRS_SQL} {_changes_sql(_FOUND_SQL)}")
+def scan_changes(spark, sf_dir):
+    return compare.line_changes(_found_kinds(spark, sf_dir), _pairs(spark, sf_dir))
+
+
+@query(["findings", "hosts_raw", "scan_runs"], f"""
+, {_PAIRS_SQL}
+select 'findings' as kind, * from ({_comparison_sql(_FOUND_SQL)})
+union all select 'hosts', * from ({_comparison_sql(_LISTED_SQL)})
+""")
+def scan_comparison(spark, sf_dir):
+    pairs = _pairs(spark, sf_dir)
+    listed = frame(spark, sf_dir, "hosts_raw").select(
+        "scan_id", text.stripped(F.col("line")).alias("line")).where("line <> ''")
+    kinds = {"findings": _found_kinds(spark, sf_dir), "hosts": listed}
+    found, hosts_found = [
+        compare.comparison(compare.line_changes(lines, pairs), pairs).select(
+            F.lit(kind).alias("kind"), "*") for kind, lines in kinds.items()]
+    return found.unionByName(hosts_found)
+
+
+@query(["findings", "scan_runs"], f"""
+, hot as {skewed_sql("findings")}, {_PAIRS_SQL}
+{_comparison_sql(_FOUND_SQL.replace("findings", "hot"))}
+""")
+def scan_comparison_hot(spark, sf_dir):
+    pairs = compare.predecessors(frame(spark, sf_dir, "scan_runs"), max_group_rows=4)
+    return compare.comparison(
+        compare.line_changes(skewed(_found_kinds(spark, sf_dir)), pairs), pairs)
+
+
+@query(["corpus_trees", "scan_runs"], f"""
+, {_PAIRS_SQL}
+select scan_id, path, case when b.content is null then 'added' when a.content is null
+    then 'removed' else 'changed' end as change
+from (select scan_id, path, content from corpus_trees semi join pairs using (scan_id)) a
+full join (select pairs.scan_id, path, content from corpus_trees x join pairs
+      on x.scan_id = previous_scan_id) b using (scan_id, path)
+where a.content is distinct from b.content
+""")
+def corpus_changes(spark, sf_dir):
+    tree = compare.hash_tree(frame(spark, sf_dir, "corpus_trees"))
+    return compare.tree_changes(tree, _pairs(spark, sf_dir))
+
+
 # --- tools and templates ---------------------------------------------------------------------
 
 _CURRENT_SQL = r"select tool, regexp_extract(version_text, 'v?(\d+\.\d+\.\d+)', 1) as current_version from version_outputs"
@@ -1376,6 +1483,28 @@ def stream_new_hosts(spark, sf_dir):
     return hoststore.read_host_store(spark, store)
 
 
+@query(["hosts_raw"], HOSTS_SQL)
+def stream_hosts_after_failure(spark, sf_dir):
+    """A stream that is lost after it has written a load and before it could commit it."""
+    path, store = shared_dir(spark, "stream"), shared_dir(spark, "host-store")
+    cleaned, progress_dir = hosts(spark, sf_dir), shared_dir(spark, "progress")
+    for part in range(3):
+        cleaned.where(F.pmod(F.xxhash64("host"), F.lit(3)) <= part).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(cleaned.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+    def lose(batch_id: int) -> None:
+        if batch_id == 1:
+            raise RuntimeError(LOST)
+
+    try:
+        jobs.stream_new_hosts(stream, store, progress_dir, on_written=lose).awaitTermination()
+    except StreamingQueryException as error:
+        if LOST not in str(error):
+            raise
+    jobs.stream_new_hosts(stream, store, progress_dir).awaitTermination()
+    return hoststore.read_host_store(spark, store)
+
+
 @query(["phase_events"], f"select * from ({LATEST_PHASES_SQL}) where phase <> 'unknown_phase'")
 def stream_phase_state(spark, sf_dir):
     stream = _as_stream(spark, frame(spark, sf_dir, "phase_events"), "ts", _days(11, 21))

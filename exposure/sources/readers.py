@@ -70,18 +70,22 @@ def load_scan_state(documents: DataFrame) -> DataFrame:
     )
 
 
-def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    """Cached results, one JSON file per key: (cache_key, ts, seq, result).
+def read_cache(spark: SparkSession, *paths: str) -> DataFrame:
+    """Cached results as (cache_key, ts, seq, result): a JSON file for each key, or lines with keys.
 
     An entry without a time counts as written in 1970, so it is stale.
     """
     return (
-        spark.read.schema("timestamp double, result string")
-        .option("pathGlobFilter", "*.json").json(path)
+        spark.read.schema(
+            "cache_key string, timestamp double, ts_us bigint, seq bigint, result string")
+        .option("pathGlobFilter", "*.json").json(list(paths))
         .select(
-            F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1).alias("cache_key"),
-            from_epoch(F.coalesce("timestamp", F.lit(0.0))).alias("ts"),
-            F.lit(0).cast("bigint").alias("seq"), "result",
+            F.coalesce("cache_key", F.regexp_extract(
+                F.col("_metadata.file_name"), r"^(.*)\.json$", 1)).alias("cache_key"),
+            F.coalesce(
+                F.timestamp_add("MICROSECOND", F.col("ts_us"), from_epoch(F.lit(0.0))),
+                from_epoch(F.coalesce("timestamp", F.lit(0.0)))).alias("ts"),
+            F.coalesce("seq", F.lit(0)).cast("bigint").alias("seq"), "result",
         )
     )
 

@@ -80,10 +80,12 @@ def _write_state(
 
 def stream_new_hosts(
     hosts: DataFrame, store: str, checkpoint: str, trigger: dict | None = None, fan: int = FAN,
+    on_written: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
     """Add hosts (scan_id, host) that the store at ``store`` does not hold yet.
 
     The store's loads merge by size, so a batch lists and reads few of them however many there were.
+    ``on_written`` is told the batch once its load is written; the batch is committed after that.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -95,6 +97,8 @@ def stream_new_hosts(
         if merged:
             fresh = fresh.unionByName(read_loads(spark, store, merged))
         write_host_load(fresh, store, load_name(query, batch_id, fan))
+        if on_written:
+            on_written(batch_id)
 
     return _start(hosts, handle, checkpoint, trigger)
 

@@ -37,10 +37,15 @@ LONGEST_KNOWN = 64
 
 # What the vocabulary's pattern takes for white space, and that pattern.
 WHITE = r"\t-\r \x85\xa0  -     　"
-WORDS = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
-    rf"| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-)
+LETTER, NUMBER = r"\p{L}", r"\p{N}"
+
+
+def word_pattern(letter: str = LETTER, number: str = NUMBER) -> str:
+    return (
+        rf"'s|'t|'re|'ve|'m|'ll|'d| ?{letter}+| ?{number}+"
+        rf"| ?[^{WHITE}{letter}{number}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+
+
 # Words never cross these pieces, which a simpler pattern finds.
 PIECES = rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 
@@ -52,6 +57,35 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class NewerLetters(dict):
+    """Character -> whether it is a letter or number here, but not in the library's older tables.
+
+    The library is asked once for each character: a letter it knows joins the one before it.
+    """
+
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.cut = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+        self.letter, self.number = regex.compile(LETTER), regex.compile(NUMBER)
+
+    def __missing__(self, c: str) -> bool:
+        beside = "a" if self.letter.match(c) else "1" if self.number.match(c) else None
+        self[c] = beside is not None and len(self.cut(beside + c)) > 1
+        return self[c]
+
+    def of(self, text: str) -> str:
+        return "".join(sorted({c for c in text if c > "\x7f" and self[c]}))
+
+
+@lru_cache(maxsize=256)
+def pinned_words(newer: str) -> regex.Pattern:
+    """The pattern for texts with ``newer`` letters, which count as neither letters nor numbers."""
+    out = "".join(rf"\U{ord(c):08X}" for c in newer)
+    return regex.compile(
+        word_pattern(f"[{LETTER}--[{out}]]", f"[{NUMBER}--[{out}]]"), regex.V1)
+
+
 class Vocabulary:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
@@ -82,7 +116,8 @@ class Vocabulary:
         self.token_starts = np.cumsum(self.token_lengths) - self.token_lengths
         longest_first = sorted(added, key=len, reverse=True)
         self.split_added = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if added else None
-        self.words, self.pieces = regex.compile(WORDS), re.compile(PIECES)
+        self.words, self.pieces = regex.compile(word_pattern()), re.compile(PIECES)
+        self.newer = NewerLetters(path)
         self.forget()
 
     def forget(self) -> None:
@@ -174,9 +209,13 @@ class Vocabulary:
 
     # --- texts ---------------------------------------------------------------------------
 
+    def _words_of(self, piece: str) -> list[str]:
+        newer = "" if piece.isascii() else self.newer.of(piece)
+        return (pinned_words(newer) if newer else self.words).findall(piece)
+
     def _learn(self, pieces: list[str]) -> None:
         """Cut unseen pieces into words; ``word``, ``word.`` and ``word,`` share a word's ids."""
-        cut = [[p] if p in self.added else self.words.findall(p) for p in pieces]
+        cut = [[p] if p in self.added else self._words_of(p) for p in pieces]
         new = list(set(chain.from_iterable(cut)).difference(self.known_words, self.added))
         self.known_words.update(zip(new, self.word_ids([w.encode() for w in new])))
         found = [self.known_words[w] for words in cut for w in words]

@@ -150,8 +150,15 @@ def phase_record(loaded: DataFrame, phase: str) -> DataFrame:
     ])
 
 
-def pending_list(phases: Column, resuming: bool = True) -> Column:
-    """Phases still to run, in running order, as an array of (position, phase, status)."""
+def pending_list(
+    phases: Column, resuming: bool = True, force_phase: str | None = None,
+) -> Column:
+    """Phases still to run, in running order, as an array of (position, phase, status).
+
+    ``force_phase`` and all later phases are to run whatever their status.
+    """
+    if force_phase is not None and force_phase not in PHASES:
+        raise ValueError(f"unknown phase {force_phase!r}: one of {', '.join(PHASES)}")
     listed = F.array(*[
         F.struct(
             F.lit(position).cast("int").alias("position"), F.lit(phase).alias("phase"),
@@ -161,12 +168,17 @@ def pending_list(phases: Column, resuming: bool = True) -> Column:
     ])
     if not resuming:
         return listed
-    return F.filter(listed, lambda entry: ~entry["status"].eqNullSafe("completed"))
+    forced = len(PHASES) + 1 if force_phase is None else PHASES.index(force_phase) + 1
+    return F.filter(listed, lambda entry: (entry["position"] >= forced)
+                    | ~entry["status"].eqNullSafe("completed"))
 
 
-def pending_phases(loaded: DataFrame, resuming: bool = True) -> DataFrame:
+def pending_phases(
+    loaded: DataFrame, resuming: bool = True, force_phase: str | None = None,
+) -> DataFrame:
     """One row per phase still to run; a fresh run has all of them to do."""
-    return loaded.select("scan_id", F.inline(pending_list(F.col("phases"), resuming)))
+    return loaded.select(
+        "scan_id", F.inline(pending_list(F.col("phases"), resuming, force_phase)))
 
 
 # --- integrity and repair --------------------------------------------------------------------

@@ -919,6 +919,15 @@ def pending_phases(spark, sf_dir):
     return checkpoints.pending_phases(loaded(spark, sf_dir))
 
 
+@query(["checkpoint_docs"], f"""
+, parsed as ({PARSED_DOCS_SQL}), phase_rows as ({_PHASE_ROWS_SQL})
+select scan_id, position, phase, r->>'$.status' as status from phase_rows
+where position >= 2 or (r->>'$.status') is distinct from 'completed'
+""")
+def forced_phases(spark, sf_dir):
+    return checkpoints.pending_phases(loaded(spark, sf_dir), force_phase="alive_check")
+
+
 @query(["checkpoint_docs"], f"""
 , parsed as ({PARSED_DOCS_SQL}), phase_rows as ({_PHASE_ROWS_SQL})
 select scan_id, phase, r->>'$.status' as status,

@@ -1,5 +1,6 @@
 """Files in, files out."""
 
+import datetime
 import glob
 import os
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from exposure.functions import text
 from exposure.operators import checkpoints, fleet, hygiene, inventory, progress
 from exposure.session import shared_dir
-from exposure.sources import hoststore, linestore, readers, writers
+from exposure.sources import cachelog, hoststore, linestore, readers, writers
 
 
 def parts(spark, path):
@@ -195,6 +196,27 @@ def test_host_loads(spark, tmp_path):
     assert hoststore.read_host_store(spark, store).isEmpty()
 
 
+def test_cache_log_keeps_the_last_write(spark, tmp_path):
+    path = tmp_path / "cache"
+    at = lambda s: datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=s)
+    appends = [
+        [("k", at(1), 1, "old"), ("t", None, None, "timeless"), (None, at(1), 1, "no key")],
+        [("k", at(9.000001), 5, "new"), ("e", at(1), 1, "")],
+        [("k", at(9.000001), 4, "before"), ("t", at(3), 1, None)], [("l", at(2), 2, "two\nlines")]]
+    for number, rows in enumerate([*appends, [("k", at(2), 9, "late")]]):
+        for _ in range(2):
+            cachelog.append_cache(
+                spark.createDataFrame(rows, cachelog.ENTRIES), str(path), number, fan=2)
+    log = cachelog.read_cache_log(spark, str(path))
+    last = {r["cache_key"]: (r["ts"], r["seq"], r["result"])
+            for r in cachelog.latest_entries(log).collect()}
+    assert last == {"k": (at(9.000001), 5, "new"), "t": (at(3), 1, None), "e": (at(1), 1, ""),
+                    "l": (at(2), 2, "two\nlines")}
+    assert log.count() == 5  # the first four appends are one load
+    assert len([p for p in path.iterdir() if p.name.startswith("load=")]) <= 4
+    assert cachelog.read_cache_log(spark, str(tmp_path / "none")).isEmpty()
+
+
 def test_loads_stay_few_over_many_batches():
     """What a batch lists, reads and holds, for two queries that write to one store."""
     names, held = ["bulk"], {}

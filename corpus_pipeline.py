@@ -1,4 +1,17 @@
-"""From raw documents to packed sequences: each stage is written, and the next one reads it."""
+"""From raw documents to packed sequences: each stage is written, and the next one reads it.
+
+Every stage takes tables with nulls in any column, empty and very long texts, repeated rows and
+further columns, and gives an empty table for an empty one. Rows without a doc_id end at the first
+stage.
+
+* Language: keeps the rows whose text is surely in a learnt language; null, empty and letterless
+  texts go.
+* Quality: keeps the rows that reach the threshold; without labels, those of the learnt share.
+* Exact dedup: of equal texts the longest original stays, then the smallest doc_id. A doc_id with
+  several texts keeps each that stays by itself.
+* Near dedup: of each group the row of the smallest doc_id stays, decided for each text.
+* Packing: one row for each piece with its ids, all rows of the stage before, whole texts.
+"""
 
 from __future__ import annotations
 

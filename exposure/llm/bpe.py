@@ -8,7 +8,9 @@ the ids of pieces seen before are kept in a bounded dictionary, and a batch is p
 numpy.
 
 The pattern of words and the alphabet that stands for bytes are fixed values of the vocabulary's
-format. Null texts count as empty and give no ids; rows without a doc_id are left out.
+format. Null texts count as empty and give no ids; rows without a doc_id are left out. A repeated
+doc_id is encoded each time, texts of any length are encoded whole, and an empty table gives an empty
+result. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,8 +11,8 @@ where there is none) are the context of a last example with an empty target. An
 conversation up to there in one row, so conversations are taken to fit in a row.
 
 Turns are ordered by turn, then role, then text. A null text, role or turn counts as empty, empty
-and lowest; repeated rows are turns of their own; rows without a conv_id are left out. DataFrame
-functions only.
+and lowest; repeated rows are turns of their own; rows without a conv_id are left out. An empty table
+gives an empty result. Other columns are not read, whatever their names. DataFrame functions only.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ A row is accepted when its text has LEAST_LETTERS letters and the best language'
 the probability that the text is in one of the languages, reaches ACCEPT. Only texts that are surely
 in one count towards the other evidence. Null and empty texts have no likelihood: their language comes from the other
 evidence, and they are not accepted. Missing evidence says nothing. Rows without an id are left out;
-repeated rows each get a result. Without any text to learn from, every row is undetermined.
+repeated rows each get a result. Without any text to learn from, every row is undetermined. Long texts
+are read whole, an empty table gives an empty result, and other columns are not read.
 """
 
 from __future__ import annotations

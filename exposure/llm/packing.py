@@ -8,8 +8,9 @@ worker can't fill go on, as pieces, to fewer workers, MERGE of them at a time; t
 what no class could fill one after the other, cutting at the capacity. Only one sequence is short.
 
 Ids are those of a public tokenizer, then the end id. Null texts count as empty (the end id alone);
-rows without a doc_id are left out; a repeated doc_id is packed each time. An empty table gives an
-empty result.
+rows without a doc_id are left out; a repeated doc_id is packed each time, and a text of any length is
+cut into as many sequences as it fills. An empty table gives an empty result. Other columns are not
+read, whatever their names.
 """
 
 from __future__ import annotations

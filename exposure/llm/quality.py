@@ -6,7 +6,9 @@ are cut into quantile bins, each split is chosen from histograms of gradients, a
 stored as flat arrays of a complete binary tree, which numpy walks for a whole batch level by level.
 
 Null and empty texts have statistics zero and get a score like any other. Rows without a doc_id
-are left out. Without labels of both kinds every score is the share of label 1 (or one half).
+are left out; a repeated one is scored each time. Long texts are read whole. Without labels of both
+kinds every score is the share of label 1 (or one half). An empty table gives an empty result. Other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -7,11 +7,13 @@ one half differs in at most two: both write that half's vector and every vector
 distance one into a unit grid, and so meet in a cell. In a cell the distance over both halves is
 tested as the lower bound and then the bits themselves.
 
-Equal fingerprints are one node, named by their smallest doc_id; cells give trees of links instead
-of all pairs, so a large group of near copies makes about as many rows as it has fingerprints.
+Equal fingerprints are one node, named by the fingerprint; cells give trees of links instead of all
+pairs, so a large group of near copies makes about as many rows as it has fingerprints.
 
 Null and empty texts and texts of white space only have fingerprint zero and are linked like any
-other. Rows without a doc_id are left out. An empty table gives an empty result.
+other; long texts are read whole. Rows without a doc_id are left out. A repeated doc_id is a row each
+time, and its texts are grouped each by itself. An empty table gives an empty result. Other columns
+are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ words of the positives.
 
 The weights are fitted on at most POSITIVES confirmed documents and UNLABELLED of all outside the
 held-out fold, those with the smallest hash of their doc_id. Null and empty texts hold no words and get the
-score of the bias. Rows without a doc_id are left out. Without positives every score is 0.
+score of the bias; long texts are read whole. Rows without a doc_id are left out; a repeated one is
+scored each time. Without positives every score is 0. An empty table gives an empty result. Other
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -13,7 +13,9 @@ next gzip member or version line that passes, goes on there, and gives the bytes
 quarantined gap.
 
 A null or empty html is an empty payload; rows without a page_id are left out; a repeated page_id
-gives a record each time (all of them responses, where it is the smallest of its payload). A null url gives no target.
+gives a record each time (all of them responses, where it is the smallest of its payload). A null url
+gives no target. Payloads of any length are kept whole, a record to a member. An empty table gives no
+archive and no record. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -8,9 +8,12 @@ be trusted, and each host's prior, are counted over all rows from the texts' own
 counts are smoothed towards those of its domain, and these towards all rows, so a host with few rows
 says little.
 
-Texts in none of the languages have a hypothesis of their own: trigrams spread evenly over the
-buckets, with the prior UNKNOWN. It stands against the language that explains the text best, and by
-the text alone, so neither a declaration nor a host can make up for text that no language explains.
+Texts in none of the languages have a hypothesis of their own, with the prior UNKNOWN: the most
+likely of trigrams spread evenly, of letters by themselves, and of trigrams put together from pairs
+of letters, all languages pooled. A text whose letters and pairs are familiar, but not the ways in
+which one language joins them, is in another language of the same script. The hypothesis stands
+against the language that explains the text best, and by the text alone, so neither a declaration
+nor a host can make up for text that no language explains.
 
 A row is accepted when its text has LEAST_LETTERS letters and the best language's probability, times
 the probability that the text is in one of the languages, reaches ACCEPT. Only texts that are surely
@@ -28,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from exposure.llm.frames import keep_documents, lookup, text_slices
@@ -36,6 +39,10 @@ from exposure.session import materialize
 
 TRAIN_TEXTS = 1_500
 BUCKETS = 1 << 15
+PAIRS = 1 << 14
+LETTERS = 1 << 12
+EVEN_PAIRS = 0.02
+EVEN_LETTERS = 0.01
 SMOOTHING = 0.5
 COUNTED_AT_ONCE = 64
 TEMPER = 100.0
@@ -49,38 +56,54 @@ UNDETERMINED = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
-def trigrams(text: str) -> np.ndarray:
-    """Hashed trigrams of the letters of a text, words apart by a blank."""
+def grams(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed trigrams, pairs and letters of a text, words apart by a blank; empty without letters."""
     letters = _NOT_LETTERS.sub(" ", text.lower()).strip()
     if not letters:
-        return np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 3
     points = np.frombuffer(f" {letters} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
-    mixed = (points[:-2] * np.uint64(961_748_941) + points[1:-1] * np.uint64(29_986_577)
-             + points[2:] * np.uint64(15_485_863))
-    return ((mixed ^ (mixed >> np.uint64(17))) % np.uint64(BUCKETS)).astype(np.int64)
+    two = points[:-1] * np.uint64(961_748_941) + points[1:] * np.uint64(29_986_577)
+    three = two[:-1] + points[2:] * np.uint64(15_485_863)
+    return (
+        ((three ^ (three >> np.uint64(17))) % np.uint64(BUCKETS)).astype(np.int64),
+        ((two ^ (two >> np.uint64(15))) % np.uint64(PAIRS)).astype(np.int64),
+        (points % np.uint64(LETTERS)).astype(np.int64))
 
 
 @dataclass
 class TextModel:
+    """Log shares of the trigrams of each language, and of pairs and letters of all."""
     languages: list[str]
     log_share: np.ndarray
+    log_pairs: np.ndarray
+    log_letters: np.ndarray
 
     def likelihoods(self, text: str) -> tuple[np.ndarray, float]:
         """Tempered log-likelihoods, the best at 0, and the probability that the text is in one of
         the languages (1 without letters)."""
-        grams = trigrams(text)
-        if not len(grams) or not self.languages:
+        three, two, one = grams(text)
+        if not len(three) or not self.languages:
             return np.zeros(len(self.languages)), 1.0
-        # Each bucket once, so that a long text takes no more room than the model.
-        times = np.bincount(grams, minlength=BUCKETS)
+        # Each bucket once, so that a long text is not looked up again for every language.
+        times = np.bincount(three, minlength=BUCKETS)
         at = np.flatnonzero(times)
-        mean = np.einsum("lb,b->l", self.log_share[:, at], times[at] / len(grams))
-        weight = len(grams) / (1 + len(grams) / TEMPER)
+        mean = np.einsum("lb,b->l", self.log_share[:, at], times[at] / len(three))
+        weight = len(three) / (1 + len(three) / TEMPER)
         weighed = mean * weight
-        odds = np.log((1 - UNKNOWN) / UNKNOWN) + weighed.max() + np.log(BUCKETS) * weight
+        letter, pair = self.log_letters[one], self.log_pairs[two]
+        rival = max(
+            -np.log(BUCKETS), (letter[:-2] + letter[1:-1] + letter[2:]).mean(),
+            (pair[:-1] + pair[1:] - letter[1:-1]).mean())
+        odds = np.log((1 - UNKNOWN) / UNKNOWN) + weighed.max() - rival * weight
         return weighed - weighed.max(), float(1 / (1 + np.exp(-np.clip(odds, -40, 40))))
 
 
+def _pooled(counts: np.ndarray, even: float) -> np.ndarray:
+    """Log shares over all languages, each counting alike, mixed with a part spread evenly."""
+    shares = counts / np.maximum(counts.sum(1, keepdims=True), 1)
+    return np.log((1 - even) * shares.mean(0) + even / counts.shape[1])
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[int, np.ndarray] = {}
 
@@ -97,13 +120,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if at not in counts:
                 if len(counts) >= COUNTED_AT_ONCE:
                     yield from flush()
-                counts[at] = np.zeros(BUCKETS, np.int64)
-            counts[at] += np.bincount(trigrams(text), minlength=BUCKETS)
+                counts[at] = np.zeros(BUCKETS + PAIRS + LETTERS, np.int64)
+            three, two, one = grams(text)
+            counts[at] += np.bincount(
+                np.concatenate([three, BUCKETS + two, BUCKETS + PAIRS + one]),
+                minlength=BUCKETS + PAIRS + LETTERS)
     yield from flush()
 
 
 def learn_texts(known: DataFrame, per_language: int = TRAIN_TEXTS) -> TextModel:
-    """Trigram shares of each language; ``known`` has id, text and language.
+    """Shares of each language's trigrams, pairs and letters; ``known`` has id, text and language.
 
     Every language with letters in its texts is learnt, of each about ``per_language`` texts: those
     whose hash is below the share that gives this many. The names and BUCKETS shares of each are held
@@ -112,7 +138,7 @@ def learn_texts(known: DataFrame, per_language: int = TRAIN_TEXTS) -> TextModel:
     given = known.where("text is not null and language is not null and id is not null")
     sizes = {r["language"]: r["count"] for r in given.groupBy("language").count().collect()}
     if not sizes:
-        return TextModel([], np.zeros((0, BUCKETS)))
+        return TextModel([], *(np.zeros(n) for n in ((0, BUCKETS), PAIRS, LETTERS)))
     names = sorted(sizes)
     facts = F.create_map(*[x for i, k in enumerate(names) for x in (
         F.lit(k), F.struct(F.lit(i).alias("at"), F.lit(min(1.0, per_language / sizes[k])).alias("part")))])
@@ -123,10 +149,15 @@ def learn_texts(known: DataFrame, per_language: int = TRAIN_TEXTS) -> TextModel:
         F.sum("n").alias("n")).toArrow()
     at = found["at"].to_numpy()
     learnt = np.unique(at)
-    counts = np.full((len(learnt), BUCKETS), SMOOTHING)
-    counts[np.searchsorted(learnt, at), found["bucket"].to_numpy()] += found["n"].to_numpy()
-    counts /= counts.sum(1, keepdims=True)
-    return TextModel([names[i] for i in learnt], np.log(counts, out=counts))
+    if not len(learnt):
+        return TextModel([], *(np.zeros(n) for n in ((0, BUCKETS), PAIRS, LETTERS)))
+    counts = np.zeros((len(learnt), BUCKETS + PAIRS + LETTERS))
+    counts[np.searchsorted(learnt, at), found["bucket"].to_numpy()] = found["n"].to_numpy()
+    three, two, one = np.split(counts, [BUCKETS, BUCKETS + PAIRS], axis=1)
+    three = three + SMOOTHING
+    return TextModel(
+        [names[i] for i in learnt], np.log(three / three.sum(1, keepdims=True)),
+        _pooled(two, EVEN_PAIRS), _pooled(one, EVEN_LETTERS))
 
 
 def text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
@@ -271,6 +302,11 @@ def identify(rows: DataFrame, model: TextModel, accept: float = ACCEPT) -> DataF
 
 # --- tables ------------------------------------------------------------------------------------
 
+def held_out(column: str) -> Column:
+    """Whether a row is kept out of learning: a quarter of all ids."""
+    return F.crc32(F.col(column).cast("long").cast("string").cast("binary")) % 4 == 2
+
+
 def known_texts(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"),

@@ -60,7 +60,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.identify_documents(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    aside = language.held_out("doc_id")
+    return language.identify_documents(docs, docs.where(~aside)).withColumn("held_out", aside)
 
 
 def pages_language(spark: SparkSession, sf_dir: str) -> DataFrame:

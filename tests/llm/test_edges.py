@@ -381,6 +381,38 @@ def test_language_rejects_what_no_language_explains(spark):
         assert np.mean([out[i].accepted and out[i].language == lang for i in ids]) > 0.99
 
 
+@pytest.mark.parametrize("hidden", ["en", "de", "fr", "es"])
+def test_language_rejects_an_unlearnt_language_of_the_same_script(spark, hidden):
+    """Learnt from three languages, the fourth goes; Dutch, Italian and Portuguese as well. Unseen
+    texts of the three stay, also when every eighth word is a name nobody has seen."""
+    docs = frames.table(spark, "/root/testdata/sf0.01", "documents").where("length(text) > 200")
+    aside = language.held_out("doc_id")
+    model = language.learn_texts(language.known_texts(docs.where(~aside & (F.col("lang") != hidden))))
+    assert hidden not in model.languages and len(model.languages) == 3
+    rng = np.random.default_rng(5)
+    sure = {name: [] for name in ("known", "named", "hidden")}
+    for row in docs.where(aside).select("text", "lang").collect():
+        if row.lang == hidden:
+            sure["hidden"].append(model.likelihoods(row.text)[1])
+            continue
+        named = [w if i % 8 else "".join(map(chr, 97 + rng.integers(0, 26, 7)))
+                 for i, w in enumerate(row.text.split())]
+        sure["known"].append(model.likelihoods(row.text)[1])
+        sure["named"].append(model.likelihoods(" ".join(named))[1])
+    accepted = {k: np.mean(np.array(v) >= language.ACCEPT) for k, v in sure.items()}
+    # Spanish and French share so many syllables that some of the one passes as the other.
+    assert accepted["known"] > 0.99 and accepted["named"] > 0.97
+    assert accepted["hidden"] < (0.35 if hidden == "es" else 0.1)
+    for text in (
+            "De regering heeft vandaag besloten dat de nieuwe wet over het onderwijs pas volgend jaar "
+            "in werking zal treden, omdat de scholen meer tijd nodig hebben.",
+            "Il governo ha deciso oggi che la nuova legge sulla scuola entrerà in vigore soltanto il "
+            "prossimo anno, perché gli istituti hanno bisogno di più tempo.",
+            "O governo decidiu hoje que a nova lei do ensino só entrará em vigor no próximo ano, "
+            "porque as escolas precisam de mais tempo para se preparar."):
+        assert model.likelihoods(text)[1] < language.ACCEPT
+
+
 def pages_of(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr(
         "*", "1 as digest", "2 as first_id", "3 as archive")

@@ -21,7 +21,7 @@ from exposure.schemas import (
     SEVERITIES, STATISTICS,
 )
 from exposure.session import shared_dir
-from exposure.sources import cachelog, hoststore, linestore, readers, writers
+from exposure.sources import cachelog, folders, hoststore, linestore, readers, writers
 from exposure.streaming import event_time, jobs, updates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1231,20 +1231,52 @@ def scan_comparison_hot(spark, sf_dir):
         compare.line_changes(skewed(_found_kinds(spark, sf_dir)), pairs), pairs)
 
 
-@query(["corpus_trees", "scan_runs"], f"""
-, {_PAIRS_SQL}
+def _tree_changes_sql(files: str) -> str:
+    return f"""
 select scan_id, path, case when b.content is null then 'added' when a.content is null
     then 'removed' else 'changed' end as change
-from (select scan_id, path, content from corpus_trees semi join pairs using (scan_id)) a
-full join (select pairs.scan_id, path, content from corpus_trees x join pairs
+from (select scan_id, path, content from {files} semi join pairs using (scan_id)) a
+full join (select pairs.scan_id, path, content from {files} x join pairs
       on x.scan_id = previous_scan_id) b using (scan_id, path)
-where a.content is distinct from b.content
-""")
+where a.content is distinct from b.content"""
+
+
+@query(["corpus_trees", "scan_runs"], f", {_PAIRS_SQL} {_tree_changes_sql('corpus_trees')}")
 def corpus_changes(spark, sf_dir):
     tree = compare.hash_tree(frame(spark, sf_dir, "corpus_trees"))
     return compare.tree_changes(tree, _pairs(spark, sf_dir))
 
 
+# every tenth file is no template; empty files are not read back
+_TEMPLATES_SQL = """templates as (
+  select scan_id, path || '.yaml' as path, content from corpus_trees
+  where path not like '%0' and content <> '')"""
+
+
+def _stored_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, files = shared_dir(spark, "corpus"), frame(spark, sf_dir, "corpus_trees")
+    ending = F.when(F.col("path").endswith("0"), ".txt").otherwise(".yaml")
+    folders.write_corpus(files.withColumn("path", F.concat("path", ending)), folder)
+    return folders.read_corpus_folder(spark, folder)
+
+
+@query(["corpus_trees"], f""", {_TEMPLATES_SQL}
+select scan_id, path, strlen(content) as length, md5(content) as content_md5 from templates
+""")
+def stored_corpus(spark, sf_dir):
+    """Each template written as a file of its own and read back."""
+    return _stored_templates(spark, sf_dir).select(
+        "scan_id", "path", "length", F.md5("content").alias("content_md5"))
+
+
+@query(["corpus_trees", "scan_runs"], f""", {_PAIRS_SQL}, {_TEMPLATES_SQL}
+{_tree_changes_sql("templates")}
+""")
+def stored_corpus_changes(spark, sf_dir):
+    tree = compare.hash_tree(_stored_templates(spark, sf_dir))
+    return compare.tree_changes(tree, _pairs(spark, sf_dir))
+
+
 # --- tools and templates ---------------------------------------------------------------------
 
 _CURRENT_SQL = r"select tool, regexp_extract(version_text, 'v?(\d+\.\d+\.\d+)', 1) as current_version from version_outputs"

@@ -100,7 +100,7 @@ def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """Template files at any depth: path, length, content."""
+    """Template files at any depth: path, length, content. Empty files are passed over by Spark."""
     return (
         spark.read.format("binaryFile").option("pathGlobFilter", TEMPLATE_FILES)
         .option("recursiveFileLookup", "true").load(path)

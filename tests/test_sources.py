@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from exposure.functions import text
 from exposure.operators import checkpoints, fleet, hygiene, inventory, progress
 from exposure.session import shared_dir
-from exposure.sources import cachelog, hoststore, linestore, readers, writers
+from exposure.sources import cachelog, folders, hoststore, linestore, readers, writers
 
 
 def parts(spark, path):
@@ -144,6 +144,24 @@ def test_cache_files(spark, tmp_path):
     assert rows["old"]["ts"].year == 1970
 
 
+def test_template_folders(spark, tmp_path):
+    rows = [
+        (1, "a/one.yaml", "x" * 3_000_000), (1, "/a//b/two words.yaml", "é%20\n"), (2, "a/one.yaml", None),
+        (-3, "q.yaml", "q"), (2, "a/skip.txt", "z"), (None, "a.yaml", "n"), (4, None, "n")]
+    files = spark.createDataFrame(rows, "scan_id int, path string, content string")
+    for _ in range(2):
+        assert folders.write_corpus(files, f"file:{tmp_path}/t") == 5
+    found = folders.read_corpus_folder(spark, str(tmp_path / "t"))
+    assert sorted((r.scan_id, r.path, r.length, bytes(r.content).decode()) for r in found.collect()) == [
+        (-3, "q.yaml", 1, "q"), (1, "a/b/two words.yaml", 6, "é%20\n"),
+        (1, "a/one.yaml", 3_000_000, "x" * 3_000_000)]
+    assert os.path.getsize(tmp_path / "t" / "scan_id=2" / "a" / "one.yaml") == 0
+    assert not glob.glob(f"{tmp_path}/t/**/*.part", recursive=True)
+    assert folders.write_corpus(files.limit(0), str(tmp_path / "none")) == 0
+    with pytest.raises(Exception, match="not a path inside"):
+        folders.write_corpus(files.limit(1).selectExpr("scan_id", "'a/../../b' as path", "content"), str(tmp_path))
+
+
 def test_corpus_and_inventory(spark, tmp_path):
     put(str(tmp_path / "a" / "one.yaml"), "x" * 5_000)
     put(str(tmp_path / "b" / "c" / "two.yaml"), "y")

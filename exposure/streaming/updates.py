@@ -36,7 +36,6 @@ PHASE, POSITION_KIND, STATISTIC, FIELD, TIME = "phase", "position", "statistic",
 FINISHED = ("completed", "cancelled", "error", "failed")
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-NAME_WAYS = 16
 
 _EPOCH = datetime.datetime(1970, 1, 1)
 _TICK = datetime.timedelta(microseconds=1)
@@ -96,14 +95,13 @@ def document_names(documents: DataFrame) -> DataFrame:
 def _with_names(updates: DataFrame, names: DataFrame) -> DataFrame:
     """Updates with ``_held`` (the document takes it) and ``_loaded`` (there is a document).
 
-    A scan's names are there NAME_WAYS times, so that a hot scan meets them in many tasks.
+    Many scans' names fill a small file, so that by its size it would be broadcast: the join is a
+    merge, in which no scan's names are held by more than the tasks of its updates. Adaptive
+    execution splits a hot scan's updates.
     """
-    copies = names.withColumn(
-        "_way", F.explode(F.sequence(F.lit(0), F.lit(NAME_WAYS - 1)))).withColumnRenamed(
-        "scan_id", "_scan")
-    met = updates.withColumn(
-        "_at", F.pmod(F.xxhash64("seq", "ts"), F.lit(NAME_WAYS)).cast("int")
-    ).join(copies, (F.col("scan_id") == F.col("_scan")) & (F.col("_at") == F.col("_way")), "left")
+    met = updates.join(
+        names.withColumnRenamed("scan_id", "_scan").hint("merge"),
+        F.col("scan_id") == F.col("_scan"), "left")
     kind, name = F.col("kind"), F.col("name")
     held = (
         F.when(kind.isin(PHASE, POSITION_KIND), F.array_contains("phases", name))

@@ -87,6 +87,23 @@ def test_updates_in_any_order_over_a_restart(spark, tmp_path):
         (1, "statistic", "unknown", 9), (2, "field", "status", 1), (3, "phase", "alive_check", 1)]
 
 
+def plan_of(query, capsys):
+    query.awaitTermination()
+    capsys.readouterr()
+    query.explain()
+    return capsys.readouterr().out
+
+
+def test_rejects_do_not_broadcast_the_names(spark, tmp_path, capsys):
+    path = str(tmp_path / "in")
+    feed(spark, path, LOADS[0], updates.UPDATE)
+    text = plan_of(updates.stream_rejected_updates(
+        spark.readStream.schema(updates.UPDATE).parquet(path), documents(spark),
+        str(tmp_path / "no"), str(tmp_path / "q")), capsys)
+    assert "Broadcast" not in text and "SortMergeJoin" in text and "Generate" not in text
+    assert "AdaptiveSparkPlan" in text  # which splits a hot scan's rows
+
+
 def test_finished_scans_leave_the_state(spark, tmp_path):
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
 

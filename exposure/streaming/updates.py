@@ -1,13 +1,13 @@
 """Update events folded into stored scan documents while they arrive.
 
 Events of four kinds name a phase, a phase's position, a statistic or a whole-scan field. They are
-brought to one form, slots: (kind, name, field) of a document and the JSON value written there. What
-a document does not hold is rejected before the keyed state, by a join with the names that the
-documents hold; rejects go to a sink of their own. Every task keeps only the last write of a slot
-among its rows, so a scan with a third of all events sends a few rows to its state. The state of a
-scan is its document and, for each slot, when it was last written: events may come in any order, in
-any batch, and after a restart, and the last written one counts. Finished scans leave the state after
-a while; what comes for them later is rejected too.
+brought to one form, slots: (kind, name, field) of a document and the JSON value written there. Every
+task keeps only the last write of a slot among its rows, so a scan with a third of all events sends a
+few rows on. What a document does not hold is rejected before the keyed state, by a join with the names
+that the documents hold; rejects go to a sink of their own. The state of a scan is its document and,
+for each slot, when it was last written: events may come in any order, in any batch, and after a
+restart, and the last written one counts. Finished scans leave the state after a while; what comes for
+them later is rejected too.
 
 Documents are the JSON texts themselves. Keys that nobody updates stay (numbers as Python reads
 them). Only documents that load are updated; others stay as they are.
@@ -243,10 +243,10 @@ def stream_document_updates(
     state, closed = f"{out}/documents", f"{out}/closed"
     jobs._ensure(spark, state, DOCUMENT_STATE)
     jobs._ensure(spark, closed, UPDATE)
+    last = updates.where("scan_id is not null and ts is not null and seq is not null").mapInPandas(
+        _last_written, UPDATE)
     folded = (
-        accepted_updates(updates.where("ts is not null and seq is not null"), names)
-        .mapInPandas(_last_written, UPDATE)
-        .groupBy("scan_id").transformWithStateInPandas(
+        accepted_updates(last, names).groupBy("scan_id").transformWithStateInPandas(
             DocumentFold(keep_finished_ms), f"{UPDATE}, doc string", "Update",
             "none" if keep_finished_ms is None else "processingTime",
             loaded.groupBy("scan_id")))

@@ -104,6 +104,17 @@ def test_rejects_do_not_broadcast_the_names(spark, tmp_path, capsys):
     assert "AdaptiveSparkPlan" in text  # which splits a hot scan's rows
 
 
+def test_updates_do_not_broadcast_the_names(spark, tmp_path, capsys):
+    path = str(tmp_path / "in")
+    feed(spark, path, LOADS[0], updates.UPDATE)
+    text = plan_of(updates.stream_document_updates(
+        spark.readStream.schema(updates.UPDATE).parquet(path), documents(spark),
+        str(tmp_path / "out"), str(tmp_path / "p")), capsys)
+    assert "Broadcast" not in text and "SortMergeJoin" in text and "Generate" not in text
+    # A scan's rows are few before they meet its names.
+    assert text.index("SortMergeJoin") < text.index("MapInPandas")
+
+
 def test_finished_scans_leave_the_state(spark, tmp_path):
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
 

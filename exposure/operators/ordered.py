@@ -14,7 +14,7 @@ Bounds are values, so a lost task that is redone cuts at the same places.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -109,11 +109,18 @@ def slice_number(
         return None
     wanted = sum(math.ceil(2 * n * per_row / max_group_rows) for n in large.values())
     share = min(1.0, MAX_SLICES / wanted)
-    bounds = []
-    for key, n in large.items():
-        points = [p for k, p in sample if k == key]
-        slices = max(2, min(n, int(share * math.ceil(2 * n * per_row / max_group_rows))))
+    points_of = defaultdict(list)
+    for key, p in sample:
+        points_of[key].append(p)
+    bounds, left = [], MAX_SLICES
+    for key, n in sorted(large.items(), key=lambda group: -group[1]):
+        # The largest come first: by the sample, one left whole has at most 2 / MAX_SLICES of all rows.
+        if left < 2:
+            break
+        points = points_of[key]
+        slices = min(left, max(2, min(n, int(share * math.ceil(2 * n * per_row / max_group_rows)))))
         bounds += [points[n * i // slices] for i in range(1, slices)]
+        left -= slices
     chosen = set(bounds)
     in_order = [p for _, p in sample if p in chosen]
     point, kind = _point(df, [*keys, *order])

@@ -117,3 +117,15 @@ def test_batches_are_full_but_for_the_last(spark):
         found = {r["scan_id"]: r["n"] for r in batches.groupBy("scan_id").agg(
             F.count_distinct("batch_id").alias("n")).collect()}
         assert totals == found
+
+
+def test_bounds_stay_few_with_many_large_groups(spark, monkeypatch):
+    held = []
+    bracket = ordered._bracket
+    monkeypatch.setattr(ordered, "_bracket", lambda *given: held.append(given[2]) or bracket(*given))
+    df = spark.range(30_000).selectExpr("id % 1500 as scan_id", "id as seq", "cast(id as string) as s")
+    values = {"previous": (PREVIOUS, F.col("s"))}
+    plain = ordered.running(df, ["scan_id"], ["seq"], values)
+    sliced = ordered.running(df, ["scan_id"], ["seq"], values, max_group_rows=5)
+    assert rows(plain) == rows(sliced)
+    assert 0 < len(held[0]) < ordered.MAX_SLICES

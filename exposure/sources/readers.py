@@ -16,6 +16,8 @@ from exposure.schemas import SCAN_STATE, STATUS_ALIASES
 RESULT_FILES = "*results_*"
 TEMPLATE_FILES = "*.yaml"
 
+PARTITIONS_TOGETHER = 64
+
 
 def read_lines(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """Lines of all text files below ``path`` as (partition columns, path, line)."""
@@ -100,9 +102,15 @@ def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """Template files at any depth: path, length, content. Empty files are passed over by Spark."""
-    return (
+    """Template files at any depth: path, length, content. Empty files are passed over by Spark.
+
+    Spark counts the opening of a file as 4 MB, so 32 small files make a partition. Many of those are
+    put together for a task: what it writes is then as few files.
+    """
+    files = (
         spark.read.format("binaryFile").option("pathGlobFilter", TEMPLATE_FILES)
         .option("recursiveFileLookup", "true").load(path)
         .select("path", "length", "content")
     )
+    together = files.rdd.getNumPartitions() // PARTITIONS_TOGETHER
+    return files.coalesce(max(together, 4 * spark.sparkContext.defaultParallelism))

@@ -174,6 +174,20 @@ def test_corpus_and_inventory(spark, tmp_path):
     assert "content" not in plan.split("ReadSchema")[1]
 
 
+def test_many_small_templates_make_few_tasks(spark, tmp_path):
+    names = spark.range(60).selectExpr(
+        "id % 3 as scan_id", "concat('d/f', id, '.yaml') as path", "cast(id as string) as content")
+    assert folders.write_corpus(names, str(tmp_path / "t")) == 60
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")  # a partition for each file
+    try:
+        found = folders.read_corpus_folder(spark, str(tmp_path / "t"))
+        assert found.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+        assert sorted(bytes(r.content).decode() for r in found.collect()) == sorted(map(str, range(60)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_snapshot_of_the_same_moment_replaces_itself(spark, tmp_path):
     path = str(tmp_path / "snapshots")
     docs = spark.createDataFrame([(1, "{}"), (2, "{}"), (3, None)], "scan_id bigint, doc string")

@@ -39,7 +39,7 @@ MERGE = 64
 KNOWN_PIECES = 800_000
 LONGEST_KNOWN = 64
 TOGETHER = 20
-TEXT_CHARS = 4_000_000
+TEXT_CHARS = 1_000_000
 
 PACKED = (
     "doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, "
@@ -257,7 +257,9 @@ def _fill_documents(path: str, capacity: int, end_id: int, keep_ids: bool):
                     ids = np.append(ids, np.int32(end_id))
                     total, start = len(ids), 0
                     for size in [capacity] * (total // capacity) + sizes[total % capacity]:
-                        filler.add(doc_id, start, ids[start:start + size], total)
+                        piece = ids[start:start + size]
+                        # What waits for a sequence must not hold its whole document.
+                        filler.add(doc_id, start, piece if size == capacity else piece.copy(), total)
                         start += size
                 yield filler.take()
         filler.pass_on()

@@ -3,9 +3,11 @@
 import gzip
 import io
 import json
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -508,3 +510,17 @@ def test_pipeline_keeps_what_its_stages_say(spark, sf_dir):
     assert totals == {
         i: len(words.encode(rows[i].text or "", add_special_tokens=False).ids) + 1 for i in ids}
     assert 0 < len(ids) < len(rows)
+
+
+def test_waiting_pieces_do_not_hold_their_documents(monkeypatch):
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(
+        get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    waiting = []
+
+    def pass_on(self):
+        waiting.extend(piece[2] for pieces in self.open.values() for piece in pieces)
+
+    monkeypatch.setattr(packing.Filler, "pass_on", pass_on)
+    batch = pa.record_batch([pa.array([1, 2]), pa.array(["word " * 9_000, "a b"])], ["doc_id", "text"])
+    list(packing._fill_documents(WORDS, 2048, 1, True)(iter([batch])))
+    assert waiting and all(ids.base is None for ids in waiting)

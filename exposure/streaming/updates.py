@@ -3,12 +3,17 @@
 Events of four kinds name a phase, a phase's position, a statistic or a whole-scan field. They are
 brought to one form, slots: (kind, name, field) of a document and the JSON value written there. Every
 task keeps only the last write of a slot among its rows, so a scan with a third of all events sends a
-few rows on. What a document does not hold is rejected before the keyed state, by a join with the names
+few rows on. What a document does not hold is rejected before the state, by a join with the names
 that the documents hold; rejects go to a sink of their own. The state of a scan is its document and,
 for each slot, when it was last written: events may come in any order, in any batch, and after a
 restart, and the last written one counts. Finished scans leave the state after a while; what comes for
 them later is rejected too.
 
+The state is a table of loads below the checkpoint, as the state of the other streams is, and a batch
+meets it in one join. A scan enters it with its first update: until then its document only lies in the
+table of documents that the first start wrote. A keyed state of Spark's takes several calls
+between Python and the JVM for every scan, also for the many that no update names.
+
 Documents are the JSON texts themselves. Keys that nobody updates stay (numbers as Python reads
 them). Only documents that load are updated; others stay as they are.
 """
@@ -20,10 +25,12 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
+from exposure.functions.documents import epoch_micros
 from exposure.operators.checkpoints import POSITION, load_checkpoints
 from exposure.operators.joins import lookup_join
 from exposure.schemas import DOCUMENT_STATE
@@ -34,8 +41,11 @@ UPDATE = ("scan_id bigint, ts timestamp_ntz, seq bigint, kind string, name strin
           "value string")
 PHASE, POSITION_KIND, STATISTIC, FIELD, TIME = "phase", "position", "statistic", "field", "time"
 FINISHED = ("completed", "cancelled", "error", "failed")
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# The state of a scan: the time of its last update, how often it changed, its document, when each slot
+# was written (JSON), and when it leaves (milliseconds). One that has left has no document.
+FOLDED = "scan_id bigint, us bigint, seq bigint, doc string, written string, expires bigint"
+HELD_ROWS = 100_000
+FOLDED_ROWS = 1_000
 
 _EPOCH = datetime.datetime(1970, 1, 1)
 _TICK = datetime.timedelta(microseconds=1)
@@ -85,13 +95,31 @@ def _named(events: DataFrame, kind: str) -> DataFrame:
 
 def document_names(documents: DataFrame) -> DataFrame:
     """What every loaded document takes: (scan_id, phases, statistics, fields)."""
+    return _loaded(_with_status(documents)).drop("doc")
+
+
+def _with_status(documents: DataFrame) -> DataFrame:
+    """(scan_id, doc, load_status, phases, statistics, fields), not only of loaded documents.
+
+    Many rows of documents fill a small file that few tasks would read: they are dealt out first.
+    """
     fields = F.when(F.col("has_environment"), F.array(F.lit("status"), F.lit("templates_hash")))
-    return load_checkpoints(documents).where("load_status = 'loaded'").select(
-        "scan_id", F.col("held_phases").alias("phases"),
+    return load_checkpoints(documents.select("scan_id", "doc").repartition("scan_id", "doc")).select(
+        "scan_id", "doc", "load_status", F.col("held_phases").alias("phases"),
         F.col("held_statistics").alias("statistics"),
         F.coalesce(fields, F.array(F.lit("status"))).alias("fields"))
 
 
+def _loaded(documents: DataFrame) -> DataFrame:
+    return documents.where("load_status = 'loaded'").drop("load_status")
+
+
+def _stored_names(documents: DataFrame) -> DataFrame:
+    """``document_names`` as a table. The status is tested on what was written: before that, the
+    test would go below the columns and read every document a second time."""
+    return _loaded(materialize(_with_status(documents).drop("doc"), "names"))
+
+
 def _with_names(updates: DataFrame, names: DataFrame) -> DataFrame:
     """Updates with ``_held`` (the document takes it) and ``_loaded`` (there is a document).
 
@@ -122,9 +150,38 @@ def accepted_updates(updates: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def _last_written(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    slot = ["scan_id", "kind", "name", "field"]
+    """The last write of every slot among a task's rows, or among many of them: rows are held until
+    half of ``HELD_ROWS`` are different slots."""
+    held, rows = [], 0
     for frame in frames:
-        yield frame.sort_values(["ts", "seq"], kind="stable").drop_duplicates(slot, keep="last")
+        held.append(frame)
+        rows += len(frame)
+        if rows >= HELD_ROWS:
+            last = _last_of(held)
+            held, rows = [last], len(last)
+            if rows > HELD_ROWS // 2:
+                yield last
+                held, rows = [], 0
+    if rows:
+        yield _last_of(held)
+
+
+def _last_of(frames: list[pd.DataFrame]) -> pd.DataFrame:
+    frame = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
+    return frame.sort_values(["ts", "seq"], kind="stable").drop_duplicates(
+        ["scan_id", "kind", "name", "field"], keep="last")
+
+
+def _by_scan(updates: DataFrame) -> DataFrame:
+    """(scan_id, updates): a scan's last write of each slot as one JSON list."""
+    def named(part: str) -> Column:  # of the times only the last one counts
+        return F.when(F.col("kind") != TIME, F.col(part)).alias(part)
+
+    write = F.struct(epoch_micros(F.col("ts")).alias("us"), "seq", "value")
+    last = updates.select("scan_id", "kind", named("name"), named("field"), write.alias("_w")).groupBy(
+        "scan_id", "kind", "name", "field").agg(F.max("_w").alias("_w"))
+    listed = F.collect_list(F.struct("kind", "name", "field", "_w.us", "_w.seq", "_w.value"))
+    return last.groupBy("scan_id").agg(F.to_json(listed).alias("updates"))
 
 
 # --- the state of a scan -------------------------------------------------------------------------
@@ -160,68 +217,77 @@ def write_slot(document: dict, kind: str, name: str, field: str, value) -> None:
         document[name] = value["value"]
 
 
-class DocumentFold(StatefulProcessor):
-    """Keeps one scan's document and the last write of each of its slots."""
-
-    def __init__(self, keep_finished_ms: int | None = None) -> None:
-        self.keep_finished_ms = keep_finished_ms
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.document = handle.getValueState("document", "doc string, changes bigint, expires bigint")
-        self.written = handle.getMapState(
-            "written", "slot string", "ts bigint, seq bigint")
-
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        self.document.update((initialState["doc"].iloc[0], 0, None))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self.document.get()
-        if held is None:
-            for frame in rows:  # the scan has left the state
-                yield frame.assign(doc=None)[[*_COLUMNS]]
-            return
-        document, changes, latest = json.loads(held[0]), held[1], None
-        written = {slot[0]: tuple(when) for slot, when in self.written.iterator()}
-        for frame in rows:
-            for update in frame.itertuples(index=False):
-                ts = (update.ts.to_pydatetime() - _EPOCH) // _TICK
-                slot = json.dumps([update.kind, update.name, update.field])
-                if (ts, update.seq) >= written.get(slot, (ts, update.seq)):
-                    write_slot(document, update.kind, update.name, update.field,
-                               json.loads(update.value))
-                    written[slot] = (ts, int(update.seq))
-                    self.written.updateValue((slot,), written[slot])
-                latest = max(ts, latest if latest is not None else ts)
-        now, before = _EPOCH + latest * _TICK, _time_of(document.get("last_update"))
-        if before is None or now > before:
-            document["last_update"] = now.isoformat()
-        else:
-            now = before  # so that a later version of the document never seems older
-        doc, changes = json.dumps(document, ensure_ascii=False), changes + 1
-        expires = held[2]
-        if self.keep_finished_ms is not None:
-            if expires is not None:
-                self.handle.deleteTimer(expires)
-            expires = None
-            if document.get("status") in FINISHED:
-                expires = timerValues.getCurrentProcessingTimeInMs() + self.keep_finished_ms
-                self.handle.registerTimer(expires)
-        self.document.update((doc, changes, expires))
-        yield pd.DataFrame({
-            "scan_id": [key[0]], "ts": [now], "seq": [changes], "kind": [None], "name": [None],
-            "field": [None], "value": [None], "doc": [doc]})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.document.clear()
-        self.written.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
-_COLUMNS = ("scan_id", "ts", "seq", "kind", "name", "field", "value", "doc")
+def _folded(doc: str, changes: int, written: str | None, updates: str) -> tuple[str, int, str, int]:
+    """A document with its updates: (document, changes, written, time of its last update)."""
+    document = json.loads(doc)
+    times = {tuple(slot): tuple(when) for slot, when in json.loads(written or "[]")}
+    latest = None
+    for update in sorted(json.loads(updates), key=lambda update: (update["us"], update["seq"])):
+        when = (update["us"], update["seq"])
+        slot = (update["kind"], update.get("name"), update.get("field"))
+        if slot[0] != TIME and when >= times.get(slot, when):
+            write_slot(document, *slot, json.loads(update["value"]))
+            times[slot] = when
+        latest = update["us"]
+    now, before = _EPOCH + latest * _TICK, _time_of(document.get("last_update"))
+    if before is None or now > before:
+        document["last_update"] = now.isoformat()
+    else:
+        now = before  # so that a later version of the document never seems older
+    return (json.dumps(document, ensure_ascii=False), changes + 1,
+            json.dumps(list(times.items()), ensure_ascii=False), (now - _EPOCH) // _TICK)
+
+
+def _fold(now_ms: int, keep_finished_ms: int | None):
+    """Fold rows (scan_id, seq, doc, written, updates) into rows of FOLDED. A scan that has left, or
+    that the first start did not know, stays without document."""
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(at, FOLDED_ROWS) for whole in batches
+                      for at in range(0, whole.num_rows, FOLDED_ROWS)):
+            found = {name: [] for name in _FOLDED.names}
+            for scan, seq, doc, written, listed in zip(*(
+                    batch.column(name).to_pylist()
+                    for name in ("scan_id", "seq", "doc", "written", "updates"))):
+                us = expires = None
+                if doc is not None:
+                    doc, seq, written, us = _folded(doc, seq, written, listed)
+                    if keep_finished_ms is not None and json.loads(doc).get("status") in FINISHED:
+                        expires = now_ms + keep_finished_ms
+                for name, value in zip(_FOLDED.names, (scan, us, seq, doc, written, expires)):
+                    found[name].append(value)
+            yield pa.RecordBatch.from_pydict(found, schema=_FOLDED)
+    return fold
+
+
+_FOLDED = pa.schema([
+    ("scan_id", pa.int64()), ("us", pa.int64()), ("seq", pa.int64()), ("doc", pa.string()),
+    ("written", pa.string()), ("expires", pa.int64())])
+
+
+def _latest_folded(folded: DataFrame) -> DataFrame:
+    row = F.struct("seq", "us", "doc", "written", "expires")
+    return folded.groupBy("scan_id").agg(F.max(row).alias("_r")).select("scan_id", "_r.*")
+
+
+def _without_left(folded: DataFrame, left: Column) -> DataFrame:
+    """Nothing but the name and the time is kept of scans that have left."""
+    return folded.withColumns({
+        part: F.when(~F.coalesce(left, F.lit(False)), F.col(part)) for part in ("doc", "written")})
+
+
+def _batch_ms(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """When a batch was planned, the same for every run of it."""
+    ms = F.get_json_object("value", "$.batchTimestampMs").cast("bigint").alias("ms")
+    return spark.read.text(f"{checkpoint}/offsets/{batch_id}").select(ms).where(
+        "ms is not null").first()["ms"]
+
+
+def _has_begun(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether a batch is committed; a long stream has deleted the first commits."""
+    commits = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = commits.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(commits) and any(
+        status.getPath().getName().isdigit() for status in files.listStatus(commits))
 
 
 def stream_document_updates(
@@ -234,44 +300,67 @@ def stream_document_updates(
     ``documents`` are what the first start begins with; a restart goes on with the state of its
     checkpoint. Read with ``updated_documents``; updates of scans that have left the state are
     listed by ``closed_updates``. Rows without time or number are for ``stream_rejected_updates``.
-    With ``keep_finished_ms`` the trigger must be an interval or one batch: a query that waits for
-    timers never runs out of batches.
+    With ``keep_finished_ms`` a scan leaves that long after the batch that finished it or, finished,
+    was its last.
     """
     spark = updates.sparkSession
-    names = materialize(document_names(documents), "names")
-    loaded = load_checkpoints(documents).where("load_status = 'loaded'").select("scan_id", "doc")
+    begun, turn, folded = f"{checkpoint}/documents", f"{checkpoint}/turn", f"{checkpoint}/folded"
+    if _has_begun(spark, checkpoint):
+        names = _stored_names(documents)
+    else:
+        stored = _with_status(documents).withColumn("scan_id", F.col("scan_id").cast("bigint"))
+        stored.write.mode("overwrite").parquet(begun)
+        names = _loaded(spark.read.schema(stored.schema).parquet(begun)).drop("doc")
     state, closed = f"{out}/documents", f"{out}/closed"
     jobs._ensure(spark, state, DOCUMENT_STATE)
     jobs._ensure(spark, closed, UPDATE)
+    jobs._ensure(spark, folded, FOLDED)
     last = updates.where("scan_id is not null and ts is not null and seq is not null").mapInPandas(
         _last_written, UPDATE)
-    folded = (
-        accepted_updates(last, names).groupBy("scan_id").transformWithStateInPandas(
-            DocumentFold(keep_finished_ms), f"{UPDATE}, doc string", "Update",
-            "none" if keep_finished_ms is None else "processingTime",
-            loaded.groupBy("scan_id")))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # a second run of the batch would change the state again
-        load = jobs._load_name(batch.sparkSession, checkpoint, batch_id)
-        batch.where("doc is null").drop("doc").write.mode("overwrite").parquet(
-            f"{closed}/load={load}")
+        session = batch.sparkSession
+        load = jobs._load_name(session, checkpoint, batch_id)
+        now = _batch_ms(session, checkpoint, batch_id)
+        left = F.col("expires") <= now
+        first = _loaded(session.read.schema(
+            "scan_id bigint, doc string, load_status string").parquet(begun))
+        nothing = F.lit(None)
+        before = first.select(
+            "scan_id", nothing.cast("bigint").alias("us"), F.lit(0).cast("bigint").alias("seq"),
+            "doc", nothing.cast("string").alias("written"), nothing.cast("bigint").alias("expires"),
+        ).unionByName(jobs._read(session, folded, FOLDED).where(F.col("load") != load).drop("load"))
+        # By a merge, as the names are; one row for each scan of the batch comes out of it.
+        met = _by_scan(batch).join(
+            before.withColumnRenamed("scan_id", "_scan").hint("merge"),
+            F.col("scan_id") == F.col("_scan"), "left")
+        held = F.struct("seq", "us", "doc", "written", "expires")
+        rows = met.groupBy("scan_id").agg(
+            F.max(held).alias("_r"), F.first("updates").alias("updates")).select(
+            "scan_id", "_r.*", "updates")
+        _without_left(rows, left).select("scan_id", "seq", "doc", "written", "updates").mapInArrow(
+            _fold(now, keep_finished_ms), FOLDED).write.mode("overwrite").parquet(turn)
+
+        done = session.read.schema(FOLDED).parquet(turn)
+        refused = done.where("doc is null").select("scan_id")
+        if not refused.isEmpty():
+            batch.join(refused.hint("merge"), "scan_id", "left_semi").select(*batch.columns).write.mode(
+                "overwrite").parquet(f"{closed}/load={load}")
+        done = done.where("doc is not null")
         jobs._write_state(
-            batch.where("doc is not null").select("scan_id", "ts", "seq", "doc"), state,
+            done, folded, FOLDED, checkpoint, batch_id, merge_every,
+            lambda earlier, new: _without_left(_latest_folded(earlier.unionByName(new)), left))
+        ts = F.timestamp_add("MICROSECOND", F.col("us"), F.lit("1970-01-01").cast("timestamp_ntz"))
+        jobs._write_state(
+            done.select("scan_id", ts.alias("ts"), "seq", "doc"), state,
             DOCUMENT_STATE, checkpoint, batch_id, merge_every,
             lambda earlier, new: jobs.latest_documents(earlier.unionByName(new)))
-        batch.unpersist()
 
-    before = spark.conf.get(STATE_STORE)
-    spark.conf.set(STATE_STORE, ROCKSDB)
-    try:
-        return (
-            folded.writeStream.outputMode("update").foreachBatch(handle)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or ({"availableNow": True} if keep_finished_ms is None
-                                    else {"once": True}))).start())
-    finally:
-        spark.conf.set(STATE_STORE, before)
+    return (
+        accepted_updates(last, names).writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or ({"availableNow": True} if keep_finished_ms is None
+                                else {"once": True}))).start())
 
 
 def stream_rejected_updates(
@@ -279,7 +368,7 @@ def stream_rejected_updates(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """List every UPDATE row that no document takes, those without time or number too."""
-    names = materialize(document_names(documents), "names")
+    names = _stored_names(documents)
     untimed = F.col("ts").isNull() | F.col("seq").isNull()
     refused = _with_names(updates, names).where(~F.col("_held") | untimed)
     return (
@@ -293,7 +382,7 @@ def updated_documents(documents: DataFrame, out: str) -> DataFrame:
     spark = documents.sparkSession
     now = jobs.current_checkpoints(spark, f"{out}/documents").select(
         "scan_id", F.col("doc").alias("_now"))
-    return lookup_join(documents, now, ["scan_id"], "left").withColumn(
+    return lookup_join(documents.repartition("scan_id", "doc"), now, ["scan_id"], "left").withColumn(
         "doc", F.coalesce("_now", "doc")).drop("_now")
 
 

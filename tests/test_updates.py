@@ -141,6 +141,101 @@ def test_every_task_sends_one_row_for_a_slot():
     assert len(last) == 1 and last["seq"].iloc[0] == 999
 
 
+def test_a_task_holds_many_frames_of_one_slot_and_sends_on_many_slots(monkeypatch):
+    import pandas as pd
+    monkeypatch.setattr(updates, "HELD_ROWS", 1000)
+    columns = ["scan_id", "ts", "seq", "kind", "name", "field", "value"]
+
+    def frames(scans):
+        return (pd.DataFrame([named(n % scans, n // 7, n, "statistic", "a", n)
+                              for n in range(at, at + 100)], columns=columns)
+                for at in range(0, 5000, 100))
+
+    (last,) = updates._last_written(frames(3))
+    assert sorted(last["seq"]) == [4997, 4998, 4999]
+    several = list(updates._last_written(frames(4000)))
+    assert len(several) > 1 and max(map(len, several)) <= 1000
+    assert {n for frame in several for n in frame["seq"]} >= set(range(1000, 5000))
+
+
+def run_updates(spark, tmp_path, rows, docs=None, **options):
+    path = str(tmp_path / "in")
+    feed(spark, path, rows, updates.UPDATE)
+    query = updates.stream_document_updates(
+        spark.readStream.schema(updates.UPDATE).parquet(path), docs or documents(spark),
+        str(tmp_path / "out"), str(tmp_path / "p"), **options)
+    query.awaitTermination()
+    return query
+
+
+def folded(spark, tmp_path):
+    return jobs._read(spark, str(tmp_path / "p" / "folded"), updates.FOLDED)
+
+
+def test_only_scans_with_updates_enter_the_state(spark, tmp_path, capsys):
+    text = plan_of(run_updates(spark, tmp_path, [
+        named(1, 40, 1, "field", "status", "b"),
+        *[named(1, 50, n, "statistic", f"unknown{n}", 1) for n in range(20)]]), capsys)
+    assert "TransformWithState" not in text
+    row, = folded(spark, tmp_path).collect()
+    assert row["scan_id"] == 1 and [slot for slot, _ in json.loads(row["written"])] == [
+        ["field", "status", "value"]]
+    assert json.loads(row["doc"])["last_update"] == "2024-01-01T00:50:00"
+
+
+def test_a_restart_goes_on_with_the_documents_of_the_first_start(spark, tmp_path):
+    run_updates(spark, tmp_path, [named(1, 40, 1, "field", "status", "b")])
+    other = spark.createDataFrame(
+        [(n, json.dumps(DOCUMENT | {"extra": 0})) for n in (1, 4, 5)], "scan_id bigint, doc string")
+    run_updates(spark, tmp_path, [named(n, 50, n, "field", "status", "c") for n in (1, 4, 5)], other)
+    out = str(tmp_path / "out")
+    docs = {r["scan_id"]: json.loads(r["doc"]) for r in updates.updated_documents(other, out).collect()}
+    assert [docs[n]["extra"] for n in (1, 4, 5)] == [DOCUMENT["extra"], DOCUMENT["extra"], 0]
+    assert [docs[n]["status"] for n in (1, 4, 5)] == ["c", "c", "new"]
+    assert [(r["scan_id"], r["seq"]) for r in updates.closed_updates(spark, out).collect()] == [(5, 5)]
+
+
+def test_a_repeated_batch_folds_its_updates_once(spark, tmp_path, monkeypatch):
+    write, failures = jobs._write_state, ["folded", "documents"]
+
+    def write_and_fail(state, path, *rest):
+        write(state, path, *rest)
+        if path.rsplit("/", 1)[-1] in failures:
+            failures.remove(path.rsplit("/", 1)[-1])
+            raise RuntimeError("lost after writing")
+
+    monkeypatch.setattr(jobs, "_write_state", write_and_fail)
+    rows = [named(1, 40, 1, "field", "status", "b")]
+    for _ in range(3):
+        try:
+            run_updates(spark, tmp_path, rows)
+        except Exception as error:
+            assert "lost after writing" in str(error)
+        rows = []
+    assert not failures
+    run_updates(spark, tmp_path, [named(1, 30, 2, "field", "status", "a")])
+    changes = folded(spark, tmp_path).where("doc is not null").select("seq").collect()
+    assert sorted(r["seq"] for r in changes) == [1, 2]
+    now = updates.updated_documents(documents(spark), str(tmp_path / "out")).where("scan_id = 1")
+    assert json.loads(now.first()["doc"])["status"] == "b"
+
+
+def test_a_merge_keeps_the_state_and_forgets_what_has_left(spark, tmp_path):
+    options = {"keep_finished_ms": 1, "merge_every": 2}
+    run_updates(spark, tmp_path, [
+        named(1, 50, 1, "field", "status", "completed"), named(4, 50, 1, "field", "status", "on")], **options)
+    for n in (2, 3, 4):
+        run_updates(spark, tmp_path, [named(4, 50 - n, n, "field", "status", "older"),
+                                      named(1, 60, n, "field", "status", "again")], **options)
+    rows = {r["scan_id"]: r for r in folded(spark, tmp_path).where("load not like '%3'").collect()}
+    assert rows[1]["doc"] is None and rows[1]["written"] is None and rows[4]["seq"] == 3
+    out = str(tmp_path / "out")
+    docs = updates.updated_documents(documents(spark), out).where("scan_id <> 2").collect()
+    assert {r["scan_id"]: json.loads(r["doc"])["status"] for r in docs} == {1: "completed", 4: "on"}
+    assert sorted((r["scan_id"], r["seq"]) for r in updates.closed_updates(spark, out).collect()) == [
+        (1, 2), (1, 3), (1, 4)]
+
+
 # --- order of event time -------------------------------------------------------------------------
 
 def test_shuffled_rows_give_the_batch_result(spark, tmp_path):
